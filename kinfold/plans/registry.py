@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-_MODULES: list = []
+from . import q_profile, q_react, q_series, q_stats
+
+_MODULES = [q_react, q_stats, q_profile, q_series]
 
 
 def queries() -> dict:
