@@ -1,15 +1,16 @@
 """Removal of repeated passages by distributed, sparse prefix doubling (operator 7).
 
 A byte is removed if a string of `LENGTH` = 50 bytes that covers it also starts in a document with a smaller doc_id. Positions
-are ranked by growing prefixes, and a rank that is unique to one document leaves the sort:
+are ranked by growing prefixes, and what is unique to one document at some length leaves the sort:
 
-1. Length 16, sparse. Of the 35 positions at which a 16-byte string fits in a 50-byte one, the one with the least
-   rank stands for it, so equal 50-byte strings stand at equal ranks. Neighbouring positions that
-   share it form a run; Spark sorts the runs by rank. Ranks found in one document only are done: they are unique.
-2. The pair (rank at 16, rank of the whole run): runs that are equal to the end are past the threshold at once; all but those
-   of the least document are removed.
-3. Length 50, dense, only for the least document of runs that share the first rank and differ later: pairs of ranks of every
-   position are sorted again.
+1. Length 16, sparse. Of the 35 places at which a 16-byte string fits in a 50-byte one, the one with the least
+   rank, its anchor, stands for it, so equal 50-byte strings stand at equal ranks. Neighbouring positions with the
+   same anchor form a run. Spark sorts the runs by rank; ranks of one document only are unique and done.
+2. Length 33, by pairs (rank of the anchor, rank of the 17 bytes before or after it): a 50-byte string reaches 17 bytes beyond its
+   anchor on one side at least. The rank of the whole run comes along: runs that are equal to their end are past the
+   threshold at once, and all but those of the least document are repeats.
+3. Length 50, dense, for the least document of a run that shares a 33-byte rank with a different run: pairs of ranks of every
+   position are sorted.
 
 Ranks are 64-bit fingerprints of the prefix, which need no global numbering; a decision rests on two of them (128 bits).
 """
@@ -28,6 +29,10 @@ from .shared import stash, table
 
 LENGTH = 50
 PREFIX = 16
+#: Bytes beyond the anchor that a string has on one side at least.
+BESIDE = (LENGTH - PREFIX) // 2
+#: Positions and counts share a number in the first sort: the count has the low bits.
+COUNT_BITS = 22
 #: Bytes that are ranked at once, and the most of a document in a piece (pieces overlap, so none is cut short).
 PIECE = 1 << 21
 
@@ -119,10 +124,12 @@ def _runs(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, .
         yield rows[which], first - (ends - sizes)[which] + froms[which], last - first + 1, rank[first], run
 
 
-def _runs_of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Runs of all documents. Of equal runs of a batch only those of the least document stay open; the others are known
-    to be repeats (closed), so a passage that many documents share is compared once a batch. Closed runs get a rank of their own,
-    by which they are dealt evenly."""
+def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(rank, doc, at): the runs of all documents, `at` being first and count in one number.
+
+    Of equal runs of a batch only those of the least document are compared; the others are known to be repeats, have a negative
+    `at` and a rank of their own, by which they are dealt evenly. So a passage that many documents share is compared once a batch.
+    """
     for batch in batches:
         ids = batch.column("doc_id")
         known = ids.is_valid().to_numpy(zero_copy_only=False)
@@ -135,14 +142,58 @@ def _runs_of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
         row, first, count, rank, run = row[keep], first[keep], count[keep], rank[keep], run[keep]
         doc = ids[row]
         order = np.lexsort((doc, run, rank))
-        rank, run, doc, first, count = rank[order], run[order], doc[order], first[order], count[order]
-        new = np.concatenate(([True], (rank[1:] != rank[:-1]) | (run[1:] != run[:-1])))[: len(rank)]
-        least = doc[np.flatnonzero(new)][np.cumsum(new) - 1] if len(doc) else doc
+        new = np.concatenate(([True], (rank[order][1:] != rank[order][:-1]) | (run[order][1:] != run[order][:-1])))[: len(rank)]
+        least = np.empty_like(doc)
+        least[order] = doc[order][np.flatnonzero(new)][np.cumsum(new) - 1]
         closed = doc > least
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(closed), pa.array(np.where(closed, doc * 1_000_003 + first, rank.view(np.int64))), pa.array(run.view(np.int64)), pa.array(doc), pa.array(first.astype(np.int64)), pa.array(count.astype(np.int32))],
-            names=["closed", "rank", "run", "doc", "first", "count"],
-        )
+        at = first << COUNT_BITS | count
+        yield pa.RecordBatch.from_arrays([pa.array(np.where(closed, doc * 1_000_003 + first, rank.view(np.int64))), pa.array(doc), pa.array(np.where(closed, -at, at))], names=["rank", "doc", "at"])
+
+
+def _described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The runs of every document with the rank of the whole run and of the 33 bytes that end or start with the anchor (null at the ends of
+    the text). `any_side`: the anchor's rank stands at several places of the run, so no side tells."""
+    for batch in batches:
+        data, offsets = _texts(batch.column("text"))
+        ids = batch.column("doc_id").to_numpy()
+        runs = batch.column("__runs")
+        rank, at = (runs.values.field(k).to_numpy(zero_copy_only=False) for k in ("rank", "at"))
+        bounds = runs.offsets.to_numpy()
+        for i in range(batch.num_rows):
+            text = data[offsets[i] : offsets[i + 1]]
+            own = slice(bounds[i], bounds[i + 1])
+            order = np.argsort(np.abs(at[own]), kind="stable")
+            ranks, ats = rank[own][order], at[own][order]
+            closed, place = ats < 0, np.abs(ats)
+            first, count = place >> COUNT_BITS, place & ((1 << COUNT_BITS) - 1)
+            ok = first + count + LENGTH - 1 <= len(text)
+            closed, first, count, ranks = closed[ok], first[ok], count[ok], ranks[ok]
+            base = 0
+            while base < len(first):
+                n = max(base + 1, int(np.searchsorted(first, first[base] + PIECE)))
+                f, c, done = first[base:n], count[base:n], closed[base:n]
+                lo, hi = max(0, int(f[0]) - BESIDE), min(len(text), int((f + c).max()) + LENGTH + BESIDE)
+                yield pa.RecordBatch.from_arrays(_sides(text[lo:hi], lo, f, c, done, ranks[base:n], ids[i]), names=["closed", "rank", "run", "before", "after", "any_side", "doc", "first", "count"])
+                base = n
+
+
+def _sides(part: np.ndarray, lo: int, first: np.ndarray, count: np.ndarray, closed: np.ndarray, rank: np.ndarray, doc: int) -> list[pa.Array]:
+    own, f = _prefix_ranks(part), first - lo
+    sizes = count + LENGTH - PREFIX
+    starts = np.concatenate(([0], np.cumsum(sizes)[:-1]))
+    where = np.arange(int(sizes.sum())) - np.repeat(starts - f, sizes)
+    values = own[where]
+    hit = values == np.repeat(np.minimum.reduceat(values, starts), sizes)
+    anchor = where[np.flatnonzero(hit)[np.searchsorted(np.flatnonzero(hit), starts)]]
+    several = np.add.reduceat(hit.astype(np.int64), starts) > 1
+    strings = _Strings(part)
+    a, b = anchor - BESIDE, anchor + PREFIX + BESIDE
+    before, after = strings.rank(np.maximum(a, 0), anchor + PREFIX), strings.rank(anchor, np.minimum(b, len(part)))
+    return [
+        pa.array(closed), pa.array(rank), pa.array(strings.rank(f, f + count + LENGTH - 1).view(np.int64)),
+        pa.array(before.view(np.int64), mask=closed | (a < 0)), pa.array(after.view(np.int64), mask=closed | (b > len(part))),
+        pa.array(several), pa.array(np.full(len(f), doc)), pa.array(first), pa.array(count),
+    ]
 
 
 def _dense(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -202,23 +253,38 @@ def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def with_repeats(docs: DataFrame) -> DataFrame:
-    """`docs` with `__runs`: the positions (first, count) at which repeated strings start; null if there are none."""
+    """`docs` with `__runs`: the positions (first, count) at which repeated strings start; null if there are none.
+
+    Texts are shuffled by document once; the joins of the later lengths with them use that exchange again.
+    """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    runs = texts.mapInArrow(_runs_of_batches, "closed boolean, rank bigint, run bigint, doc bigint, first bigint, count int")
-    every, equal = W.partitionBy("closed", "rank"), W.partitionBy("closed", "rank", "run")
-    shared = runs.select("*", F.min("doc").over(every).alias("lo"), F.max("doc").over(every).alias("hi"), F.min("run").over(every).alias("r0"), F.max("run").over(every).alias("r1"))
-    shared = shared.where("closed OR lo < hi").withColumn("least", F.min("doc").over(equal))
-    judged = shared.where("closed OR doc > least OR r0 <> r1").select("doc", "first", "count", (F.col("closed") | (F.col("doc") > F.col("least"))).alias("gone"))
-    judged = stash(judged, "repeats")
-
-    def join(left: DataFrame, found: DataFrame, how: str) -> DataFrame:
-        own = found.groupBy("doc").agg(F.collect_list(F.struct("first", "count")).alias("__runs")).withColumnRenamed("doc", "__doc")
+
+    def join(left: DataFrame, found: DataFrame, columns: list[str], how: str) -> DataFrame:
+        own = found.groupBy("doc").agg(F.collect_list(F.struct(*columns)).alias("__runs")).withColumnRenamed("doc", "__doc")
         return left.join(own, left["doc_id"] == own["__doc"], how).drop("__doc")
 
-    dense = join(texts, judged.where("NOT gone"), "inner").mapInArrow(_dense, "rank bigint, whole bigint, doc bigint, first bigint")
+    # length 16
+    anchors = texts.mapInArrow(_anchors, "rank bigint, doc bigint, at bigint")
+    every = W.partitionBy("rank")
+    anchors = anchors.select("*", F.min("doc").over(every).alias("lo"), F.max("doc").over(every).alias("hi")).where("at < 0 OR lo < hi").select("rank", "doc", "at")
+
+    # length 33
+    schema = "closed boolean, rank bigint, run bigint, before bigint, after bigint, any_side boolean, doc bigint, first bigint, count bigint"
+    runs = join(texts, anchors, ["rank", "at"], "inner").mapInArrow(_described, schema)
+    runs = runs.withColumn("least", F.min("doc").over(W.partitionBy("rank", "run")))
+    for side in ("before", "after"):
+        shared = W.partitionBy("rank", side)
+        runs = runs.withColumn(f"also_{side}", F.col(side).isNotNull() & (F.min("run").over(shared) != F.max("run").over(shared)))
+    runs = runs.withColumn("several", F.min("run").over(every) != F.max("run").over(every))
+    gone = F.col("closed") | (F.col("doc") > F.col("least"))
+    unsure = F.col("several") & (F.col("any_side") | F.col("also_before") | F.col("also_after"))
+    judged = stash(runs.where(gone | unsure).select("doc", "first", "count", gone.alias("gone")), "repeats")
+
+    # length 50
+    dense = join(texts, judged.where("NOT gone"), ["first", "count"], "inner").mapInArrow(_dense, "rank bigint, whole bigint, doc bigint, first bigint")
     least = F.min("doc").over(W.partitionBy("rank", "whole"))
-    dense = dense.withColumn("least", least).where("doc > least").select("doc", "first", F.lit(1).alias("count"))
-    return join(docs, judged.where("gone").select("doc", "first", "count").union(dense), "left")
+    dense = dense.withColumn("least", least).where("doc > least").select("doc", "first", F.lit(1).cast("long").alias("count"))
+    return join(docs, judged.where("gone").select("doc", "first", "count").union(dense), ["first", "count"], "left")
 
 
 def dedup(docs: DataFrame) -> DataFrame:
