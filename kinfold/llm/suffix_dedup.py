@@ -5,14 +5,13 @@ are ranked by growing prefixes, and what is unique to one document at some lengt
 
 1. Length 16, sparse. Of the 35 places at which a 16-byte string fits in a 50-byte one, the one with the least
    rank, its anchor, stands for it, so equal 50-byte strings stand at equal ranks. Neighbouring positions with the
-   same anchor form a run. Spark sorts the runs by rank; ranks of one document only are unique and done.
-2. Length 33, by pairs (rank of the anchor, rank of the 17 bytes before or after it): a 50-byte string reaches 17 bytes beyond its
-   anchor on one side at least. The rank of the whole run comes along: runs that are equal to their end are past the
-   threshold at once, and all but those of the least document are repeats.
-3. Length 50, dense, for the least document of a run that shares a 33-byte rank with a different run: pairs of ranks of every
-   position are sorted.
-
-Ranks are 64-bit fingerprints of the prefix, which need no global numbering; a decision rests on two of them (128 bits).
+   same anchor form a run. Spark sorts the pairs (rank of the anchor, rank of the whole run). A rank of one document only is unique and done.
+   Runs that are equal to their end are past the threshold at once: all but those of the least document are repeats.
+2. Length 50, dense, for the least document of a run whose rank other runs share: their bytes are sorted by rank again, and
+   every 50-byte string in them is compared with those of the documents before.
+
+Ranks are fingerprints of the prefix, which need no global numbering; equality of runs rests on 96 bits, that of strings on
+their bytes.
 """
 
 from __future__ import annotations
@@ -29,8 +28,6 @@ from .shared import stash, table
 
 LENGTH = 50
 PREFIX = 16
-#: Bytes beyond the anchor that a string has on one side at least.
-BESIDE = (LENGTH - PREFIX) // 2
 #: Positions and counts share a number in the first sort: the count has the low bits.
 COUNT_BITS = 22
 #: Bytes that are ranked at once, and the most of a document in a piece (pieces overlap, so none is cut short).
@@ -125,7 +122,7 @@ def _runs(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, .
 
 
 def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(rank, doc, at): the runs of all documents, `at` being first and count in one number.
+    """(rank, run, doc, at): the runs of all documents, `at` being first and count in one number; 32 bits of the rank.
 
     Of equal runs of a batch only those of the least document are compared; the others are known to be repeats, have a negative
     `at` and a rank of their own, by which they are dealt evenly. So a passage that many documents share is compared once a batch.
@@ -147,75 +144,46 @@ def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         least[order] = doc[order][np.flatnonzero(new)][np.cumsum(new) - 1]
         closed = doc > least
         at = first << COUNT_BITS | count
-        yield pa.RecordBatch.from_arrays([pa.array(np.where(closed, doc * 1_000_003 + first, rank.view(np.int64))), pa.array(doc), pa.array(np.where(closed, -at, at))], names=["rank", "doc", "at"])
+        spread = (doc.view(np.uint64) * _MIX[0] + first.astype(np.uint64)) * _MIX[1]
+        short = (np.where(closed, spread, rank * _MIX[2]) >> np.uint64(32)).astype(np.uint32).view(np.int32)
+        yield pa.RecordBatch.from_arrays([pa.array(short), pa.array(np.where(closed, 0, run.view(np.int64))), pa.array(doc), pa.array(np.where(closed, -at, at))], names=["rank", "run", "doc", "at"])
 
 
-def _described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The runs of every document with the rank of the whole run and of the 33 bytes that end or start with the anchor (null at the ends of
-    the text). `any_side`: the anchor's rank stands at several places of the run, so no side tells."""
+def _bytes_of_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(rank, doc, first, content) of the runs in `__runs`. A run that does not fit the text, as the doc_id is not unique, is left out."""
     for batch in batches:
         data, offsets = _texts(batch.column("text"))
-        ids = batch.column("doc_id").to_numpy()
-        runs = batch.column("__runs")
+        ids, runs = batch.column("doc_id").to_numpy(), batch.column("__runs")
         rank, at = (runs.values.field(k).to_numpy(zero_copy_only=False) for k in ("rank", "at"))
-        bounds = runs.offsets.to_numpy()
-        for i in range(batch.num_rows):
-            text = data[offsets[i] : offsets[i + 1]]
-            own = slice(bounds[i], bounds[i + 1])
-            order = np.argsort(np.abs(at[own]), kind="stable")
-            ranks, ats = rank[own][order], at[own][order]
-            closed, place = ats < 0, np.abs(ats)
-            first, count = place >> COUNT_BITS, place & ((1 << COUNT_BITS) - 1)
-            ok = first + count + LENGTH - 1 <= len(text)
-            closed, first, count, ranks = closed[ok], first[ok], count[ok], ranks[ok]
-            base = 0
-            while base < len(first):
-                n = max(base + 1, int(np.searchsorted(first, first[base] + PIECE)))
-                f, c, done = first[base:n], count[base:n], closed[base:n]
-                lo, hi = max(0, int(f[0]) - BESIDE), min(len(text), int((f + c).max()) + LENGTH + BESIDE)
-                yield pa.RecordBatch.from_arrays(_sides(text[lo:hi], lo, f, c, done, ranks[base:n], ids[i]), names=["closed", "rank", "run", "before", "after", "any_side", "doc", "first", "count"])
-                base = n
-
-
-def _sides(part: np.ndarray, lo: int, first: np.ndarray, count: np.ndarray, closed: np.ndarray, rank: np.ndarray, doc: int) -> list[pa.Array]:
-    own, f = _prefix_ranks(part), first - lo
-    sizes = count + LENGTH - PREFIX
-    starts = np.concatenate(([0], np.cumsum(sizes)[:-1]))
-    where = np.arange(int(sizes.sum())) - np.repeat(starts - f, sizes)
-    values = own[where]
-    hit = values == np.repeat(np.minimum.reduceat(values, starts), sizes)
-    anchor = where[np.flatnonzero(hit)[np.searchsorted(np.flatnonzero(hit), starts)]]
-    several = np.add.reduceat(hit.astype(np.int64), starts) > 1
-    strings = _Strings(part)
-    a, b = anchor - BESIDE, anchor + PREFIX + BESIDE
-    before, after = strings.rank(np.maximum(a, 0), anchor + PREFIX), strings.rank(anchor, np.minimum(b, len(part)))
-    return [
-        pa.array(closed), pa.array(rank), pa.array(strings.rank(f, f + count + LENGTH - 1).view(np.int64)),
-        pa.array(before.view(np.int64), mask=closed | (a < 0)), pa.array(after.view(np.int64), mask=closed | (b > len(part))),
-        pa.array(several), pa.array(np.full(len(f), doc)), pa.array(first), pa.array(count),
-    ]
+        sizes = np.diff(runs.offsets.to_numpy())
+        own = slice(runs.offsets[0].as_py(), runs.offsets[-1].as_py())
+        row, rank, at = np.repeat(np.arange(batch.num_rows), sizes), rank[own], at[own]
+        first, length = at >> COUNT_BITS, (at & ((1 << COUNT_BITS) - 1)) + LENGTH - 1
+        ok = first + length <= np.diff(offsets)[row]
+        row, rank, first, length = row[ok], rank[ok], first[ok], length[ok]
+        start = offsets[row] + first
+        content = [data[a:b].tobytes() for a, b in zip(start.tolist(), (start + length).tolist(), strict=True)]
+        yield pa.RecordBatch.from_arrays([pa.array(rank), pa.array(ids[row]), pa.array(first), pa.array(content, pa.binary())], names=["rank", "doc", "first", "content"])
 
 
 def _dense(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(rank, whole, doc, first) of every 50-byte string that starts in the given runs of a document."""
+    """(doc, at): the strings of the runs that a smaller document has as well. Rows come sorted by rank and doc; a rank may go on in
+    the next batch."""
+    seen: dict[bytes, int] = {}
+    now = None
     for batch in batches:
-        data, offsets = _texts(batch.column("text"))
-        ids = batch.column("doc_id").to_numpy()
-        runs = batch.column("__runs").to_pylist()
-        for i, own in enumerate(runs):
-            text = data[offsets[i] : offsets[i + 1]]
-            base = 0
-            own = sorted((r["first"], r["count"]) for r in own if r["first"] + r["count"] + LENGTH - 1 <= len(text))
-            while base < len(own):  # a group of runs that lie within PIECE bytes
-                lo, n = own[base][0], base
-                while n < len(own) and own[n][0] + own[n][1] + LENGTH - lo <= max(PIECE, own[base][1] + LENGTH):
-                    n += 1
-                at = np.concatenate([np.arange(a, a + c) for a, c in own[base:n]]) - lo
-                part = text[lo : lo + int(at.max()) + LENGTH]
-                base = n
-                rank = _least(_prefix_ranks(part), LENGTH - PREFIX + 1)[at]
-                whole = _Strings(part).rank(at, at + LENGTH)
-                yield pa.RecordBatch.from_arrays([pa.array(rank.view(np.int64)), pa.array(whole.view(np.int64)), pa.array(np.full(len(at), ids[i])), pa.array(at + lo)], names=["rank", "whole", "doc", "first"])
+        docs, ats = [], []
+        for rank, doc, first, content in zip(*(batch.column(k).to_pylist() for k in ("rank", "doc", "first", "content")), strict=True):
+            if rank != now:
+                now, seen = rank, {}
+            for i in range(len(content) - LENGTH + 1):
+                if seen.setdefault(content[i : i + LENGTH], doc) < doc:
+                    if docs and docs[-1] == doc and (ats[-1] >> COUNT_BITS) + (ats[-1] & ((1 << COUNT_BITS) - 1)) == first + i:
+                        ats[-1] += 1  # the string before was one as well
+                    else:
+                        docs.append(doc)
+                        ats.append((first + i) << COUNT_BITS | 1)
+        yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(ats, pa.int64())], names=["doc", "at"])
 
 
 def _cut(data: np.ndarray, first: np.ndarray, count: np.ndarray) -> tuple[bytes, np.ndarray]:
@@ -233,7 +201,8 @@ def _cuts(batch: pa.RecordBatch) -> Iterator[tuple[bytes, np.ndarray]]:
     data, offsets = _texts(batch.column("text"))
     runs = batch.column("__runs")
     has, at = runs.is_valid().to_numpy(zero_copy_only=False), runs.offsets.to_numpy()
-    first, count = (runs.values.field(k).to_numpy(zero_copy_only=False) for k in ("first", "count"))
+    place = runs.values.field("at").to_numpy(zero_copy_only=False)
+    first, count = place >> COUNT_BITS, place & ((1 << COUNT_BITS) - 1)
     for i in range(batch.num_rows):
         own = slice(at[i], at[i + 1]) if has[i] else slice(0, 0)
         yield _cut(data[offsets[i] : offsets[i + 1]], first[own], count[own])
@@ -253,38 +222,25 @@ def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def with_repeats(docs: DataFrame) -> DataFrame:
-    """`docs` with `__runs`: the positions (first, count) at which repeated strings start; null if there are none.
-
-    Texts are shuffled by document once; the joins of the later lengths with them use that exchange again.
-    """
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    """`docs` (doc_id a long) with `__runs`: the positions at which repeated strings start; null if there are none."""
+    texts = docs.select("doc_id", "text").where("doc_id IS NOT NULL")
+    anchors = texts.mapInArrow(_anchors, "rank int, run bigint, doc bigint, at bigint")
+    every, equal = W.partitionBy("rank"), W.partitionBy("rank", "run")
+    found = anchors.select("*", F.min("doc").over(every).alias("lo"), F.max("doc").over(every).alias("hi")).where("at < 0 OR lo < hi")
+    found = found.withColumn("several", F.min("run").over(every) != F.max("run").over(every)).withColumn("least", F.min("doc").over(equal))
+    gone = (F.col("at") < 0) | (F.col("doc") > F.col("least"))
+    judged = stash(found.where(gone | F.col("several")).select("rank", "doc", F.abs("at").alias("at"), gone.alias("gone")), "repeats")
 
     def join(left: DataFrame, found: DataFrame, columns: list[str], how: str) -> DataFrame:
         own = found.groupBy("doc").agg(F.collect_list(F.struct(*columns)).alias("__runs")).withColumnRenamed("doc", "__doc")
         return left.join(own, left["doc_id"] == own["__doc"], how).drop("__doc")
 
-    # length 16
-    anchors = texts.mapInArrow(_anchors, "rank bigint, doc bigint, at bigint")
-    every = W.partitionBy("rank")
-    anchors = anchors.select("*", F.min("doc").over(every).alias("lo"), F.max("doc").over(every).alias("hi")).where("at < 0 OR lo < hi").select("rank", "doc", "at")
-
-    # length 33
-    schema = "closed boolean, rank bigint, run bigint, before bigint, after bigint, any_side boolean, doc bigint, first bigint, count bigint"
-    runs = join(texts, anchors, ["rank", "at"], "inner").mapInArrow(_described, schema)
-    runs = runs.withColumn("least", F.min("doc").over(W.partitionBy("rank", "run")))
-    for side in ("before", "after"):
-        shared = W.partitionBy("rank", side)
-        runs = runs.withColumn(f"also_{side}", F.col(side).isNotNull() & (F.min("run").over(shared) != F.max("run").over(shared)))
-    runs = runs.withColumn("several", F.min("run").over(every) != F.max("run").over(every))
-    gone = F.col("closed") | (F.col("doc") > F.col("least"))
-    unsure = F.col("several") & (F.col("any_side") | F.col("also_before") | F.col("also_after"))
-    judged = stash(runs.where(gone | unsure).select("doc", "first", "count", gone.alias("gone")), "repeats")
-
-    # length 50
-    dense = join(texts, judged.where("NOT gone"), ["first", "count"], "inner").mapInArrow(_dense, "rank bigint, whole bigint, doc bigint, first bigint")
-    least = F.min("doc").over(W.partitionBy("rank", "whole"))
-    dense = dense.withColumn("least", least).where("doc > least").select("doc", "first", F.lit(1).cast("long").alias("count"))
-    return join(docs, judged.where("gone").select("doc", "first", "count").union(dense), ["first", "count"], "left")
+    unsure = join(texts, judged.where("NOT gone"), ["rank", "at"], "inner").mapInArrow(_bytes_of_runs, "rank int, doc bigint, first bigint, content binary")
+    dense = unsure.repartition("rank").sortWithinPartitions("rank", "doc").mapInArrow(_dense, "doc bigint, at bigint")
+    # texts without an id take no part; with the same filter both joins read one exchange of the texts
+    repeats = judged.where("gone").select("doc", "at").union(dense)
+    nameless = docs.where("doc_id IS NULL").withColumn("__runs", F.lit(None).cast("array<struct<at:bigint>>"))
+    return join(docs.where("doc_id IS NOT NULL"), repeats, ["at"], "left").union(nameless)
 
 
 def dedup(docs: DataFrame) -> DataFrame:
@@ -302,6 +258,8 @@ def dedup(docs: DataFrame) -> DataFrame:
 
 def cleaned(docs: DataFrame) -> DataFrame:
     """`docs` with their repeated passages cut out of `text`; a character that a span cuts in two goes with it. A null text stays null."""
+    kind = docs.schema["doc_id"].dataType
+    docs = docs.withColumn("doc_id", F.col("doc_id").cast("long"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -310,7 +268,7 @@ def cleaned(docs: DataFrame) -> DataFrame:
             own = batch.drop_columns(["__runs"])
             yield own.set_column(own.schema.get_field_index("text"), "text", pa.array(new, text.type))
 
-    return with_repeats(docs).mapInArrow(cut, docs.schema)
+    return with_repeats(docs).mapInArrow(cut, docs.schema).withColumn("doc_id", F.col("doc_id").cast(kind))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
