@@ -53,7 +53,8 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
     """(node, component) of an undirected graph given by `edges` (a, b) of comparable ids; component = least id.
 
     Alternating large-star and small-star rounds: every round is two shuffles on the edges, written to the shared
-    folder; the number of rounds grows with the logarithm of the longest chain. Nodes without an edge are not returned.
+    folder; the number of rounds grows with the logarithm of the longest chain. Returned is every node but those that stand for
+    themselves: nodes without an edge, and the least of each component.
     """
     current = stash(edges.where("a <> b").select(F.greatest("a", "b").alias("v"), F.least("a", "b").alias("u")).distinct(), label)
     before = None
