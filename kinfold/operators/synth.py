@@ -137,10 +137,11 @@ def generate_new(cases: DataFrame, metric: Metric, kinds: dict[str, str], n: int
     got, open_ids, done = generate(cases, metric, kinds, n, seed=seed, **options).withColumn("generate_attempts", F.lit(1)), None, []
     if mode == "no":
         return got
-    known = cases.select(*(F.col(f).cast("string").alias(f"__{f}") for f in same)).distinct()
+    text = lambda c, kind: (c if kind == "nominal" else c.cast("double")).cast("string")
+    known = cases.select(*(text(F.col(f), kinds[f]).alias(f"__{f}") for f in same)).distinct()
     for i in range(attempts):
         got = written(got, "synth")
-        hit = reduce(lambda a, b: a & b, (got[f].cast("string").eqNullSafe(known[f"__{f}"]) for f in same))
+        hit = reduce(lambda a, b: a & b, (text(got[f], kinds[f]).eqNullSafe(known[f"__{f}"]) for f in same))
         repeats = written(got.join(known, hit, "left_semi"), "synth")
         done.append(got.join(repeats.select("id"), "id", "left_anti"))
         if repeats.isEmpty() or i == attempts - 1:
