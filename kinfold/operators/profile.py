@@ -435,3 +435,32 @@ def time_format(sample: str) -> str | None:
 def cycle_length(pattern: str) -> int:
     """Seconds after which a clock of this pattern starts anew."""
     return 86400 if re.search("[Hhk]", pattern) else 3600 if "m" in pattern else 60 if "s" in pattern else 1
+
+
+def to_json(profile: dict[str, Attributes]) -> str:
+    """Text form of a profile; tuples, dates and numbers keep their types through `from_json`."""
+    import json
+
+    def plain(x):
+        return {"__tuple__": list(x)} if isinstance(x, tuple) else {"__text__": str(x)}
+
+    return json.dumps({n: {k: (plain(v) if isinstance(v, tuple) else v) for k, v in a.as_dict().items()} for n, a in profile.items()}, default=plain)
+
+
+def from_json(text: str) -> dict[str, Attributes]:
+    import json
+
+    def back(x):
+        return tuple(x["__tuple__"]) if isinstance(x, dict) and "__tuple__" in x else x["__text__"] if isinstance(x, dict) and "__text__" in x else x
+
+    return {n: Attributes(**{k: back(v) for k, v in a.items()}) for n, a in json.loads(text).items()}
+
+
+def valid_format(df: DataFrame, column: str, pattern: str) -> bool:
+    """Whether every non-null value can be read with a datetime pattern."""
+    return df.where(F.col(column).isNotNull() & F.try_to_timestamp(F.col(column), F.lit(pattern)).isNull()).isEmpty()
+
+
+def issues(found: list[tuple[str, str]], spark) -> DataFrame:
+    """(kind, features): collected warnings, one row per kind."""
+    return spark.createDataFrame(found, "kind string, feature string").groupBy("kind").agg(F.array_sort(F.collect_set("feature")).alias("features"))

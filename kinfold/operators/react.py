@@ -216,3 +216,16 @@ def parameters(metric: Metric, k: int, dt: float) -> Column:
     weights = F.create_map(*(F.lit(v) for f in metric.features for v in (f.name, float(f.weight))))
     deviations = F.create_map(*(F.lit(v) for f in metric.features for v in (f.name, float(f.deviation))))
     return F.struct(F.lit(k).alias("k"), F.lit(float(metric.p)).alias("p"), F.lit(float(dt)).alias("dt"), weights.alias("weights"), deviations.alias("deviations"))
+
+
+def residual_conviction(region: DataFrame, own: DataFrame) -> DataFrame:
+    """Mean error of the region over the case's own: under 1, the case is harder than its surroundings. `region`: (query_id,
+    local_residual); `own`: (query_id, error)."""
+    df = region.join(own, "query_id")
+    return df.select("query_id", F.when(F.col("error") == 0, F.lit(float("inf"))).otherwise(F.col("local_residual") / F.col("error")).alias("residual_conviction"))
+
+
+def local_stats(near: DataFrame, loo: DataFrame) -> DataFrame:
+    """Statistics of the neighbours' own leave-one-out predictions per query; `loo`: (case_id, actual, predicted)."""
+    e = F.col("actual") - F.col("predicted")
+    return near.join(loo, "case_id").groupBy("query_id").agg(F.avg(F.abs(e)).alias("mae"), F.sqrt(F.avg(e * e)).alias("rmse"), F.avg(e).alias("bias"))

@@ -211,3 +211,26 @@ def holdout(df: DataFrame, ids: list[str], time: str, steps: int, key: str) -> t
     back = F.row_number().over(W.partitionBy(*ids).orderBy(F.desc(time), F.desc(key)))
     df = df.withColumn("__back", back)
     return df.where(F.col("__back") > steps).drop("__back"), df.where(F.col("__back") <= steps).withColumn("step", F.lit(steps + 1) - F.col("__back")).drop("__back")
+
+
+def infer(df: DataFrame, ids: list[str], time: str, *, orders: int = 1, lags: dict | None = None, universal: bool = False, kinds: dict[str, str] | None = None, overrides: dict | None = None, **options) -> dict:
+    """The profile of a series table: attributes of every column with, in `extra`, its series type (rate, delta or covariate), whether it is
+    invariant, the bounds of its derived features, its lags, and for the time feature that it is a delta and whether it is universal."""
+    from dataclasses import replace
+
+    from .profile import infer as infer_columns
+
+    fixed = time_invariant(df, ids, df.columns, time)
+    out = infer_columns(df, series_ids=ids, invariant=fixed, ids=ids, **options)
+    moving = [c for c, a in out.items() if a.type == "continuous" and a.data_type in ("number", "formatted_date_time") and c not in fixed]
+    bounds = derived_bounds(df, ids, time, moving, orders, overrides)
+    for c, a in out.items():
+        kind = "delta" if c == time else (kinds or {}).get(c, "rate" if c in moving else "covariate")
+        extra = {"series_type": kind, "invariant": c in fixed, "lags": (lags or {}).get(c, 0)}
+        if c in moving:
+            extra["derived_bounds"] = {k: v for k, v in bounds.items() if k.startswith(f"{c}_")}
+        if c == time:
+            extra |= {"universal": universal}
+            a = replace(a, type="continuous", allow_null=False)
+        out[c] = replace(a, extra=a.extra | extra)
+    return out
