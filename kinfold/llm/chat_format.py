@@ -44,8 +44,9 @@ def _tokens(text: Column) -> Column:
     return F.regexp_count(text, F.lit(r"[\p{L}\p{N}]+|[^\p{L}\p{N}\s]")) + 2
 
 
-def turns(conversations: DataFrame) -> DataFrame:
-    """The rows in order: conv_id, place (1, 2, ... within the conversation), role, text, tokens, upto (prefix sum of tokens).
+def turns(conversations: DataFrame, span_tokens: int = SPAN_TOKENS) -> DataFrame:
+    """The rows in order: conv_id, place (1, 2, ... within the conversation), role, text, tokens, upto (prefix sum of tokens), long (over half a
+    span) and n_long (long turns so far).
 
     Null roles and texts are empty. Rows stand by turn, null first; ties by role, then text. A long conversation is ordered in blocks
     of turns whose totals are summed first, so no task needs to hold a whole one.
@@ -54,16 +55,15 @@ def turns(conversations: DataFrame) -> DataFrame:
         "conv_id", F.col("turn").cast("long").alias("turn"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text")
     )
     df = df.withColumn("tokens", _tokens(F.col("text")).cast("long")).withColumn("block", F.floor(F.col("turn") / BLOCK))
+    df = df.withColumn("long", F.col("tokens") > span_tokens // 2)
+    totals = {"place": F.lit(1), "upto": F.col("tokens"), "n_long": F.col("long").cast("long")}
     inner = W.partitionBy("conv_id", "block").orderBy("turn", "role", "text").rowsBetween(W.unboundedPreceding, 0)
-    sums = df.groupBy("conv_id", "block").agg(F.count("*").alias("__n"), F.sum("tokens").alias("__t"))
-    before = W.partitionBy("conv_id").orderBy("block").rowsBetween(W.unboundedPreceding, -1)
-    sums = sums.select(
-        F.col("conv_id").alias("__c"), F.col("block").alias("__b"),
-        F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__n"), F.coalesce(F.sum("__t").over(before), F.lit(0)).alias("__t"),
-    )
-    df = df.withColumn("__i", F.count("*").over(inner)).withColumn("__u", F.sum("tokens").over(inner))
+    before = W.partitionBy("conv_id").orderBy("block").rowsBetween(W.unboundedPreceding, -1)  # a row per block
+    sums = df.groupBy("conv_id", "block").agg(*(F.sum(c).alias(f"__{n}") for n, c in totals.items()))
+    sums = sums.select(F.col("conv_id").alias("__c"), F.col("block").alias("__b"), *(F.coalesce(F.sum(f"__{n}").over(before), F.lit(0)).alias(f"__{n}") for n in totals))
+    df = df.select("*", *(F.sum(c).over(inner).alias(n) for n, c in totals.items()))
     df = df.join(sums, df["conv_id"].eqNullSafe(sums["__c"]) & df["block"].eqNullSafe(sums["__b"]))
-    return df.select("conv_id", (F.col("__i") + F.col("__n")).alias("place"), "role", "text", "tokens", (F.col("__u") + F.col("__t")).alias("upto"))
+    return df.select("conv_id", "role", "text", "tokens", "long", *((F.col(n) + F.col(f"__{n}")).alias(n) for n in totals))
 
 
 def spans(ordered: DataFrame, span_tokens: int = SPAN_TOKENS) -> DataFrame:
@@ -72,11 +72,8 @@ def spans(ordered: DataFrame, span_tokens: int = SPAN_TOKENS) -> DataFrame:
     Turns of up to half a budget are dealt by the half budget in which they end, so a span is at most its half and a turn
     that began before it; the long ones in between cut a span in two.
     """
-    half = span_tokens // 2
-    long = F.col("tokens") > half
-    own = W.partitionBy("conv_id").orderBy("place").rowsBetween(W.unboundedPreceding, 0)
-    df = ordered.withColumn("__long", F.sum(long.cast("long")).over(own))
-    return df.withColumn("span", F.struct("__long", long.alias("long"), F.when(long, F.lit(0)).otherwise(F.floor((F.col("upto") - 1) / half)).alias("part"))).drop("__long")
+    part = F.when(F.col("long"), F.lit(0)).otherwise(F.floor((F.col("upto") - 1) / (span_tokens // 2)))
+    return ordered.withColumn("span", F.struct("n_long", "long", part.alias("part")))
 
 
 def windows(conversations: DataFrame, span_tokens: int = SPAN_TOKENS, history_turns: int = HISTORY_TURNS, history_tokens: int = HISTORY_TOKENS) -> DataFrame:
@@ -85,15 +82,21 @@ def windows(conversations: DataFrame, span_tokens: int = SPAN_TOKENS, history_tu
 
     Empty tables give no window; extra columns are ignored.
     """
-    df = spans(turns(conversations), span_tokens)
+    df = spans(turns(conversations, span_tokens), span_tokens)
     written = F.concat(F.lit("["), escape(F.col("role")), F.lit("]"), escape(F.col("text")), F.lit(END))
     df = df.withColumn("written", written)
-    df = df.withColumn("turn", F.struct("place", "written", F.length("written").alias("chars"), (F.length(escape(F.col("role"))) + 2).alias("head"), (F.col("role") == "assistant").alias("target"), "tokens"))
-    own = W.partitionBy("conv_id").orderBy("place")
-    leading = F.max(F.when((F.col("place") == 1) & (F.col("role") == "system"), F.col("turn"))).over(own.rowsBetween(W.unboundedPreceding, 0))
-    history = F.collect_list("turn").over(own.rowsBetween(-history_turns, -1))
-    df = df.select("conv_id", "span", "place", "turn", leading.alias("system"), history.alias("history"))
-    one = df.groupBy("conv_id", "span").agg(F.min("place").alias("first_place"), F.min_by("history", "place").alias("history"), F.max("system").alias("system"), F.sort_array(F.collect_list("turn")).alias("own"))
+    turn = F.struct("place", "written", F.length("written").alias("chars"), (F.length(escape(F.col("role"))) + 2).alias("head"), (F.col("role") == "assistant").alias("target"), "tokens")
+    df = df.select("conv_id", "span", "place", "role", turn.alias("turn"))
+    system = df.where("place = 1 AND role = 'system'").select(F.col("conv_id").alias("__c"), F.col("turn").alias("system"))
+
+    # turns before each turn, block by block: the last ones of a block stand at the start of the next as well
+    block, last = F.floor((F.col("place") - 1) / BLOCK), F.pmod(F.col("place") - 1, F.lit(BLOCK)) >= BLOCK - history_turns
+    copies = F.array(F.struct(block.alias("block"), F.lit(False).alias("ahead")), F.when(last, F.struct((block + 1).alias("block"), F.lit(True).alias("ahead"))))
+    df = df.withColumn("copy", F.explode(F.filter(copies, lambda x: x.isNotNull())))
+    history = F.collect_list("turn").over(W.partitionBy("conv_id", "copy.block").orderBy("place").rowsBetween(-history_turns, -1))
+    df = df.withColumn("history", history).where("NOT copy.ahead")
+    one = df.groupBy("conv_id", "span").agg(F.min("place").alias("first_place"), F.min_by("history", "place").alias("history"), F.sort_array(F.collect_list("turn")).alias("own"))
+    one = one.join(system, one["conv_id"].eqNullSafe(system["__c"]), "left").drop("__c")
 
     # the latest turns of the history that fit, without the system turn, which always leads
     def fits(h: Column) -> Column:

@@ -23,13 +23,12 @@ MAX_BROADCAST_ROWS = 500_000
 BETWEEN = r"[^\p{L}\p{N}]+"
 
 
-def _shingles(text: Column) -> Column:
-    """Five parallel arrays zipped: the word n-grams of a text, repeats included."""
-    ws = F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), BETWEEN), "")
-    return ws
+def _words(text: Column) -> Column:
+    return F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), BETWEEN), "")
 
 
 def _zip(ws: Column) -> Column:
+    """The word n-grams of a text, repeats included: shifted copies of its words side by side."""
     n = F.greatest(F.size(ws) - SHINGLE_WORDS + 1, F.lit(0))
     return F.arrays_zip(*(F.slice(ws, i + 1, n) for i in range(SHINGLE_WORDS)))
 
@@ -43,7 +42,7 @@ def item_shingles(items: DataFrame) -> DataFrame:
 
     An item of fewer than five words has none and matches nothing; rows that share an item_id are one item.
     """
-    ws = items.select("item_id", _shingles(F.col("text")).alias("ws"))
+    ws = items.select("item_id", _words(F.col("text")).alias("ws"))
     z = ws.select("item_id", F.explode(_zip(F.col("ws"))).alias("z")).select("item_id", *(F.col(f"z.{i}").alias(f"w{i}") for i in range(SHINGLE_WORDS)))
     parts = [f"w{i}" for i in range(SHINGLE_WORDS)]
     one = z.select("item_id", F.concat_ws(" ", *parts).alias("shingle"), F.xxhash64(*parts).alias("h")).distinct()
@@ -68,7 +67,7 @@ def contained(docs: DataFrame, items: DataFrame) -> DataFrame:
     hint = F.broadcast if small else (lambda df: df)
     sketch = all_of.where("in_sketch").select("h", "item_id")
 
-    ws = docs.select("doc_id", _shingles(F.col("text")).alias("ws"))
+    ws = docs.select("doc_id", _words(F.col("text")).alias("ws"))
     probe = ws.select("doc_id", F.explode(F.array_distinct(_hashes(F.col("ws")))).alias("h"))
     found = stash(probe.join(hint(sketch), "h").select("doc_id", "item_id").distinct(), "benchmark-candidates")
 
@@ -76,7 +75,7 @@ def contained(docs: DataFrame, items: DataFrame) -> DataFrame:
     who = found.select(F.col("doc_id").alias("__doc")).distinct()
     suspects = docs.select("doc_id", "text")
     suspects = suspects.join(who, suspects["doc_id"].eqNullSafe(who["__doc"]), "left_semi")
-    ws = suspects.select("doc_id", _shingles(F.col("text")).alias("ws"))
+    ws = suspects.select("doc_id", _words(F.col("text")).alias("ws"))
     z = ws.select("doc_id", F.explode(_zip(F.col("ws"))).alias("z")).select("doc_id", *(F.col(f"z.{i}").alias(f"w{i}") for i in range(SHINGLE_WORDS)))
     parts = [f"w{i}" for i in range(SHINGLE_WORDS)]
     z = z.select("doc_id", F.xxhash64(*parts).alias("h"), F.concat_ws(" ", *parts).alias("__text"))
