@@ -202,7 +202,6 @@ def integer_is_nominal(n: int, distinct: int, low: int | None, high: int | None,
 
 def _string_tests(c: Column) -> list[Column]:
     t = F.trim(c)
-    number = F.try_to_number  # noqa: F841  (numbers are tested by cast)
     return [
         F.every(F.coalesce(F.lower(t).isin("true", "false"), F.lit(True))).alias("boolean"),
         F.every(F.coalesce(t.rlike(ISO_DATE) & t.try_cast("date").isNotNull(), F.lit(True))).alias("date"),

@@ -33,12 +33,12 @@ def _both(spark, d, contexts=CONTEXTS):
 E = LOO + ", er AS (SELECT query_id, abs(a - p) AS e, a, p FROM o)"
 
 
-@query(E + "SELECT i.query_id, round(sum(i.weight * er.e), 4) AS local_residual FROM i JOIN er ON er.query_id = i.case_id GROUP BY 1")
+@query(E + "SELECT i.query_id, round(sum(i.weight * er.e), 9) AS local_residual FROM i JOIN er ON er.query_id = i.case_id GROUP BY 1")
 def local_residuals(spark, d):
     df, _, near = _both(spark, d)
     actual = df.select(F.col(ID).alias("query_id"), F.col("p_retailprice").alias("actual"))
     loo = influence.errors(actual.join(react.predict_continuous(near, "p_retailprice", name="predicted"), "query_id"), "continuous").withColumnRenamed("query_id", "case_id")
-    return rounded(react.local_residual(near, loo), 4)
+    return rounded(react.local_residual(near, loo), 9)
 
 
 @query(E + ", l AS (SELECT i.query_id, sum(i.weight * er.e) AS r FROM i JOIN er ON er.query_id = i.case_id GROUP BY 1) SELECT query_id, round(r / e, 4) AS residual_conviction FROM l JOIN er USING (query_id) WHERE e > 1e-3")
