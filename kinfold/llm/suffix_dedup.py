@@ -221,6 +221,11 @@ def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _long_ids(docs: DataFrame) -> DataFrame:
+    """A cast that changes nothing would keep the two joins from reading one exchange."""
+    return docs if dict(docs.dtypes)["doc_id"] == "bigint" else docs.withColumn("doc_id", F.col("doc_id").cast("long"))
+
+
 def with_repeats(docs: DataFrame) -> DataFrame:
     """`docs` (doc_id a long) with `__runs`: the positions at which repeated strings start; null if there are none."""
     texts = docs.select("doc_id", "text").where("doc_id IS NOT NULL")
@@ -251,15 +256,15 @@ def dedup(docs: DataFrame) -> DataFrame:
     stays whole and removes nothing. Repeats are judged on the input, so removal does not depend on an order of work.
     """
     kind = docs.schema["doc_id"].dataType
-    out = with_repeats(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
+    out = with_repeats(_long_ids(docs.select("doc_id", "text")))
     out = out.mapInArrow(_spans, "doc_id bigint, n_bytes bigint, n_removed bigint, spans array<struct<start:bigint,end:bigint>>, kept binary")
-    return out.withColumn("doc_id", F.col("doc_id").cast(kind))
+    return out if kind.simpleString() == "bigint" else out.withColumn("doc_id", F.col("doc_id").cast(kind))
 
 
 def cleaned(docs: DataFrame) -> DataFrame:
     """`docs` with their repeated passages cut out of `text`; a character that a span cuts in two goes with it. A null text stays null."""
     kind = docs.schema["doc_id"].dataType
-    docs = docs.withColumn("doc_id", F.col("doc_id").cast("long"))
+    docs = _long_ids(docs)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
