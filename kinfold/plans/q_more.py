@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import conviction, influence, profile, react, series, stats
+from ..operators import conviction, fanout, influence, profile, react, series, stats, validate
 from ..operators import reduce as fewer
 from ..operators.knn import knn, metric_of
+from ..operators.profile import Attributes
+from ..sources.store import CaseStore
 from .q_react import CONTEXTS, ID, NEAR, NULLS, part, rounded, split, sql_near
 from .q_stats import CONTRIBUTION, FULL, LOO
+from .storage import folder
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -155,3 +158,58 @@ def predicted_clusters(spark, d):
     named = conviction.clusters(c, m, 5, id_column=ID)
     near = react.neighbours(q, named, m, 5, carry=["_cluster_id"], id_column=ID)
     return react.predict_nominal(near, "_cluster_id").select("query_id", "_cluster_id")
+
+
+def _t(spark, d, name):
+    return spark.read.parquet(f"{d}/{name}.parquet")
+
+
+@query("SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE CAST(o_custkey AS BIGINT) END AS o_custkey FROM orders")
+def coerced_types(spark, d):
+    df = _t(spark, d, "orders").select("o_orderkey", F.when(F.col("o_orderkey") % 5 == 0, F.lit("unknown")).otherwise(F.col("o_custkey").cast("string")).alias("o_custkey"))
+    return validate.coerce(df, {"o_custkey": Attributes("o_custkey", original="bigint")})
+
+
+@query("SELECT o_orderkey, CASE o_orderstatus WHEN 'F' THEN 'final' WHEN 'O' THEN 'open' ELSE o_orderstatus END AS o_orderstatus FROM orders")
+def substituted_values(spark, d):
+    return validate.substitute(_t(spark, d, "orders").select("o_orderkey", "o_orderstatus"), "o_orderstatus", {"F": "final", "O": "open"})
+
+
+@query("SELECT DISTINCT p_brand FROM part WHERE p_brand NOT IN (SELECT p_brand FROM part WHERE p_partkey % 400 = 0)")
+def unexpected_values(spark, d):
+    df = part(spark, d)
+    return validate.unexpected_values(df, "p_brand", df.where(f"{ID} % 400 = 0").select("p_brand").distinct())
+
+
+@query("SELECT 'text' AS feature, round(avg(strlen(text)), 6) AS avg_bytes FROM documents")
+def heavy_features(spark, d):
+    stats_ = profile.basics(_t(spark, d, "documents"), ["text", "lang", "source"])
+    return rounded(profile.heavy(stats_, 100.0))
+
+
+@query("SELECT arg_min(v, k) AS value FROM (SELECT o_orderkey AS k, CASE WHEN o_orderkey > 100 THEN o_orderpriority END AS v FROM orders) WHERE v IS NOT NULL")
+def first_known_value(spark, d):
+    df = _t(spark, d, "orders").withColumn("v", F.when(F.col("o_orderkey") > 100, F.col("o_orderpriority")))
+    return profile.first_non_null(df, "v", ["o_orderkey"])
+
+
+@query(NEAR + ", r AS (SELECT *, row_number() OVER (PARTITION BY query_id, p_brand ORDER BY rank) AS k FROM n) SELECT query_id, case_id FROM r WHERE k = 1")
+def neighbours_once_per_key(spark, d):
+    q, c = split(spark, d)
+    near = knn(q, c, metric_of(c, CONTEXTS), 10, id_column=ID, carry=["p_brand"])
+    return fanout.once_per_key(near, "p_brand").select("query_id", "case_id")
+
+
+@query("SELECT p_partkey, rank FROM (SELECT p_partkey, row_number() OVER (ORDER BY abs(p_size - 25), p_partkey) AS rank FROM part) WHERE rank <= 15")
+def store_similar(spark, d):
+    import uuid
+
+    store = CaseStore(spark, f"{folder(spark)}/store-{uuid.uuid4().hex}")
+    store.train(part(spark, d).coalesce(1).sortWithinPartitions(ID), "all")
+    return rounded(store.similar({"p_size": 25}, 15, [ID]).select(ID, "rank"))
+
+
+@query("WITH e AS (SELECT *, epoch_us(ts) / 1e6 AS t FROM events), f AS (SELECT event_id, user_id, value, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS k FROM e) SELECT user_id, round(avg(value), 6) AS mean FROM f WHERE k <= 5 GROUP BY 1")
+def latest_means(spark, d):
+    _, tail = series.holdout(_t(spark, d, "events"), ["user_id"], "ts", 5, "event_id")
+    return rounded(tail.groupBy("user_id").agg(F.avg("value").alias("mean")))
