@@ -22,6 +22,8 @@ BUCKETS = 1 << 16
 SMOOTHING = 0.5
 #: Training texts of a language, at most about this many: a sample by hash; the bound keeps training from growing with the corpus.
 TRAIN_PER_LANG = 4000
+#: Languages that can be learned: the matrix has a column for each. More are refused, never dropped.
+MAX_LANGS = 2000
 #: N-grams times languages that are scored at once.
 PIECE = 1 << 23
 UNDETERMINED = "und"
@@ -87,9 +89,11 @@ def train(labelled: DataFrame, per_lang: int = TRAIN_PER_LANG, buckets: int = BU
     hash of doc_id, so reruns train alike. Without any row the list is empty and every prediction is `und`.
     """
     rows = labelled.where("lang IS NOT NULL").select("doc_id", "text", "lang")
-    sizes = rows.groupBy("lang").agg(F.count("*").alias("__rows"))
+    sizes = stash(rows.groupBy("lang").agg(F.count("*").alias("__rows")), "languages")
+    if sizes.count() > MAX_LANGS:
+        raise ValueError(f"more than {MAX_LANGS} languages")
     share = F.pmod(F.xxhash64(F.lit("train"), "doc_id"), F.lit(1_000_000)) < 1_000_000.0 * per_lang / F.col("__rows")
-    sample = rows.join(sizes, "lang").where(share)
+    sample = rows.join(F.broadcast(sizes), "lang").where(share)
     got = counts(sample, buckets).toPandas()  # at most buckets x languages rows
     langs = sorted(got["lang"].unique())
     n = np.zeros((buckets, len(langs)))
