@@ -28,6 +28,8 @@ from .shared import stash, table
 
 LENGTH = 50
 PREFIX = 16
+#: Runs of one rank that one task compares by their bytes; a rank with more is compared string by string over all tasks.
+HOT_RUNS = 10_000
 #: Positions and counts share a number in the first sort: the count has the low bits.
 COUNT_BITS = 22
 #: Bytes that are ranked at once, and the most of a document in a piece (pieces overlap, so none is cut short).
@@ -186,6 +188,19 @@ def _dense(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(ats, pa.int64())], names=["doc", "at"])
 
 
+def _strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(rank, whole, doc, at): every 50-byte string of the runs with its fingerprint."""
+    for batch in batches:
+        data, offsets = _texts(batch.column("content"))
+        counts = np.diff(offsets) - LENGTH + 1
+        row = np.repeat(np.arange(batch.num_rows), counts)
+        inside = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
+        a = offsets[:-1][row] + inside
+        whole = _Strings(data).rank(a, a + LENGTH) if len(row) else np.empty(0, np.uint64)
+        rank, doc, first = (batch.column(k).to_numpy(zero_copy_only=False)[row] for k in ("rank", "doc", "first"))
+        yield pa.RecordBatch.from_arrays([pa.array(rank), pa.array(whole.view(np.int64)), pa.array(doc), pa.array((first + inside) << COUNT_BITS | 1)], names=["rank", "whole", "doc", "at"])
+
+
 def _cut(data: np.ndarray, first: np.ndarray, count: np.ndarray) -> tuple[bytes, np.ndarray]:
     """The kept bytes of a text and its removed spans (from, to); at `count` positions from each `first` on a repeat starts."""
     edge = np.zeros(len(data) + LENGTH, np.int64)
@@ -240,8 +255,18 @@ def with_repeats(docs: DataFrame) -> DataFrame:
         own = found.groupBy("doc").agg(F.collect_list(F.struct(*columns)).alias("__runs")).withColumnRenamed("doc", "__doc")
         return left.join(own, left["doc_id"] == own["__doc"], how).drop("__doc")
 
-    unsure = join(texts, judged.where("NOT gone"), ["rank", "at"], "inner").mapInArrow(_bytes_of_runs, "rank int, doc bigint, first bigint, content binary")
-    dense = unsure.repartition("rank").sortWithinPartitions("rank", "doc").mapInArrow(_dense, "doc bigint, at bigint")
+    def contents(found: DataFrame) -> DataFrame:
+        return join(texts, found, ["rank", "at"], "inner").mapInArrow(_bytes_of_runs, "rank int, doc bigint, first bigint, content binary")
+
+    unsure = judged.where("NOT gone")
+    hot = stash(unsure.groupBy("rank").agg(F.count("*").alias("n")).where(F.col("n") > HOT_RUNS).select("rank"), "repeats-hot")
+    some = not hot.isEmpty()
+    cold = unsure.join(hot, "rank", "left_anti") if some else unsure
+    dense = contents(cold).repartition("rank").sortWithinPartitions("rank", "doc").mapInArrow(_dense, "doc bigint, at bigint")
+    if some:
+        strings = contents(unsure.join(hot, "rank", "left_semi")).mapInArrow(_strings, "rank int, whole bigint, doc bigint, at bigint")
+        least = strings.groupBy("rank", "whole").agg(F.min("doc").alias("least"))  # combined before the shuffle
+        dense = dense.union(strings.join(least, ["rank", "whole"]).where("doc > least").select("doc", "at"))
     # texts without an id take no part; with the same filter both joins read one exchange of the texts
     repeats = judged.where("gone").select("doc", "at").union(dense)
     nameless = docs.where("doc_id IS NULL").withColumn("__runs", F.lit(None).cast("array<struct<at:bigint>>"))

@@ -345,11 +345,12 @@ def test_suffix_dedup_periodic_and_small_pieces(spark, monkeypatch):
     draw = random.Random(3)
     bits = ["".join(draw.choice("ab") for _ in range(draw.randrange(40, 90))) for _ in range(12)]
     data = [(i, "".join(draw.choice([*bits, "ab" * 40, "é" * 30]) for _ in range(draw.randrange(1, 9)))) for i in range(60)]
-    for piece in (1 << 21, 150):
+    for piece, hot in ((1 << 21, 10_000), (150, 10_000), (1 << 21, 2)):
         monkeypatch.setattr(suffix_dedup, "PIECE", piece)
+        monkeypatch.setattr(suffix_dedup, "HOT_RUNS", hot)
         want = brute_dedup(data)
         for r in suffix_dedup.dedup(spark.createDataFrame(data, "doc_id int, text string")).collect():
-            assert bytes(r.kept) == want[r.doc_id][0], (piece, r.doc_id)
+            assert bytes(r.kept) == want[r.doc_id][0], (piece, hot, r.doc_id)
 
 
 def test_suffix_dedup_keeps_columns(docs):
