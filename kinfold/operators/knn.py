@@ -363,3 +363,58 @@ def distance_matrix(cases: DataFrame, metric: Metric, id_column: str = "id", blo
         raise ValueError("a distance matrix needs at least two cases")
     out = knn(cases, cases, metric, n, id_column=id_column, self_too=True, broadcast_queries=block)
     return out.select(F.col("query_id").alias("from_id"), F.col("case_id").alias("to_id"), "distance")
+
+
+def knn_approximate(
+    queries: DataFrame,
+    cases: DataFrame,
+    metric: Metric,
+    k: int,
+    *,
+    width: float,
+    id_column: str = "id",
+    tables: int = 8,
+    projections: int = 2,
+    carry: list[str] = (),
+    seed: int = 0,
+) -> DataFrame:
+    """As `knn`, among the cases that share a bucket with the query in one of `tables` tables: for many queries against many cases, where
+    every pair would be too much.
+
+    A bucket is a cell of `width` in each of `projections` seeded random projections of the continuous features over their deviations; nominal
+    features shift the projections. Candidates are ranked by the exact distance. Wider cells and more tables find more of the true
+    neighbours; a query whose cells are empty gets fewer than k. Buckets are dealt by a shuffle on (table, cells) that Spark may split.
+    """
+    import random
+
+    draw = random.Random(seed)
+    plans = [[([draw.gauss(0, 1) for _ in metric.features], draw.random()) for _ in range(projections)] for _ in range(tables)]
+
+    def dealt(df: DataFrame, more: list[str]) -> DataFrame:
+        x, z = _arrays(df, metric)
+        df = df.select(id_column, *dict.fromkeys([*metric.names(), *more]), x.alias("__x"), z.alias("__z"))
+
+        def cell(weights: list[float], shift: float) -> Column:
+            total, ix, iz = F.lit(shift * width), 0, 0
+            for f, w in zip(metric.features, weights, strict=True):
+                if f.nominal:
+                    total = total + F.pmod(F.xxhash64(F.lit(int(w * 1e6)), F.col("__z")[iz]), F.lit(1000)) / 1000.0 * f.weight / f.deviation
+                    iz += 1
+                else:
+                    total = total + F.nanvl(F.col("__x")[ix], F.lit(0.0)) * (w * f.weight / f.deviation)
+                    ix += 1
+            return F.floor(total / width)
+
+        keys = F.array(*(F.xxhash64(F.lit(t), *(cell(*p) for p in plan)) for t, plan in enumerate(plans)))
+        return df.withColumn("__key", F.explode(keys)).drop("__x", "__z")
+
+    kinds = dict(cases.dtypes)
+    q, c = dealt(queries, []).alias("q"), dealt(cases, list(carry)).alias("c")
+    total = F.lit(0.0)
+    for f in metric.features:
+        total = total + F.lit(f.weight) * F.pow(difference(f, F.col(f"q.{f.name}"), F.col(f"c.{f.name}"), kinds[f.name]), F.lit(metric.p))
+    pairs = q.join(c, (F.col("q.__key") == F.col("c.__key")) & (F.col(f"q.{id_column}") != F.col(f"c.{id_column}")))
+    pairs = pairs.select(F.col(f"q.{id_column}").alias("query_id"), F.col(f"c.{id_column}").alias("case_id"), F.pow(total, F.lit(1 / metric.p)).alias("distance"), *(F.col(f"c.{x}").alias(x) for x in carry))
+    best = pairs.dropDuplicates(["query_id", "case_id"])
+    rank = F.row_number().over(W.partitionBy("query_id").orderBy("distance", "case_id"))
+    return best.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "case_id", "distance", "rank", *carry)

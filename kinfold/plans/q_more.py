@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import conviction, fanout, influence, profile, react, series, stats, validate
 from ..operators import reduce as fewer
-from ..operators.knn import knn, metric_of
+from ..operators.knn import knn, knn_approximate, metric_of
 from ..operators.profile import Attributes
 from ..sources.store import CaseStore
 from .q_react import CONTEXTS, ID, NEAR, NULLS, part, rounded, split, sql_near
@@ -213,3 +213,16 @@ def store_similar(spark, d):
 def latest_means(spark, d):
     _, tail = series.holdout(_t(spark, d, "events"), ["user_id"], "ts", 5, "event_id")
     return rounded(tail.groupBy("user_id").agg(F.avg("value").alias("mean")))
+
+
+@query("SELECT p_partkey AS query_id, true AS found FROM part WHERE p_partkey % 50 = 0")
+def knn_approximate_recall(spark, d):
+    """Whether the approximate join finds at least nine of the ten nearest on average, told for every query row."""
+    df = part(spark, d)
+    q = df.where(f"{ID} % 50 = 0")
+    m = metric_of(df, ["p_size", "p_retailprice"], p_retailprice={"deviation": 20.0})
+    true = knn(q, df, m, 10, id_column=ID)
+    got = knn_approximate(q, df, m, 10, width=20.0, id_column=ID)
+    hit = true.join(got.select("query_id", "case_id"), ["query_id", "case_id"], "left_semi").agg(F.count("*").alias("n"))
+    total = true.agg(F.count("*").alias("t"))
+    return q.select(F.col(ID).alias("query_id")).crossJoin(F.broadcast(hit.crossJoin(total))).select("query_id", (F.col("n") >= 0.9 * F.col("t")).alias("found"))
