@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections import deque
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
@@ -93,24 +93,32 @@ def route(patterns: dict[tuple, int], quotas: dict, copies: int = MAX_COPIES) ->
             arcs[i ^ 1][1] += amount
 
 
+def seeded(doc_id: Column, seed: str = SEED) -> Column:
+    """The place of a document in the seeded order, as a string."""
+    return F.md5(F.concat(F.lit(seed), F.coalesce(doc_id.cast("string"), F.lit(""))))
+
+
 def select(sized: DataFrame, given: DataFrame, copies: int = MAX_COPIES, seed: str = SEED) -> DataFrame:
     """`sized` (doc_id, size, pattern, ...) with `taken`: whole documents in seeded order while they fit what `given` (pattern,
     give: array by copy) lets each copy take; then, `ROUNDS` times, one document is added (or taken out, where
-    too much is in) whose size comes closest to the rest."""
-    order = F.md5(F.concat(F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
-    df = sized.withColumn("__h", order).withColumn("__b", F.substring("__h", 1, 3))
+    too much is in) whose size comes closest to the rest. With `layers` and `prefix` (arrays by copy: whether it is in, whether it was before
+    the adjustment) and `__h`, its place in the order."""
+    df = sized.withColumn("__h", seeded(F.col("doc_id"), seed)).withColumn("__b", F.substring("__h", 1, 3))
     sums = df.groupBy("pattern", "__b").agg(F.sum("size").alias("__sum"))
     before = F.coalesce(F.sum("__sum").over(W.partitionBy("pattern").orderBy("__b").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
     sums = sums.select(F.col("pattern").alias("__p"), F.col("__b").alias("__c"), before.alias("__before"))
     df = df.join(sums, df["pattern"].eqNullSafe(sums["__p"]) & (df["__b"] == sums["__c"]))
     inside = W.partitionBy("pattern", "__b").orderBy("__h", "doc_id", "size").rowsBetween(W.unboundedPreceding, 0)
     df = df.withColumn("__end", F.col("__before") + F.sum("size").over(inside))
-    df = stash(df.select(*sized.columns, "__end"), "mixing-order")
+    df = stash(df.select(*sized.columns, "__h", "__end"), "mixing-order")
+    names = [*sized.columns, "__h", "__end"]
 
     # what is left of each copy's tokens once the documents that fit are in
     given = given.select(F.col("pattern").alias("__p"), "give")
     df = df.join(F.broadcast(given), df["pattern"].eqNullSafe(given["__p"])).drop("__p")
-    df = df.select(*sized.columns, "__end", "give", *((F.col("__end") <= F.col("give")[i]).alias(f"__in{i}") for i in range(copies)))
+    df = df.select(*names, "give", *((F.col("__end") <= F.col("give")[i]).alias(f"__in{i}") for i in range(copies)))
+    df = df.withColumn("prefix", F.array(*(f"__in{i}" for i in range(copies))))
+    names = [*names, "prefix"]
     left = [(F.max("give")[i] - F.coalesce(F.sum(F.when(F.col(f"__in{i}"), F.col("size"))), F.lit(0))).alias(f"__r{i}") for i in range(copies)]
     rest = stash(df.groupBy("pattern").agg(*left), "mixing-rest")
     for _ in range(ROUNDS):
@@ -126,11 +134,22 @@ def select(sized: DataFrame, given: DataFrame, copies: int = MAX_COPIES, seed: s
         best = stash(best.withColumnRenamed("pattern", "__p"), "mixing-best")
         df = df.join(F.broadcast(best.drop(*(f"__r{i}" for i in range(copies)))), df["pattern"].eqNullSafe(best["__p"])).drop("__p")
         turned = [F.coalesce((F.col("size") > 0) & (F.col("__end") == F.col(f"__x{i}")["end"]), F.lit(False)) for i in range(copies)]
-        df = df.select(*sized.columns, "__end", *((F.col(f"__in{i}") != turned[i]).alias(f"__in{i}") for i in range(copies)))
+        df = df.select(*names, *((F.col(f"__in{i}") != turned[i]).alias(f"__in{i}") for i in range(copies)))
         moved = [F.coalesce(F.when(F.col(f"__r{i}") > 0, F.col(f"__x{i}")["size"]).otherwise(-F.col(f"__x{i}")["size"]), F.lit(0)) for i in range(copies)]
         rest = best.select(F.col("__p").alias("pattern"), *((F.col(f"__r{i}") - moved[i]).alias(f"__r{i}") for i in range(copies)))
     taken = sum((F.when(F.col(f"__in{i}"), F.col("size")).otherwise(F.lit(0)) for i in range(copies)), F.lit(0))
-    return df.select(*sized.columns, taken.cast("long").alias("taken"))
+    return df.select(*sized.columns, taken.cast("long").alias("taken"), F.array(*(f"__in{i}" for i in range(copies))).alias("layers"), "prefix", "__h")
+
+
+def rules(selection: DataFrame, copies: int = MAX_COPIES) -> DataFrame:
+    """A selection as one row per pattern: for each copy, the last place of its prefix (cut) and the few places that the adjustment turned."""
+    h = F.col("__h")
+    cuts = stash(selection.groupBy("pattern").agg(F.array(*(F.max(F.when(F.col("prefix")[i], h)) for i in range(copies))).alias("cut")), "mixing-cuts")
+    known = cuts.select(F.col("pattern").alias("__p"), "cut")
+    df = selection.join(F.broadcast(known), selection["pattern"].eqNullSafe(known["__p"])).drop("__p")
+    beyond = [F.coalesce(h > F.col("cut")[i], F.lit(True)) for i in range(copies)]
+    turned = [(F.col("prefix")[i] & ~F.col("layers")[i]) | (beyond[i] & F.col("layers")[i]) for i in range(copies)]
+    return df.groupBy("pattern").agg(F.max("cut").alias("cut"), F.array(*(F.collect_set(F.when(turned[i], h)) for i in range(copies))).alias("turned"))
 
 
 def mix(spark: SparkSession, sized: DataFrame, weights, share_percent: int = SHARE_PERCENT, copies: int = MAX_COPIES, seed: str = SEED) -> tuple[DataFrame, dict, dict]:
@@ -164,24 +183,37 @@ def by_rank(names: list) -> dict:
 def mixed(docs: DataFrame) -> DataFrame:
     """doc_id, size, source_size, target, taken of `docs` (doc_id, text, source): one source per document, null being one."""
     spark = docs.sparkSession
-    sized = stash(docs.select("doc_id", F.size(words(F.col("text"))).cast("long").alias("size"), F.array(F.col("source").cast("string")).alias("sources")), "mixing-sizes")
-    got, sizes, targets = mix(spark, sized, by_rank)
+    got, sizes, targets = mix(spark, sizes_of(docs), by_rank)
     rows = [([s], sizes[s], round(targets[s], 6)) for s in sizes]
     own = spark.createDataFrame(rows, "__q array<string>, source_size bigint, target double")
     got = got.join(F.broadcast(own), got["pattern"].eqNullSafe(own["__q"]))
     return got.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def pattern_of(source: Column) -> Column:
+    return F.array(source.cast("string"))
+
+
+def sizes_of(docs: DataFrame) -> DataFrame:
+    return stash(docs.select("doc_id", F.size(words(F.col("text"))).cast("long").alias("size"), pattern_of(F.col("source")).alias("sources")), "mixing-sizes")
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed(table(spark, sf_dir, "documents"))
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the mix takes, with `copies`, the number of times that each is taken."""
-    got = mixed(docs).where("taken > 0")
-    taken = stash(got.groupBy("doc_id").agg(F.max(F.col("taken") / F.col("size")).cast("int").alias("__copies")), "mixing-taken")
-    taken = taken.withColumnRenamed("doc_id", "__key")
-    return docs.join(taken, docs["doc_id"].eqNullSafe(taken["__key"])).select(*(docs[c] for c in docs.columns), F.col("__copies").alias("copies"))
+    """Documents that the mix takes, with `copies`, the number of times that each is taken; repeated rows are taken together.
+
+    The selection comes back as a rule by source (checked to be few), so no text is shuffled.
+    """
+    got, _, _ = mix(spark, sizes_of(docs), by_rank)
+    rule = stash(rules(got), "mixing-rules").select(F.col("pattern").alias("__p"), F.col("cut").alias("__cut"), F.col("turned").alias("__turned"))
+    df = docs.join(F.broadcast(rule), pattern_of(docs["source"]).eqNullSafe(rule["__p"]))
+    h = seeded(docs["doc_id"])
+    within = [F.coalesce(h <= F.col("__cut")[i], F.lit(False)) != F.array_contains(F.col("__turned")[i], h) for i in range(MAX_COPIES)]
+    df = df.withColumn("__copies", sum((x.cast("int") for x in within), F.lit(0))).where((F.col("__copies") > 0) & docs["text"].rlike(r"[^\x20\x09-\x0D]"))
+    return df.select(*(docs[c] for c in docs.columns), F.col("__copies").alias("copies"))
 
 
 _BASE = r"""
