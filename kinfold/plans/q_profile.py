@@ -149,7 +149,7 @@ def rare_values(spark, d):
     return rounded(rare.rare_values(_t(spark, d, "part"), ["p_brand"], 500))
 
 
-@query(RARE + "SELECT 'p_brand' AS feature, round(CAST(least((any_value(s) - sum(n * m)) / (any_value(s) - sum(n)), 1.0) AS DOUBLE), 6) AS unprotected FROM r WHERE k <= 5")
+@query(RARE + "SELECT 'p_brand' AS feature, round(CAST(least((any_value(s) - sum(n * m)) / (any_value(s) - sum(n)), 1.0) AS DOUBLE), 6) AS unprotected FROM r WHERE k <= 5 HAVING count(*) > 0")
 def rare_unprotected(spark, d):
     df = _t(spark, d, "part")
     return rounded(rare.unprotected_multipliers(df, rare.rare_values(df, ["p_brand"], 500)))
