@@ -36,7 +36,7 @@ def _union(template: str, names: list[str]) -> str:
     return " UNION ALL ".join(template.replace("{c}", c) for c in names)
 
 
-@query(_union("SELECT '{c}' AS feature, count(*) AS n_rows, count({c}) AS n, count(*) - count({c}) AS n_null, round(min({c}), 6) AS low, round(max({c}), 6) AS high FROM lineitem", NUMBERS))
+@query(_union("SELECT '{c}' AS feature, count(*) AS n_rows, count({c}) AS n, count(*) - count({c}) AS n_null, round(min({c}), 6) + 0.0 AS low, round(max({c}), 6) + 0.0 AS high FROM lineitem", NUMBERS))
 def profile_basics(spark, d):
     got = profile.basics(_t(spark, d, "lineitem"), NUMBERS)
     return got.select("feature", "n_rows", "n", "n_null", F.round(F.col("min").cast("double"), 6).alias("low"), F.round(F.col("max").cast("double"), 6).alias("high"))

@@ -37,9 +37,9 @@ def split(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
 
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Doubles rounded and integers as longs, as the SQL side has them."""
+    """Doubles rounded (0.0 for -0.0) and integers as longs, as the SQL side has them."""
     kinds = dict(df.dtypes)
-    return df.select(*(F.round(c, digits).alias(c) if kinds[c] == "double" else F.col(c).cast("long").alias(c) if kinds[c] in ("int", "smallint", "tinyint") else F.col(c) for c in df.columns))
+    return df.select(*((F.round(c, digits) + 0.0).alias(c) if kinds[c] == "double" else F.col(c).cast("long").alias(c) if kinds[c] in ("int", "smallint", "tinyint") else F.col(c) for c in df.columns))
 
 
 def near(spark: SparkSession, d: str, k: int = 10, **options) -> DataFrame:

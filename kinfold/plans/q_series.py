@@ -41,7 +41,7 @@ def _place(spark, label: str) -> str:
 STEP = "WITH e AS (SELECT *, epoch_us(ts) / 1e6 AS t FROM events), s AS (SELECT *, t - lag(t) OVER w AS dt, value - lag(value) OVER w AS d1 FROM e WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)), r AS (SELECT *, d1 / CASE WHEN dt <> 0 THEN dt WHEN dt IS NOT NULL THEN 0.001 END AS r1 FROM s), q AS (SELECT *, d1 - lag(d1) OVER w AS d2, (r1 - lag(r1) OVER w) / CASE WHEN dt <> 0 THEN dt WHEN dt IS NOT NULL THEN 0.001 END AS r2 FROM r WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)) "
 
 
-@query(STEP + "SELECT event_id, round(d1, 6) AS value_delta_1, round(r1, 6) AS value_rate_1, round(d2, 6) AS value_delta_2 FROM q")
+@query(STEP + "SELECT event_id, round(d1, 6) + 0.0 AS value_delta_1, round(r1, 6) + 0.0 AS value_rate_1, round(d2, 6) + 0.0 AS value_delta_2 FROM q")
 def series_derivatives(spark, d):
     got = series.derive(_events(spark, d), ["user_id"], "ts", ["value"], 2, ["event_id"])
     return rounded(got.select("event_id", "value_delta_1", "value_rate_1", "value_delta_2"))

@@ -163,7 +163,7 @@ def p_value_of_removal(spark, d):
     return rounded(got.select("query_id", "p_value"), 9)
 
 
-@query(CONTRIB + ", l AS (SELECT n.query_id, avg(dc.d) AS local FROM n JOIN dc ON dc.query_id = n.case_id GROUP BY 1), e AS (SELECT query_id, -sum(CASE WHEN weight > 0 THEN weight * ln(weight) ELSE 0.0 END) AS h FROM i GROUP BY 1) SELECT dc.query_id AS p_partkey, round(dc.d, 6) AS distance_contribution, round(CASE WHEN dc.d = 0 THEN NULL ELSE local / dc.d END, 6) AS similarity_conviction, round(h, 6) AS influence_weight_entropy FROM dc JOIN l USING (query_id) JOIN e USING (query_id)")
+@query(CONTRIB + ", l AS (SELECT n.query_id, avg(dc.d) AS local FROM n JOIN dc ON dc.query_id = n.case_id GROUP BY 1), e AS (SELECT query_id, -sum(CASE WHEN weight > 0 THEN weight * ln(weight) ELSE 0.0 END) AS h FROM i GROUP BY 1) SELECT dc.query_id AS p_partkey, round(dc.d, 6) AS distance_contribution, round(CASE WHEN dc.d = 0 THEN NULL ELSE local / dc.d END, 6) AS similarity_conviction, round(h, 6) + 0.0 AS influence_weight_entropy FROM dc JOIN l USING (query_id) JOIN e USING (query_id)")
 def conviction_features(spark, d):
     df = part(spark, d)
     got = conviction.into_features(df, metric_of(df, CONTEXTS), 10, id_column=ID)
