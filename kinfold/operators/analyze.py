@@ -105,6 +105,3 @@ class AutoAnalyze:
             t = int(t * self.growth) + 1
         return replace(self, threshold=t)
 
-
-def table(metric: Metric) -> list[tuple[str, float, float]]:
-    return [(f.name, f.weight, f.deviation) for f in metric.features]

@@ -200,10 +200,13 @@ def mean_probabilities(probs: DataFrame, series: str) -> DataFrame:
 
 
 def numbered(ids: DataFrame, name: str = ".series") -> DataFrame:
-    """Series named series_1, series_2, ... in the order of their ids."""
-    column = ids.columns[0]
-    order = F.row_number().over(W.orderBy(*ids.columns))
-    return ids.distinct().withColumn(name, F.concat(F.lit("series_"), order.cast("string"))) if column else ids
+    """Series named series_1, series_2, ...: distinct ids numbered hash bucket by hash bucket, so no task orders them all."""
+    keys = ids.distinct().withColumn("__b", F.pmod(F.xxhash64(*ids.columns), F.lit(4096)))
+    sizes = keys.groupBy("__b").agg(F.count("*").alias("__n"))
+    before = F.coalesce(F.sum("__n").over(W.orderBy("__b").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))  # a row per bucket
+    inside = F.row_number().over(W.partitionBy("__b").orderBy(*ids.columns))
+    keys = keys.withColumn("__i", inside).join(sizes.select("__b", before.alias("__before")), "__b")
+    return keys.select(*ids.columns, F.concat(F.lit("series_"), (F.col("__before") + F.col("__i")).cast("string")).alias(name))
 
 
 def holdout(df: DataFrame, ids: list[str], time: str, steps: int, key: str) -> tuple[DataFrame, DataFrame]:

@@ -315,6 +315,11 @@ def test_series(spark, events):
     assert b["v_delta_1"][1] == 100.0
 
 
+def test_numbered(events):
+    got = series.numbered(events.select("user_id"), "name").collect()
+    assert sorted(r.name for r in got) == sorted(f"series_{i + 1}" for i in range(len(got)))
+
+
 def test_forecast_stops(spark):
     df = spark.createDataFrame([(s, t, float(t % 5), s * 1000 + t) for s in range(4) for t in range(30)], "s int, t int, v double, k bigint")
     learned = series.training_rows(df, ["s"], "t", {"v": "continuous"}, 2, "k")
