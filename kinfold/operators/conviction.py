@@ -22,6 +22,11 @@ def _kl(p: Column, q: Column) -> Column:
     return F.when(p <= 0, F.lit(0.0)).otherwise(p * F.ln(p / q)) + rest
 
 
+def _share(part, whole) -> Column:
+    """Share of a total; 0 where all contributions are 0."""
+    return F.coalesce(F.try_divide(part, whole), F.lit(0.0))
+
+
 def _conviction(kl: Column, mean: Column) -> Column:
     kl = F.round(kl, 12)
     return F.when(kl <= 0, F.lit(MOST)).otherwise(F.least(mean / kl, F.lit(MOST)))
@@ -35,7 +40,7 @@ def familiarity(contributions: DataFrame, name: str = "familiarity_conviction",
     """
     total = contributions.agg(F.sum("distance_contribution").alias("__s"), F.count("distance_contribution").alias("__n"))
     df = contributions.crossJoin(F.broadcast(total))
-    df = df.withColumn("kl", _kl(F.coalesce(F.try_divide("distance_contribution", "__s"), F.lit(0.0)), 1 / F.col("__n")))
+    df = df.withColumn("kl", _kl(_share("distance_contribution", "__s"), 1 / F.col("__n")))
     mean = df.agg(F.avg("kl").alias("__mean"))
     df = df.crossJoin(F.broadcast(mean))
     return df.select("query_id", _conviction(F.col("kl"), F.col("__mean")).alias(name), *(["kl", "distance_contribution"] if keep else []))
@@ -44,9 +49,9 @@ def familiarity(contributions: DataFrame, name: str = "familiarity_conviction",
 def familiarity_addition(trained: DataFrame, new: DataFrame, name: str = "familiarity_conviction_addition") -> DataFrame:
     """Conviction of new cases scored against the trained ones: each is the (n + 1)-th case. Both: (query_id, distance_contribution)."""
     total = trained.agg(F.sum("distance_contribution").alias("__s"), F.count("distance_contribution").alias("__n"))
-    mean = trained.crossJoin(F.broadcast(total)).agg(F.avg(_kl(F.col("distance_contribution") / F.col("__s"), 1 / F.col("__n"))).alias("__mean"))
+    mean = trained.crossJoin(F.broadcast(total)).agg(F.avg(_kl(_share("distance_contribution", "__s"), 1 / F.col("__n"))).alias("__mean"))
     df = new.crossJoin(F.broadcast(total)).crossJoin(F.broadcast(mean))
-    kl = _kl(F.col("distance_contribution") / (F.col("__s") + F.col("distance_contribution")), 1 / (F.col("__n") + 1))
+    kl = _kl(_share("distance_contribution", F.col("__s") + F.col("distance_contribution")), 1 / (F.col("__n") + 1))
     return df.select("query_id", _conviction(kl, F.col("__mean")).alias(name), kl.alias("kl"))
 
 

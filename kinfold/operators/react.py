@@ -20,7 +20,7 @@ def influence(near: DataFrame, dt: float = -1.0, weight: str | None = None) -> D
     mass = F.col(weight).cast("double") if weight else F.lit(1.0)
     zero = F.min("distance").over(own) == 0
     raw = F.when(zero, F.when(F.col("distance") == 0, mass).otherwise(F.lit(0.0))).otherwise(F.pow(F.greatest("distance", F.lit(1e-300)), F.lit(dt)) * mass)
-    return near.withColumn("raw_weight", raw).withColumn("weight", F.col("raw_weight") / F.sum("raw_weight").over(own))
+    return near.withColumn("raw_weight", raw).withColumn("weight", F.try_divide("raw_weight", F.sum("raw_weight").over(own)))
 
 
 def neighbours(queries: DataFrame, cases: DataFrame, metric: Metric, k: int = 10, dt: float = -1.0, weight: str | None = None, **options) -> DataFrame:
@@ -34,7 +34,7 @@ def predict_continuous(near: DataFrame, action: str, allow_nulls: bool = False,
     prediction is null where nulls have more than half of the influence."""
     y, w = F.col(action).cast("double"), F.col("weight")
     known = F.sum(F.when(y.isNotNull(), w))
-    value = F.sum(y * w) / known
+    value = F.try_divide(F.sum(y * w), known)
     if allow_nulls:
         value = F.when(F.coalesce(F.sum(F.when(y.isNull(), w)), F.lit(0.0)) <= 0.5, value)
     return near.groupBy("query_id").agg(value.alias(name or action))
@@ -44,7 +44,7 @@ def class_probabilities(near: DataFrame, action: str, allow_nulls: bool = False)
     """(query_id, class, probability): the influence of every class among the neighbours."""
     df = near if allow_nulls else near.where(F.col(action).isNotNull())
     sums = df.groupBy("query_id", F.col(action).alias("class")).agg(F.sum("weight").alias("__w"))
-    return sums.select("query_id", "class", (F.col("__w") / F.sum("__w").over(W.partitionBy("query_id"))).alias("probability"))
+    return sums.select("query_id", "class", F.try_divide("__w", F.sum("__w").over(W.partitionBy("query_id"))).alias("probability"))
 
 
 def predict_nominal(near: DataFrame, action: str, allow_nulls: bool = False, name: str | None = None) -> DataFrame:
@@ -167,7 +167,7 @@ def local_deviation(near: DataFrame, feature: str, action: str | None = None) ->
     mean = predict_continuous(near, feature, name="__m")
     df = near.join(mean, "query_id")
     y = F.col(feature).cast("double")
-    return df.groupBy("query_id").agg((F.sum(F.abs(y - F.col("__m")) * F.col("weight")) / F.sum(F.when(y.isNotNull(), F.col("weight")))).alias("local_mad"))
+    return df.groupBy("query_id").agg(F.try_divide(F.sum(F.abs(y - F.col("__m")) * F.col("weight")), F.sum(F.when(y.isNotNull(), F.col("weight")))).alias("local_mad"))
 
 
 def density_conviction(queries: DataFrame, near: DataFrame, feature: str, id_column: str = "id") -> DataFrame:
@@ -208,7 +208,7 @@ def hypothetical(queries: DataFrame, cases: DataFrame, metric: Metric, action: s
 
 def local_residual(near: DataFrame, loo: DataFrame) -> DataFrame:
     """Mean absolute leave-one-out error over the neighbours; `loo`: (case_id, error)."""
-    return near.join(loo, "case_id").groupBy("query_id").agg((F.sum(F.col("error") * F.col("weight")) / F.sum("weight")).alias("local_residual"))
+    return near.join(loo, "case_id").groupBy("query_id").agg(F.try_divide(F.sum(F.col("error") * F.col("weight")), F.sum("weight")).alias("local_residual"))
 
 
 def parameters(metric: Metric, k: int, dt: float) -> Column:

@@ -39,7 +39,7 @@ def continuous_stats(df: DataFrame, actual: str = "actual", predicted: str = "pr
     main = df.agg(
         F.avg(F.abs(a - p)).alias("mae"),
         F.sqrt(F.avg((a - p) * (a - p))).alias("rmse"),
-        (1 - F.sum((a - p) * (a - p)) / F.sum((a - F.col("m")) * (a - F.col("m")))).alias("r2"),
+        (1 - F.try_divide(F.sum((a - p) * (a - p)), F.sum((a - F.col("m")) * (a - F.col("m"))))).alias("r2"),
         F.avg(F.when(denominator == 0, F.lit(0.0)).otherwise(F.abs(a - p) / denominator)).alias("smape"),
         F.avg(F.when(denominator + F.col("gap") / 2 == 0, F.lit(0.0)).otherwise(F.abs(a - p) / (denominator + F.col("gap") / 2))).alias("adjusted_smape"),
     )

@@ -222,6 +222,13 @@ def test_outlier_has_low_conviction(spark):
         conviction.into_features(df.withColumn("distance_contribution", F.lit(1)), metric_of(df, ["x"]), 5)
 
 
+def test_all_contributions_zero(spark):
+    df = spark.createDataFrame([(i, float(i % 2), "ab"[i % 3 == 0]) for i in range(60)], "id bigint, x double, g string")
+    m = metric_of(df, ["x"])
+    assert conviction.into_features(df, m, 3).where("distance_contribution <> 0").count() == 0
+    assert conviction.groups(df, df, m, "g", 3).count() == 2
+
+
 def test_clusters(spark):
     df = spark.createDataFrame([(i, float(i) * 0.1) for i in range(20)] + [(100 + i, 500 + i * 0.1) for i in range(20)] + [(999, 9999.0)], "id bigint, x double")
     got = {r.id: r._cluster_id for r in conviction.clusters(df, metric_of(df, ["x"]), 4).collect()}
