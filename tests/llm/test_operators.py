@@ -212,6 +212,29 @@ def test_kneser_ney_against_definition(spark):
     assert got[8] is None and got[7] is None
 
 
+def test_rare_characters_are_told_apart(spark):
+    """More characters than any fixed alphabet: each has counts of its own, and a script that the trusted text lacks is not kept."""
+    greek, marks = "".join(map(chr, range(0x3B1, 0x3CA))), "".join(map(chr, range(0x4E00, 0x4E50)))
+    texts = [(i, f"plain words of number {i} and so on " * 5 + greek + marks, "en") for i in range(60)]
+    odd = [(100, "9876543210 " * 30, "en"), (101, "".join(map(chr, range(0x10D0, 0x10F0))) * 9, "en"), (102, marks[::-1] * 3, "en")]
+    docs = spark.createDataFrame(texts + odd, "doc_id bigint, text string, lang string")
+    labels = spark.createDataFrame([(i, 1, 0) for i, *_ in texts], "doc_id bigint, quality int, toxic int")
+    assert len(quality_lm.alphabet(docs.where("doc_id < 100"))) > 110
+    got = {r.doc_id: r for r in quality_lm.classify(docs, labels).collect()}
+    assert all(got[i].kept for i, *_ in texts) and not any(got[i].kept for i, *_ in odd)
+
+
+def test_scores_do_not_depend_on_blocks(spark, docs, monkeypatch):
+    letters = quality_lm.alphabet(docs)
+    model = quality_lm.train(docs, letters)
+    key = lambda: sorted((str(r.doc_id), r.lang or "", r.perplexity or 0.0) for r in quality_lm.perplexities(docs, letters, model).collect())
+    whole = key()
+    monkeypatch.setattr(quality_lm, "BLOCK", 5000)
+    small = key()
+    assert [x[:2] for x in small] == [x[:2] for x in whole] and len(whole) == docs.count()
+    assert [x[2] for x in small] == pytest.approx([x[2] for x in whole])
+
+
 def test_classifier_separates(spark):
     got = quality_lm.query(spark, "/root/testdata/sf0.01")
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
