@@ -2,7 +2,7 @@
 
 Every document gets a few counts. Quantile sketches of the derived rates, one per language and source, are merged by
 Spark's partial aggregation; a document fails if a rate lies beyond its group's upper fence, or if it breaks one of
-the two base rules.
+the two base rules. Quantiles of small groups are shrunk towards the middle ones of their language, and their spread further towards that of all.
 """
 
 from __future__ import annotations
@@ -14,10 +14,15 @@ from .shared import SPACES, stash, table, words
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
-#: Rates that get an adaptive upper fence, and the least fence of each: below it nothing is rejected.
-RATES = {"symbol_rate": 0.1, "dup_line_rate": 0.3, "repeat_rate": 0.3, "mean_word_chars": 12.0}
-#: The fence is median + SPREAD * (third quartile - median), or the floor if that is larger.
+#: Rates that get an adaptive upper fence, and what is added to each fence, as most rates are 0 for most documents.
+RATES = {"symbol_rate": 0.02, "dup_line_rate": 0.05, "repeat_rate": 0.1, "mean_word_chars": 0.5}
+#: The fence is median + SPREAD * (third quartile - median) + that tolerance, but no larger than the bound, so that a dirty group does not
+#: lift its own: a fixed share, or for word lengths, which depend on the script, this multiple of the first quartile.
 SPREAD = 8.0
+BOUNDS = {"symbol_rate": 0.1, "dup_line_rate": 0.3, "repeat_rate": 0.3}
+WORD_BOUND = 2.0
+#: A group of this many documents counts as much as what it is shrunk towards.
+SHRINK = 20
 SKETCH_ACCURACY = 1000
 
 
@@ -56,13 +61,35 @@ def counts(docs: DataFrame, text: str = "text") -> DataFrame:
     )
 
 
+def _fences(base: DataFrame) -> DataFrame:
+    """(__lang, __source, __max_<rate>): the upper fences of every group with documents that pass the base rules."""
+    sketches = [F.percentile_approx(r, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), SKETCH_ACCURACY).alias(f"g_{r}") for r in RATES]
+    groups = base.where(~F.col("base_failed")).groupBy("lang", "source").agg(F.count("*").alias("g_n"), *sketches)
+    groups = stash(groups.withColumnsRenamed({"lang": "__lang", "source": "__source"}), "quality-groups")
+
+    def middle_of(p: str, *keys) -> DataFrame:
+        """The middle quantiles of the groups, one group counting as much as another: a large dirty one moves no other."""
+        return groups.groupBy(*keys).agg(F.sum("g_n").alias(f"{p}_n"), *(F.array(*(F.percentile_approx(F.col(f"g_{r}")[i], 0.5, SKETCH_ACCURACY) for i in range(3))).alias(f"{p}_{r}") for r in RATES))
+
+    df = groups.join(middle_of("l", F.col("__lang").alias("__l_lang")), F.col("__lang").eqNullSafe(F.col("__l_lang"))).crossJoin(F.broadcast(middle_of("a")))
+    own = lambda p: F.col(f"{p}_n") / (F.col(f"{p}_n") + SHRINK)
+    mixed = lambda p, a, b: own(p) * a + (1 - own(p)) * b
+    out = []
+    for r, tolerance in RATES.items():
+        low, middle = (mixed("g", F.col(f"g_{r}")[i], F.col(f"l_{r}")[i]) for i in (0, 1))
+        g, lang, every = (F.col(f"{p}_{r}")[2] - F.col(f"{p}_{r}")[1] for p in "gla")
+        fence = middle + SPREAD * mixed("g", g, mixed("l", lang, every)) + tolerance
+        out.append(F.least(fence, F.lit(BOUNDS[r]) if r in BOUNDS else WORD_BOUND * low).alias(f"__max_{r}"))
+    return df.select("__lang", "__source", *out)
+
+
 def verdicts(docs: DataFrame) -> DataFrame:
     """One row per row of `docs` (doc_id, text, lang, source; other columns are ignored): the counts, the rates,
     base_failed and kept.
 
     The counts are written once. Sketches are merged per (lang, source), null being a group of its own, so a group with
     a third of all rows sends no more than one sketch per task. An empty text fails the base rules. Repeated rows
-    get the same verdict each; ties with a fence are kept.
+    get the same verdict each; ties with a fence are kept, and so is a single repeated line.
     """
     base = counts(docs.select("doc_id", "text", "lang", "source")).drop("text")
     n = F.greatest(F.col("n_words"), F.lit(1))
@@ -75,16 +102,12 @@ def verdicts(docs: DataFrame) -> DataFrame:
         (F.col("word_chars") / n).alias("mean_word_chars"),
     )
     base = stash(base, "quality")
-    half = [F.percentile_approx(r, F.array(F.lit(0.5), F.lit(0.75)), SKETCH_ACCURACY).alias(r) for r in RATES]
-    groups = base.where(~F.col("base_failed")).groupBy("lang", "source").agg(*half)
-    fences = groups.select(
-        F.col("lang").alias("__lang"), F.col("source").alias("__source"),
-        *(F.greatest(F.lit(floor), F.col(r)[0] + SPREAD * (F.col(r)[1] - F.col(r)[0])).alias(f"__max_{r}") for r, floor in RATES.items()),
-    )
+    fences = _fences(base)
     joined = base.join(fences, base["lang"].eqNullSafe(fences["__lang"]) & base["source"].eqNullSafe(fences["__source"]), "left")
     beyond = F.lit(False)
     for r in RATES:
-        beyond = beyond | (F.col(r) > F.col(f"__max_{r}"))
+        above = F.col(r) > F.col(f"__max_{r}")
+        beyond = beyond | (above & (F.col("n_dup_lines") > 1) if r == "dup_line_rate" else above)
     return joined.select(*base.columns, (~F.col("base_failed") & ~F.coalesce(beyond, F.lit(False))).alias("kept"))
 
 

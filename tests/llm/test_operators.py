@@ -66,6 +66,17 @@ def test_quality_keeps_clean_and_drops_symbols(spark):
     assert all(got[i] for i in range(200)) and not got[999]
 
 
+def test_quality_fences_follow_the_groups(spark):
+    text = lambda i, extra="", word="w": " ".join(f"{word}{i}x{j}" + extra * (j % 20 == 0) for j in range(80))
+    data = [(i, text(i), "en", "clean", 1) for i in range(200)] + [(900, text(900, "$"), "en", "clean", 1)]  # 0.05 symbols a word
+    data += [(1000 + i, text(i, word="d"), "en", "dirty", 1) for i in range(80)] + [(2000 + i, text(i).replace("x", "$#$"), "en", "dirty", 1) for i in range(120)]
+    data += [(3000, text(3000).replace("x", "$$"), "en", "tiny", 1), (3001, text(3001), "en", "small", 1)]
+    data += [(4000 + i, text(i, word="w" * 20), "xx", "long", 1) for i in range(60)]
+    got = {r.doc_id: r.kept for r in quality_rules.verdicts(spark.createDataFrame(data, DOCS)).collect()}
+    bad = {900, 3000, *range(2000, 2120)}
+    assert {i for i, kept in got.items() if not kept} == bad
+
+
 # --- 2
 
 
