@@ -2,7 +2,7 @@
 
 A page is cut into blocks. Each block gets a score: log odds of its features, trained by counting over a sample of pages whose
 markup names content or boilerplate, plus a prior for what the markup around it says. Scores are the terminal
-capacities; edges between neighbours in page order and between siblings in the tree are smoothness capacities. The minimum cut,
+capacities, both bounded, so that neither settles a block against the other and all edges; edges between neighbours in page order and between siblings in the tree are smoothness capacities. The minimum cut,
 found by max-flow, separates content from boilerplate.
 """
 
@@ -26,6 +26,11 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 RAW = frozenset("script style noscript template textarea title iframe svg math object select canvas".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q ruby rb rp rt s samp small span strike strong sub sup time tt u var wbr".split())
 BAD_TAGS = frozenset("nav header footer aside form button menu dialog head fieldset".split())
+#: Elements whose content is skipped but parsed: they end with their parent, and svg and math can close themselves.
+NESTED = frozenset("svg math object select canvas template".split())
+#: Nothing within these is content; other boilerplate can hold an article, and a form the whole page.
+CLOSED = frozenset("nav footer aside button menu dialog head".split())
+FORMS = frozenset("form fieldset".split())
 GOOD_TAGS = frozenset("article main".split())
 BAD_NAMES = frozenset(
     "nav navbar navigation menu header masthead topbar footer sidebar aside ad ads adv advert adverts advertisement banner promo promotion promoted sponsor sponsored cookie "
@@ -37,8 +42,10 @@ HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Elements that a new one of the same group closes.
 CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 
+#: What an element can say of all that is in it.
+CONTENT, CONTESTED, UNKNOWN, FORM, NAMED, NEVER = 2, 1, 0, -1, -2, -3
 #: Prior log odds by what the nearest telling element around a block says, and the bound of the trained part.
-PRIOR = 8.0
+PRIOR = {CONTENT: 4.0, CONTESTED: 2.0, UNKNOWN: 0.0, FORM: -2.0, NAMED: -4.0, NEVER: -8.0}
 BOUND = 3.0
 NEIGHBOUR = 1.0
 SIBLING = 1.0
@@ -53,7 +60,7 @@ _ATTR = re.compile(r"""\b(class|id|role|style|hidden|aria-hidden)\b(?:\s*=\s*("[
 class Block:
     text: str
     tag: str
-    sign: int  # 1: inside content, -1: inside boilerplate, 0: nothing around it tells
+    sign: int  # CONTENT to NEVER
     parent: int
     link_chars: int
     features: list[str] = field(default_factory=list)
@@ -62,18 +69,45 @@ class Block:
 def _sign(tag: str, attributes: str) -> int:
     """What an element says of all that is in it."""
     if tag in BAD_TAGS:
-        return -1
+        return NEVER if tag in CLOSED else FORM if tag in FORMS else NAMED
     good = tag in GOOD_TAGS
     for m in _ATTR.finditer(attributes) if attributes else ():
         name, value = m[1].lower(), (m[2] or "").strip("\"'").lower()
         if name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and re.search(r"display\s*:\s*none", value):
-            return -1
-        if name in ("class", "id", "role"):
+            return NEVER
+        if name in ("class", "id", "role") and tag not in ("html", "body"):
             parts = set(re.split(r"[^a-z0-9]+", re.sub(r"\d+", "", value)))
             if parts & BAD_NAMES:
-                return -1
+                return NAMED
             good = good or bool(parts & GOOD_NAMES)
-    return int(good)
+    return CONTENT if good else UNKNOWN
+
+
+def _inner(around: int, tag: str, own: int) -> int:
+    """What holds inside an element that says `own`: boilerplate stays so further in, except that an article or main in a named element, and any
+    content in a form, is contested. A header inside an article belongs to it."""
+    if around in (NAMED, FORM) and own == CONTENT and (tag in GOOD_TAGS or around == FORM):
+        return CONTESTED
+    if around == FORM and own < FORM:
+        return own
+    return around if around < 0 or not own or (tag == "header" and around > 0) else CONTESTED if around == CONTESTED and own == CONTENT else own
+
+
+def _skip(page: str, tag: str, at: int, holders: set[str]) -> int | None:
+    """End of the skipped element `tag` that was opened before `at`: after its end tag or before that of a holder; None without either."""
+    inner = [tag]
+    for m in _TAG.finditer(page, at):
+        name = (m[2] or m[5] or "").lower()
+        if m[1] or m[4]:
+            if name in inner:
+                del inner[len(inner) - 1 - inner[::-1].index(name) :]
+                if not inner:
+                    return m.end()
+            elif name in holders:
+                return m.start()
+        elif name and name not in VOID and not m[0].endswith("/>"):
+            inner.append(name)
+    return None
 
 
 def blocks(page: str) -> list[Block]:
@@ -81,6 +115,7 @@ def blocks(page: str) -> list[Block]:
     out: list[Block] = []
     stack: list[tuple[str, int, int, bool]] = [("", 0, 0, False)]  # tag, number, sign, inline
     number, parts, links = 0, [], 0
+    endless: set[tuple[str, frozenset[str]]] = set()
 
     def flush() -> None:
         nonlocal links
@@ -121,6 +156,15 @@ def blocks(page: str) -> list[Block]:
         if tag in RAW:
             if tag not in INLINE:
                 flush()
+            if tag in NESTED:
+                holders = frozenset(x[0] for x in stack[1:])
+                if not (m[0].endswith("/>") and tag in ("svg", "math")) and (tag, holders) not in endless:
+                    end = _skip(page, tag, at, holders)
+                    if end is None:
+                        endless.add((tag, holders))
+                    else:
+                        at = end
+                continue
             end = re.compile(rf"</{re.escape(tag)}\b[^>]*(?:>|\Z)", re.I).search(page, at)
             at = end.end() if end else size
             continue
@@ -138,9 +182,7 @@ def blocks(page: str) -> list[Block]:
             continue
         number += 1
         own = _sign(tag, m[3] or m[6] or "")
-        around = stack[-1][2]
-        # boilerplate stays so further in, except that a header inside an article belongs to it
-        sign = around if around < 0 or not own or (tag == "header" and around > 0) else own
+        sign = _inner(stack[-1][2], tag, own)
         stack.append((tag, number, sign, inline))
     flush()
     for b in out:
@@ -162,8 +204,8 @@ def train(pages: DataFrame, most: int = TRAIN_PAGES) -> dict[str, float]:
             found: Counter = Counter()
             for page in df["html"]:
                 for b in blocks(page or ""):
-                    if b.sign:
-                        found.update((f, b.sign) for f in [*b.features, "all"])
+                    if b.sign in (CONTENT, NAMED, NEVER):
+                        found.update((f, 1 if b.sign > 0 else -1) for f in [*b.features, "all"])
             yield pd.DataFrame([(f, s, n) for (f, s), n in found.items()], columns=["feature", "sign", "n"])
 
     got = pages.where(share).select("html").mapInPandas(count, "feature string, sign int, n bigint").groupBy("feature", "sign").agg(F.sum("n").alias("n"))
@@ -229,7 +271,7 @@ def main_text(page: str | None, odds: dict[str, float]) -> str:
     found = blocks(page or "")
     if not found:
         return ""
-    score = [PRIOR * b.sign + max(-BOUND, min(BOUND, sum(odds.get(f, 0.0) for f in b.features))) for b in found]
+    score = [PRIOR[b.sign] + max(-BOUND, min(BOUND, sum(odds.get(f, 0.0) for f in b.features))) for b in found]
     edges, last = {}, {}
     for i, b in enumerate(found):
         if i:

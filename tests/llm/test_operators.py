@@ -413,6 +413,30 @@ def test_main_text(page, want):
     assert html_extraction.main_text(page, {}) == want
 
 
+@pytest.mark.parametrize(
+    "page,want",
+    [
+        ("<article><p>Before.</p><svg width=1/><p>After.</p></article>", "Before.\nAfter."),
+        ("<article><p>Before.</p><math/><p>Between.</p><math><mi>x</mi></math><p>After.</p></article>", "Before.\nBetween.\nAfter."),
+        ("<article><div><object data=x></div><p>After.</p></article>", "After."),
+        ("<article><div><canvas></div><p>One.</p><div><canvas>no</canvas></div><p>Two.</p></article>", "One.\nTwo."),
+        ("<form action=x><nav>Home</nav><article><p>Text.</p></article><footer>f</footer></form>", "Text."),
+        ("<body class='has-sidebar'><div class='sidebar'>side</div><article><p>Text.</p></article></body>", "Text."),
+        ("<div class='post-header'><p>Menu</p><article><p>Text.</p><p>More.</p></article></div>", "Text.\nMore."),
+        ("<nav><article><p>Teaser</p></article></nav>", ""),
+    ],
+)
+def test_main_text_is_not_cut(page, want):
+    assert html_extraction.main_text(page, {}) == want
+
+
+def test_trained_cost_overrules_a_name():
+    page = "<div class='related'><p>Long text.</p></div><article><p>Long text.</p><p>More.</p></article>"
+    assert html_extraction.main_text(page, {}) == "Long text.\nMore."
+    page = "<article><p>Text.</p><div><p class='search'>Long text.</p><p>Long text.</p></div><p>More.</p></article>"
+    assert html_extraction.main_text(page, {"tag p": 3.0}) == "Text.\nLong text.\nLong text.\nMore."
+
+
 def test_min_cut_against_brute_force():
     draw = random.Random(1)
     for _ in range(200):
