@@ -163,14 +163,16 @@ def unique_values(generated: DataFrame, feature: str, cases: DataFrame) -> DataF
 
 
 def mutate_maps(cases: DataFrame, feature: str, n: int, seed: int = 0, id_column: str = "id") -> DataFrame:
-    """(id, feature): map values drawn key by key, each key from a base case of its own; keys come at their share."""
+    """(id, feature): map values drawn key by key, each key from a base case of its own; keys come at their share.
+
+    Every key deals the same `n` drawn base cases out to the ids, turned by a hash of the key: all entries of the base cases take part, and
+    ids and keys are never paired without one.
+    """
     draws = base_cases(cases, n, seed, id_column)
     entries = cases.select(F.col(id_column).alias("base"), F.explode(feature).alias("k", "v"))
-    keys = entries.select("k").distinct()
-    each = draws.select("id").join(F.broadcast(keys.limit(10_000)), F.lit(True))
-    picks = base_cases(cases, n, seed + 1, id_column).withColumnRenamed("id", "__d")
-    each = each.withColumn("__d", F.pmod(F.xxhash64(F.lit(seed), "id", "k"), F.lit(n)))
-    got = each.join(picks, "__d").join(entries, ["base", "k"])
+    picks = base_cases(cases, n, seed + 1, id_column).join(entries, "base")
+    turn = F.pmod(F.xxhash64(F.lit(seed), "k"), F.lit(n))
+    got = picks.select(F.pmod(F.col("id") + turn, F.lit(n)).alias("id"), "k", "v")
     return draws.select("id").join(got.groupBy("id").agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("k", "v")))).alias(feature)), "id", "left")
 
 

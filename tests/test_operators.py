@@ -424,3 +424,14 @@ def test_sources(spark, part, tmp_path):
     keys = readers.map_keys(part, "p_brand").collect()
     assert sorted(r.surrogate for r in keys) == list(range(len(keys)))
     assert readers.column_type(part.schema["p_retailprice"].dataType) == ("numeric", 8)
+
+
+def test_mutated_maps_use_every_key(spark):
+    """More distinct keys than any limit: each of the drawn base cases gives all of its entries."""
+    df = spark.range(1100).withColumn("m", F.map_from_entries(F.transform(F.sequence(F.lit(0), F.lit(10)), lambda i: F.struct(F.concat_ws("-", "id", i).alias("k"), F.col("id").alias("v")))))
+    got = synth.mutate_maps(df, "m", 700, 3)
+    assert got.count() == 700 and got.select("id").distinct().count() == 700
+    entries = got.select(F.explode("m").alias("k", "v"))
+    assert entries.count() == 700 * 11 and not entries.where("split(k, '-')[0] <> v").count()
+    plain = synth.mutate_maps(spark.range(50).select("id", F.create_map(F.lit("a"), F.col("id"), F.lit("b"), F.col("id")).alias("m")), "m", 400, 3).collect()
+    assert all(set(r.m) == {"a", "b"} for r in plain) and sum(r.m["a"] != r.m["b"] for r in plain) > 300
