@@ -205,7 +205,7 @@ def store_similar(spark, d):
     import uuid
 
     store = CaseStore(spark, f"{folder(spark)}/store-{uuid.uuid4().hex}")
-    store.train(part(spark, d).coalesce(1).sortWithinPartitions(ID), "all")
+    store.train(part(spark, d), "all", order=[ID])
     return rounded(store.similar({"p_size": 25}, 15, [ID]).select(ID, "rank"))
 
 

@@ -137,7 +137,7 @@ def store_sessions(spark, d):
 @query("SELECT p_partkey, round(p_retailprice, 6) AS p_retailprice FROM part ORDER BY p_retailprice DESC, p_partkey LIMIT 10")
 def store_extremes(spark, d):
     store = CaseStore(spark, _place(spark, "store"))
-    store.train(part(spark, d).coalesce(1).sortWithinPartitions(ID), "all")
+    store.train(part(spark, d), "all", order=[ID])
     return rounded(store.extreme("p_retailprice", 10).select(ID, "p_retailprice"))
 
 

@@ -18,13 +18,18 @@ from ..operators.condition import compile_condition
 from ..operators.knn import Metric, knn, metric_of
 from ..operators.react import influence
 from ..operators.validate import check
+from ..plans.storage import written
 
 KEY = ["_session", "_idx"]
 
 
 def running_index(df: DataFrame, start: int, order: list[Column] | None = None) -> DataFrame:
-    """`df` with `_idx` from `start` on, in the order of its rows' partitions, by prefix sums of partition sizes."""
+    """`df` with `_idx` from `start` on, in the order of its rows' partitions or in `order`, by prefix sums of partition sizes."""
+    if order:
+        df = df.repartitionByRange(*order).sortWithinPartitions(*order)
     df = df.withColumn("__p", F.spark_partition_id()).withColumn("__m", F.monotonically_increasing_id())
+    if order:  # the ranges are drawn once
+        df = written(df, "store-order")
     sizes = df.groupBy("__p").agg(F.count("*").alias("__n"))
     before = F.coalesce(F.sum("__n").over(W.orderBy("__p").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))  # a row per partition
     starts = sizes.select("__p", before.alias("__before"))
@@ -101,8 +106,8 @@ class CaseStore:
         df = self._read("cases")
         return 0 if df is None else df.count()
 
-    def train(self, df: DataFrame, session: str = "default", *, profile=None, derived: list[tuple[str, str]] = (), series: str | None = None) -> int:
-        """Append cases; returns their number. `profile`: they are checked first. `derived`: (name, SQL expression) in order.
+    def train(self, df: DataFrame, session: str = "default", *, profile=None, derived: list[tuple[str, str]] = (), series: str | None = None, order: list[str] = ()) -> int:
+        """Append cases, numbered in `order` if given; returns their number. `profile`: they are checked first. `derived`: (name, SQL expression) in order.
         `series`: rows of this staged series get the one case's values."""
         if profile:
             check(df, profile)
@@ -113,7 +118,7 @@ class CaseStore:
             df = df.withColumn(name, F.expr(expression))
         old = self._read("cases")
         start = 0 if old is None else (old.agg(F.max("_idx")).first()[0] or -1) + 1
-        new = running_index(df, start).withColumn("_session", F.lit(session))
+        new = running_index(df, start, [F.col(c) for c in order]).withColumn("_session", F.lit(session))
         self._append("cases", new)
         return self.count() - (0 if old is None else old.count())
 

@@ -435,3 +435,11 @@ def test_mutated_maps_use_every_key(spark):
     assert entries.count() == 700 * 11 and not entries.where("split(k, '-')[0] <> v").count()
     plain = synth.mutate_maps(spark.range(50).select("id", F.create_map(F.lit("a"), F.col("id"), F.lit("b"), F.col("id")).alias("m")), "m", 400, 3).collect()
     assert all(set(r.m) == {"a", "b"} for r in plain) and sum(r.m["a"] != r.m["b"] for r in plain) > 300
+
+
+def test_store_numbers_cases_in_order(spark, tmp_path):
+    """The order holds over many partitions, none of which has all rows."""
+    store = CaseStore(spark, f"{tmp_path}/store")
+    store.train(spark.range(5000).select(F.pmod(F.col("id") * 7, F.lit(5000)).alias("key")).repartition(6), "a", order=["key"])
+    store.train(spark.range(5000, 5100).repartition(3).select(F.col("id").alias("key")), "b", order=["key"])
+    assert not store.cases().where("_idx <> key").count() and store.count() == 5100
