@@ -1,4 +1,4 @@
-"""Removal of repeated passages by distributed, sparse prefix doubling (operator 7).
+"""Removal of repeated passages by winnowing with exact verification (operator 7).
 
 A byte is removed if a string of `LENGTH` = 50 bytes that covers it also starts in a document with a smaller doc_id. Positions
 are ranked by growing prefixes, and what is unique to one document at some length leaves the sort:
