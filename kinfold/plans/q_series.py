@@ -107,7 +107,7 @@ def series_forecast_step(spark, d):
 @query()
 def series_stationary(spark, d):
     df = _events(spark, d).withColumn("kind", F.when(F.col("user_id") % 3 == 0, "a").otherwise("b"))
-    return series.stationary(df, ["user_id"], ["value"], "kind", df.where("user_id % 10 = 0"), 5)
+    return series.stationary(df, ["user_id"], ["value"], "kind", df, 5)
 
 
 # --- the store
@@ -146,8 +146,9 @@ def store_evaluate(spark, d):
     store = CaseStore(spark, _place(spark, "store"))
     df = part(spark, d)
     first = df.agg(F.min("p_type")).first()[0]
-    store.train(df.where(F.col("p_type") == first), "all")
-    return store.evaluate({"x": "p_size + 0"}, {"total": "sum(x)", "n": "count(*)"})
+    store.train(df, "all")
+    kind = "'" + str(first).replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return store.evaluate({"x": "p_size + 0", "kind": "p_type"}, {"total": f"sum(x) FILTER (WHERE kind = {kind})", "n": f"count(*) FILTER (WHERE kind = {kind})"})
 
 
 # --- streams

@@ -39,3 +39,8 @@ def test_query(spark, con, name):
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_series_stationary_asks_every_user(spark):
+    users = spark.read.parquet(f"{SF}/events.parquet").select("user_id").distinct().count()
+    assert entry.queries()["series_stationary"](spark, SF).count() == users
