@@ -3,6 +3,7 @@
 import hashlib
 import math
 import random
+import re
 
 import numpy as np
 import pytest
@@ -344,6 +345,24 @@ def test_mixing_several_sources(spark):
     assert sizes == {"a": 2000, "b": 2000} and got.agg(F.sum("taken")).first()[0] == pytest.approx(3000, abs=20)
 
 
+def test_mixing_stage_on_odd_tables(spark, docs):
+    odd = docs.withColumn("copies", F.lit(9))
+    out = mixing.stage(spark, odd, SF)
+    assert sorted(out.columns) == sorted(odd.columns) and not out.where("copies NOT IN (1, 2)").count()
+    assert not out.where("text IS NULL OR trim(text) = ''").count()
+    plain = {(str(r.doc_id), r.copies) for r in mixing.stage(spark, docs, SF).select("doc_id", "copies").collect()}
+    assert {(str(r.doc_id), r.copies) for r in out.select("doc_id", "copies").collect()} == plain
+    empty = docs.limit(0)
+    assert mixing.mixed(empty).count() == 0 and mixing.stage(spark, empty, SF).count() == 0
+
+
+def test_mixing_buckets_change_nothing(docs, monkeypatch):
+    key = lambda: sorted((str(r.doc_id), r.size, r.taken) for r in mixing.mixed(docs).collect())
+    few = key()
+    monkeypatch.setattr(mixing, "BUCKET_ROWS", 0.01)
+    assert mixing._bucket_digits(1000) == 5 and key() == few
+
+
 # --- 7
 
 
@@ -471,12 +490,12 @@ def test_extraction_of_articles(spark):
 # --- 9
 
 
-def brute_tokens(word, pieces, floor):
+def brute_tokens(word, pieces, floor, longest=16):
     best = [(0.0, 0)] + [(-math.inf, 0)] * len(word)
     for end in range(1, len(word) + 1):
         n = len(word[end - 1].encode())
         best[end] = (best[end - 1][0] + n * floor, best[end - 1][1] - n)
-        for start in range(end):
+        for start in range(max(0, end - longest), end):
             s = pieces.get(word[start:end])
             if s is not None:
                 best[end] = max(best[end], (best[start][0] + s, best[start][1] - 1))
@@ -484,28 +503,51 @@ def brute_tokens(word, pieces, floor):
 
 
 def test_token_counts(spark, docs):
+    """Whole texts of any length, by the definition."""
     pieces = token_counts.load_pieces()
     floor = min(pieces.values()) - token_counts.BYTE_PENALTY
-    got = token_counts.token_counts(docs, pieces).collect()
+    got = token_counts.token_counts(docs.withColumn("n_tokens", F.lit("clash")), pieces).collect()
     assert len(got) == docs.count()
-    texts = {r.doc_id: r.text for r in docs.collect()}
-    memo = {}
+    texts, memo = {r.doc_id: r.text for r in docs.collect()}, {}
     for r in got:
         t = texts[r.doc_id]
-        ws = [token_counts.SPACE + w for w in t.split(" ")] if t else []
-        if len(ws) < 600 and (t is None or len(t) < 4000):
-            for w in set(ws):
-                memo.setdefault(w, None)
-                memo[w] = memo[w] or brute_tokens(w, pieces, floor)
-            assert r.n_tokens == sum(memo[w] for w in ws), r.doc_id
+        ws = re.findall("▁+[^▁]*", "▁" + t.replace(" ", "▁")) if t else []
+        for w in set(ws):
+            if w not in memo:
+                memo[w] = brute_tokens(w, pieces, floor)
+        assert r.n_tokens == sum(memo[w] for w in ws), r.doc_id
+
+
+def test_token_counts_by_other_segmenters(spark, docs):
+    """The same pieces in a library's own unigram model, and the merges of the vocabulary file."""
+    from sentencepiece import SentencePieceProcessor
+    from tokenizers import Tokenizer, models
+
+    pieces = token_counts.load_pieces()
+    assert sum(map(math.exp, pieces.values())) == pytest.approx(1)
+    vocabulary = [("<unk>", min(pieces.values())), *(("<0x%02X>" % i, -1e9) for i in range(256)), *pieces.items()]
+    unigram = Tokenizer(models.Unigram(vocabulary, unk_id=0, byte_fallback=True))
+    merges = SentencePieceProcessor(model_file=token_counts.VOCABULARY)
+    counter, ours, theirs = token_counts.Counter(pieces), 0, 0
+    for r in docs.where("length(text) < 20000").collect():
+        t = r.text or ""
+        n = counter.count(t)
+        same = sum(len(unigram.encode(w, add_special_tokens=False).ids) for w in token_counts.pretokens(t)) if t else 0
+        assert abs(n - same) <= 0.002 * same, r.doc_id
+        ours, theirs = ours + n, theirs + len(merges.encode(t))
+    assert ours == pytest.approx(theirs, rel=0.05)
+    for t in ("The government published important information about international relationships", "understanding transformers requires considerable mathematical background", "a  b   c", "  two leading"):
+        assert len(merges.encode(t)) <= counter.count(t) <= 1.3 * len(merges.encode(t)) + 1
 
 
 def test_token_store_restarts(monkeypatch):
-    monkeypatch.setattr(token_counts, "STORE", 3)
     pieces = {"▁a": -1.0, "b": -2.0, "▁ab": -5.0}
-    c = token_counts.Counter(pieces)
-    for texts in (["a ab b", "ab abb é", None, ""], ["b b b", "a"], ["abb é a"]):
-        assert c.count(texts) == [sum(brute_tokens("▁" + w, pieces, -15.0) for w in t.split(" ")) if t else 0 for t in texts]
+    for most in (1_000_000, 3):
+        monkeypatch.setattr(token_counts, "STORE", most)
+        c = token_counts.Counter(pieces)
+        for t in ("a ab b", "ab abb é", None, "", "b b b", "a", "abb é a", "é" * 5000, "ab" * 3000):
+            words = ["▁" + w for w in t.split(" ")] if t else []
+            assert c.count(t) == sum(brute_tokens(w, pieces, -15.0) for w in words)
 
 
 # --- 1
