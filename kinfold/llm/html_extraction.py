@@ -38,22 +38,27 @@ BAD_NAMES = frozenset(
     "related recommended breadcrumb breadcrumbs pagination pager widget toolbar search skip copyright legal disclaimer contentinfo complementary".split()
 )
 GOOD_NAMES = frozenset("article content main post entry story body text".split())
+#: Parts of a name that say nothing beside a telling one.
+PLAIN_NAMES = frozenset("site page global top bottom left right inner outer box bar block list item items link links wrap wrapper container section area panel primary secondary mobile desktop buttons button form the us".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Elements that a new one of the same group closes.
 CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 
 #: What an element can say of all that is in it.
-CONTENT, CONTESTED, UNKNOWN, FORM, NAMED, NEVER = 2, 1, 0, -1, -2, -3
+CONTENT, CONTESTED, UNKNOWN, HINTED, FORM, NAMED, NEVER = 3, 2, 0, -1, -2, -3, -4
 #: Prior log odds by what the nearest telling element around a block says, and the bound of the trained part.
-PRIOR = {CONTENT: 4.0, CONTESTED: 2.0, UNKNOWN: 0.0, FORM: -2.0, NAMED: -4.0, NEVER: -8.0}
+PRIOR = {CONTENT: 4.0, CONTESTED: 2.0, UNKNOWN: 0.0, HINTED: -1.0, FORM: -2.0, NAMED: -4.0, NEVER: -8.0}
 BOUND = 3.0
 NEIGHBOUR = 1.0
 SIBLING = 1.0
+#: Capacities up to this are none.
+EPSILON = 1e-9
 #: Pages of the training sample, at most about this many.
 TRAIN_PAGES = 4000
 
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)""", re.S)
-_ATTR = re.compile(r"""\b(class|id|role|style|hidden|aria-hidden)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""", re.I)
+#: One attribute after the other, so that no name is found inside a value or a longer name.
+_ATTR = re.compile(r"""([^\s=>"'/]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+))?|["']""")
 
 
 @dataclass
@@ -66,26 +71,41 @@ class Block:
     features: list[str] = field(default_factory=list)
 
 
+def _named(value: str) -> int:
+    """What the names in a class, id or role say: NAMED if one is made of telling and plain parts only, HINTED if a telling part stands
+    beside one of another meaning (market-share), which the trained odds and the neighbours can outweigh."""
+    found = UNKNOWN
+    for name in value.split():
+        parts = {x for x in re.split(r"[^a-z]+", name) if x}
+        if parts & BAD_NAMES:
+            found = min(found, NAMED if parts <= BAD_NAMES | PLAIN_NAMES | GOOD_NAMES else HINTED)
+        elif parts & GOOD_NAMES and not found:
+            found = CONTENT
+    return found
+
+
 def _sign(tag: str, attributes: str) -> int:
     """What an element says of all that is in it."""
     if tag in BAD_TAGS:
         return NEVER if tag in CLOSED else FORM if tag in FORMS else NAMED
-    good = tag in GOOD_TAGS
+    found = CONTENT if tag in GOOD_TAGS else UNKNOWN
     for m in _ATTR.finditer(attributes) if attributes else ():
-        name, value = m[1].lower(), (m[2] or "").strip("\"'").lower()
+        name, value = (m[1] or "").lower(), (m[2] or "").strip("\"'").lower()
         if name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and re.search(r"display\s*:\s*none", value):
             return NEVER
         if name in ("class", "id", "role") and tag not in ("html", "body"):
-            parts = set(re.split(r"[^a-z0-9]+", re.sub(r"\d+", "", value)))
-            if parts & BAD_NAMES:
-                return NAMED
-            good = good or bool(parts & GOOD_NAMES)
-    return CONTENT if good else UNKNOWN
+            says = _named(value)
+            found = min(found, says) if says < 0 else max(found, says) if found >= 0 else found
+    return found
 
 
 def _inner(around: int, tag: str, own: int) -> int:
     """What holds inside an element that says `own`: boilerplate stays so further in, except that an article or main in a named element, and any
-    content in a form, is contested. A header inside an article belongs to it."""
+    content in a form, is contested, as is what a name only hints at inside content. A header inside an article belongs to it."""
+    if around > 0 and own == HINTED:
+        return CONTESTED
+    if around == HINTED and own:
+        return CONTESTED if own == CONTENT else own
     if around in (NAMED, FORM) and own == CONTENT and (tag in GOOD_TAGS or around == FORM):
         return CONTESTED
     if around == FORM and own < FORM:
@@ -113,7 +133,13 @@ def _skip(page: str, tag: str, at: int, holders: set[str]) -> int | None:
 def blocks(page: str) -> list[Block]:
     """Text blocks in page order, character references decoded and white space folded."""
     out: list[Block] = []
-    stack: list[tuple[str, int, int, bool]] = [("", 0, 0, False)]  # tag, number, sign, inline
+    stack: list[tuple[str, int, int, bool, int]] = [("", 0, 0, False, 0)]  # tag, number, sign, inline, place of the innermost block element
+    opened: Counter = Counter()  # elements of the stack by tag
+
+    def close(level: int) -> None:
+        opened.subtract(x[0] for x in stack[level:])
+        del stack[level:]
+
     number, parts, links = 0, [], 0
     endless: set[tuple[str, frozenset[str]]] = set()
 
@@ -123,8 +149,8 @@ def blocks(page: str) -> list[Block]:
             text = " ".join("".join(parts).split())
             parts.clear()
             if text:
-                holder = next(x for x in reversed(stack) if not x[3])
-                at = next((i for i in range(len(stack) - 1, 0, -1) if not stack[i][3]), 0)
+                at = stack[-1][4]
+                holder = stack[at]
                 out.append(Block(text, holder[0], holder[2], stack[max(0, at - 1)][1], min(links, len(text))))
         links = 0
 
@@ -135,7 +161,7 @@ def blocks(page: str) -> list[Block]:
         if raw:
             text = entities.unescape(raw) if "&" in raw else raw
             parts.append(text)
-            if any(x[0] == "a" for x in stack):
+            if opened["a"] > 0:
                 links += len(text.strip())
         if not m:
             break
@@ -144,11 +170,13 @@ def blocks(page: str) -> list[Block]:
         if not tag:
             continue
         if m[1] or m[4]:
-            level = next((i for i in range(len(stack) - 1, 0, -1) if stack[i][0] == tag), 0)
             if tag not in INLINE:
                 flush()
-            if level and not (tag in INLINE and any(not x[3] for x in stack[level:])):
-                del stack[level:]
+            if opened[tag] > 0:  # an inline element is closed by its end tag only as long as no block was opened in it
+                lowest = stack[-1][4] if tag in INLINE else 0
+                level = next((i for i in range(len(stack) - 1, lowest, -1) if stack[i][0] == tag), 0)
+                if level:
+                    close(level)
             continue
         if tag == "br":
             parts.append(" ")
@@ -174,7 +202,7 @@ def blocks(page: str) -> list[Block]:
             closes = CLOSES.get(tag, {"p"})
             for i in range(len(stack) - 1, 0, -1):
                 if stack[i][0] in closes:
-                    del stack[i:]
+                    close(i)
                     break
                 if not stack[i][3] and stack[i][0] != "p":
                     break
@@ -183,7 +211,8 @@ def blocks(page: str) -> list[Block]:
         number += 1
         own = _sign(tag, m[3] or m[6] or "")
         sign = _inner(stack[-1][2], tag, own)
-        stack.append((tag, number, sign, inline))
+        stack.append((tag, number, sign, inline, stack[-1][4] if inline else len(stack)))
+        opened[tag] += 1
     flush()
     for b in out:
         n = len(b.text)
@@ -204,7 +233,7 @@ def train(pages: DataFrame, most: int = TRAIN_PAGES) -> dict[str, float]:
             found: Counter = Counter()
             for page in df["html"]:
                 for b in blocks(page or ""):
-                    if b.sign in (CONTENT, NAMED, NEVER):
+                    if b.sign in (CONTENT, NAMED, NEVER):  # what is hinted at, contested or unknown has no label
                         found.update((f, 1 if b.sign > 0 else -1) for f in [*b.features, "all"])
             yield pd.DataFrame([(f, s, n) for (f, s), n in found.items()], columns=["feature", "sign", "n"])
 
@@ -218,7 +247,7 @@ def min_cut(score: list[float], edges: dict[tuple[int, int], float]) -> list[boo
     """Labels (True: content) of least cost: |score| where a label goes against its sign, an edge's weight where it is cut.
 
     A node whose score outweighs all its edges is settled at once and becomes part of its neighbours' scores, which
-    changes no optimum; max-flow by shortest augmenting paths decides the rest. A tie is content.
+    changes no optimum; max-flow decides the rest, group by group. A tie is content for a settled block.
     """
     near: list[dict[int, float]] = [{} for _ in score]
     for (i, j), w in edges.items():
@@ -235,37 +264,57 @@ def min_cut(score: list[float], edges: dict[tuple[int, int], float]) -> list[boo
                 del near[j][i]
                 todo.append(j)
             near[i] = {}
-    rest = [i for i, x in enumerate(label) if x is None]
-    if rest:
-        left: dict = {i: dict(near[i]) for i in rest}
-        left["s"], left["t"] = {}, {}
-        for i in rest:
-            a, b = ("s", i) if score[i] > 0 else (i, "t")
-            left[a][b] = abs(score[i])
-            left[b].setdefault(a, 0.0)
-        while True:
-            via, queue = {"s": None}, deque(["s"])
-            while queue and "t" not in via:
-                x = queue.popleft()
-                for y, c in left[x].items():
-                    if c > 1e-9 and y not in via:
-                        via[y] = x
-                        queue.append(y)
-            if "t" not in via:
-                break
-            path, y = [], "t"
-            while via[y] is not None:
-                path.append((via[y], y))
-                y = via[y]
-            amount = min(left[a][b] for a, b in path)
-            for a, b in path:
-                left[a][b] -= amount
-                left[b][a] = left[b].get(a, 0.0) + amount
-        for i in rest:
-            label[i] = i in via
+    rest = {i for i, x in enumerate(label) if x is None}
+    while rest:  # group by group of undecided blocks that edges connect
+        group, seen = [rest.pop()], 0
+        while seen < len(group):
+            group += (more := near[group[seen]].keys() & rest)
+            rest -= more
+            seen += 1
+        content = _source_side(group, score, near)
+        for i in group:
+            label[i] = i in content
     return label
 
 
+def _source_side(group: list[int], score: list[float], near: list[dict[int, float]]) -> set:
+    """The blocks that the source still reaches after a maximum flow, found in phases of shortest paths (blocking flows)."""
+    left: dict = {i: {j: w for j, w in near[i].items()} for i in group}
+    left["s"], left["t"] = {}, {}
+    for i in group:
+        a, b = ("s", i) if score[i] > 0 else (i, "t")
+        left[a][b] = abs(score[i])
+        left[b].setdefault(a, 0.0)
+    while True:
+        level, queue = {"s": 0}, deque(["s"])
+        while queue:
+            x = queue.popleft()
+            for y, c in left[x].items():
+                if c > EPSILON and y not in level:
+                    level[y] = level[x] + 1
+                    queue.append(y)
+        if "t" not in level:
+            return level.keys() - {"s"}
+        arcs = {x: iter([y for y in left[x] if level.get(y) == level[x] + 1]) for x in level}
+        path = ["s"]
+        while path:
+            x = path[-1]
+            if x == "t":
+                steps = list(zip(path, path[1:], strict=False))
+                amount = min(left[a][b] for a, b in steps)
+                for a, b in steps:
+                    left[a][b] -= amount
+                    left[b][a] = left[b].get(a, 0.0) + amount
+                cut = next(k for k, (a, b) in enumerate(steps) if left[a][b] <= EPSILON)
+                del path[cut + 1 :]
+                continue
+            y = next((y for y in arcs[x] if left[x][y] > EPSILON), None)
+            if y is None:
+                path.pop()
+            else:
+                path.append(y)
+
+
 def main_text(page: str | None, odds: dict[str, float]) -> str:
     """Content blocks joined by line feeds; empty for a null or empty page."""
     found = blocks(page or "")
@@ -285,7 +334,11 @@ def main_text(page: str | None, odds: dict[str, float]) -> str:
 
 
 def extract(pages: DataFrame, odds: dict[str, float]) -> DataFrame:
-    """(page_id, url, text, n_chars) of every row of `pages` (page_id, url, html)."""
+    """(page_id, url, text, n_chars) of every row of `pages` (page_id, url, html).
+
+    A null or empty html has an empty text. Repeated rows are extracted each, null ids and urls are returned as they are, extra columns are
+    ignored. A page is worked through once from start to end, whatever its depth and length.
+    """
     shared = pages.sparkSession.sparkContext.broadcast(odds)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

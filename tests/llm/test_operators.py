@@ -456,6 +456,66 @@ def test_trained_cost_overrules_a_name():
     assert html_extraction.main_text(page, {"tag p": 3.0}) == "Text.\nLong text.\nLong text.\nMore."
 
 
+PARAGRAPH = "A paragraph of the article, with enough words to be a text of its own."
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<article><div title='the hidden valley'><p>{}</p></div></article>",
+        "<article><p data-id='ad-1'>{}</p></article>",
+        "<article><p data-style='display:none' title=\"class='ad'\">{}</p></article>",
+        "<article><section id='legal-history'><p>{}</p></section></article>",
+        "<article><div class='market-share'><p>{}</p></div></article>",
+        "<body class='has-sidebar menu-open'><article><p>{}</p></article></body>",
+        "<form action='/x'><article><p>{}</p></article></form>",
+        "<form action='/x'><div class='content'><p>{}</p></div></form>",
+    ],
+)
+def test_attributes_do_not_hide_an_article(page):
+    assert html_extraction.main_text(page.format(PARAGRAPH), {}) == PARAGRAPH
+
+
+@pytest.mark.parametrize("name", ["ad", "ads top", "share-buttons", "comment-list", "site-footer", "x sidebar-right", "cookie_notice"])
+def test_names_of_boilerplate(name):
+    page = f"<article><p>{PARAGRAPH}</p><div class='{name}'><p>Other.</p></div><p>{PARAGRAPH}</p></article>"
+    assert html_extraction.main_text(page, {}) == f"{PARAGRAPH}\n{PARAGRAPH}"
+
+
+def test_flow_flips_labels():
+    """Blocks whose own costs say boilerplate are content among content, and the other way round, where no block is settled at once."""
+    score, chain = [1.5, -0.5, 1.5, -0.6, 1.2], {(i, i + 1): 1.0 for i in range(4)}
+    assert all(html_extraction.min_cut(score, chain)) and not any(html_extraction.min_cut([-x for x in score], chain))
+    draw = random.Random(4)
+    score, flipped = [draw.choice([-1.0, 1.1]) for _ in range(300)], 0
+    label = html_extraction.min_cut(score, {(i, i + 1): 0.9 for i in range(299)})
+    flipped = sum(x != (s > 0) for s, x in zip(score, label, strict=True))
+    assert 20 < flipped < 280
+    page = f"<div><p>{PARAGRAPH}</p><p>and so</p><p>{PARAGRAPH}</p></div>"
+    odds = {"length 3": -1.8, "stop True": 2.0, "stop False": 0.0}
+    assert html_extraction.main_text(page, odds) == f"{PARAGRAPH}\nand so\n{PARAGRAPH}"
+
+
+def test_articles_without_names_and_elements(spark):
+    """Learned costs and neighbours find the article where neither a name nor an article element is left."""
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    odds, same, n = html_extraction.train(pages), 0, 0
+    for r in pages.collect():
+        bare = re.sub(r"<(/?)article>", r"<\1div>", re.sub(r"\s(?:class|id|role)=(?:\"[^\"]*\"|'[^']*'|[^\s>]+)", "", r.html or ""))
+        same += html_extraction.main_text(bare, odds) == html_extraction.main_text(r.html, odds)
+        n += 1
+    assert same >= 0.9 * n
+
+
+def test_deep_and_long_pages():
+    deep = "<div>" * 20_000 + "<a>" * 20_000 + "<b>x</b> " * 20_000 + "</i>" * 20_000
+    assert len(html_extraction.main_text(f"<article>{deep}", {}).split()) == 20_000
+    many = "".join(f"<section><p>Word {i} and more of it.</p></section>" for i in range(20_000))
+    assert html_extraction.main_text(f"<main>{many}</main>", {}).count("\n") == 19_999
+    scores = [0.4 if i % 3 else -0.7 for i in range(20_000)]
+    assert len(html_extraction.min_cut(scores, {(i, i + 1): 0.5 for i in range(19_999)})) == 20_000
+
+
 def test_min_cut_against_brute_force():
     draw = random.Random(1)
     for _ in range(200):
