@@ -149,19 +149,19 @@ def test_decontamination(spark, docs):
     ws = one.text.split()
     partly = " ".join([*ws[: len(ws) - 2], "other", "words"])  # most shingles stay
     far = " ".join(f"filler{i}" for i in range(20_000))
-    more = [(800001, f"{far} {one.text.upper()} {far}", None, None, 0), (800002, partly, None, None, 0), (800003, " ".join(ws[: len(ws) // 2]), None, None, 0)]
+    more = [(800004, f"{far} Four words: ONLY here! zweiwort allein {far}", None, None, 0), (800005, "four words only, and here; einzelwort", None, None, 0), (800001, f"{far} {one.text.upper()} {far}", None, None, 0), (800002, partly, None, None, 0), (800003, " ".join(ws[: len(ws) // 2]), None, None, 0)]
     both = docs.select("doc_id", "text").unionByName(spark.createDataFrame(more, DOCS).select("doc_id", "text"))
-    items = items.unionByName(spark.createDataFrame([(7001, None), (7002, "four words only here"), (None, "an item that has no id at all but text")], "item_id bigint, text string"))
+    items = items.unionByName(spark.createDataFrame([(7001, None), (7002, "four words only here"), (7003, "!?"), (7004, "Zweiwort, allein"), (7005, "einzelwort"), (7006, "no such words"), (None, "an item that has no id at all but text")], "item_id bigint, text string"))
 
-    def shingles(t):
+    def shingles(t, lengths=None):
         import regex
 
         w = regex.findall(r"[\p{L}\p{N}]+", (t or "").lower())
-        return {tuple(w[i : i + 5]) for i in range(len(w) - 4)}
+        return {tuple(w[i : i + k]) for k in lengths or [min(len(w), 5)] for i in range(len(w) - k + 1) if k}
 
     have = {}
     for r in both.collect():
-        have.setdefault(r.doc_id, set()).update(shingles(r.text))
+        have.setdefault(r.doc_id, set()).update(shingles(r.text, range(1, 6)))
     want = {}
     for i in items.collect():
         s = shingles(i.text)
@@ -170,6 +170,21 @@ def test_decontamination(spark, docs):
                 want[d, i.item_id] = len(s & t)
     got = {(r.doc_id, r.item_id): r.n_shared for r in decontamination.contained(both, items).collect()}
     assert got == want and (800001, one.item_id) in got and (800003, one.item_id) not in got
+    assert {(800004, 7002), (800004, 7004), (800005, 7005)} <= got.keys() and (800005, 7002) not in got
+    assert decontamination.contained(both, items.limit(0)).count() == 0 and decontamination.contained(both.limit(0), items).count() == 0
+
+
+def test_decontamination_sql_finds_short_items(spark, tmp_path):
+    import duckdb
+
+    items = spark.createDataFrame([(1, "four words only here"), (2, "one"), (3, None), (4, "a b c d e f g h i j")], "item_id bigint, text string")
+    docs = spark.createDataFrame([(1, "x four words only here y"), (2, "One, two"), (3, "a b c d e f g h i"), (4, None), (5, "four words only")], "doc_id bigint, text string")
+    con = duckdb.connect()
+    con.register("benchmark", items.toPandas())
+    con.register("documents", docs.toPandas())
+    want = sorted(con.execute(decontamination.SQL).fetchall())
+    assert sorted(tuple(r) for r in decontamination.contained(docs, items).collect()) == want
+    assert [x[:2] for x in want] == [(1, 1), (2, 2), (3, 4)]
 
 
 # --- 4
