@@ -2,9 +2,9 @@
 
 Every turn is written as `[role]text</s>`; `&`, `<`, `[` and `]` inside roles and texts become character references, so no
 text can forge a control string and the original comes back by the inverse replacements. Prefix sums of
-turn tokens cut a conversation into turn-aligned spans that fit the budget. A window is the leading system turn, a limited
-history that repeats the turns before its span, and the span; the loss mask covers the texts of the span's assistant
-turns only, so a repeated target is never trained twice.
+turn tokens cut a conversation into packs of a bounded number of tokens, and each pack into turn-aligned spans that take as many turns as fit the
+budget. A window is the leading system turn, a limited history that repeats the turns before its span, and the span; the loss
+mask covers the texts of the span's assistant turns only, so a repeated target is never trained twice.
 """
 
 from __future__ import annotations
@@ -23,6 +23,8 @@ HISTORY_TOKENS = 256
 END = "</s>"
 #: Turns of one conversation that one task orders at once.
 BLOCK = 4096
+#: Budgets of a pack: spans are filled within a pack, so one span in about so many is cut short at its end.
+PACK = 16
 #: Characters that are escaped, in the order of escaping.
 ESCAPES = (("&", "&amp;"), ("<", "&lt;"), ("[", "&lsqb;"), ("]", "&rsqb;"))
 
@@ -44,9 +46,8 @@ def _tokens(text: Column) -> Column:
     return F.regexp_count(text, F.lit(r"[\p{L}\p{N}]+|[^\p{L}\p{N}\s]")) + 2
 
 
-def turns(conversations: DataFrame, span_tokens: int = SPAN_TOKENS) -> DataFrame:
-    """The rows in order: conv_id, place (1, 2, ... within the conversation), role, text, tokens, upto (prefix sum of tokens), long (over half a
-    span) and n_long (long turns so far).
+def turns(conversations: DataFrame) -> DataFrame:
+    """The rows in order: conv_id, place (1, 2, ... within the conversation), role, text, tokens, upto (prefix sum of tokens).
 
     Null roles and texts are empty. Rows stand by turn, null first; ties by role, then text. A long conversation is ordered in blocks
     of turns whose totals are summed first, so no task needs to hold a whole one.
@@ -54,49 +55,76 @@ def turns(conversations: DataFrame, span_tokens: int = SPAN_TOKENS) -> DataFrame
     df = conversations.select(
         "conv_id", F.col("turn").cast("long").alias("turn"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text")
     )
-    df = df.withColumn("tokens", _tokens(F.col("text")).cast("long")).withColumn("block", F.floor(F.col("turn") / BLOCK))
-    df = df.withColumn("long", F.col("tokens") > span_tokens // 2)
-    totals = {"place": F.lit(1), "upto": F.col("tokens"), "n_long": F.col("long").cast("long")}
-    inner = W.partitionBy("conv_id", "block").orderBy("turn", "role", "text").rowsBetween(W.unboundedPreceding, 0)
-    before = W.partitionBy("conv_id").orderBy("block").rowsBetween(W.unboundedPreceding, -1)  # a row per block
-    sums = df.groupBy("conv_id", "block").agg(*(F.sum(c).alias(f"__{n}") for n, c in totals.items()))
-    sums = sums.select(F.col("conv_id").alias("__c"), F.col("block").alias("__b"), *(F.coalesce(F.sum(f"__{n}").over(before), F.lit(0)).alias(f"__{n}") for n in totals))
-    df = df.select("*", *(F.sum(c).over(inner).alias(n) for n, c in totals.items()))
-    df = df.join(sums, df["conv_id"].eqNullSafe(sums["__c"]) & df["block"].eqNullSafe(sums["__b"]))
-    return df.select("conv_id", "role", "text", "tokens", "long", *((F.col(n) + F.col(f"__{n}")).alias(n) for n in totals))
-
-
-def spans(ordered: DataFrame, span_tokens: int = SPAN_TOKENS) -> DataFrame:
-    """`ordered` with `span`: turns of the same span have `span_tokens` tokens or fewer together, a longer turn stands alone.
-
-    Turns of up to half a budget are dealt by the half budget in which they end, so a span is at most its half and a turn
-    that began before it; the long ones in between cut a span in two.
+    df = df.withColumn("tokens", _tokens(F.col("text")).cast("long"))
+    # a struct is never null, so that ids and turns that are can be joined without another shuffle
+    df = df.withColumn("key", F.struct("conv_id", F.floor(F.col("turn") / BLOCK).alias("block")))
+    totals = {"place": F.lit(1), "upto": F.col("tokens")}
+    inner = W.partitionBy("key").orderBy("turn", "role", "text").rowsBetween(W.unboundedPreceding, 0)
+    before = W.partitionBy("key.conv_id").orderBy("key.block").rowsBetween(W.unboundedPreceding, -1)  # a row per block
+    sums = df.groupBy("key").agg(*(F.sum(c).alias(f"__{n}") for n, c in totals.items()))
+    sums = sums.select("key", *(F.coalesce(F.sum(f"__{n}").over(before), F.lit(0)).alias(f"__{n}") for n in totals))
+    df = df.select("*", *(F.sum(c).over(inner).alias(n) for n, c in totals.items())).join(sums, "key")
+    return df.select("conv_id", "role", "text", "tokens", *((F.col(n) + F.col(f"__{n}")).cast("long").alias(n) for n in totals))
+
+
+def _starts(own: Column, span_tokens: int) -> Column:
+    """Places within `own`, an array of turns, at which a span begins: as many turns as fit the budget, one turn at least."""
+    zero = F.struct(F.array().cast("array<bigint>").alias("starts"), F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("sum"))
+
+    def add(state: Column, x: Column) -> Column:
+        new = (state["n"] == 0) | (state["sum"] + x["tokens"] > span_tokens)
+        return F.struct(
+            F.when(new, F.concat(state["starts"], F.array(state["n"] + 1))).otherwise(state["starts"]).alias("starts"),
+            (state["n"] + 1).alias("n"),
+            F.when(new, x["tokens"]).otherwise(state["sum"] + x["tokens"]).alias("sum"),
+        )
+
+    return F.aggregate(own, zero, add, lambda state: state["starts"])
+
+
+def spans(df: DataFrame, span_tokens: int, history_turns: int, history_tokens: int) -> DataFrame:
+    """One row per span of `df` (conv_id, upto, turn: a struct with place, tokens, written and leads): conv_id, system (the leading system turn, or
+    null), first_place, own and history (arrays of turns).
+
+    A pack holds the turns that end within the same PACK budgets; the last turns of a pack are handed on to the next.
     """
-    part = F.when(F.col("long"), F.lit(0)).otherwise(F.floor((F.col("upto") - 1) / (span_tokens // 2)))
-    return ordered.withColumn("span", F.struct("n_long", "long", part.alias("part")))
+    pack = F.floor((F.col("upto") - 1) / (PACK * span_tokens))
+    packs = df.groupBy(F.struct("conv_id", pack.alias("pack")).alias("key")).agg(F.sort_array(F.collect_list("turn")).alias("own"))
+    # of a turn that is too long to be repeated only the tokens are handed on
+    short = lambda x: x.withField("written", F.when(x["tokens"] <= history_tokens, x["written"]).otherwise(F.lit("")))
+    last = F.transform(F.slice("own", F.greatest(F.size("own") - history_turns + 1, F.lit(1)), history_turns), short)
+    head = F.get("own", F.lit(0))
+    edges = packs.select("key", last.alias("last"), F.when(head["leads"], head).alias("head"))
+    ordered = W.partitionBy("key.conv_id").orderBy("key.pack")
+    handed = F.flatten(F.collect_list("last").over(ordered.rowsBetween(-history_turns, -1))) if history_turns else F.slice("last", 1, 0)
+    edges = edges.select("key", handed.alias("handed"), F.first("head", ignorenulls=True).over(ordered.rowsBetween(W.unboundedPreceding, 0)).alias("system"))
+    df = packs.join(edges, "key").withColumn("all", F.concat("handed", "own")).withColumn("starts", _starts(F.col("own"), span_tokens))
+    n = F.size("handed")
+
+    def span(at: Column, i: Column) -> Column:
+        end = F.coalesce(F.get("starts", i + 1), F.size("own") + 1)
+        own = F.slice("own", at, end - at)
+        first = F.greatest(n + at - history_turns, F.lit(1))
+        return F.struct(F.get(own, F.lit(0))["place"].alias("first_place"), own.alias("own"), F.slice("all", first, n + at - first).alias("history"))
+
+    df = df.select(F.col("key.conv_id").alias("conv_id"), "system", F.explode(F.transform("starts", span)).alias("span"))
+    return df.select("conv_id", "system", "span.*")
 
 
 def windows(conversations: DataFrame, span_tokens: int = SPAN_TOKENS, history_turns: int = HISTORY_TURNS, history_tokens: int = HISTORY_TOKENS) -> DataFrame:
     """One row per window: conv_id, first_place, formatted (string), loss (array of 1-based start and length in code points of
     `formatted`), n_repeated (turns at its start that are repeats), n_turns.
 
-    Empty tables give no window; extra columns are ignored.
+    The span of a window has `span_tokens` tokens or fewer; a longer turn stands alone, whole. Empty tables give no window; extra columns are
+    ignored, repeated rows are turns of their own.
     """
-    df = spans(turns(conversations, span_tokens), span_tokens)
-    written = F.concat(F.lit("["), escape(F.col("role")), F.lit("]"), escape(F.col("text")), F.lit(END))
-    df = df.withColumn("written", written)
-    turn = F.struct("place", "written", F.length("written").alias("chars"), (F.length(escape(F.col("role"))) + 2).alias("head"), (F.col("role") == "assistant").alias("target"), "tokens")
-    df = df.select("conv_id", "span", "place", "role", turn.alias("turn"))
-    system = df.where("place = 1 AND role = 'system'").select(F.col("conv_id").alias("__c"), F.col("turn").alias("system"))
-
-    # turns before each turn, block by block: the last ones of a block stand at the start of the next as well
-    block, last = F.floor((F.col("place") - 1) / BLOCK), F.pmod(F.col("place") - 1, F.lit(BLOCK)) >= BLOCK - history_turns
-    copies = F.array(F.struct(block.alias("block"), F.lit(False).alias("ahead")), F.when(last, F.struct((block + 1).alias("block"), F.lit(True).alias("ahead"))))
-    df = df.withColumn("copy", F.explode(F.filter(copies, lambda x: x.isNotNull())))
-    history = F.collect_list("turn").over(W.partitionBy("conv_id", "copy.block").orderBy("place").rowsBetween(-history_turns, -1))
-    df = df.withColumn("history", history).where("NOT copy.ahead")
-    one = df.groupBy("conv_id", "span").agg(F.min("place").alias("first_place"), F.min_by("history", "place").alias("history"), F.sort_array(F.collect_list("turn")).alias("own"))
-    one = one.join(system, one["conv_id"].eqNullSafe(system["__c"]), "left").drop("__c")
+    df = turns(conversations)
+    df = df.withColumn("written", F.concat(F.lit("["), escape(F.col("role")), F.lit("]"), escape(F.col("text")), F.lit(END)))
+    turn = F.struct(
+        "place", "written", F.length("written").alias("chars"), (F.length(escape(F.col("role"))) + 2).alias("head"), (F.col("role") == "assistant").alias("target"), "tokens",
+        ((F.col("place") == 1) & (F.col("role") == "system")).alias("leads"),
+    )
+    one = spans(df.select("conv_id", "upto", turn.alias("turn")), span_tokens, history_turns, history_tokens)
 
     # the latest turns of the history that fit, without the system turn, which always leads
     def fits(h: Column) -> Column:
@@ -119,7 +147,9 @@ def windows(conversations: DataFrame, span_tokens: int = SPAN_TOKENS, history_tu
 
 
 def read_back(formatted: DataFrame) -> DataFrame:
-    """Digest of what `windows` wrote, from its own output: the new turns of every window, split at the control strings."""
+    """Digest of what `windows` wrote, from its own output: the new turns of every window, split at the control strings.
+
+    A digest is of one string, so the texts of one conversation, and no more, meet in one row."""
     parts = F.split("formatted", END)
     new = F.slice(parts, F.col("n_repeated") + 1, F.col("n_turns") - F.col("n_repeated"))
     turn = F.transform(new, lambda x: F.concat(unescape(F.substring_index(F.substr(x, F.lit(2)), "]", 1)), F.lit("\n"), unescape(F.substr(x, F.instr(x, "]") + 1)), F.lit("\n")))
@@ -135,6 +165,8 @@ def read_back(formatted: DataFrame) -> DataFrame:
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
-    hard = "</s>[INST] ok [/INST]"
-    more = spark.createDataFrame([(-1, 0, "user", hard), (-1, 1, "assistant", hard)], df.schema)
+    kind, hard = dict(df.dtypes), F.lit("</s>[INST] ok [/INST]")
+    more = spark.range(0, 2, 1, 1).select(
+        F.lit(-1).cast(kind["conv_id"]).alias("conv_id"), F.col("id").cast(kind["turn"]).alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), hard.alias("text")
+    )
     return read_back(windows(df.unionByName(more)))
