@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections import deque
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
@@ -24,6 +25,8 @@ SEED = "mix-7:"
 ROUNDS = 4
 #: The flow network is solved on the driver; more patterns than this are refused, never dropped.
 MAX_PATTERNS = 20_000
+#: Documents that one task orders at a time, about; no result depends on it.
+BUCKET_ROWS = 100_000
 
 
 def water_fill(sizes: dict, weights: dict, total: float, copies: int = MAX_COPIES) -> dict:
@@ -102,8 +105,13 @@ def select(sized: DataFrame, given: DataFrame, copies: int = MAX_COPIES, seed: s
     """`sized` (doc_id, size, pattern, ...) with `taken`: whole documents in seeded order while they fit what `given` (pattern,
     give: array by copy) lets each copy take; then, `ROUNDS` times, one document is added (or taken out, where
     too much is in) whose size comes closest to the rest. With `layers` and `prefix` (arrays by copy: whether it is in, whether it was before
-    the adjustment) and `__h`, its place in the order."""
-    df = sized.withColumn("__h", seeded(F.col("doc_id"), seed)).withColumn("__b", F.substring("__h", 1, 3))
+    the adjustment) and `__h`, its place in the order.
+
+    A round keeps one row per pattern: what is left of each copy, and the few places that were turned so far. It meets the
+    documents in one broadcast join (patterns are at most `MAX_PATTERNS`), so rounds do not build on each other's plans.
+    """
+    df = sized.withColumn("__h", seeded(F.col("doc_id"), seed))
+    df = df.withColumn("__b", F.substring("__h", 1, _bucket_digits(sized.count())))
     sums = df.groupBy("pattern", "__b").agg(F.sum("size").alias("__sum"))
     before = F.coalesce(F.sum("__sum").over(W.partitionBy("pattern").orderBy("__b").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
     sums = sums.select(F.col("pattern").alias("__p"), F.col("__b").alias("__c"), before.alias("__before"))
@@ -111,34 +119,47 @@ def select(sized: DataFrame, given: DataFrame, copies: int = MAX_COPIES, seed: s
     inside = W.partitionBy("pattern", "__b").orderBy("__h", "doc_id", "size").rowsBetween(W.unboundedPreceding, 0)
     df = df.withColumn("__end", F.col("__before") + F.sum("size").over(inside))
     df = stash(df.select(*sized.columns, "__h", "__end"), "mixing-order")
-    names = [*sized.columns, "__h", "__end"]
-
-    # what is left of each copy's tokens once the documents that fit are in
-    given = given.select(F.col("pattern").alias("__p"), "give")
-    df = df.join(F.broadcast(given), df["pattern"].eqNullSafe(given["__p"])).drop("__p")
-    df = df.select(*names, "give", *((F.col("__end") <= F.col("give")[i]).alias(f"__in{i}") for i in range(copies)))
-    df = df.withColumn("prefix", F.array(*(f"__in{i}" for i in range(copies))))
-    names = [*names, "prefix"]
-    left = [(F.max("give")[i] - F.coalesce(F.sum(F.when(F.col(f"__in{i}"), F.col("size"))), F.lit(0))).alias(f"__r{i}") for i in range(copies)]
-    rest = stash(df.groupBy("pattern").agg(*left), "mixing-rest")
+
+    def placed(state: DataFrame) -> DataFrame:
+        """The documents with `__in`: whether each copy takes them, given the places turned so far."""
+        state = state.withColumnRenamed("pattern", "__p")
+        now = df.join(F.broadcast(state), df["pattern"].eqNullSafe(state["__p"])).drop("__p")
+        prefix = [F.col("__end") <= F.col("give")[i] for i in range(copies)]
+        # a document without words shares its place with the one before and is never turned
+        turned = [(F.col("size") > 0) & F.array_contains(F.col("turned")[i], F.col("__end")) for i in range(copies)]
+        return now.withColumn("prefix", F.array(*prefix)).withColumn("__in", F.array(*(a != b for a, b in zip(prefix, turned, strict=True))))
+
+    none = F.array(*(F.array().cast("array<bigint>") for _ in range(copies)))
+    state = given.select("pattern", "give", none.alias("turned"))
+    sums = placed(state).groupBy("pattern").agg(*(F.coalesce(F.sum(F.when(F.col("__in")[i], F.col("size"))), F.lit(0)).alias(f"__s{i}") for i in range(copies)))
+    sums = sums.withColumnRenamed("pattern", "__p")
+    state = state.join(sums, state["pattern"].eqNullSafe(sums["__p"]))
+    state = stash(state.select("pattern", "give", "turned", F.array(*(F.col("give")[i] - F.col(f"__s{i}") for i in range(copies))).alias("left")), "mixing-left")
     for _ in range(ROUNDS):
-        rest = rest.withColumnRenamed("pattern", "__p")
-        now = df.join(F.broadcast(rest), df["pattern"].eqNullSafe(rest["__p"])).drop("__p")
-        best = []
+        now, best = placed(state), []
         for i in range(copies):
-            r, inside = F.col(f"__r{i}"), F.col(f"__in{i}")
+            r, taken = F.col("left")[i], F.col("__in")[i]
             off = F.abs(F.col("size") - F.abs(r))
-            may = (F.col("size") > 0) & (off < F.abs(r)) & F.when(r > 0, ~inside).otherwise(inside)
-            best.append(F.min(F.when(may, F.struct(off, F.col("__end").alias("end"), F.col("size").alias("size")))).alias(f"__x{i}"))
-        best = now.groupBy("pattern").agg(*(F.max(f"__r{i}").alias(f"__r{i}") for i in range(copies)), *best)
-        best = stash(best.withColumnRenamed("pattern", "__p"), "mixing-best")
-        df = df.join(F.broadcast(best.drop(*(f"__r{i}" for i in range(copies)))), df["pattern"].eqNullSafe(best["__p"])).drop("__p")
-        turned = [F.coalesce((F.col("size") > 0) & (F.col("__end") == F.col(f"__x{i}")["end"]), F.lit(False)) for i in range(copies)]
-        df = df.select(*names, *((F.col(f"__in{i}") != turned[i]).alias(f"__in{i}") for i in range(copies)))
-        moved = [F.coalesce(F.when(F.col(f"__r{i}") > 0, F.col(f"__x{i}")["size"]).otherwise(-F.col(f"__x{i}")["size"]), F.lit(0)) for i in range(copies)]
-        rest = best.select(F.col("__p").alias("pattern"), *((F.col(f"__r{i}") - moved[i]).alias(f"__r{i}") for i in range(copies)))
-    taken = sum((F.when(F.col(f"__in{i}"), F.col("size")).otherwise(F.lit(0)) for i in range(copies)), F.lit(0))
-    return df.select(*sized.columns, taken.cast("long").alias("taken"), F.array(*(f"__in{i}" for i in range(copies))).alias("layers"), "prefix", "__h")
+            may = (F.col("size") > 0) & (off < F.abs(r)) & F.when(r > 0, ~taken).otherwise(taken)
+            best.append(F.min(F.when(may, F.struct(off.alias("off"), F.col("__end").alias("end"), F.col("size").alias("size")))).alias(f"__x{i}"))
+        found = now.groupBy("pattern").agg(*best).withColumnRenamed("pattern", "__p")
+        state = state.join(found, state["pattern"].eqNullSafe(found["__p"]))
+        # a place that is turned twice is as it was
+        ends = [F.array_compact(F.array(F.col(f"__x{i}")["end"])) for i in range(copies)]
+        turned = [F.concat(F.array_except(F.col("turned")[i], ends[i]), F.array_except(ends[i], F.col("turned")[i])) for i in range(copies)]
+        moved = [F.coalesce(F.when(F.col("left")[i] > 0, F.col(f"__x{i}")["size"]).otherwise(-F.col(f"__x{i}")["size"]), F.lit(0)) for i in range(copies)]
+        left = [F.col("left")[i] - moved[i] for i in range(copies)]
+        state = stash(state.select("pattern", "give", F.array(*turned).alias("turned"), F.array(*left).alias("left")), "mixing-left")
+    taken = sum((F.when(F.col("__in")[i], F.col("size")).otherwise(F.lit(0)) for i in range(copies)), F.lit(0))
+    return placed(state).select(*sized.columns, taken.cast("long").alias("taken"), F.col("__in").alias("layers"), "prefix", "__h")
+
+
+def _bucket_digits(rows: int) -> int:
+    """Hexadecimal digits of the order that make a bucket: about `BUCKET_ROWS` documents in each, 4,096 buckets at least."""
+    digits = 3
+    while rows > BUCKET_ROWS * 16**digits:
+        digits += 1
+    return digits
 
 
 def rules(selection: DataFrame, copies: int = MAX_COPIES) -> DataFrame:
@@ -172,7 +193,8 @@ def mix(spark: SparkSession, sized: DataFrame, weights, share_percent: int = SHA
     share = weights(names)
     targets = water_fill(sizes, share, share_percent * sum(patterns.values()) / 100, copies)
     flow = route(patterns, {s: int(targets[s] + 0.5) for s in names}, copies)
-    given = spark.createDataFrame([(list(p), give) for p, give in flow.items()], "pattern array<string>, give array<bigint>")
+    kinds = pa.schema([("pattern", pa.list_(pa.string())), ("give", pa.list_(pa.int64()))])
+    given = spark.createDataFrame(pa.Table.from_pylist([{"pattern": list(p), "give": give} for p, give in flow.items()], kinds))
     return select(sized, given, copies, seed), sizes, targets
 
 
@@ -184,8 +206,8 @@ def mixed(docs: DataFrame) -> DataFrame:
     """doc_id, size, source_size, target, taken of `docs` (doc_id, text, source): one source per document, null being one."""
     spark = docs.sparkSession
     got, sizes, targets = mix(spark, sizes_of(docs), by_rank)
-    rows = [([s], sizes[s], round(targets[s], 6)) for s in sizes]
-    own = spark.createDataFrame(rows, "__q array<string>, source_size bigint, target double")
+    kinds = pa.schema([("__q", pa.list_(pa.string())), ("source_size", pa.int64()), ("target", pa.float64())])
+    own = spark.createDataFrame(pa.Table.from_pylist([{"__q": [s], "source_size": sizes[s], "target": round(targets[s], 6)} for s in sizes], kinds))
     got = got.join(F.broadcast(own), got["pattern"].eqNullSafe(own["__q"]))
     return got.select("doc_id", "size", "source_size", "target", "taken")
 
@@ -205,7 +227,8 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the mix takes, with `copies`, the number of times that each is taken; repeated rows are taken together.
 
-    The selection comes back as a rule by source (checked to be few), so no text is shuffled.
+    A document without words adds nothing to any source and is left out. A column `copies` of `docs` is replaced; other extra columns
+    stay. The selection comes back as a rule by source (checked to be few), so no text is shuffled.
     """
     got, _, _ = mix(spark, sizes_of(docs), by_rank)
     rule = stash(rules(got), "mixing-rules").select(F.col("pattern").alias("__p"), F.col("cut").alias("__cut"), F.col("turned").alias("__turned"))
@@ -213,7 +236,7 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     h = seeded(docs["doc_id"])
     within = [F.coalesce(h <= F.col("__cut")[i], F.lit(False)) != F.array_contains(F.col("__turned")[i], h) for i in range(MAX_COPIES)]
     df = df.withColumn("__copies", sum((x.cast("int") for x in within), F.lit(0))).where((F.col("__copies") > 0) & docs["text"].rlike(r"[^\x20\x09-\x0D]"))
-    return df.select(*(docs[c] for c in docs.columns), F.col("__copies").alias("copies"))
+    return df.select(*(docs[c] for c in docs.columns if c.lower() != "copies"), F.col("__copies").alias("copies"))
 
 
 _BASE = r"""
