@@ -22,8 +22,9 @@ BUCKETS = 1 << 16
 SMOOTHING = 0.5
 #: Training texts of a language, at most about this many: a sample by hash; the bound keeps training from growing with the corpus.
 TRAIN_PER_LANG = 4000
-#: Languages that can be learned: the matrix has a column for each. More are refused, never dropped.
-MAX_LANGS = 2000
+#: Bytes of the matrix (buckets x languages). With so many languages that it would be larger, buckets are halved until it fits; at 65,536
+#: buckets that is beyond 512 languages.
+MATRIX_BYTES = 1 << 28
 #: N-grams times languages that are scored at once.
 PIECE = 1 << 23
 UNDETERMINED = "und"
@@ -86,20 +87,22 @@ def train(labelled: DataFrame, per_lang: int = TRAIN_PER_LANG, buckets: int = BU
     """Languages in order and the matrix (buckets, languages) of log probabilities, a uniform prior over languages.
 
     `labelled`: doc_id, text, lang; rows without a language are ignored. A language with more than `per_lang` rows is sampled by a
-    hash of doc_id, so reruns train alike. Without any row the list is empty and every prediction is `und`.
+    hash of doc_id, so reruns train alike; rows without a doc_id share one hash. Repeated rows count each. Without any row the list is
+    empty and every prediction is `und`.
     """
     rows = labelled.where("lang IS NOT NULL").select("doc_id", "text", "lang")
     sizes = stash(rows.groupBy("lang").agg(F.count("*").alias("__rows")), "languages")
-    if sizes.count() > MAX_LANGS:
-        raise ValueError(f"more than {MAX_LANGS} languages")
+    n_langs = sizes.count()
+    while buckets * n_langs * 8 > MATRIX_BYTES and buckets > 2:
+        buckets //= 2
     share = F.pmod(F.xxhash64(F.lit("train"), "doc_id"), F.lit(1_000_000)) < 1_000_000.0 * per_lang / F.col("__rows")
     sample = rows.join(F.broadcast(sizes), "lang").where(share)
     got = counts(sample, buckets).toPandas()  # at most buckets x languages rows
     langs = sorted(got["lang"].unique())
-    n = np.zeros((buckets, len(langs)))
-    n[got["bucket"], got["lang"].map({x: i for i, x in enumerate(langs)})] = got["n"]
-    n += SMOOTHING
-    return langs, np.log(n / n.sum(axis=0, keepdims=True)).astype(np.float32)
+    n = np.full((buckets, len(langs)), SMOOTHING)
+    n[got["bucket"], got["lang"].map({x: i for i, x in enumerate(langs)})] += got["n"]
+    n /= n.sum(axis=0, keepdims=True)
+    return langs, np.log(n, out=n).astype(np.float32)
 
 
 def score_batch(texts: list[str | None], matrix: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -131,11 +134,12 @@ def score_batch(texts: list[str | None], matrix: np.ndarray) -> tuple[np.ndarray
 
 
 def predict(docs: DataFrame, langs: list[str], matrix: np.ndarray) -> DataFrame:
-    """`docs` columns other than text, and lang_pred, score (the posterior of the prediction).
+    """`docs` columns other than text, and lang_pred, score (the posterior of the prediction). Columns of these two names are replaced.
 
     `und` with score 0 if the text is null or has no letter, or if no language was learned. Ties go to the first language.
     """
     model = docs.sparkSession.sparkContext.broadcast((langs, matrix))
+    docs = docs.drop("lang_pred", "score")
     rest = [c for c in docs.columns if c != "text"]
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -693,10 +693,22 @@ def test_language_id_against_plain_bayes(spark):
         else:
             s = matrix[language_id._hashed(language_id._codes(t), len(matrix))].astype(float).sum(axis=0)
             assert got[i][0] == langs[int(s.argmax())] and got[i][1] == pytest.approx(1 / np.exp(s - s.max()).sum())
+    clash = spark.createDataFrame([(None, "the hat", 7, "x", "e"), (None, "the hat", 7, "x", "e")], "doc_id bigint, text string, score int, lang_pred string, extra string")
+    twice = language_id.predict(clash, langs, matrix)
+    assert sorted(twice.columns) == ["doc_id", "extra", "lang_pred", "score"] and {(r.doc_id, r.lang_pred, r.score) for r in twice.collect()} == {(None, *got[0])} and twice.count() == 2
     none = language_id.train(df.where("lang IS NULL"))
     assert {r.lang_pred for r in language_id.predict(df.drop("lang"), *none).collect()} == {"und"}
 
 
+def test_many_languages_take_fewer_buckets(spark, monkeypatch):
+    df = spark.createDataFrame([(i, f"{chr(97 + i % 26) * 4} {chr(97 + i // 26) * 5}", f"l{i}") for i in range(40)], "doc_id bigint, text string, lang string")
+    monkeypatch.setattr(language_id, "MATRIX_BYTES", 1 << 20)
+    langs, matrix = language_id.train(df)
+    assert len(langs) == 40 and matrix.shape == (2048, 40)
+    got = language_id.predict(df.drop("lang"), langs, matrix).join(df, "doc_id")
+    assert got.where("lang = lang_pred").count() >= 36
+
+
 # --- empty tables
 
 
