@@ -25,8 +25,9 @@ ALPHABET = 0x110000
 #: Documents up to this quantile of the trusted ones, times SLACK, are kept.
 QUANTILE = 0.99
 SLACK = 1.02
-#: Trusted ids are broadcast up to this many (16 MB); beyond it Spark shuffles both sides of the join.
-MAX_BROADCAST_ROWS = 2_000_000
+#: Trusted ids, and n-grams with their probabilities, are broadcast up to this many rows of two numbers (about 60 MB as a
+#: table of the join); beyond it Spark shuffles both sides.
+MAX_BROADCAST_ROWS = 500_000
 PIECE = 1 << 22
 #: Characters of a block of documents, a longer document being one of its own.
 BLOCK = 1 << 23
@@ -211,7 +212,7 @@ def perplexities(docs: DataFrame, letters: list[int], model: dict) -> DataFrame:
 
     def score(packed: pa.Table, known: pa.Table) -> pa.Table:
         symbols = _symbols(letters)
-        codes, logs = known.column("code").to_numpy(), np.log2(known.column("q").to_numpy())
+        codes, logs = known.column("code").to_numpy(), known.column("log2").to_numpy().astype(np.float64)
         order = np.argsort(codes)
         codes, logs, out = codes[order], logs[order], []
         for raw in packed.column("docs"):
@@ -222,13 +223,23 @@ def perplexities(docs: DataFrame, letters: list[int], model: dict) -> DataFrame:
 
     blocks = stash(docs.select("doc_id", "lang", "text").mapInArrow(pack, "block bigint, docs binary, codes array<bigint>"), "lm-blocks")
     grams = blocks.select(F.col("block").alias("home"), F.explode("codes").alias("code"))
-    known = stash(probabilities(grams.select("code").distinct(), model), "lm-known")
-    found = grams.join(known, "code").select("home", "code", "q")
+    known = probabilities(grams.select("code").distinct(), model).select("code", F.log2("q").cast("float").alias("log2"))
+    known = stash(known, "lm-known")
+    found = grams.join(_hint(known), "code").select("home", "code", "log2")
     return blocks.select("block", "docs").groupBy("block").cogroup(found.groupBy("home")).applyInArrow(score, f"doc_id {kind}, lang string, perplexity double")
 
 
+def _hint(df: DataFrame) -> DataFrame:
+    """`df`, a written table of narrow rows, to be broadcast if it is small."""
+    return F.broadcast(df) if df.count() <= MAX_BROADCAST_ROWS else df
+
+
 def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, slack: float = SLACK) -> DataFrame:
-    """(doc_id, lang, perplexity, threshold, kept) of every row of `docs` (doc_id, text, lang).
+    """(doc_id, lang, perplexity, threshold, kept) of every row of `docs` (doc_id, text, lang): kept up to the `quantile` of the trusted
+    documents' perplexities times `slack`, which lets a document a little above the last trusted one pass.
+
+    Repeated rows are scored each and count each in training; a null doc_id is scored and never trusted; extra columns are ignored; a tie with
+    the threshold is kept.
 
     Trusted are the documents that `labels` (doc_id, quality, toxic) calls good and not toxic. A language without one, null among
     them, has the threshold of all trusted documents; without any the model is uniform and everything with text is kept. A
@@ -236,12 +247,11 @@ def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, sla
     """
     good = labels.where("quality = 1 AND coalesce(toxic, 0) = 0 AND doc_id IS NOT NULL").select("doc_id").distinct()
     good = stash(good, "lm-trusted")
-    hint = F.broadcast if good.count() <= MAX_BROADCAST_ROWS else (lambda df: df)
-    trusted = docs.select("doc_id", "lang", "text").join(hint(good), "doc_id", "left_semi")
+    trusted = docs.select("doc_id", "lang", "text").join(_hint(good), "doc_id", "left_semi")
     letters = alphabet(trusted)
     model = train(trusted, letters)
     scored = stash(perplexities(docs.select("doc_id", "lang", "text"), letters, model), "lm-scores")
-    sure = scored.join(hint(good), "doc_id", "left_semi").where("perplexity IS NOT NULL")
+    sure = scored.join(_hint(good), "doc_id", "left_semi").where("perplexity IS NOT NULL")
     cut = lambda: F.percentile_approx("perplexity", quantile, 10_000) * slack
     limits = stash(sure.groupBy("lang").agg(cut().alias("threshold")), "lm-limits").withColumnRenamed("lang", "__lang")
     rest = sure.agg(cut().alias("t")).first().t
