@@ -30,13 +30,13 @@ def _flat(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
             try:
                 walk(json.loads(text), "$", out)
             except (TypeError, ValueError):
-                out = [] if text is None else [f"$={text}"]
+                out = [] if text is None else [f"$={w}" for w in str(text).split()]
             got.append(sorted(set(out)))
         yield pd.Series(got)
 
 
 def paths(c: Column) -> Column:
-    """Sorted distinct `path=value` strings of a JSON text; the text itself if it is no JSON; empty for null."""
+    """Sorted distinct `path=value` strings of a JSON text; of a text that is no JSON its words; empty for null."""
     return F.pandas_udf(_flat, ArrayType(StringType()))(c)
 
 

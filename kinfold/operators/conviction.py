@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
+from ..plans.storage import written
+from .condition import compile_condition
 from .graph import components
 from .knn import Metric, knn
 from .react import distance_contribution, influence, neighbours
@@ -75,10 +77,10 @@ def weight_entropy(near: DataFrame) -> DataFrame:
     return near.groupBy("query_id").agg((-F.sum(F.when(w > 0, w * F.ln(w)).otherwise(F.lit(0.0)))).alias("influence_weight_entropy"))
 
 
-def into_features(cases: DataFrame, metric: Metric, k: int = 10, *, id_column: str = "id", overwrite: bool = False, dt: float = -1.0) -> DataFrame:
+def into_features(cases: DataFrame, metric: Metric, k: int = 10, *, id_column: str = "id", overwrite: bool = False, dt: float = -1.0, residuals: DataFrame | None = None) -> DataFrame:
     """`cases` with distance_contribution, familiarity_conviction_removal, similarity_conviction, influence_weight_entropy and
-    p_value_of_removal. An existing column of that name is an error unless `overwrite`."""
-    new = ["distance_contribution", "familiarity_conviction_removal", "similarity_conviction", "influence_weight_entropy", "p_value_of_removal"]
+    p_value_of_removal, and with `residuals` (query_id, residual_contribution) that too. An existing column of that name is an error unless `overwrite`."""
+    new = ["distance_contribution", "familiarity_conviction_removal", "similarity_conviction", "influence_weight_entropy", "p_value_of_removal", *(["residual_contribution"] if residuals is not None else [])]
     clash = [c for c in new if c in cases.columns]
     if clash and not overwrite:
         raise ValueError(f"columns exist: {clash}")
@@ -88,37 +90,90 @@ def into_features(cases: DataFrame, metric: Metric, k: int = 10, *, id_column: s
     ratio = F.when(F.col("distance_contribution") == 0, F.lit(None)).otherwise(F.col("__local") / F.col("distance_contribution"))
     fam = p_values(familiarity(dc, "familiarity_conviction_removal", keep=True)).withColumnRenamed("p_value", "p_value_of_removal")
     out = fam.join(local, "query_id").withColumn("similarity_conviction", ratio).join(weight_entropy(near), "query_id")
+    if residuals is not None:
+        out = out.join(residuals.select("query_id", "residual_contribution"), "query_id", "left")
     return cases.drop(*clash).join(out.select(F.col("query_id").alias(id_column), *new), id_column, "left")
 
 
-def feature_conviction(cases: DataFrame, metric: Metric, k: int = 10, id_column: str = "id") -> DataFrame:
-    """(feature, familiarity_conviction): as for cases, over the sums of distance contributions in each feature alone."""
+def feature_conviction(cases: DataFrame, metric: Metric, k: int = 10, id_column: str = "id", *, removal: bool = True, action_features: list[str] = ()) -> DataFrame:
+    """(feature, familiarity_conviction): as for cases, over the sums of distance contributions in each feature alone. `removal=False`: of its
+    addition to the others. `action_features`: each feature is taken together with these, which are not scored themselves."""
     out = []
-    for f in metric.names():
-        one = metric.without(*(n for n in metric.names() if n != f))
+    for f in (n for n in metric.names() if n not in action_features):
+        one = metric.without(*(n for n in metric.names() if n != f and n not in action_features))
         dc = distance_contribution(influence(knn(cases, cases, one, k, id_column=id_column)))
         out.append(dc.agg(F.lit(f).alias("query_id"), F.sum("distance_contribution").alias("distance_contribution")).select("query_id", "distance_contribution"))
-    got = familiarity(reduce(lambda a, b: a.union(b), out))
+    sums = reduce(lambda a, b: a.union(b), out)
+    if removal or len(out) < 2:
+        got = familiarity(sums)
+    else:
+        sums = written(sums, "feature-sums")  # a row per feature
+        names = [n for n in metric.names() if n not in action_features]
+        got = reduce(lambda a, b: a.union(b), (familiarity_addition(sums.where(F.col("query_id") != f), sums.where(F.col("query_id") == f), "familiarity_conviction").drop("kl") for f in names))
     return got.withColumnRenamed("query_id", "feature")
 
 
-def groups(members: DataFrame, cases: DataFrame, metric: Metric, group: str, k: int = 10, *, id_column: str = "id", dt: float = -1.0) -> DataFrame:
-    """One row per group: n, distance_contribution (mean, the group held out of the cases), familiarity conviction and divergence of
-    its addition, similarity_conviction and p_value_of_addition.
-
-    `members`: rows to score with their group; the same rows may be in `cases`, where a group is held out by its column.
-    """
+def _held_out(members: DataFrame, cases: DataFrame, base: DataFrame, metric: Metric, group: str, k: int, id_column: str, dt: float) -> DataFrame:
+    """One row per group of `members`: n, distance_contribution (mean, the group held out), similarity_conviction, and the number and the total
+    contribution of those members that are cases themselves (`base`: contributions of the cases)."""
     out = influence(knn(members, cases, metric, k, id_column=id_column, differ=[group]))
-    own = distance_contribution(out, dt).join(members.select(F.col(id_column).alias("query_id"), F.col(group).alias("group_id")), "query_id")
-    base = distance_contribution(influence(knn(cases, cases, metric, k, id_column=id_column)), dt)
+    who = members.select(F.col(id_column).alias("query_id"), F.col(group).alias("group_id"))
+    own = distance_contribution(out, dt).join(who, "query_id")
     local = out.join(base.select(F.col("query_id").alias("case_id"), F.col("distance_contribution").alias("__c")), "case_id").groupBy("query_id").agg(F.avg("__c").alias("__local"))
-    own = own.join(local, "query_id")
-    per = own.groupBy("group_id").agg(
-        F.count("*").alias("n"), F.avg("distance_contribution").alias("distance_contribution"), F.avg(F.col("__local") / F.nullif(F.col("distance_contribution"), F.lit(0.0))).alias("similarity_conviction")
-    )
+    own = own.join(local, "query_id").join(base.select("query_id", F.col("distance_contribution").alias("__in")), "query_id", "left")
+    return own.groupBy("group_id").agg(
+        F.count("*").alias("n"), F.avg("distance_contribution").alias("distance_contribution"), F.avg(F.col("__local") / F.nullif(F.col("distance_contribution"), F.lit(0.0))).alias("similarity_conviction"),
+        F.count("__in").alias("__n_in"), F.sum("__in").alias("__sum_in"),
+    )
+
+
+def _group_convictions(per: DataFrame, base: DataFrame) -> DataFrame:
+    """`per`, the rows of all groups, with conviction, divergence and p-value of their addition and, for groups of cases, of their removal.
+
+    Addition scores a group's mean contribution as one more case; removal scores the share that its cases have of all contributions against
+    their share of the cases. Both are expected to diverge as a single case does.
+    """
     new = per.select(F.col("group_id").alias("query_id"), "distance_contribution")
-    fam = p_values(familiarity_addition(base, new)).select(F.col("query_id").alias("group_id"), "familiarity_conviction_addition", F.col("kl").alias("kl_divergence_addition"), F.col("p_value").alias("p_value_of_addition"))
-    return per.join(fam, "group_id")
+    add = p_values(familiarity_addition(base, new)).select(F.col("query_id").alias("group_id"), "familiarity_conviction_addition", F.col("kl").alias("kl_divergence_addition"), F.col("p_value").alias("p_value_of_addition"))
+    total = base.agg(F.sum("distance_contribution").alias("__s"), F.count("distance_contribution").alias("__n"))
+    mean = familiarity(base, keep=True).agg(F.avg("kl").alias("__mean"))
+    gone = per.where("__n_in > 0").crossJoin(F.broadcast(total)).crossJoin(F.broadcast(mean))
+    # a group of all cases has nothing to diverge from
+    gone = gone.withColumn("kl", F.when(F.col("__n_in") < F.col("__n"), _kl(_share("__sum_in", "__s"), F.col("__n_in") / F.col("__n"))).otherwise(F.lit(0.0)))
+    gone = gone.withColumn("familiarity_conviction_removal", _conviction(F.col("kl"), F.col("__mean")))
+    gone = p_values(gone.select("group_id", "familiarity_conviction_removal", "kl")).select("group_id", "familiarity_conviction_removal", F.col("kl").alias("kl_divergence_removal"), F.col("p_value").alias("p_value_of_removal"))
+    out = per.drop("__n_in", "__sum_in").join(add, "group_id").join(gone, "group_id", "left")
+    first = ["group_id", "n", "distance_contribution", "similarity_conviction"]
+    return out.select(*first, *(c for c in out.columns if c not in first))
+
+
+def groups(members: DataFrame, cases: DataFrame, metric: Metric, group: str, k: int = 10, *, id_column: str = "id", dt: float = -1.0, residuals: DataFrame | None = None) -> DataFrame:
+    """One row per group: n, distance_contribution (mean, the group held out of the cases), similarity_conviction, and conviction, divergence
+    and p-value of its addition and of its removal (null for a group none of which is a case).
+
+    `members`: rows to score with their group; the same rows may be in `cases`, where a group is held out by its column. `residuals`:
+    (query_id, residual_contribution) of the members, averaged per group.
+    """
+    base = distance_contribution(influence(knn(cases, cases, metric, k, id_column=id_column)), dt)
+    out = _group_convictions(_held_out(members, cases, base, metric, group, k, id_column, dt), base)
+    if residuals is None:
+        return out
+    who = members.select(F.col(id_column).alias("query_id"), F.col(group).alias("group_id"))
+    return out.join(residuals.join(who, "query_id").groupBy("group_id").agg(F.avg("residual_contribution").alias("residual_contribution")), "group_id", "left")
+
+
+def groups_of(cases: DataFrame, metric: Metric, which: dict[str, dict | DataFrame], k: int = 10, *, id_column: str = "id", dt: float = -1.0) -> DataFrame:
+    """As `groups`, of groups of cases by name: a condition, or a DataFrame of ids (`id_column`). Groups may overlap; each is held out on its own."""
+    base = distance_contribution(influence(knn(cases, cases, metric, k, id_column=id_column)), dt)
+    per = []
+    for name, rule in which.items():
+        if isinstance(rule, DataFrame):
+            marked = cases.join(rule.select(id_column).distinct().withColumn("__in", F.lit(True)), id_column, "left")
+        else:
+            marked = cases.withColumn("__in", compile_condition(rule))
+        marked = marked.withColumn("__group", F.when(F.col("__in"), F.lit(name)))
+        per.append(_held_out(marked.where(F.col("__group").isNotNull()), marked, base, metric, "__group", k, id_column, dt))
+    return _group_convictions(reduce(lambda a, b: a.union(b), per), base)
 
 
 def group_predictions(members: DataFrame, cases: DataFrame, metric: Metric, group: str, action: str, k: int = 10, *, id_column: str = "id") -> DataFrame:

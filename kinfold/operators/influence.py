@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from .knn import Metric
-from .react import class_probabilities, neighbours, predict_continuous
+from .react import case_accuracy_contributions, case_contributions, class_probabilities, neighbours, predict_continuous
 from .stats import leave_one_out
 
 
@@ -63,6 +63,61 @@ def _predict(queries, cases, metric, action, k, id_column, options, name):
     return predict_continuous(neighbours(queries, cases, metric, k, carry=[action], id_column=id_column, **options), action, name=name)
 
 
+def robust_errors(queries: DataFrame, cases: DataFrame, metric: Metric, action: str, kind: str, k: int = 10, *, samples: int = 10, seed: int = 0, id_column: str = "id", **options) -> DataFrame:
+    """(query_id, error): mean error of an action over `samples` random subsets of the contexts, the same subsets for a seed."""
+    names = [n for n in metric.names() if n != action]
+    drawn, out = subsets(names, samples, seed), []
+    for rest in sorted(set(drawn)):
+        own = metric.without(*(n for n in metric.names() if n not in rest))
+        got = leave_one_out(cases, own, action, kind, k, id_column=id_column, queries=queries, **options)
+        out.append(errors(got, kind).withColumn("times", F.lit(drawn.count(rest))))
+    df = reduce(lambda a, b: a.union(b), out)
+    return df.groupBy("query_id").agg(F.try_divide(F.sum(F.col("error") * F.col("times")), F.sum(F.when(F.col("error").isNotNull(), F.col("times")))).alias("error"))
+
+
+def robust_residuals(cases: DataFrame, metric: Metric, kinds: dict[str, str], k: int = 10, **options) -> DataFrame:
+    """(feature, residual): mean of `robust_errors` of each feature from random subsets of all others."""
+    out = [robust_errors(cases, cases, metric, f, kind, k, **options).agg(F.lit(f).alias("feature"), F.avg("error").alias("residual")).select("feature", "residual") for f, kind in kinds.items()]
+    return reduce(lambda a, b: a.union(b), out)
+
+
+def robust_case_contributions(queries: DataFrame, cases: DataFrame, metric: Metric, action: str, k: int = 10, *, samples: int = 10, seed: int = 0, id_column: str = "id", **options) -> DataFrame:
+    """(query_id, case_id, contribution, directional, accuracy_contribution, n): means of a case's contributions over the random subsets of contexts in which
+    it is a neighbour, `n` of them."""
+    names = [n for n in metric.names() if n != action]
+    actual = queries.select(F.col(id_column).alias("query_id"), F.col(action).cast("double").alias("actual"))
+    drawn, out = subsets(names, samples, seed), []
+    for rest in sorted(set(drawn)):
+        near = neighbours(queries, cases, metric.without(*(n for n in metric.names() if n not in rest)), k, carry=[action], id_column=id_column, **options)
+        one = case_contributions(near, action).join(case_accuracy_contributions(near, action, actual), ["query_id", "case_id"])
+        out.append(one.withColumn("times", F.lit(drawn.count(rest))))
+    df = reduce(lambda a, b: a.union(b), out)
+    mean = lambda c: F.try_divide(F.sum(F.col(c) * F.col("times")), F.sum(F.when(F.col(c).isNotNull(), F.col("times")))).alias(c)
+    return df.groupBy("query_id", "case_id").agg(mean("contribution"), mean("directional"), mean("accuracy_contribution"), F.sum("times").alias("n"))
+
+
+def class_distances(cases: DataFrame, metric: Metric, feature: str, k: int = 10, **options) -> DataFrame:
+    """(a, b, difference): learned distances of the values of a nominal: 1 - the mean probability that cases of value a are given to value b by their
+    neighbours in the other features, in both directions. Pairs that are never mixed up have no row: they differ by 1."""
+    options = dict(options)
+    id_column = options.pop("id_column", "id")
+    near = neighbours(cases, cases, metric.without(feature), k, carry=[feature], id_column=id_column, **options)
+    own = cases.where(F.col(feature).isNotNull()).select(F.col(id_column).alias("query_id"), F.col(feature).alias("a"))
+    n = own.groupBy("a").agg(F.count("*").alias("__n"))
+    p = class_probabilities(near, feature).join(own, "query_id").groupBy("a", F.col("class").alias("b")).agg(F.sum("probability").alias("__p"))
+    p = p.join(n, "a").select("a", "b", (F.col("__p") / F.col("__n")).alias("p")).where("a <> b AND p > 0")
+    both = p.union(p.select(F.col("b").alias("a"), F.col("a").alias("b"), "p")).groupBy("a", "b").agg(F.sum("p").alias("p"))
+    return both.select("a", "b", (1 - F.col("p") / 2).alias("difference"))
+
+
+def with_class_distances(metric: Metric, feature: str, learned: DataFrame) -> Metric:
+    """`metric` with the learned differences of a nominal: at most k pairs a case are ever mixed up, few for a nominal of few values."""
+    from dataclasses import replace
+
+    rows = tuple(sorted((r.a, r.b, r.difference) for r in learned.collect()))
+    return replace(metric, features=tuple(replace(f, table=rows) if f.name == feature else f for f in metric.features))
+
+
 def contributions(queries: DataFrame, cases: DataFrame, metric: Metric, action: str, k: int = 10, *, id_column: str = "id", robust: int = 0, seed: int = 0, **options) -> DataFrame:
     """(query_id, feature, prediction_contribution, directional, accuracy_contribution) of a continuous action.
 
@@ -115,9 +170,20 @@ def permuted(df: DataFrame, feature: str, seed: int = 0, id_column: str = "id",
     return left.join(right, ["__b", "__r"]).select(*(F.col("__v").alias(feature) if c == feature else F.col(c) for c in df.columns))
 
 
-def permutation_accuracy(cases: DataFrame, metric: Metric, action: str, k: int = 10, *, id_column: str = "id", seed: int = 0, blocks: int = 1024, **options) -> DataFrame:
-    """(feature, accuracy_contribution): mean error with the feature scrambled in the queries less the mean error as it is."""
+def permutation_accuracy(cases: DataFrame, metric: Metric, action: str, k: int = 10, *, id_column: str = "id", seed: int = 0, blocks: int = 1024, robust: int = 0, **options) -> DataFrame:
+    """(feature, accuracy_contribution): mean error with the feature scrambled in the queries less the mean error as it is. `robust`: the mean of
+    that over so many random subsets of the other contexts."""
     metric = metric.without(action)
+    if robust:
+        out = []
+        for f in metric.names():
+            drawn = subsets([n for n in metric.names() if n != f], robust, seed)
+            for rest in sorted(set(drawn)):
+                own = metric.without(*(n for n in metric.names() if n != f and n not in rest))
+                one = permutation_accuracy(cases, own, action, k, id_column=id_column, seed=seed, blocks=blocks, **options).where(F.col("feature") == f)
+                out.append(one.withColumn("times", F.lit(drawn.count(rest))))
+        df = reduce(lambda a, b: a.union(b), out)
+        return df.groupBy("feature").agg((F.sum(F.col("accuracy_contribution") * F.col("times")) / F.sum("times")).alias("accuracy_contribution"))
 
     def error(queries):
         got = _predict(queries, cases, metric, action, k, id_column, options, "predicted")
@@ -140,6 +206,23 @@ def value_contributions(per_case: DataFrame, queries: DataFrame, feature: str, k
     return g.where(F.col("n") >= least)
 
 
+def value_combinations(per_case: DataFrame, queries: DataFrame, features: dict[str, str], buckets: int = 30, least: int = 15, id_column: str = "id") -> DataFrame:
+    """Contributions of each of `features` (name: kind) by the combination of their values: nominals as they are, continuous ones by quantile bucket; combinations
+    under `least` cases are left out."""
+    def _above(f: str):
+        return F.filter(f"__e_{f}", lambda x: x < F.col(f))
+
+    own = queries.select(F.col(id_column).alias("query_id"), *features)
+    cuts = [f for f, kind in features.items() if kind != "nominal"]
+    if cuts:
+        edges = own.agg(*(F.percentile_approx(f, [i / buckets for i in range(1, buckets)], 10_000).alias(f"__e_{f}") for f in cuts))
+        own = own.crossJoin(F.broadcast(edges))
+        own = own.select("query_id", *((F.size(_above(f)) if f in cuts else F.col(f)).alias(f) for f in features))
+    df = per_case.where(F.col("feature").isin(list(features))).join(own, "query_id")
+    means = [F.avg(c).alias(c) for c in ("prediction_contribution", "directional", "accuracy_contribution")]
+    return df.groupBy("feature", *(F.col(f).alias(f"value_{f}") for f in features)).agg(F.count("*").alias("n"), *means).where(F.col("n") >= least)
+
+
 def surprisal(residual, deviation):
     """Surprisal of a residual at a deviation, in nats."""
     return F.abs(residual) / deviation

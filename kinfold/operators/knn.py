@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
+from ..functions.flat import jaccard, paths
+
 #: Queries that are broadcast as one block; more are dealt into blocks that meet every block of cases.
 BROADCAST_QUERIES = 50_000
 #: Cases of a block in the blocked plan.
@@ -29,8 +31,9 @@ _NULL = -(1 << 63)
 class Feature:
     """One feature of a metric.
 
-    kind: continuous, nominal, ordinal (`allowed` lists the values in order) or cyclic (`cycle` is the length). `spread` is the
-    difference to a null (1 for nominals). `table`: differences of nominal values by (value, value).
+    kind: continuous, nominal, ordinal (`allowed` lists the values in order), cyclic (`cycle` is the length), json (a JSON text, or any text taken
+    as its words: 1 - shared parts / all parts) or expression (`expression`, SQL over the case's columns, whose double is compared).
+    `spread` is the difference to a null (1 for nominals and json). `table`: differences of nominal values by (value, value).
     """
 
     name: str
@@ -41,6 +44,11 @@ class Feature:
     cycle: float | None = None
     allowed: tuple = ()
     table: tuple = ()  # ((a, b, difference), ...), both ways
+    expression: str | None = None
+
+    @property
+    def structured(self) -> bool:
+        return self.kind == "json"
 
     @property
     def nominal(self) -> bool:
@@ -104,25 +112,53 @@ def _arrays(df: DataFrame, metric: Metric) -> tuple[Column, Column]:
         if f.kind == "ordinal":
             at = F.array_position(F.array(*map(F.lit, f.allowed)), F.col(f.name))
             return F.when(at > 0, at.cast("double"))
+        if f.kind == "expression":
+            return F.expr(f.expression).cast("double")
         return numeric(f.name, kinds[f.name])
 
-    x = [F.coalesce(number(f), F.lit(float("nan"))) for f in metric.features if not f.nominal]
+    x = [F.coalesce(number(f), F.lit(float("nan"))) for f in metric.features if not f.nominal and not f.structured]
     z = [F.when(F.col(f.name).isNull(), F.lit(_NULL)).otherwise(F.xxhash64(F.col(f.name).cast("string"))) for f in metric.features if f.nominal]
     return (F.array(*x) if x else F.array().cast("array<double>")), (F.array(*z) if z else F.array().cast("array<bigint>"))
 
 
+def _parts(metric: Metric) -> Column:
+    """For every json feature the sorted hashes of its parts; null for a null."""
+    own = [F.when(F.col(f.name).isNotNull(), F.sort_array(F.transform(paths(F.col(f.name)), lambda v: F.xxhash64(v)))) for f in metric.features if f.structured]
+    return F.array(*own) if own else F.array().cast("array<array<bigint>>")
+
+
+def _shared(a: list, b: list) -> np.ndarray:
+    """1 - shared / all parts of two lists of sets of hashes (queries x cases); two empty ones are equal, nulls differ from all but nulls."""
+    sets = [[np.asarray(x if x is not None else [], np.int64) for x in side] for side in (a, b)]
+    sizes = [np.array([len(x) for x in side]) for side in sets]
+    rows = [np.repeat(np.arange(len(side)), n) for side, n in zip(sets, sizes, strict=True)]
+    flat = [np.concatenate([np.zeros(0, np.int64), *side]) for side in sets]
+    both = np.zeros((len(a), len(b)))
+    order = [np.argsort(x, kind="stable") for x in flat]
+    common = np.intersect1d(*flat)
+    lo, hi = ([np.searchsorted(x[o], common, side) for x, o in zip(flat, order, strict=True)] for side in ("left", "right"))
+    for i in range(len(common)):  # once a part that both sides have
+        both[np.ix_(*(r[o[x[i] : y[i]]] for r, o, x, y in zip(rows, order, lo, hi, strict=True)))] += 1
+    union = sizes[0][:, None] + sizes[1][None, :] - both
+    d = np.where(union > 0, 1 - both / np.maximum(union, 1), 0.0)
+    na, nb = (np.array([x is None for x in side], bool) for side in (a, b))
+    return np.where(na[:, None] & nb[None, :], 0.0, np.where(na[:, None] | nb[None, :], 1.0, d))
+
+
 @dataclass
 class _Block:
     ids: np.ndarray
     x: np.ndarray
     z: np.ndarray
+    s: np.ndarray  # lists of part hashes
     same: np.ndarray  # values that must differ or agree
     time: np.ndarray
 
     @classmethod
     def of(cls, df: pd.DataFrame, id_column: str) -> _Block:
         stack = lambda c, kind: np.array(df[c].tolist(), dtype=kind).reshape(len(df), -1)
-        return cls(df[id_column].to_numpy(), stack("__x", np.float64), stack("__z", np.int64), stack("__same", np.int64), df["__time"].to_numpy(np.float64))
+        ids = df[id_column].to_numpy()
+        return cls(ids.astype(str) if ids.dtype == object else ids, stack("__x", np.float64), stack("__z", np.int64), df["__s"].to_numpy(), stack("__same", np.int64), df["__time"].to_numpy(np.float64))
 
 
 @dataclass(frozen=True)
@@ -140,9 +176,12 @@ class _Rules:
 def distances(q: _Block, c: _Block, metric: Metric, rules: _Rules = _Rules()) -> np.ndarray:
     """Matrix of distances (queries x cases)."""
     total = np.zeros((len(q.ids), len(c.ids)))
-    ix = iz = 0
+    ix = iz = js = 0
     for f in metric.features:
-        if f.nominal:
+        if f.structured:
+            d = _shared([x[js] for x in q.s], [x[js] for x in c.s])
+            js += 1
+        elif f.nominal:
             a, b = q.z[:, iz][:, None], c.z[:, iz][None, :]
             tab = rules.tables[iz] if rules.tables else None
             iz += 1
@@ -172,7 +211,7 @@ def _best(q: _Block, c: _Block, metric: Metric, rules: _Rules, k: int) -> Iterat
     """(query row, case row, distance) of the k nearest, ties by case id; tile by tile of queries."""
     step = max(1, TILE // max(1, len(c.ids)))
     for lo in range(0, len(q.ids), step):
-        part = _Block(*(getattr(q, n)[lo : lo + step] for n in ("ids", "x", "z", "same", "time")))
+        part = _Block(*(getattr(q, n)[lo : lo + step] for n in ("ids", "x", "z", "s", "same", "time")))
         d = distances(part, c, metric, rules)
         out = np.zeros(d.shape, bool)
         if not rules.self_too:
@@ -227,7 +266,7 @@ def knn(
         x, z = _arrays(df, metric)
         same = [F.xxhash64(F.coalesce(F.col(c).cast("string"), F.lit("\0"))) for c in [*differ, *agree]]
         time = numeric(not_later, dict(df.dtypes)[not_later]) if not_later else F.lit(0.0)
-        return df.select(id_column, x.alias("__x"), z.alias("__z"), (F.array(*same) if same else F.array().cast("array<bigint>")).alias("__same"), time.cast("double").alias("__time"), *more)
+        return df.select(id_column, x.alias("__x"), z.alias("__z"), _parts(metric).alias("__s"), (F.array(*same) if same else F.array().cast("array<bigint>")).alias("__same"), time.cast("double").alias("__time"), *more)
 
     carry = [c for c in carry if c != id_column]
     q, c = prepared(queries, []), prepared(cases, carry)
@@ -313,6 +352,9 @@ def knn_sql(queries: DataFrame, cases: DataFrame, metric: Metric, k: int, id_col
 
 def difference(f: Feature, a: Column, b: Column, data_type: str) -> Column:
     """Difference of two values of a feature, over its deviation."""
+    if f.structured:
+        d = F.when(a.isNull() & b.isNull(), F.lit(0.0)).when(a.isNull() | b.isNull(), F.lit(1.0)).otherwise(jaccard(paths(a), paths(b)))
+        return d / F.lit(f.deviation)
     if f.nominal:
         d = F.when(a.eqNullSafe(b), F.lit(0.0)).otherwise(F.lit(1.0))
         for x, y, value in f.table:

@@ -202,14 +202,16 @@ def integer_is_nominal(n: int, distinct: int, low: int | None, high: int | None,
 
 def _string_tests(c: Column) -> list[Column]:
     t = F.trim(c)
+    every = lambda test: F.every(c.isNull() | F.coalesce(test, F.lit(False)))  # noqa: E731  nulls say nothing
     return [
-        F.every(F.coalesce(F.lower(t).isin("true", "false"), F.lit(True))).alias("boolean"),
-        F.every(F.coalesce(t.rlike(ISO_DATE) & t.try_cast("date").isNotNull(), F.lit(True))).alias("date"),
-        F.every(F.coalesce(t.rlike(ISO_TIME) & t.try_cast("timestamp").isNotNull(), F.lit(True))).alias("datetime"),
-        F.every(F.coalesce(t.rlike(CLOCK), F.lit(True))).alias("time"),
-        F.every(F.coalesce(t.rlike(r"^[\[{]") & F.try_parse_json(t).isNotNull(), F.lit(True))).alias("json"),
-        F.every(F.coalesce(t.rlike(r"(?m)^[\w-]+:( .*)?\n(.*\n)*?[\w-]+:( .*)?$"), F.lit(True))).alias("yaml"),
-        F.every(t.try_cast("double").isNotNull() | c.isNull()).alias("number"),
+        every(F.lower(t).isin("true", "false")).alias("boolean"),
+        every(t.rlike(ISO_DATE) & t.try_cast("date").isNotNull()).alias("date"),
+        every(t.rlike(ISO_TIME) & t.try_cast("timestamp").isNotNull()).alias("datetime"),
+        every(t.rlike(CLOCK)).alias("time"),
+        every(t.rlike(r"^[\[{]") & F.try_parse_json(t).isNotNull()).alias("json"),
+        every(t.rlike(r"(?m)^[\w-]+:( .*)?\n(.*\n)*?[\w-]+:( .*)?$")).alias("yaml"),
+        every(t.try_cast("double").isNotNull()).alias("number"),
+        F.max_by(t, F.length(t)).alias("longest"),
     ]
 
 
@@ -245,8 +247,12 @@ def infer(
     counts = written(value_counts(df, simple), "value-counts")
     distinct = {r.feature: r for r in distinct_counts(counts).collect()}
     top: dict[str, list] = {}
-    ranked = modes(counts).withColumn("__r", F.row_number().over(W.partitionBy("feature").orderBy("value"))).where("__r <= 100")
-    for r in ranked.collect():
+    # of the modes only those that equal an observed bound matter: two a feature at most
+    ends = {c: [float(s.min), float(s.max)] for c, s in stats.items() if s.n and isinstance(kinds[c], T.NumericType)}
+    at_end = F.lit(False)
+    for c, values in ends.items():
+        at_end = at_end | ((F.col("feature") == c) & F.col("value").try_cast("double").isin(values))
+    for r in modes(counts).where(at_end).collect() if ends else ():
         top.setdefault(r.feature, []).append((r.value, r.n))
     tests = {}
     if strings:
@@ -254,6 +260,11 @@ def infer(
         tests = {c: row[f"t{i}"] for i, c in enumerate(strings)}
     places = {r.feature: r.decimal_places for r in decimal_places(df, floats).collect()} if floats else {}
     ordinal_values, formats, dependent = ordinal_values or {}, formats or {}, dependent or {}
+    ranks = {}
+    if ordinal_values:  # the places of the observed values among those declared
+        place = {c: F.nullif(F.array_position(F.array(*map(F.lit, v)), F.col(c)), F.lit(0)) for c, v in ordinal_values.items()}
+        row = df.agg(*(F.struct(F.min(x).alias("a"), F.max(x).alias("b")).alias(f"o{i}") for i, x in enumerate(place.values()))).first()
+        ranks = {c: (row[f"o{i}"].a, row[f"o{i}"].b) for i, c in enumerate(place)}
 
     out: dict[str, Attributes] = {}
     for c, kind in kinds.items():
@@ -286,11 +297,11 @@ def infer(
             elif s.n and t.boolean:
                 a.type, a.data_type, preset = "nominal", "boolean", None
             elif s.n and t.time:
-                a.type, a.data_type, a.format, a.cycle_length = "continuous", "formatted_time", "HH:mm:ss", 86400.0
+                a.type, a.data_type, a.format, a.cycle_length = "continuous", "formatted_time", time_format(t.longest), float(cycle_length(time_format(t.longest)))
             elif s.n and t.date:
                 a.type, a.data_type, a.format = "continuous", "formatted_date_time", "yyyy-MM-dd"
             elif s.n and t.datetime:
-                a.type, a.data_type, a.format = "continuous", "formatted_date_time", "yyyy-MM-dd'T'HH:mm:ss"
+                a.type, a.data_type, a.format = "continuous", "formatted_date_time", iso_format(t.longest)
             elif s.n and t.json:
                 a.type, a.data_type = "continuous", "json"
             elif s.n and t.yaml:
@@ -318,7 +329,7 @@ def infer(
         elif a.data_type == "formatted_date_time" and s.n and isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
             a.observed_min, a.observed_max = s.min, s.max
         elif a.allowed:
-            a.observed_min, a.observed_max = a.allowed[0], a.allowed[-1]
+            a.observed_min, a.observed_max = (None if r is None else a.allowed[r - 1] for r in ranks[c])
         elif number is None and not s.n and isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
             bits = {T.ByteType: 8, T.ShortType: 16, T.IntegerType: 32, T.LongType: 64}[type(kind)]
             a.min, a.max = -(2 ** (bits - 1)), 2 ** (bits - 1) - 1
@@ -425,12 +436,23 @@ class Suggestions:
 def time_format(sample: str) -> str | None:
     """Pattern of a clock time."""
     if re.fullmatch(r"\d{1,2}:\d{2}:\d{2}\.\d+", sample):
-        return "HH:mm:ss.SSS"
+        return "HH:mm:ss." + "S" * len(sample.rsplit(".", 1)[1])
     if re.fullmatch(r"\d{1,2}:\d{2}:\d{2}", sample):
         return "HH:mm:ss"
     return "HH:mm" if re.fullmatch(r"\d{1,2}:\d{2}", sample) else None
 
 
+def iso_format(sample: str) -> str | None:
+    """Pattern of an ISO-8601 date or time as the sample is written: its separator, the digits of its fraction, its offset."""
+    m = re.fullmatch(r"(?P<date>\d{4}-\d{2}-\d{2})(?:(?P<sep>[T ])\d{2}:\d{2}(?P<s>:\d{2}(?:\.(?P<f>\d+))?)?(?P<zone>Z|[+-]\d{2}:?\d{2})?)?", sample.strip())
+    if not m:
+        return None
+    if not m["sep"]:
+        return "yyyy-MM-dd"
+    pattern = "yyyy-MM-dd" + ("'T'" if m["sep"] == "T" else " ") + "HH:mm" + (":ss" if m["s"] else "") + ("." + "S" * len(m["f"]) if m["f"] else "")
+    return pattern + (("XXX" if m["zone"] == "Z" or ":" in m["zone"] else "XX") if m["zone"] else "")
+
+
 def cycle_length(pattern: str) -> int:
     """Seconds after which a clock of this pattern starts anew."""
     return 86400 if re.search("[Hhk]", pattern) else 3600 if "m" in pattern else 60 if "s" in pattern else 1

@@ -126,20 +126,37 @@ def similarity_conviction(near: DataFrame, own: DataFrame, of_cases: DataFrame)
     return own.join(local, "query_id").select("query_id", ratio.alias("similarity_conviction"))
 
 
-def boundary_cases(queries: DataFrame, cases: DataFrame, metric: Metric, predicted: DataFrame, action: str, n: int = 3, *, id_column: str = "id", pool: int = 100, **options) -> DataFrame:
-    """The n nearest cases with another outcome than predicted (query_id, action), by context distance among `pool` neighbours
-    per outcome that differs."""
+def boundary_cases(queries: DataFrame, cases: DataFrame, metric: Metric, predicted: DataFrame, action: str, n: int = 3, *, kind: str = "nominal", id_column: str = "id", pool: int = 100, **options) -> DataFrame:
+    """The n cases at the boundary of the outcome predicted (query_id, action). Of a nominal action the nearest cases with another class; of a
+    continuous one those of the `pool` nearest whose value differs most from the prediction for their distance, with `boundary`, that ratio."""
     asked = queries.join(predicted.select(F.col("query_id").alias(id_column), F.col(action).alias("__outcome")), id_column)
-    found = knn(asked.withColumn(action, F.col("__outcome")), cases, metric, n, id_column=id_column, carry=[action], differ=[action], **options)
-    return found
+    if kind == "nominal":
+        return knn(asked.withColumn(action, F.col("__outcome")), cases, metric, n, id_column=id_column, carry=[action], differ=[action], **options)
+    near = knn(asked, cases, metric, pool, id_column=id_column, carry=[action], **options).join(predicted.select("query_id", F.col(action).alias("__outcome")), "query_id")
+    off = F.abs(F.col(action).cast("double") - F.col("__outcome"))
+    near = near.withColumn("boundary", F.when(off > 0, off / F.greatest("distance", F.lit(1e-12))).otherwise(F.lit(0.0)))
+    order = W.partitionBy("query_id").orderBy(F.desc(F.round("boundary", DIGITS)), "rank")
+    return near.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= n).drop("__outcome")
 
 
-def boundary_values(boundary: DataFrame, cases: DataFrame, features: list[str], id_column: str = "id") -> DataFrame:
-    """Values of `features` of the nearest case with another outcome."""
-    first = boundary.where("rank = 1").select("query_id", "case_id", "distance")
+def boundary_values(boundary: DataFrame, cases: DataFrame, features: list[str], id_column: str = "id", outcome: dict | None = None) -> DataFrame:
+    """Values of `features` of the first boundary case, of those that the condition `outcome` (over the carried action) allows."""
+    first = boundary.where(compile_condition(outcome)).withColumn("__r", F.row_number().over(W.partitionBy("query_id").orderBy("rank"))).where("__r = 1").select("query_id", "case_id", "distance")
     return first.join(cases.select(F.col(id_column).alias("case_id"), *features), "case_id")
 
 
+def given_action(queries: DataFrame, near: DataFrame, action: str, kind: str, *, id_column: str = "id") -> DataFrame:
+    """What the neighbours say of an action value that the query gives, instead of predicting one: (query_id, given, predicted, error) of a
+    continuous action, (query_id, given, predicted, probability) of a nominal one, where the probability is that of the given class."""
+    own = queries.select(F.col(id_column).alias("query_id"), F.col(action).alias("given"))
+    if kind == "continuous":
+        df = own.join(predict_continuous(near, action, name="predicted"), "query_id", "left")
+        return df.withColumn("error", F.abs(F.col("given").cast("double") - F.col("predicted")))
+    df = own.join(predict_nominal(near, action, name="predicted").drop("probability"), "query_id", "left")
+    p = class_probabilities(near, action).select("query_id", F.col("class").alias("given"), "probability")
+    return df.join(p, ["query_id", "given"], "left").withColumn("probability", F.coalesce("probability", F.lit(0.0)))
+
+
 def relevant_values(near: DataFrame, feature: str, kind: str, quantiles: tuple = (0.0, 0.25, 0.5, 0.75, 1.0)) -> DataFrame:
     """(query_id, values): distinct values of a nominal among the neighbours, quantiles of a continuous feature."""
     if kind == "nominal":
@@ -174,7 +191,7 @@ def density_conviction(queries: DataFrame, near: DataFrame, feature: str, id_col
     """Local deviation over the query's own distance from the local mean: under 1, the value stands out."""
     own = queries.select(F.col(id_column).alias("query_id"), F.col(feature).cast("double").alias("__v"))
     df = own.join(predict_continuous(near, feature, name="__m"), "query_id").join(local_deviation(near, feature), "query_id")
-    off = F.abs(F.col("__v") - F.col("__m"))
+    off = F.round(F.abs(F.col("__v") - F.col("__m")), DIGITS)
     return df.select("query_id", F.when(off == 0, F.lit(float("inf"))).otherwise(F.col("local_mad") / off).alias("density_conviction"), "local_mad")
 
 
@@ -222,10 +239,43 @@ def residual_conviction(region: DataFrame, own: DataFrame) -> DataFrame:
     """Mean error of the region over the case's own: under 1, the case is harder than its surroundings. `region`: (query_id,
     local_residual); `own`: (query_id, error)."""
     df = region.join(own, "query_id")
-    return df.select("query_id", F.when(F.col("error") == 0, F.lit(float("inf"))).otherwise(F.col("local_residual") / F.col("error")).alias("residual_conviction"))
+    return df.select("query_id", F.when(F.round("error", DIGITS) == 0, F.lit(float("inf"))).otherwise(F.col("local_residual") / F.round("error", DIGITS)).alias("residual_conviction"))
 
 
 def local_stats(near: DataFrame, loo: DataFrame) -> DataFrame:
     """Statistics of the neighbours' own leave-one-out predictions per query; `loo`: (case_id, actual, predicted)."""
     e = F.col("actual") - F.col("predicted")
     return near.join(loo, "case_id").groupBy("query_id").agg(F.avg(F.abs(e)).alias("mae"), F.sqrt(F.avg(e * e)).alias("rmse"), F.avg(e).alias("bias"))
+
+
+def observational_errors(spark, profile: dict, features: list[str] | None = None) -> DataFrame:
+    """(feature, observational_error) as the profile declares them (extra["observational_error"]); null where it does not."""
+    rows = [(n, a.extra.get("observational_error")) for n, a in profile.items() if features is None or n in features]
+    return spark.createDataFrame([(n, None if e is None else float(e)) for n, e in rows], "feature string, observational_error double")
+
+
+def of_features(details: dict[str, DataFrame], features: list[str]) -> dict[str, DataFrame]:
+    """Details of the chosen features only: rows of tables that have a column `feature`, tables named after a feature otherwise."""
+    return {n: df.where(F.col("feature").isin(features)) if "feature" in df.columns else df for n, df in details.items() if "feature" in df.columns or n in features}
+
+
+def accumulated(parts: list[DataFrame]) -> DataFrame:
+    """Results of batches as one; columns that a batch lacks are null."""
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p, allowMissingColumns=True)
+    return out
+
+
+def clean_keys(probabilities: Column, kind: str) -> Column:
+    """Keys of a map of class probabilities as the nominal has them: whole numbers without decimals, booleans as true and false."""
+    if kind == "boolean":
+        return F.transform_keys(probabilities, lambda k, v: F.when(F.lower(k).isin("true", "1", "1.0"), "true").otherwise("false"))
+    if kind == "integer":
+        return F.transform_keys(probabilities, lambda k, v: F.coalesce(k.try_cast("double").try_cast("bigint").cast("string"), k))
+    return probabilities
+
+
+def influential_with_conviction(near: DataFrame, convictions: DataFrame, name: str = "familiarity_conviction") -> DataFrame:
+    """`influential_cases` with the conviction of each case; `convictions`: (query_id, name)."""
+    return influential_cases(near).join(convictions.select(F.col("query_id").alias("case_id"), name), "case_id", "left")

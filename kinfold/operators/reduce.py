@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import asdict, dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,6 +19,29 @@ ENTROPY_QUANTILE = 0.15
 BATCH = 2000
 
 
+@dataclass(frozen=True)
+class AblationParams:
+    """How a growing store is kept small; kept beside the store's other parameters."""
+
+    enabled: bool = False
+    least_cases: int = 1000
+    most_cases: int | None = None
+    batch: int = BATCH
+    quantile: float = ENTROPY_QUANTILE
+    exact: tuple[str, ...] = ()  # features whose exact prediction makes a case dispensable
+    tolerance: dict[str, float] | None = None
+    relative: dict[str, float] | None = None
+
+    def save(self, store) -> None:
+        store.set_params(".ablation", [], asdict(self))
+
+    @classmethod
+    def of(cls, store) -> AblationParams:
+        """The parameters set last, or the defaults."""
+        got = store.params(".ablation", [], exactly=True)
+        return cls(**(got | {"exact": tuple(got["exact"])})) if got else cls()
+
+
 def reduce_cases(cases: DataFrame, metric: Metric, most: int, k: int = 10, *, id_column: str = "id", weight: str = "_case_weight") -> DataFrame:
     """The `most` cases with the lowest influence-weight entropy, in which the mass of all others is gathered by their influence.
 
@@ -31,20 +56,24 @@ def reduce_cases(cases: DataFrame, metric: Metric, most: int, k: int = 10, *, id
     return distribute(stay, go, metric, k, weight, id_column)
 
 
-def reduce_until(cases: DataFrame, metric: Metric, action: str, kind: str, *, stat: str, absolute: float | None = None, relative: float | None = None, least: int = 100, share: float = 0.5, k: int = 10, id_column: str = "id") -> DataFrame:
-    """Cases halved again and again while the leave-one-out statistic stays within the thresholds of its first value and `least` cases are left."""
+def reduce_until(cases: DataFrame, metric: Metric, action: str, kind: str, *, stat: str, absolute: float | None = None, relative: float | None = None, delta: float | None = None, least: int = 100, most: int | None = None, share: float = 0.5, k: int = 10, id_column: str = "id") -> DataFrame:
+    """Cases halved again and again while the leave-one-out statistic stays within the thresholds of its first value (`absolute`, `relative`) and of that of the
+    round before (`delta`), and `least` cases are left. Down to `most` cases no threshold counts."""
 
     def measure(df: DataFrame) -> float:
         got = leave_one_out(df, metric, action, kind, k, id_column=id_column)
         return (continuous_stats(got) if kind == "continuous" else nominal_stats(got)).first()[stat]
 
     first, now = measure(cases), cases
+    before = first
     while (n := now.count()) * share >= least:
         new = written(reduce_cases(now, metric, int(n * share), k, id_column=id_column), "reduce")
-        off = abs(measure(new) - first)
-        if absolute is not None and off > absolute or relative is not None and off > relative * abs(first):
+        value = measure(new)
+        off, step = abs(value - first), abs(value - before)
+        beyond = absolute is not None and off > absolute or relative is not None and off > relative * abs(first) or delta is not None and step > delta
+        if beyond and (most is None or n <= most):
             break
-        now = new
+        now, before = new, value
     return now
 
 

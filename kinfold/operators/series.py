@@ -117,14 +117,18 @@ def forecast(
     tracking: str = "no",
     universal: bool = False,
     stop: dict | None = None,
+    stop_maps: dict[str, dict] | None = None,
+    limits: DataFrame | None = None,
     conditioned: DataFrame | None = None,
     seed: int | None = None,
 ) -> DataFrame:
     """(ids, step, time, targets, series_end): every series of `history` continued by up to `steps` rows.
 
     One job per step over all series: the contexts are the last `lags` values, the next values and time step come from the nearest
-    rows. `tracking`: "fixed" looks only at rows of the same series. `universal`: rows later than the last one known are left out.
-    `stop`: a series ends after the row for which this condition holds. `conditioned`: (ids, step, columns) whose values are used in
+    rows. `tracking`: "fixed" looks only at rows of the same series; "dynamic" follows, step by step, the series with the most influence among the
+    nearest rows. `universal`: rows later than the last one known are left out. `stop`: a series ends after the row for which this condition
+    holds. `stop_maps`: by target, "min", "max" and "values" at or beyond which a series ends. `limits`: (ids, max_length and final_time, either can be
+    missing): the most steps of a series, and the seconds since the epoch at or after which it ends. `conditioned`: (ids, step, columns) whose values are used in
     place of predictions. `seed`: one neighbour is drawn by influence instead of the mean. Every step is written out.
     """
     learned = written(training_rows(history, ids, time, targets, lags, key), "series")
@@ -135,7 +139,9 @@ def forecast(
     state = written(state.withColumn("id", -1 - F.xxhash64(*ids).bitwiseAND(F.lit((1 << 62) - 1))), "series")
     rows = []
     for step in range(1, steps + 1):
-        near = influence(knn(state, learned, metric, k, carry=[*targets, "__step"], agree=ids if tracking == "fixed" else (), not_later="__t" if universal else None))
+        near = influence(knn(state, learned, metric, k, carry=[*targets, "__step", *(ids if tracking == "dynamic" else [])], agree=ids if tracking == "fixed" else (), not_later="__t" if universal else None))
+        if tracking == "dynamic":
+            near = followed(near, ids)
         if seed is not None:
             near = drawn(near, seed + step)
         new = state
@@ -149,7 +155,18 @@ def forecast(
             new = new.join(given.select(*ids, *(F.col(c).alias(f"__given_{c}") for c in over)), ids, "left")
             for c in over:
                 new = new.withColumn(c, F.coalesce(f"__given_{c}", c)).drop(f"__given_{c}")
-        ends = compile_condition(stop) if stop else F.lit(False)
+        ends = F.coalesce(compile_condition(stop), F.lit(False)) if stop else F.lit(False)
+        for c, rule in (stop_maps or {}).items():
+            parts = [F.col(c) <= F.lit(rule["min"])] if rule.get("min") is not None else []
+            parts += [F.col(c) >= F.lit(rule["max"])] if rule.get("max") is not None else []
+            parts += [F.col(c).isin(rule["values"])] if rule.get("values") else []
+            for p in parts:
+                ends = ends | F.coalesce(p, F.lit(False))
+        if limits is not None:
+            own = [x for x in ("max_length", "final_time") if x in limits.columns]
+            new = new.join(limits.select(*ids, *(F.col(x).alias(f"__{x}") for x in own)), ids, "left")
+            ends = ends | (F.coalesce(F.lit(step) >= F.col("__max_length"), F.lit(False)) if "max_length" in own else F.lit(False))
+            ends = ends | (F.coalesce(F.col("__t") >= F.col("__final_time"), F.lit(False)) if "final_time" in own else F.lit(False))
         new = written(new.withColumn("series_end", F.coalesce(ends, F.lit(False)) | F.lit(step == steps)), "series")
         rows.append(new.select(*ids, F.lit(step).alias("step"), F.timestamp_seconds("__t").alias(time), *targets, "series_end"))
         older = [(f"{c}_lag_{i}", F.col(c) if i == 1 else F.col(f"{c}_lag_{i - 1}")) for c in targets for i in range(1, lags + 1)]
@@ -160,6 +177,28 @@ def forecast(
     return out
 
 
+def followed(near: DataFrame, ids: list[str]) -> DataFrame:
+    """`near` (with the ids of its rows) without the rows of other series than that with the most influence on a query; ties go to the lesser ids."""
+    sums = near.groupBy("query_id", *ids).agg(F.sum("weight").alias("__w"))
+    best = sums.withColumn("__r", F.row_number().over(W.partitionBy("query_id").orderBy(F.desc(F.round("__w", 9)), *ids))).where("__r = 1").drop("__r")
+    out = near.join(best, ["query_id", *ids]).withColumn("weight", F.try_divide("weight", "__w"))
+    return out.drop("__w", *ids)
+
+
+def forecast_accuracy(df: DataFrame, ids: list[str], time: str, targets: dict[str, str], metric: Metric, window: int, *, key: str, **options) -> DataFrame:
+    """(target, step, n, error): forecasts of the last `window` rows of every series from those before: mean absolute error by step, or for nominals the share
+    of wrong classes."""
+    history, tail = holdout(df, ids, time, window, key)
+    got = forecast(history, ids, time, targets, metric, window, key=key, **options)
+    both = written(got.select(*ids, "step", *(F.col(c).alias(f"__{c}") for c in targets)).join(tail.select(*ids, "step", *targets), [*ids, "step"]), "series")
+    out = None
+    for c, kind in targets.items():
+        off = F.abs(F.col(c).cast("double") - F.col(f"__{c}")) if kind == "continuous" else (~F.col(c).eqNullSafe(F.col(f"__{c}"))).cast("double")
+        one = both.groupBy("step").agg(F.count(off).alias("n"), F.avg(off).alias("error")).select(F.lit(c).alias("target"), "step", "n", "error")
+        out = one if out is None else out.union(one)
+    return out
+
+
 def drawn(near: DataFrame, seed: int) -> DataFrame:
     """One neighbour per query, drawn by its influence with a seeded number."""
     upto = F.sum("weight").over(W.partitionBy("query_id").orderBy("rank").rowsBetween(W.unboundedPreceding, 0))
@@ -216,13 +255,16 @@ def holdout(df: DataFrame, ids: list[str], time: str, steps: int, key: str) -> t
     return df.where(F.col("__back") > steps).drop("__back"), df.where(F.col("__back") <= steps).withColumn("step", F.lit(steps + 1) - F.col("__back")).drop("__back")
 
 
-def infer(df: DataFrame, ids: list[str], time: str, *, orders: int = 1, lags: dict | None = None, universal: bool = False, kinds: dict[str, str] | None = None, overrides: dict | None = None, **options) -> dict:
+def infer(df: DataFrame, ids: list[str], time: str, *, orders: int = 1, lags: dict | None = None, universal: bool = False, kinds: dict[str, str] | None = None, overrides: dict | None = None, derived_orders: dict[str, int] | None = None, **options) -> dict:
     """The profile of a series table: attributes of every column with, in `extra`, its series type (rate, delta or covariate), whether it is
     invariant, the bounds of its derived features, its lags, and for the time feature that it is a delta and whether it is universal."""
     from dataclasses import replace
 
     from .profile import infer as infer_columns
 
+    for c, n in (derived_orders or {}).items():  # orders that are derived back from the highest rather than predicted
+        if not 0 <= n < orders:
+            raise ValueError(f"derived orders of {c}: {n} of {orders}")
     fixed = time_invariant(df, ids, df.columns, time)
     out = infer_columns(df, series_ids=ids, invariant=fixed, ids=ids, **options)
     moving = [c for c, a in out.items() if a.type == "continuous" and a.data_type in ("number", "formatted_date_time") and c not in fixed]
@@ -231,6 +273,7 @@ def infer(df: DataFrame, ids: list[str], time: str, *, orders: int = 1, lags: di
         kind = "delta" if c == time else (kinds or {}).get(c, "rate" if c in moving else "covariate")
         extra = {"series_type": kind, "invariant": c in fixed, "lags": (lags or {}).get(c, 0)}
         if c in moving:
+            extra |= {"orders": orders, "derived_orders": (derived_orders or {}).get(c, 0)}
             extra["derived_bounds"] = {k: v for k, v in bounds.items() if k.startswith(f"{c}_")}
         if c == time:
             extra |= {"universal": universal}

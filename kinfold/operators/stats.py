@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from .knn import Metric
+from .condition import compile_condition
+from .knn import Metric, knn
 from .react import class_probabilities, neighbours, predict_continuous, predict_nominal
 
 
@@ -181,3 +182,59 @@ def residual_lower_bound(near: DataFrame, actual: DataFrame, action: str) -> Dat
     contexts is expected to do better."""
     first = near.where("rank = 1").join(actual, "query_id")
     return first.agg(F.avg(F.abs(F.col("actual") - F.col(action))).alias("residual_lower_bound"))
+
+
+def selected(table: DataFrame, names: list[str] | None) -> DataFrame:
+    """The chosen statistics of a table of them; all for None."""
+    unknown = [n for n in names or () if n not in table.columns]
+    if unknown:
+        raise ValueError(f"no such statistic: {unknown}")
+    return table if names is None else table.select(*names)
+
+
+def chosen(cases: DataFrame, condition: dict | None, metric: Metric, *, precision: str = "exact", most: int | None = None, seed: int = 0, id_column: str = "id") -> DataFrame:
+    """Cases for which a condition holds, or ("similar") the `most` ones closest to its values; an exact choice of more than `most` is sampled by id."""
+    if precision == "similar" and condition:
+        point = {f: (sum(v) / 2 if isinstance(v, (list, tuple)) else v) for f, v in condition.items()}
+        kinds = dict(cases.dtypes)
+        asked = cases.sparkSession.range(1).select(F.lit(-1).cast(kinds[id_column]).alias(id_column), *(F.lit(v).cast(kinds[f]).alias(f) for f, v in point.items()))
+        own = metric.without(*(n for n in metric.names() if n not in point))
+        return cases.join(knn(asked, cases, own, most or 10, id_column=id_column).select(F.col("case_id").alias(id_column)), id_column, "left_semi")
+    df = cases.where(compile_condition(condition))
+    return df if most is None else sample(df, most, seed, id_column)
+
+
+def measured(cases: DataFrame, metric: Metric, action: str, kind: str, k: int = 10, *, action_condition: dict | None = None, context_condition: dict | None = None, action_precision: str = "exact", context_precision: str = "exact", action_samples: int | None = None, context_samples: int | None = None, names: list[str] | None = None, id_column: str = "id", **options) -> DataFrame:
+    """Statistics of predictions of the cases that `action_condition` chooses from those that `context_condition` chooses."""
+    asked = chosen(cases, action_condition, metric, precision=action_precision, most=action_samples, id_column=id_column)
+    known = chosen(cases, context_condition, metric, precision=context_precision, most=context_samples, id_column=id_column)
+    got = leave_one_out(known, metric, action, kind, k, id_column=id_column, queries=asked, **options)
+    return selected(continuous_stats(got) if kind == "continuous" else nominal_stats(got), names)
+
+
+def derived_predictions(cases: DataFrame, metric: Metric, actions: dict[str, str], derive: dict[str, str], k: int = 10, *, id_column: str = "id", **options) -> DataFrame:
+    """(query_id, feature, actual, predicted): features that SQL derives from several actions, from their values and from their predictions."""
+    actual, predicted = cases.select(F.col(id_column).alias("query_id"), *actions), None
+    for a, kind in actions.items():
+        got = leave_one_out(cases, metric.without(*actions), a, kind, k, id_column=id_column, **options).select("query_id", F.col("predicted").alias(a))
+        predicted = got if predicted is None else predicted.join(got, "query_id")
+    out = []
+    for name, expression in derive.items():
+        a = actual.select("query_id", F.expr(expression).cast("double").alias("actual"))
+        b = predicted.select("query_id", F.expr(expression).cast("double").alias("predicted"))
+        out.append(a.join(b, "query_id").select("query_id", F.lit(name).alias("feature"), "actual", "predicted"))
+    return reduce(lambda a, b: a.union(b), out)
+
+
+def goal_sample(cases: DataFrame, metric: Metric, goals: dict[str, str | float], n: int = 1000, k: int = 10, *, seed: int = 0, id_column: str = "id", **options) -> DataFrame:
+    """(query_id, case_id): a sample of n cases, each replaced by that of its k neighbours and itself which comes closest to the goals ("min",
+    "max" or a value); several goals are summed in units of their standard deviations; ties go to the nearer case."""
+    some = sample(cases, n, seed, id_column)
+    near = knn(some, cases, metric, k + 1, id_column=id_column, carry=list(goals), self_too=True, **options)
+    row = cases.agg(*(F.stddev_pop(g).alias(g) for g in goals)).first()
+    off = F.lit(0.0)
+    for g, aim in goals.items():
+        c = F.col(g).cast("double")
+        off = off + (c if aim == "min" else -c if aim == "max" else F.abs(c - F.lit(float(aim)))) / F.lit(float(row[g] or 1.0))
+    best = F.row_number().over(W.partitionBy("query_id").orderBy(F.round(off, 9), "rank"))
+    return near.withColumn("__r", best).where("__r = 1").select("query_id", "case_id")

@@ -34,7 +34,10 @@ def base_cases(cases: DataFrame, n: int, seed: int, id_column: str = "id", bucke
     sizes = written(sizes.select("b", "n", (upto - F.col("n")).alias("lo"), upto.alias("hi")), "synth")
     total = cases.count()
     draws = cases.sparkSession.range(n).withColumn("at", F.floor(uniform(seed + 1, "id") * total))
-    draws = draws.join(F.broadcast(sizes), (F.col("at") >= F.col("lo")) & (F.col("at") < F.col("hi"))).select("id", "b", (F.col("at") - F.col("lo")).alias("place"))
+    # a bucket stands in every cell of the range that it overlaps, two or three at most on average, so that draws find it by an equal key
+    step = max(1, total // buckets)
+    cells = sizes.withColumn("cell", F.explode(F.sequence(F.floor(F.col("lo") / step), F.floor((F.col("hi") - 1) / step))))
+    draws = draws.withColumn("cell", F.floor(F.col("at") / step)).join(F.broadcast(cells), "cell").where("at >= lo AND at < hi").select("id", "b", (F.col("at") - F.col("lo")).alias("place"))
     return draws.join(c, ["b", "place"]).select("id", "base")
 
 
@@ -89,13 +92,14 @@ def generate(
             hit = near.withColumn("__upto", upto).where(F.col("__upto") > uniform(seed + 10 + i, "query_id") * (1 - 1e-9))
             hit = hit.withColumn("__r", F.row_number().over(W.partitionBy("query_id").orderBy("rank"))).where("__r = 1")
             v = F.col(f).cast("double") + laplace(seed + 100 + i, "query_id") * F.lit(residuals.get(f, 0.0) / conviction)
-            if epsilon and bounds and f in bounds:
+            if epsilon and bounds and f in bounds and None not in bounds[f]:
                 v = v + laplace(seed + 200 + i, "query_id") * F.lit((bounds[f][1] - bounds[f][0]) / epsilon)
             if spec.get(f) is not None and spec[f].kind == "cyclic":
                 v = F.pmod(v, F.lit(spec[f].cycle))
             elif bounds and f in bounds:
-                low, high = bounds[f]
-                v = F.greatest(F.least(v, F.lit(float(high))), F.lit(float(low))) if low is not None and high is not None else v
+                low, high = bounds[f]  # either can be None
+                v = v if high is None else F.least(v, F.lit(float(high)))
+                v = v if low is None else F.greatest(v, F.lit(float(low)))
             if decimals and f in decimals:
                 v = F.round(v, decimals[f])
             value = hit.select((-1 - F.col("query_id")).alias("id"), F.when(F.col(f).isNotNull(), v).alias(f))

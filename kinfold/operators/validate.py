@@ -95,3 +95,20 @@ def unexpected_values(df: DataFrame, feature: str, allowed: DataFrame) -> DataFr
 
 def first_per(df: DataFrame, by: list[str], order: list[str]) -> DataFrame:
     return df.withColumn("__r", F.row_number().over(W.partitionBy(*by).orderBy(*order))).where("__r = 1").drop("__r")
+
+
+def invalid_features(profile: dict[str, Attributes], extended: tuple[str, ...] = ()) -> list[tuple[str, str]]:
+    """(feature, reason) of attributes that cannot be: an unknown or missing type (`extended` names further ones), an ordinal without values, a cycle of no length or of a feature that is not
+    continuous, bounds that cross, a dependency on an unknown feature."""
+    out = []
+    for n, a in profile.items():
+        if a.type not in ("nominal", "ordinal", "continuous", *extended):
+            out.append((n, f"type {a.type}"))
+        if a.type == "ordinal" and not a.allowed:
+            out.append((n, "ordinal without values"))
+        if a.cycle_length is not None and (a.cycle_length <= 0 or a.type != "continuous"):
+            out.append((n, "cycle"))
+        if a.type == "continuous" and isinstance(a.min, (int, float)) and isinstance(a.max, (int, float)) and a.min > a.max:
+            out.append((n, "bounds"))
+        out += [(n, f"depends on {d}") for d in a.dependent or () if d not in profile]
+    return out

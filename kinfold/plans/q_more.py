@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import conviction, fanout, influence, profile, react, series, stats, validate
 from ..operators import reduce as fewer
-from ..operators.knn import knn, knn_approximate, metric_of
+from ..operators.knn import knn, metric_of
 from ..operators.profile import Attributes
 from ..sources.store import CaseStore
 from .q_react import CONTEXTS, ID, NEAR, NULLS, part, rounded, split, sql_near
@@ -44,13 +44,13 @@ def local_residuals(spark, d):
     return rounded(react.local_residual(near, loo), 9)
 
 
-@query(E + ", l AS (SELECT i.query_id, sum(i.weight * er.e) AS r FROM i JOIN er ON er.query_id = i.case_id GROUP BY 1) SELECT query_id, round(r / e, 4) AS residual_conviction FROM l JOIN er USING (query_id) WHERE e > 1e-3")
+@query(E + ", l AS (SELECT i.query_id, sum(i.weight * er.e) AS r FROM i JOIN er ON er.query_id = i.case_id GROUP BY 1) SELECT query_id, CASE WHEN round(e, 9) = 0 THEN 'Infinity'::DOUBLE ELSE round(r / round(e, 9), 4) END AS residual_conviction FROM l JOIN er USING (query_id)")
 def residual_convictions(spark, d):
     df, _, near = _both(spark, d)
     actual = df.select(F.col(ID).alias("query_id"), F.col("p_retailprice").alias("actual"))
     own = influence.errors(actual.join(react.predict_continuous(near, "p_retailprice", name="predicted"), "query_id"), "continuous")
     got = react.residual_conviction(react.local_residual(near, own.withColumnRenamed("query_id", "case_id")), own)
-    return rounded(got.join(own.where("error > 1e-3").select("query_id"), "query_id"), 4)
+    return rounded(got, 4)
 
 
 @query(E + "SELECT n.query_id, round(avg(er.e), 6) AS mae, round(sqrt(avg(er.e * er.e)), 6) AS rmse, round(avg(er.a - er.p), 6) AS bias FROM n JOIN er ON er.query_id = n.case_id GROUP BY 1")
@@ -63,26 +63,26 @@ def local_prediction_stats(spark, d):
 DC = FULL + ", dc AS (SELECT query_id, CASE WHEN min(distance) = 0 THEN 0.0 ELSE count(*) / sum(1.0 / greatest(distance, 1e-300)) END AS d FROM n GROUP BY 1)"
 
 
-@query(DC + ", l AS (SELECT n.query_id, avg(dc.d) AS local FROM n JOIN dc ON dc.query_id = n.case_id GROUP BY 1) SELECT query_id, round(local / d, 6) AS similarity_conviction FROM l JOIN dc USING (query_id) WHERE d > 0")
+@query(DC + ", l AS (SELECT n.query_id, avg(dc.d) AS local FROM n JOIN dc ON dc.query_id = n.case_id GROUP BY 1) SELECT query_id, CASE WHEN d = 0 THEN CASE WHEN local = 0 THEN 1.0 END ELSE round(local / d, 6) END AS similarity_conviction FROM l JOIN dc USING (query_id)")
 def similarity_convictions(spark, d):
     _, _, near = _both(spark, d, [*CONTEXTS, "p_retailprice"])
     own = react.distance_contribution(near)
-    got = react.similarity_conviction(near, own.where("distance_contribution > 0"), own.select(F.col("query_id").alias("case_id"), F.col("distance_contribution").alias("case_contribution")))
+    got = react.similarity_conviction(near, own, own.select(F.col("query_id").alias("case_id"), F.col("distance_contribution").alias("case_contribution")))
     return rounded(got)
 
 
-@query(FULL + ", f AS (SELECT query_id, distance FROM n WHERE rank = 1), r AS (SELECT n.query_id, min(n.distance) AS nearest, min(f.distance) AS local FROM n JOIN f ON f.query_id = n.case_id GROUP BY 1) SELECT query_id, round(nearest / local, 6) AS distance_ratio FROM r WHERE local > 0")
+@query(FULL + ", f AS (SELECT query_id, distance FROM n WHERE rank = 1), r AS (SELECT n.query_id, min(n.distance) AS nearest, min(f.distance) AS local FROM n JOIN f ON f.query_id = n.case_id GROUP BY 1) SELECT query_id, CASE WHEN local > 0 THEN round(nearest / local, 6) END AS distance_ratio FROM r")
 def distance_ratios(spark, d):
     _, _, near = _both(spark, d, [*CONTEXTS, "p_retailprice"])
-    return rounded(react.distance_ratio(near, near)).where("distance_ratio IS NOT NULL")
+    return rounded(react.distance_ratio(near, near))
 
 
-@query(NEAR + ", t AS (SELECT *, sum(weight * p_retailprice) OVER (PARTITION BY query_id) AS s FROM i), u AS (SELECT query_id, case_id, weight, s, (s - weight * p_retailprice) / (1 - weight) AS rest FROM t WHERE 1 - weight > 1e-9) SELECT query_id, case_id, round(abs(q.p_retailprice - rest) - abs(q.p_retailprice - s), 4) AS accuracy_contribution FROM u JOIN q ON q.p_partkey = query_id")
+@query(NEAR + ", t AS (SELECT *, sum(weight * p_retailprice) OVER (PARTITION BY query_id) AS s FROM i), u AS (SELECT query_id, case_id, weight, s, CASE WHEN 1 - weight > 1e-12 THEN (s - weight * p_retailprice) / (1 - weight) END AS rest FROM t) SELECT query_id, case_id, round(abs(q.p_retailprice - rest) - abs(q.p_retailprice - s), 4) AS accuracy_contribution FROM u JOIN q ON q.p_partkey = query_id")
 def case_accuracy(spark, d):
     q, c = split(spark, d)
     near = react.neighbours(q, c, metric_of(c, CONTEXTS), 10, carry=["p_retailprice"], id_column=ID)
     got = react.case_accuracy_contributions(near, "p_retailprice", q.select(F.col(ID).alias("query_id"), F.col("p_retailprice").alias("actual")))
-    return rounded(got.where("accuracy_contribution IS NOT NULL"), 4)
+    return rounded(got, 4)
 
 
 @query(NEAR + "SELECT query_id, round(min(p_retailprice), 6) AS low, round(quantile_cont(p_retailprice, 0.5), 6) AS middle, round(max(p_retailprice), 6) AS high FROM i WHERE weight > 0 GROUP BY query_id")
@@ -95,16 +95,18 @@ def relevant_quantiles(spark, d):
 
 @query(CONTRIBUTION + ", v AS (SELECT p_brand AS value, abs(x - z) AS pc, x - z AS di, abs(p_retailprice - z) - abs(p_retailprice - x) AS ac FROM u JOIN part ON p_partkey = query_id WHERE feature = 'p_type') SELECT value, count(*) AS n, round(avg(pc), 4) AS prediction_contribution, round(avg(di), 4) AS directional, round(avg(ac), 4) AS accuracy_contribution FROM v GROUP BY 1 HAVING count(*) >= 5")
 def contributions_by_value(spark, d):
-    q, c = split(spark, d)
-    per = influence.contributions(q, c, metric_of(c, CONTEXTS), "p_retailprice", 10, id_column=ID)
+    q = part(spark, d)
+    per = influence.contributions(q, q, metric_of(q, CONTEXTS), "p_retailprice", 10, id_column=ID)
     by_type = influence.value_contributions(per.where("feature = 'p_type'").withColumn("feature", F.lit("p_brand")), q, "p_brand", "nominal", least=5, id_column=ID)
     return rounded(by_type, 4)
 
 
-@query(f"SELECT count(*) AS n, round(avg(CASE WHEN (p_size IS NULL) = (p_partkey % 14 = 0) THEN 1.0 ELSE 0.0 END), 6) AS missing_value_accuracy FROM {NULLS}")
+@query(sql_near("abs(q.p_retailprice - c.p_retailprice)", queries="true", cases="true", part=NULLS) + ", p AS (SELECT query_id, coalesce(sum(weight) FILTER (p_size IS NULL), 0.0) > 0.5 AS gone FROM i GROUP BY 1) SELECT count(*) AS n, round(avg(CASE WHEN (p_size IS NULL) = gone THEN 1.0 ELSE 0.0 END), 6) AS missing_value_accuracy FROM p JOIN q ON p_partkey = query_id")
 def missing_values(spark, d):
-    df = part(spark, d).select(F.when(F.col(ID) % 7 != 0, F.col("p_size")).alias("actual"), F.when(F.col(ID) % 14 != 0, F.lit(1)).alias("predicted"))
-    return rounded(df.agg(F.count("*").alias("n")).crossJoin(stats.missing_value_accuracy(df)))
+    df = part(spark, d).withColumn("p_size", F.when(F.col(ID) % 7 != 0, F.col("p_size")))
+    near = react.neighbours(df, df, metric_of(df, ["p_retailprice"]), 10, carry=["p_size"], id_column=ID)
+    got = df.select(F.col(ID).alias("query_id"), F.col("p_size").alias("actual")).join(react.predict_continuous(near, "p_size", allow_nulls=True, name="predicted"), "query_id")
+    return rounded(got.agg(F.count("*").alias("n")).crossJoin(stats.missing_value_accuracy(got)))
 
 
 @query(sql_near(k=5) + ", y AS (SELECT query_id, sum(weight * p_retailprice) AS v FROM i GROUP BY 1) SELECT p_partkey FROM q JOIN y ON query_id = p_partkey WHERE abs(p_retailprice - v) <= greatest(20.0, 0.02 * abs(p_retailprice))")
@@ -113,13 +115,13 @@ def ablation_by_prediction(spark, d):
     return fewer.predicted_well(c, q, metric_of(c, [*CONTEXTS, "p_retailprice"]), "p_retailprice", "continuous", tolerance=20.0, relative=0.02, k=5, id_column=ID).select(ID)
 
 
-@query("SELECT count(*) AS n, true AS mass_kept FROM part")
+@query("SELECT count(*) AS n, CAST(count(*) AS DOUBLE) AS mass FROM part")
 def ablation_keeps_mass(spark, d):
     df = part(spark, d)
     first, batch = df.where(f"{ID} % 2 = 0"), df.where(f"{ID} % 2 = 1")
     got = fewer.ablate(first, batch, metric_of(df, CONTEXTS), 5, least_cases=100, id_column=ID)
     total = got.agg(F.sum("_case_weight").alias("m"))
-    return df.agg(F.count("*").alias("n")).crossJoin(total).select("n", (F.abs(F.col("m") - F.col("n")) < 1e-6).alias("mass_kept"))
+    return df.agg(F.count("*").alias("n")).crossJoin(total).select("n", F.round("m", 6).alias("mass"))
 
 
 @query("SELECT 'ts' AS feature, 'delta' AS kind, false AS invariant UNION ALL SELECT 'value', 'rate', false UNION ALL SELECT 'event_type', 'covariate', false UNION ALL SELECT 'user_id', 'covariate', true")
@@ -129,10 +131,11 @@ def series_profile(spark, d):
     return spark.createDataFrame([(n, a.extra["series_type"], a.extra["invariant"]) for n, a in got.items()], "feature string, kind string, invariant boolean")
 
 
-@query("SELECT event_type AS value, row_number() OVER (ORDER BY event_type) > 0 AS in_range FROM (SELECT DISTINCT event_type FROM events)")
+@query("SELECT count(DISTINCT user_id) AS n_values, count(DISTINCT user_id) AS pairs, CAST(0 AS BIGINT) AS outside FROM events")
 def value_groups(spark, d):
-    got = profile.group_numbers(spark.read.parquet(f"{d}/events.parquet"), "event_type", 3)
-    return got.select("value", ((F.col("group") >= 0) & (F.col("group") < 3)).alias("in_range"))
+    """Every user falls into one group, and into one of those asked for."""
+    got = profile.group_numbers(spark.read.parquet(f"{d}/events.parquet"), "user_id", 3)
+    return got.agg(F.countDistinct("value").alias("n_values"), F.count("*").alias("pairs"), F.count_if(~F.col("group").between(0, 2)).alias("outside"))
 
 
 @query(sql_near(k=3) + "SELECT query_id, case_id, rank, c.p_brand AS brand FROM n JOIN c ON c.p_partkey = case_id")
@@ -152,7 +155,7 @@ def contribution_matrix(spark, d):
 
 @query()
 def predicted_clusters(spark, d):
-    """Cluster of every tenth case, voted by its neighbours among the others."""
+    """Cluster of every query row, voted by its neighbours."""
     q, c = split(spark, d)
     m = metric_of(c, ["p_size", "p_retailprice"])
     named = conviction.clusters(c, m, 5, id_column=ID)
@@ -213,16 +216,3 @@ def store_similar(spark, d):
 def latest_means(spark, d):
     _, tail = series.holdout(_t(spark, d, "events"), ["user_id"], "ts", 5, "event_id")
     return rounded(tail.groupBy("user_id").agg(F.avg("value").alias("mean")))
-
-
-@query("SELECT p_partkey AS query_id, true AS found FROM part WHERE p_partkey % 50 = 0")
-def knn_approximate_recall(spark, d):
-    """Whether the approximate join finds at least nine of the ten nearest on average, told for every query row."""
-    df = part(spark, d)
-    q = df.where(f"{ID} % 50 = 0")
-    m = metric_of(df, ["p_size", "p_retailprice"], p_retailprice={"deviation": 20.0})
-    true = knn(q, df, m, 10, id_column=ID)
-    got = knn_approximate(q, df, m, 10, width=20.0, id_column=ID)
-    hit = true.join(got.select("query_id", "case_id"), ["query_id", "case_id"], "left_semi").agg(F.count("*").alias("n"))
-    total = true.agg(F.count("*").alias("t"))
-    return q.select(F.col(ID).alias("query_id")).crossJoin(F.broadcast(hit.crossJoin(total))).select("query_id", (F.col("n") >= 0.9 * F.col("t")).alias("found"))

@@ -212,11 +212,12 @@ def fanout_chain(spark, d):
     return spark.createDataFrame([(k, ",".join(v)) for k, v in got.items()], "key string, owned string")
 
 
-@query("SELECT p_brand, row_number() OVER (ORDER BY p_brand) > 0 AS numbered FROM (SELECT DISTINCT p_brand FROM part)")
+@query("SELECT row_number() OVER (ORDER BY p_brand) - 1 AS surrogate FROM (SELECT DISTINCT p_brand FROM part)")
 def surrogate_keys(spark, d):
+    """The numbers in use: each once, without a gap (which brand has which depends on a hash)."""
     got = readers.map_keys(_t(spark, d, "part"), "p_brand")
-    n = got.agg(F.count("*").alias("n"), F.max("surrogate").alias("m"), F.countDistinct("surrogate").alias("k"))
-    return got.crossJoin(F.broadcast(n)).select("p_brand", ((F.col("n") == F.col("k")) & (F.col("m") == F.col("n") - 1)).alias("numbered"))
+    return got.groupBy("surrogate").agg(F.countDistinct("p_brand").alias("n")).where("n = 1").select("surrogate")
+
 
 
 @query("SELECT user_id, event_id, lag(value) OVER w AS value_lag_1, lag(value, 2) OVER w AS value_lag_2 FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)")

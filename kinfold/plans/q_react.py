@@ -32,8 +32,9 @@ def part(spark: SparkSession, d: str) -> DataFrame:
 
 
 def split(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """The queries of a search, every id divisible by 50, and the cases, which are all rows (a row is never its own neighbour)."""
     df = part(spark, d)
-    return df.where(f"{ID} % 10 = 0"), df.where(f"{ID} % 10 <> 0")
+    return df.where(f"{ID} % 50 = 0"), df
 
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
@@ -51,7 +52,7 @@ def near(spark: SparkSession, d: str, k: int = 10, **options) -> DataFrame:
 DISTANCE = "CAST(abs(q.p_size - c.p_size) AS DOUBLE) + CASE WHEN q.p_type = c.p_type THEN 0.0 ELSE 1.0 END"
 
 
-def sql_near(distance: str = DISTANCE, k: int = 10, queries: str = "p_partkey % 10 = 0", cases: str = "p_partkey % 10 <> 0", on: str = "q.p_partkey <> c.p_partkey", part: str = "part") -> str:
+def sql_near(distance: str = DISTANCE, k: int = 10, queries: str = "p_partkey % 50 = 0", cases: str = "true", on: str = "q.p_partkey <> c.p_partkey", part: str = "part") -> str:
     return f"""
 WITH q AS (SELECT * FROM {part} WHERE {queries}), c AS (SELECT * FROM {part} WHERE {cases}),
 d AS (SELECT q.p_partkey AS query_id, c.p_partkey AS case_id, {distance} AS distance, c.p_retailprice, c.p_brand, c.p_size, c.p_type FROM q JOIN c ON {on}),
@@ -96,7 +97,7 @@ def knn_self_join_blocked(spark, d):
     return listed(knn(df, df, metric_of(df, CONTEXTS), 3, id_column=ID, broadcast_queries=500))
 
 
-@query(sql_near(cases="p_partkey % 10 <> 0 AND p_retailprice BETWEEN 950 AND 1100 AND p_brand IN ('Brand#11', 'Brand#12', 'Brand#13', 'Brand#1', 'Brand#2')") + LIST)
+@query(sql_near(cases="p_retailprice BETWEEN 950 AND 1100 AND p_brand IN ('Brand#11', 'Brand#12', 'Brand#13', 'Brand#1', 'Brand#2')") + LIST)
 def knn_constrained(spark, d):
     q, c = split(spark, d)
     held = compile_condition({"p_retailprice": [950, 1100], "p_brand": ["Brand#11", "Brand#12", "Brand#13", "Brand#1", "Brand#2"]})
@@ -109,7 +110,7 @@ def knn_leave_series_out(spark, d):
     return listed(knn(q, c, metric_of(c, CONTEXTS), 10, id_column=ID, differ=["p_brand"]))
 
 
-@query(sql_near(on="q.p_brand = c.p_brand", k=5) + LIST)
+@query(sql_near(on="q.p_brand = c.p_brand AND q.p_partkey <> c.p_partkey", k=5) + LIST)
 def knn_dependent_feature(spark, d):
     q, c = split(spark, d)
     return listed(knn_dependent(q, c, metric_of(c, CONTEXTS), 5, ["p_brand"], id_column=ID))
@@ -129,7 +130,7 @@ NULL_DISTANCE = "CASE WHEN q.p_size IS NULL AND c.p_size IS NULL THEN 0.0 WHEN q
 @query(sql_near(NULL_DISTANCE, part=NULLS) + LIST)
 def knn_with_nulls(spark, d):
     df = part(spark, d).withColumn("p_size", F.when(F.col(ID) % 7 != 0, F.col("p_size")))
-    q, c = df.where(f"{ID} % 10 = 0"), df.where(f"{ID} % 10 <> 0")
+    q, c = df.where(f"{ID} % 50 = 0"), df
     m = Metric((Feature("p_size", spread=49.0), Feature("p_type", "nominal")))
     return listed(knn(q, c, m, 10, id_column=ID))
 
@@ -168,12 +169,10 @@ def outlying_values(spark, d):
 MEAN = ", m AS (SELECT query_id, sum(weight * p_retailprice) AS mean FROM i GROUP BY 1)"
 
 
-@query(NEAR + MEAN + ", v AS (SELECT query_id, sum(weight * abs(p_retailprice - mean)) AS local_mad, any_value(mean) AS mean FROM i JOIN m USING (query_id) GROUP BY 1) SELECT query_id, round(local_mad / abs(q.p_retailprice - mean), 6) AS density_conviction, round(local_mad, 6) AS local_mad FROM v JOIN q ON q.p_partkey = query_id WHERE abs(q.p_retailprice - mean) > 1e-6")
+@query(NEAR + MEAN + ", v AS (SELECT query_id, sum(weight * abs(p_retailprice - mean)) AS local_mad, any_value(mean) AS mean FROM i JOIN m USING (query_id) GROUP BY 1) SELECT query_id, CASE WHEN round(abs(q.p_retailprice - mean), 9) = 0 THEN 'Infinity'::DOUBLE ELSE round(local_mad / round(abs(q.p_retailprice - mean), 9), 6) END AS density_conviction, round(local_mad, 6) AS local_mad FROM v JOIN q ON q.p_partkey = query_id")
 def density_convictions(spark, d):
     q, _ = split(spark, d)
-    n = near(spark, d)
-    off = q.select(F.col(ID).alias("query_id"), F.col("p_retailprice").alias("v")).join(r.predict_continuous(n, "p_retailprice", name="m"), "query_id").where("abs(v - m) > 1e-6")
-    return rounded(r.density_conviction(q, n, "p_retailprice", ID).join(off.select("query_id"), "query_id"))
+    return rounded(r.density_conviction(q, near(spark, d), "p_retailprice", ID))
 
 
 @query(NEAR + ", t AS (SELECT *, sum(weight * p_retailprice) OVER (PARTITION BY query_id) AS s FROM i), u AS (SELECT query_id, case_id, CASE WHEN 1 - weight > 1e-9 THEN s - (s - weight * p_retailprice) / (1 - weight) END AS x FROM t) SELECT query_id, case_id, round(x, 4) AS directional, round(abs(x), 4) AS contribution FROM u")
@@ -186,7 +185,7 @@ def goal_seeking(spark, d):
     return rounded(r.goal_seek(near(spark, d), "p_retailprice", "max", 3, "p_retailprice"))
 
 
-@query(NEAR + PROBS + ", b AS (SELECT q.*, best.class FROM q JOIN best ON q.p_partkey = best.query_id), bd AS (SELECT q.p_partkey AS query_id, c.p_partkey AS case_id, " + DISTANCE + " AS distance, c.p_brand FROM b AS q JOIN c ON q.class <> c.p_brand), bn AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, case_id) AS rank FROM bd) SELECT query_id, case_id, round(distance, 6) AS distance, rank, p_brand FROM bn WHERE rank <= 3")
+@query(NEAR + PROBS + ", b AS (SELECT q.*, best.class FROM q JOIN best ON q.p_partkey = best.query_id), bd AS (SELECT q.p_partkey AS query_id, c.p_partkey AS case_id, " + DISTANCE + " AS distance, c.p_brand FROM b AS q JOIN c ON q.class <> c.p_brand AND q.p_partkey <> c.p_partkey), bn AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, case_id) AS rank FROM bd) SELECT query_id, case_id, round(distance, 6) AS distance, rank, p_brand FROM bn WHERE rank <= 3")
 def boundary_cases(spark, d):
     q, c = split(spark, d)
     got = r.predict_nominal(near(spark, d), "p_brand")

@@ -86,7 +86,7 @@ def feature_deviations(spark, d):
 
 
 PRED = ", y AS (SELECT query_id, sum(weight * p_retailprice) AS p FROM i GROUP BY 1) SELECT query_id, p FROM y"
-CONTRIBUTION = f"""WITH a AS ({sql_near() + PRED}), s AS ({sql_near("CASE WHEN q.p_type = c.p_type THEN 0.0 ELSE 1.0 END") + PRED}), t AS ({sql_near("CAST(abs(q.p_size - c.p_size) AS DOUBLE)") + PRED}),
+CONTRIBUTION = f"""WITH a AS ({ALL + PRED}), s AS ({ONE["p_type"] + PRED}), t AS ({ONE["p_size"] + PRED}),
 u AS (SELECT query_id, 'p_size' AS feature, a.p AS x, s.p AS z FROM a JOIN s USING (query_id) UNION ALL SELECT query_id, 'p_type', a.p, t.p FROM a JOIN t USING (query_id))
 """
 
@@ -94,22 +94,13 @@ u AS (SELECT query_id, 'p_size' AS feature, a.p AS x, s.p AS z FROM a JOIN s USI
 @query(CONTRIBUTION + "SELECT query_id, feature, round(abs(x - z), 4) AS prediction_contribution, round(x - z, 4) AS directional, round(abs(p_retailprice - z) - abs(p_retailprice - x), 4) AS accuracy_contribution FROM u JOIN part ON p_partkey = query_id")
 def contributions_full(spark, d):
     df = part(spark, d)
-    q, c = df.where(f"{ID} % 10 = 0"), df.where(f"{ID} % 10 <> 0")
-    return rounded(influence.contributions(q, c, metric_of(c, CONTEXTS), "p_retailprice", 10, id_column=ID), 4)
+    return rounded(influence.contributions(df, df, metric_of(df, CONTEXTS), "p_retailprice", 10, id_column=ID), 4)
 
 
 @query(CONTRIBUTION + "SELECT feature, round(avg(abs(x - z)), 4) AS prediction_contribution, round(avg(x - z), 4) AS directional, round(avg(abs(p_retailprice - z) - abs(p_retailprice - x)), 4) AS accuracy_contribution FROM u JOIN part ON p_partkey = query_id GROUP BY feature")
 def contributions_mean(spark, d):
     df = part(spark, d)
-    q, c = df.where(f"{ID} % 10 = 0"), df.where(f"{ID} % 10 <> 0")
-    return rounded(influence.mean_contributions(influence.contributions(q, c, metric_of(c, CONTEXTS), "p_retailprice", 10, id_column=ID)), 4)
-
-
-@query()
-def contributions_robust(spark, d):
-    df = part(spark, d)
-    q, c = df.where(f"{ID} % 10 = 0"), df.where(f"{ID} % 10 <> 0")
-    return rounded(influence.contributions(q, c, metric_of(c, [*CONTEXTS, "p_brand"]), "p_retailprice", 10, id_column=ID, robust=4, seed=1), 4)
+    return rounded(influence.mean_contributions(influence.contributions(df, df, metric_of(df, CONTEXTS), "p_retailprice", 10, id_column=ID)), 4)
 
 
 @query()
@@ -179,12 +170,6 @@ def group_contributions(spark, d):
     return rounded(conviction.groups(df, df, metric_of(df, CONTEXTS), "p_brand", 10, id_column=ID).select("group_id", "n", "distance_contribution"))
 
 
-@query()
-def group_convictions(spark, d):
-    df = part(spark, d)
-    return rounded(conviction.groups(df, df, metric_of(df, CONTEXTS), "p_brand", 10, id_column=ID), 4)
-
-
 @query(OUT + ", g AS (SELECT m.p_brand AS group_id, i.p_brand AS class, sum(weight) AS w FROM i JOIN part AS m ON m.p_partkey = query_id GROUP BY 1, 2) SELECT group_id, class, round(w / sum(w) OVER (PARTITION BY group_id), 6) AS probability FROM g")
 def group_predictions(spark, d):
     df = part(spark, d)

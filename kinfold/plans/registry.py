@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import q_more, q_profile, q_react, q_series, q_stats
+from . import q_extra, q_more, q_profile, q_react, q_series, q_stats
 
-_MODULES = [q_react, q_stats, q_more, q_profile, q_series]
+_MODULES = [q_react, q_stats, q_more, q_profile, q_series, q_extra]
 
 
 def queries() -> dict:

@@ -23,6 +23,11 @@ from ..plans.storage import written
 KEY = ["_session", "_idx"]
 
 
+def identified(df: DataFrame) -> DataFrame:
+    """`df` with `id`, a string made of both parts of the identity, in the order of training."""
+    return df.withColumn("id", F.format_string("%020d %s", "_idx", "_session"))
+
+
 def running_index(df: DataFrame, start: int, order: list[Column] | None = None) -> DataFrame:
     """`df` with `_idx` from `start` on, in the order of its rows' partitions or in `order`, by prefix sums of partition sizes."""
     if order:
@@ -117,15 +122,16 @@ class CaseStore:
         for name, expression in derived:
             df = df.withColumn(name, F.expr(expression))
         old = self._read("cases")
-        start = 0 if old is None else (old.agg(F.max("_idx")).first()[0] or -1) + 1
+        last = None if old is None else old.agg(F.max("_idx")).first()[0]
+        start = 0 if last is None else last + 1
         new = running_index(df, start, [F.col(c) for c in order]).withColumn("_session", F.lit(session))
         self._append("cases", new)
         return self.count() - (0 if old is None else old.count())
 
     def train_weights(self, df: DataFrame, features: list[str], k: int = 10, weight: str = "_case_weight") -> None:
         """Absorb new cases: each gives its weight to its neighbours by their influence; no case is added."""
-        cases = self.cases().withColumn("id", F.col("_idx"))
-        asked = df.withColumn("id", -1 - F.monotonically_increasing_id())
+        cases = identified(self.cases())
+        asked = df.withColumn("id", F.format_string("new %020d", F.monotonically_increasing_id()))
         self._replace("cases", distribute(cases, asked, metric_of(cases, features), k, weight).drop("id"))
 
     def get(self, features: list[str] | None = None, *, session: str | None = None, indices: list[tuple[str, int]] | None = None, condition: dict | None = None, sort_by: list[tuple[str, bool]] = (), imputed: bool = False) -> DataFrame:
@@ -144,9 +150,9 @@ class CaseStore:
 
     def similar(self, condition: dict, k: int = 10, features: list[str] | None = None) -> DataFrame:
         """The k cases that come closest to the values of the condition (middles of ranges)."""
-        cases = self.cases().withColumn("id", F.col("_idx"))
+        cases = identified(self.cases())
         point = {f: (sum(v) / 2 if isinstance(v, (list, tuple)) else v) for f, v in condition.items()}
-        q = self.spark.createDataFrame([(-1, *point.values())], ["id", *point]).select("id", *(F.col(f).cast(dict(cases.dtypes)[f]).alias(f) for f in point))
+        q = self.spark.createDataFrame([("asked", *point.values())], ["id", *point]).select("id", *(F.col(f).cast(dict(cases.dtypes)[f]).alias(f) for f in point))
         near = knn(q, cases, metric_of(cases, list(point)), k)
         return cases.join(near.select(F.col("case_id").alias("id"), "distance", "rank"), "id").drop("id").select(*(features or [c for c in cases.columns if not c.startswith("_") and c != "id"]), *KEY, "distance", "rank")
 
@@ -179,7 +185,7 @@ class CaseStore:
         cases = self.cases()
         rest = cases.join(gone, KEY, "left_anti")
         if distribute_features:
-            a, b = rest.withColumn("id", F.col("_idx")), cases.join(gone, KEY, "left_semi").withColumn("id", F.col("_idx"))
+            a, b = identified(rest), identified(cases.join(gone, KEY, "left_semi"))
             rest = distribute(a, b, metric_of(cases, distribute_features), k, "_case_weight").drop("id")
         before = cases.count()
         self._replace("cases", rest)
@@ -265,11 +271,13 @@ class CaseStore:
         row = (target, sorted(contexts), weight, json.dumps(params), time.time())
         self._append("params", self.spark.createDataFrame([row], "target string, contexts array<string>, weight string, params string, at double"))
 
-    def params(self, target: str, contexts: list[str], weight: str | None = None) -> dict | None:
-        """The latest parameters that match best: target first, then contexts, then weight."""
+    def params(self, target: str, contexts: list[str], weight: str | None = None, exactly: bool = False) -> dict | None:
+        """The latest parameters that match best: target first, then contexts, then weight. `exactly`: of this target only."""
         df = self._read("params")
         if df is None:
             return None
+        if exactly:
+            df = df.where(F.col("target") == target)
         same = F.array_sort(F.col("contexts")) == F.array(*map(F.lit, sorted(contexts)))
         order = [F.desc(F.col("target") == target), F.desc(same), F.desc(F.col("weight").eqNullSafe(F.lit(weight))), F.desc("at")]
         row = df.orderBy(*order).limit(1).first()

@@ -443,3 +443,154 @@ def test_store_numbers_cases_in_order(spark, tmp_path):
     store.train(spark.range(5000).select(F.pmod(F.col("id") * 7, F.lit(5000)).alias("key")).repartition(6), "a", order=["key"])
     store.train(spark.range(5000, 5100).repartition(3).select(F.col("id").alias("key")), "b", order=["key"])
     assert not store.cases().where("_idx <> key").count() and store.count() == 5100
+
+
+# --- repairs and later additions
+
+
+def test_store_numbers_single_cases(spark, tmp_path):
+    store = CaseStore(spark, str(tmp_path / "s"))
+    for x in (1, 2, 3):
+        store.train(spark.createDataFrame([(x,)], "x int"), f"s{x}")
+    assert sorted((r.x, r._idx) for r in store.cases().collect()) == [(1, 0), (2, 1), (3, 2)]
+    assert store.edit({"x": 9}, indices=[("s1", 0)]) == 1
+
+
+def test_combined_stores_keep_cases_apart(spark, tmp_path):
+    a, b = CaseStore(spark, str(tmp_path / "a")), CaseStore(spark, str(tmp_path / "b"))
+    a.train(spark.createDataFrame([(i, float(i)) for i in range(6)], "x int, y double"), "a")
+    b.train(spark.createDataFrame([(10 + i, 10.0 + i) for i in range(6)], "x int, y double"), "b")
+    a.combine(b)
+    assert sorted(r.x for r in a.similar({"x": 12}, 3).collect()) == [11, 12, 13]
+    a.remove({"x": [12, 12]}, distribute_features=["x"], k=2)
+    mass = {r.x: r._case_weight for r in a.cases().collect()}
+    assert sum(mass.values()) == pytest.approx(12) and mass[11] == pytest.approx(1.5) and mass[13] == pytest.approx(1.5) and mass[1] == 1
+    a.train_weights(spark.createDataFrame([(3,)], "x int"), ["x"], 1)
+    assert {r.x: r._case_weight for r in a.cases().collect()}[3] == pytest.approx(2)
+
+
+def test_ordinals_and_formats_as_observed(spark):
+    df = spark.createDataFrame([("b", "9:30", "2024-01-02 03:04:05.120", "2024-01-02T03:04:05Z"), ("c", "10:15", "2024-01-02 03:04:06.130", "2024-01-02T03:04:06Z"), (None, None, None, None)], "o string, t string, d string, z string")
+    got = profile.infer(df, ordinal_values={"o": ["a", "b", "c", "d"]})
+    assert (got["o"].observed_min, got["o"].observed_max, got["o"].allowed) == ("b", "c", ["a", "b", "c", "d"])
+    assert (got["t"].format, got["t"].cycle_length) == ("HH:mm", 86400.0)
+    assert got["d"].format == "yyyy-MM-dd HH:mm:ss.SSS" and got["z"].format == "yyyy-MM-dd'T'HH:mm:ssXXX"
+    assert profile.infer(df.select(F.lit(None).cast("string").alias("o")), ordinal_values={"o": ["a"]})["o"].observed_min is None
+
+
+def test_mode_bounds_among_many_modes(spark):
+    """More than a hundred tied modes: the bound that is one of them still holds."""
+    df = spark.createDataFrame([(float(i) + 0.5,) for i in range(300) for _ in range(4)], "x double")
+    got = profile.infer(df)["x"]
+    assert (got.min, got.max) == (0.5, 299.5)
+
+
+def test_semi_structured_distances(spark):
+    data = [(1, '{"a":1,"b":[1,2]}'), (2, '{"b":[1,3],"a":1}'), (3, None), (4, "plain words here"), (5, "plain words"), (6, "{}"), (7, None)]
+    df = spark.createDataFrame(data, "id int, v string")
+    m = Metric((Feature("v", "json"),))
+    near = {(r.query_id, r.case_id): r.distance for r in knn.knn(df, df, m, 6).collect()}
+    assert near[1, 2] == pytest.approx(0.5) and near[4, 5] == pytest.approx(1 / 3) and near[3, 7] == 0 and near[3, 1] == 1 and near[1, 6] == 1
+    assert near == pytest.approx({(r.query_id, r.case_id): r.distance for r in knn.knn_sql(df, df, m, 6).collect()})
+
+
+def test_learned_class_distances(spark):
+    rows = [(i, float(i % 4 // 2), "abcd"[i % 4]) for i in range(80)]  # a and b share their contexts, as do c and d
+    df = spark.createDataFrame(rows, "id int, x double, c string")
+    learned = influence.class_distances(df, metric_of(df, ["x", "c"]), "c", 20)
+    got = {(r.a, r.b): r.difference for r in learned.collect()}
+    assert got.keys() == {("a", "b"), ("b", "a"), ("c", "d"), ("d", "c")} and 0.3 < got["a", "b"] < 0.8 and got["a", "b"] == got["b", "a"]
+    m = influence.with_class_distances(metric_of(df, ["c"]), "c", learned)
+    near = {(r.query_id, r.case_id): r.distance for r in knn.knn(df.where("id = 0"), df.where("id in (1, 2, 4)"), m, 3).collect()}
+    assert near[0, 4] == 0 and near[0, 1] == pytest.approx(got["a", "b"]) and near[0, 2] == 1
+
+
+def test_groups_of_conditions(spark):
+    df = spark.createDataFrame([(i, float(i % 10), float(i)) for i in range(60)], "id int, x double, y double")
+    m = metric_of(df, ["x", "y"])
+    got = {r.group_id: r for r in conviction.groups_of(df, m, {"low": {"y": [0, 19]}, "all": None, "two": df.where("id < 2").select("id")}, 5).collect()}
+    assert got["low"].n == 20 and got["two"].n == 2 and "all" not in got  # nothing is left of it once held out
+    assert all(r.familiarity_conviction_removal > 0 and 0 < r.p_value_of_removal <= 1 for r in got.values())
+
+
+def test_forecast_stops_and_follows(spark):
+    rows = [(s, i, float(i) * (1 if s < 2 else 10), 100 * s + i) for s in range(4) for i in range(12)]
+    df = spark.createDataFrame(rows, "s int, t int, v double, k int").withColumn("t", F.timestamp_seconds(F.col("t") * 60))
+    learned = series.training_rows(df, ["s"], "t", {"v": "continuous"}, 2, "k")
+    m = metric_of(learned, ["v_lag_1", "v_lag_2"])
+    run = lambda **o: {(r.s, r.step): r for r in series.forecast(df, ["s"], "t", {"v": "continuous"}, m, 4, key="k", lags=2, k=3, **o).collect()}
+    limits = spark.createDataFrame([(0, 2, None), (1, None, 60 * 12.5)], "s int, max_length int, final_time double")
+    got = run(limits=limits)
+    assert max(n for s, n in got if s == 0) == 2 and got[0, 2].series_end and not got[0, 1].series_end
+    assert max(n for s, n in got if s == 1) < 4 and max(n for s, n in got if s == 2) == 4
+    got = run(stop_maps={"v": {"max": 50}})
+    assert max(n for s, n in got if s == 3) == 1 and max(n for s, n in got if s == 0) == 4
+    assert len(run(tracking="dynamic")) == 16
+    near = spark.createDataFrame([(1, 5, 0.6, 1), (1, 6, 0.3, 2), (1, 7, 0.1, 2), (2, 5, 1.0, 2)], "query_id int, case_id int, weight double, s int")
+    assert sorted((r.query_id, r.case_id, r.weight) for r in series.followed(near, ["s"]).collect()) == [(1, 5, 1.0), (2, 5, 1.0)]
+    with pytest.raises(ValueError):
+        series.infer(df, ["s"], "t", orders=1, derived_orders={"v": 1})
+
+
+def test_reduce_by_deltas_and_ablation_params(spark, tmp_path):
+    df = spark.createDataFrame([(i, float(i % 7), float(i % 7) + (i % 3)) for i in range(160)], "id int, x double, y double")
+    m = metric_of(df, ["x"])
+    assert reduce.reduce_until(df, m, "y", "continuous", stat="mae", delta=-1.0, least=20, k=5).count() == 160
+    assert reduce.reduce_until(df, m, "y", "continuous", stat="mae", delta=-1.0, least=20, most=50, k=5).count() == 40
+    assert reduce.reduce_until(df, m, "y", "continuous", stat="mae", delta=10.0, least=30, k=5).count() == 40
+    store = CaseStore(spark, str(tmp_path / "s"))
+    assert reduce.AblationParams.of(store) == reduce.AblationParams()
+    reduce.AblationParams(enabled=True, exact=("y",), tolerance={"y": 0.5}).save(store)
+    assert reduce.AblationParams.of(store) == reduce.AblationParams(enabled=True, exact=("y",), tolerance={"y": 0.5})
+
+
+def test_invalid_features_and_small_details(spark):
+    from kinfold.operators.validate import invalid_features
+
+    bad = {"a": profile.Attributes("a", type="text"), "b": profile.Attributes("b", type="ordinal"), "c": profile.Attributes("c", type="continuous", min=2, max=1, dependent=["z"]), "d": profile.Attributes("d", type="nominal")}
+    assert {n for n, _ in invalid_features(bad)} == {"a", "b", "c"} and not any(n == "a" for n, _ in invalid_features(bad, ("text",)))
+    errors_ = react.observational_errors(spark, {"a": profile.Attributes("a", extra={"observational_error": 0.5}), "b": profile.Attributes("b")}).collect()
+    assert [(r.feature, r.observational_error) for r in errors_] == [("a", 0.5), ("b", None)]
+    df = spark.createDataFrame([({"1.0": 0.4, "x": 0.6},)], "p map<string,double>")
+    assert df.select(react.clean_keys(F.col("p"), "integer").alias("p")).first().p == {"1": 0.4, "x": 0.6}
+    both = react.accumulated([spark.createDataFrame([(1, 2)], "a int, b int"), spark.createDataFrame([(3,)], "a int")])
+    assert both.count() == 2 and both.where("b IS NULL").count() == 1
+    details = {"residuals": spark.createDataFrame([("x", 1.0), ("y", 2.0)], "feature string, v double"), "x": both}
+    assert react.of_features(details, ["x"])["residuals"].count() == 1 and react.of_features(details, ["y"]).keys() == {"residuals"}
+
+
+def test_goal_samples_and_robust_details(spark):
+    df = spark.createDataFrame([(i, float(i), float((i * 7) % 11), "ab"[i % 2]) for i in range(40)], "id int, x double, y double, c string")
+    m = metric_of(df, ["x", "c"])
+    got = {r.query_id: r.case_id for r in stats.goal_sample(df, m, {"y": "max"}, 40, 3).collect()}
+    y = {r.id: r.y for r in df.collect()}
+    assert len(got) == 40 and all(y[c] >= y[q] for q, c in got.items())
+    per = influence.robust_case_contributions(df, df, m, "y", 4, samples=5, seed=2)
+    assert per.agg(F.max("n")).first()[0] <= 5 and per.where("contribution < 0").count() == 0
+    assert {r.feature for r in influence.permutation_accuracy(df, m, "y", 4, robust=3).collect()} == {"x", "c"}
+    combos = influence.value_combinations(influence.contributions(df, df, m, "y", 4), df, {"x": "continuous", "c": "nominal"}, buckets=2, least=5)
+    assert {(r.value_x, r.value_c) for r in combos.collect()} == {(a, b) for a in (0, 1) for b in "ab"}
+    with pytest.raises(ValueError):
+        stats.selected(df, ["nothing"])
+    near = stats.chosen(df, {"x": 20}, m, precision="similar", most=3)
+    assert {r.id for r in near.collect()} == {19, 20, 21}
+    assert stats.chosen(df, {"x": [5, None]}, m, most=7).count() == 7
+
+
+def test_one_sided_bounds_and_draws(spark):
+    df = spark.createDataFrame([(i, float(i % 20)) for i in range(500)], "id int, x double")
+    m = metric_of(df, ["x"])
+    make = lambda b: synth.generate(df, m, {"x": "continuous"}, 300, residuals={"x": 30.0}, bounds={"x": b}).agg(F.min("x"), F.max("x")).first()
+    assert make((0, None))[0] == 0 and make((0, None))[1] > 30 and make((None, 10))[1] == 10 and make((None, 10))[0] < -5
+    draws = synth.base_cases(df, 2000, 3).groupBy("base").agg(F.count("*").alias("n"))
+    assert draws.agg(F.sum("n")).first()[0] == 2000 and draws.count() > 450
+
+
+def test_boundary_values_with_outcome(spark):
+    df = spark.createDataFrame([(i, float(i), float(i * i)) for i in range(12)], "id int, x double, y double")
+    m = metric_of(df, ["x"])
+    near = react.neighbours(df, df, m, 3, carry=["y"])
+    found = react.boundary_cases(df, df, m, react.predict_continuous(near, "y"), "y", 2, kind="continuous", pool=5)
+    assert found.groupBy("query_id").count().where("count <> 2").count() == 0
+    some = react.boundary_values(found, df, ["x"], outcome={"y": [0, 50]}).collect()
+    assert some and all(r.x <= 7 for r in some)
