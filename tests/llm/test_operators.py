@@ -78,6 +78,46 @@ def test_quality_fences_follow_the_groups(spark):
     assert {i for i, kept in got.items() if not kept} == bad
 
 
+def brute_verdicts(rows):
+    """Whether each of (lang, source, base_failed, rates by name, repeated lines) is kept, with exact quantiles, from the definition."""
+    quantile = lambda values, q: sorted(values)[max(0, math.ceil(q * len(values)) - 1)]
+    own, by = quality_rules, {}
+    for lang, source, failed, rates, _ in rows:
+        if not failed:
+            by.setdefault((lang, source), []).append(rates)
+    quarter = {g: {r: [quantile([x[r] for x in members], q) for q in (0.25, 0.5, 0.75)] for r in own.RATES} for g, members in by.items()}
+
+    def middle(groups, r, i):
+        return quantile([quarter[g][r][i] for g in groups], 0.5)
+
+    fence = {}
+    for g, members in by.items():
+        alike = [x for x in by if x[0] == g[0]]
+        n, n_lang = len(members), sum(len(by[x]) for x in alike)
+        for r, tolerance in own.RATES.items():
+            blend = lambda k, a, b: k / (k + own.SHRINK) * a + (1 - k / (k + own.SHRINK)) * b
+            low, mid = (blend(n, quarter[g][r][i], middle(alike, r, i)) for i in (0, 1))
+            spread = lambda take: take(2) - take(1)
+            every = spread(lambda i, r=r: middle(list(by), r, i))
+            lang = spread(lambda i, r=r: middle(alike, r, i))
+            wide = blend(n, spread(lambda i, r=r: quarter[g][r][i]), blend(n_lang, lang, every))
+            fence[g, r] = min(mid + own.SPREAD * wide + tolerance, own.BOUNDS[r] if r in own.BOUNDS else own.WORD_BOUND * low)
+    out = []
+    for lang, source, failed, rates, repeated in rows:
+        beyond = any(rates[r] > fence[(lang, source), r] and (r != "dup_line_rate" or repeated > 1) for r in own.RATES) if not failed else True
+        out.append(not failed and not beyond)
+    return out
+
+
+def test_quality_verdicts_by_definition(spark, docs):
+    df = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang", "source").unionByName(docs.select("doc_id", "text", "lang", "source"))
+    got = quality_rules.verdicts(df).collect()
+    want = brute_verdicts([(r.lang, r.source, r.base_failed, {x: r[x] for x in quality_rules.RATES}, r.n_dup_lines) for r in got])
+    assert [r.kept for r in got] == want
+    fixed = [not r.base_failed and r.symbol_rate <= 0.1 and r.dup_line_rate <= 0.3 and r.repeat_rate <= 0.3 and r.mean_word_chars <= 12 for r in got]
+    assert fixed != want and sum(want) > 0.6 * len(want)  # the groups set the fences, and most documents stay
+
+
 # --- 2
 
 
