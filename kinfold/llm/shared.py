@@ -14,18 +14,18 @@ SPACES = r"[\x20\x09-\x0D]+"
 
 
 @functools.cache
-def _own_dir() -> str:
-    return tempfile.mkdtemp(prefix="kinfold-")
+def _own_dir() -> tempfile.TemporaryDirectory:
+    return tempfile.TemporaryDirectory(prefix="kinfold-", ignore_cleanup_errors=True)  # gone when the driver ends
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the cluster names for checkpoints; one of our own where none is named, as in tests."""
-    return spark.conf.get("spark.checkpoint.dir", None) or _own_dir()
+    return spark.conf.get("spark.checkpoint.dir", None) or _own_dir().name
 
 
 def stash(df: DataFrame, label: str) -> DataFrame:
     """Write `df` once as Parquet in the shared folder and read it back: the lineage ends there, no step behind
-    it runs twice, and a lost executor costs nothing that is already written."""
+    it runs twice, and a lost executor costs nothing that is already written. The folder's owner clears it, as lazy results still read it."""
     path = f"{shared_dir(df.sparkSession).rstrip('/')}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

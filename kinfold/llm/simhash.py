@@ -2,8 +2,9 @@
 
 Fingerprints of 64 bits are computed in Arrow batches. Two fingerprints that differ in `MAX_BITS` = 4 bits or fewer
 differ in at most four of their eight bytes, so at least `MIN_MATCHES` = 4 positional bytes match: each distinct
-fingerprint is posted once for every choice of four byte positions, a pair tallies its equal positional bytes, and the
-pairs that reach four are verified by their bits. Postings that many fingerprints share never become all pairs:
+fingerprint is posted once for every choice of four byte positions. To share a posting is to have four equal bytes, so every pair
+that meets has reached the minimum; the tally of its equal positional bytes names the one choice at which the pair is reported, so that no
+pair comes twice, and its bits verify it. Postings that many fingerprints share never become all pairs:
 they are linked to a pivot first, and only members of different components are compared after that.
 """
 
