@@ -10,8 +10,8 @@ are ranked by growing prefixes, and what is unique to one document at some lengt
 2. Length 50, dense, for the least document of a run whose rank other runs share: their bytes are sorted by rank again, and
    every 50-byte string in them is compared with those of the documents before.
 
-Ranks are fingerprints of the prefix, which need no global numbering; equality of runs rests on 96 bits, that of strings on
-their bytes.
+Ranks are fingerprints of the prefix, which need no global numbering. Runs are taken for equal to their end if 32 bits of the rank and 64 of their
+fingerprint agree, which is not verified; strings are compared by their bytes.
 """
 
 from __future__ import annotations
@@ -28,12 +28,12 @@ from .shared import stash, table
 
 LENGTH = 50
 PREFIX = 16
-#: Runs of one rank that one task compares by their bytes; a rank with more is compared string by string over all tasks.
+#: Runs of one rank that one task compares; the strings of a rank with more are compared over all tasks, by their bytes as well.
 HOT_RUNS = 10_000
 #: Positions and counts share a number in the first sort: the count has the low bits.
 COUNT_BITS = 22
 #: Bytes that are ranked at once, and the most of a document in a piece (pieces overlap, so none is cut short).
-PIECE = 1 << 21
+PIECE = 1 << 19
 
 _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
 _BASE = np.uint64(0x5851F42D4C957F2D)
@@ -189,16 +189,21 @@ def _dense(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(rank, whole, doc, at): every 50-byte string of the runs with its fingerprint."""
+    """(whole, doc, at): every 50-byte string of the runs, itself; of equal ones of a batch only those of the least document and those after it."""
     for batch in batches:
-        data, offsets = _texts(batch.column("content"))
-        counts = np.diff(offsets) - LENGTH + 1
-        row = np.repeat(np.arange(batch.num_rows), counts)
-        inside = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
-        a = offsets[:-1][row] + inside
-        whole = _Strings(data).rank(a, a + LENGTH) if len(row) else np.empty(0, np.uint64)
-        rank, doc, first = (batch.column(k).to_numpy(zero_copy_only=False)[row] for k in ("rank", "doc", "first"))
-        yield pa.RecordBatch.from_arrays([pa.array(rank), pa.array(whole.view(np.int64)), pa.array(doc), pa.array((first + inside) << COUNT_BITS | 1)], names=["rank", "whole", "doc", "at"])
+        whole, docs, ats, least = [], [], [], {}
+        for doc, first, content in zip(*(batch.column(k).to_pylist() for k in ("doc", "first", "content")), strict=True):
+            for i in range(len(content) - LENGTH + 1):
+                string = content[i : i + LENGTH]
+                least[string] = min(least.get(string, doc), doc)
+                whole.append(string)
+                docs.append(doc)
+                ats.append((first + i) << COUNT_BITS | 1)
+        # what a smaller document of the batch has as well is a repeat whatever the other batches hold
+        sure = [least[w] < d for w, d in zip(whole, docs, strict=True)]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([None if x else w for w, x in zip(whole, sure, strict=True)], pa.binary()), pa.array(docs, pa.int64()), pa.array(ats, pa.int64()), pa.array(sure, pa.bool_())], names=["whole", "doc", "at", "sure"]
+        )
 
 
 def _cut(data: np.ndarray, first: np.ndarray, count: np.ndarray) -> tuple[bytes, np.ndarray]:
@@ -264,9 +269,10 @@ def with_repeats(docs: DataFrame) -> DataFrame:
     cold = unsure.join(hot, "rank", "left_anti") if some else unsure
     dense = contents(cold).repartition("rank").sortWithinPartitions("rank", "doc").mapInArrow(_dense, "doc bigint, at bigint")
     if some:
-        strings = contents(unsure.join(hot, "rank", "left_semi")).mapInArrow(_strings, "rank int, whole bigint, doc bigint, at bigint")
-        least = strings.groupBy("rank", "whole").agg(F.min("doc").alias("least"))  # combined before the shuffle
-        dense = dense.union(strings.join(least, ["rank", "whole"]).where("doc > least").select("doc", "at"))
+        strings = stash(contents(unsure.join(hot, "rank", "left_semi")).mapInArrow(_strings, "whole binary, doc bigint, at bigint, sure boolean"), "repeats-strings")
+        least = strings.where("NOT sure").groupBy("whole").agg(F.min("doc").alias("least"))  # combined before the shuffle
+        more = strings.where("NOT sure").join(least, "whole").where("doc > least")
+        dense = dense.union(strings.where("sure").select("doc", "at")).union(more.select("doc", "at"))
     # texts without an id take no part; with the same filter both joins read one exchange of the texts
     repeats = judged.where("gone").select("doc", "at").union(dense)
     nameless = docs.where("doc_id IS NULL").withColumn("__runs", F.lit(None).cast("array<struct<at:bigint>>"))

@@ -17,9 +17,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from ..functions.flat import jaccard, paths
+from ..plans.storage import written
 
 #: Queries that are broadcast as one block; more are dealt into blocks that meet every block of cases.
 BROADCAST_QUERIES = 50_000
+#: Numbers that the broadcast queries have together at most (16 MB), so a wide metric lowers their count; a json feature counts as so many.
+BROADCAST_CELLS, JSON_CELLS = 2_000_000, 64
 #: Cases of a block in the blocked plan.
 CASE_BLOCK = 200_000
 #: Distances that a task holds at once.
@@ -256,7 +259,7 @@ def knn(
     must differ from the query (leave-series-out); `agree`: columns in which it must agree (null agrees with null); `not_later`: a time column in which the case
     must not be later. Filter `cases` first for other constraints, so that they reach the scan.
 
-    Queries up to `broadcast_queries` rows (counted) are broadcast and cases are read once, in place. More queries are dealt into
+    Queries up to `broadcast_queries` rows (counted) of `BROADCAST_CELLS` numbers are broadcast and cases are read once, in place. More queries are dealt into
     blocks, each of which meets each block of cases in a task of its own.
     """
     if k < 1:
@@ -281,6 +284,8 @@ def knn(
             yield pd.DataFrame({"query_id": query.ids[rows], "case_id": block.ids[cols], "distance": dist} | {n: df[n].to_numpy()[cols] for n in carry})
 
     n = queries.count()
+    width = sum(JSON_CELLS if f.structured else 1 for f in metric.features) + len(differ) + len(agree)
+    broadcast_queries = min(broadcast_queries, max(1, BROADCAST_CELLS // max(1, width)))
     if n <= broadcast_queries:
         shared = queries.sparkSession.sparkContext.broadcast(_Block.of(q.toPandas(), id_column) if n else None)
 
@@ -419,13 +424,16 @@ def knn_approximate(
     projections: int = 2,
     carry: list[str] = (),
     seed: int = 0,
+    crowded: int = 2000,
+    refinements: int = 4,
 ) -> DataFrame:
     """As `knn`, among the cases that share a bucket with the query in one of `tables` tables: for many queries against many cases, where
     every pair would be too much.
 
     A bucket is a cell of `width` in each of `projections` seeded random projections of the continuous features over their deviations; nominal
-    features shift the projections. Candidates are ranked by the exact distance. Wider cells and more tables find more of the true
-    neighbours; a query whose cells are empty gets fewer than k. Buckets are dealt by a shuffle on (table, cells) that Spark may split.
+    features shift the projections. A cell of over `crowded` cases is cut into cells of half the width, up to `refinements` times, so a dense region does not
+    make all of its pairs; cases that are equal in all features cannot be cut apart. Candidates are ranked by the exact distance. Wider cells and more
+    tables find more of the true neighbours; a query whose cells are empty gets fewer than k. Measure the recall on a sample against `knn`.
     """
     import random
 
@@ -433,11 +441,12 @@ def knn_approximate(
     plans = [[([draw.gauss(0, 1) for _ in metric.features], draw.random()) for _ in range(projections)] for _ in range(tables)]
 
     def dealt(df: DataFrame, more: list[str]) -> DataFrame:
+        """A row per table with the keys of its cell and of the finer ones within."""
         x, z = _arrays(df, metric)
         df = df.select(id_column, *dict.fromkeys([*metric.names(), *more]), x.alias("__x"), z.alias("__z"))
 
-        def cell(weights: list[float], shift: float) -> Column:
-            total, ix, iz = F.lit(shift * width), 0, 0
+        def place(weights: list[float]) -> Column:
+            total, ix, iz = F.lit(0.0), 0, 0
             for f, w in zip(metric.features, weights, strict=True):
                 if f.nominal:
                     total = total + F.pmod(F.xxhash64(F.lit(int(w * 1e6)), F.col("__z")[iz]), F.lit(1000)) / 1000.0 * f.weight / f.deviation
@@ -445,13 +454,24 @@ def knn_approximate(
                 else:
                     total = total + F.nanvl(F.col("__x")[ix], F.lit(0.0)) * (w * f.weight / f.deviation)
                     ix += 1
-            return F.floor(total / width)
-
-        keys = F.array(*(F.xxhash64(F.lit(t), *(cell(*p) for p in plan)) for t, plan in enumerate(plans)))
-        return df.withColumn("__key", F.explode(keys)).drop("__x", "__z")
-
+            return total
+
+        def key(t: int, level: int) -> Column:
+            return F.xxhash64(F.lit(t), F.lit(level), *(F.floor(place(w) / (width / 2**level) + shift) for w, shift in plans[t]))
+
+        keys = F.array(*(F.array(*(key(t, level) for level in range(refinements + 1))) for t in range(tables)))
+        return df.withColumn("__keys", F.explode(keys)).withColumn("__key", F.col("__keys")[0]).drop("__x", "__z")
+
+    q, c = dealt(queries, []), dealt(cases, list(carry))
+    for level in range(1, refinements + 1):
+        full = c.groupBy("__key").agg(F.count("*").alias("__n")).where(F.col("__n") > crowded).select("__key", F.lit(True).alias("__full"))
+        full = written(full, "crowded-cells")
+        if full.isEmpty():
+            break
+        finer = F.when(F.col("__full"), F.col("__keys")[level]).otherwise(F.col("__key"))
+        q, c = (df.join(full, "__key", "left").withColumn("__key", finer).drop("__full") for df in (q, c))
+    q, c = q.drop("__keys").alias("q"), c.drop("__keys").alias("c")
     kinds = dict(cases.dtypes)
-    q, c = dealt(queries, []).alias("q"), dealt(cases, list(carry)).alias("c")
     total = F.lit(0.0)
     for f in metric.features:
         total = total + F.lit(f.weight) * F.pow(difference(f, F.col(f"q.{f.name}"), F.col(f"c.{f.name}"), kinds[f.name]), F.lit(metric.p))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from .condition import compile_condition
-from .knn import Metric, knn
+from .knn import Metric, knn, knn_approximate
 
 #: Digits to which shares are rounded where they decide an order.
 DIGITS = 9
@@ -24,8 +24,16 @@ def influence(near: DataFrame, dt: float = -1.0, weight: str | None = None) -> D
 
 
 def neighbours(queries: DataFrame, cases: DataFrame, metric: Metric, k: int = 10, dt: float = -1.0, weight: str | None = None, **options) -> DataFrame:
-    """Neighbours with their influence: the table that all details are derived from. Compute it once and keep it."""
+    """Neighbours with their influence: the table that all details are derived from. Compute it once and keep it.
+
+    `approximate`: options of `knn_approximate` (its `width` at least), which then takes the place of the exact join, in every operator that
+    hands its options on to this one: for tables too large for all pairs. Its recall is to be measured on a sample.
+    """
+    options = dict(options)
     carry = list(dict.fromkeys([*options.pop("carry", ()), *([weight] if weight else [])]))
+    approximate = options.pop("approximate", None)
+    if approximate is not None:
+        return influence(knn_approximate(queries, cases, metric, k, carry=carry, **options, **approximate), dt, weight)
     return influence(knn(queries, cases, metric, k, carry=carry, **options), dt, weight)
 
 

@@ -594,3 +594,16 @@ def test_boundary_values_with_outcome(spark):
     assert found.groupBy("query_id").count().where("count <> 2").count() == 0
     some = react.boundary_values(found, df, ["x"], outcome={"y": [0, 50]}).collect()
     assert some and all(r.x <= 7 for r in some)
+
+
+def test_approximate_neighbours_in_crowds(spark):
+    """Crowded cells are cut, recall stays, and the aggregates can use the approximate join."""
+    df = spark.createDataFrame([(i, (i * 37 % 1009) / (1.0 if i < 500 else 50.0), float(i * 11 % 997)) for i in range(3000)], "id int, x double, y double")
+    m = metric_of(df, ["x", "y"])
+    true = {(r.query_id, r.case_id) for r in knn.knn(df.where("id % 50 = 0"), df, m, 5).collect()}
+    for crowded, least in ((2000, 0.9), (60, 0.6)):
+        got = knn.knn_approximate(df.where("id % 50 = 0"), df, m, 5, width=120.0, tables=12, crowded=crowded)
+        assert len(true & {(r.query_id, r.case_id) for r in got.collect()}) >= least * len(true)
+    exact = stats.leave_one_out(df, metric_of(df, ["x"]), "y", "continuous", 5).agg(F.avg(F.abs(F.col("actual") - F.col("predicted")))).first()[0]
+    near = stats.leave_one_out(df, metric_of(df, ["x"]), "y", "continuous", 5, approximate={"width": 30.0}).agg(F.avg(F.abs(F.col("actual") - F.col("predicted")))).first()[0]
+    assert near == pytest.approx(exact, rel=0.1)
