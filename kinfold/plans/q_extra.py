@@ -381,3 +381,38 @@ def one_sided_bounds(spark, d):
     df = part(spark, d)
     got = synth.generate(df, metric_of(df, ["p_size"]), {"p_size": "continuous"}, df.count(), residuals={"p_size": 20.0}, id_column=ID, bounds={"p_size": (1, None)})
     return got.agg(F.count("p_size").alias("n"), F.count_if(F.col("p_size") < 1).alias("below"), F.count("*").alias("asked"))
+
+
+# --- SQL of queries of other modules
+
+
+def _matrix_sql() -> str:
+    cells = []
+    for action in ("p_size", "p_retailprice"):
+        contexts = [f for f in ("p_size", "p_retailprice", "p_type") if f != action]
+        own = {**TERM, "p_retailprice": "abs(q.p_retailprice - c.p_retailprice)"}
+        pred = f", y AS (SELECT query_id, sum(weight * {action}) AS p FROM i GROUP BY 1) SELECT query_id, p FROM y"
+        both = sql_near(" + ".join(own[f] for f in contexts), queries="true", cases="true") + pred
+        for f in contexts:
+            one = sql_near(own[next(x for x in contexts if x != f)], queries="true", cases="true") + pred
+            cells.append(f"SELECT '{action}' AS row, '{f}' AS col, avg(abs(a.p - b.p)) AS value FROM ({both}) AS a JOIN ({one}) AS b USING (query_id)")
+    return f"WITH m AS ({' UNION ALL '.join(cells)}) SELECT row, col, round(value / sum(abs(value)) OVER (PARTITION BY row), 4) AS value FROM m"
+
+
+SQL["contribution_matrix"] = _matrix_sql()
+
+_FEATURE = "SELECT '{f}' AS feature, sum(d) AS d FROM ({near} SELECT query_id, CASE WHEN min(distance) = 0 THEN 0.0 ELSE count(*) / sum(1.0 / greatest(distance, 1e-300)) END AS d FROM n GROUP BY 1)"
+_OWN = {"p_size": TERM["p_size"], "p_type": TERM["p_type"], "p_retailprice": "abs(q.p_retailprice - c.p_retailprice)"}
+SQL["feature_convictions"] = (
+    "WITH f AS (" + " UNION ALL ".join(_FEATURE.format(f=f, near=sql_near(x, queries="true", cases="true")) for f, x in _OWN.items()) + "), "
+    "p AS (SELECT feature, CASE WHEN (SELECT sum(d) FROM f) > 0 THEN d / (SELECT sum(d) FROM f) ELSE 0.0 END AS p, 1.0 / (SELECT count(*) FROM f) AS q FROM f), "
+    "k AS (SELECT feature, CASE WHEN p <= 0 THEN 0.0 ELSE p * ln(p / q) END + CASE WHEN p >= 1 THEN 0.0 ELSE (1 - p) * ln((1 - p) / (1 - q)) END AS kl FROM p) "
+    "SELECT feature, round(least(CASE WHEN round(kl, 12) <= 0 THEN 1e4 ELSE (SELECT avg(kl) FROM k) / round(kl, 12) END, 1e4), 4) AS familiarity_conviction FROM k"
+)
+
+SQL["series_stationary"] = """WITH s AS (SELECT user_id, avg(value) AS m, coalesce(stddev_pop(value), 0.0) AS v, CAST(count(*) AS DOUBLE) AS r, CASE WHEN user_id % 3 = 0 THEN 'a' ELSE 'b' END AS kind FROM events GROUP BY 1),
+d AS (SELECT a.user_id, b.user_id AS other, abs(a.m - b.m) + abs(a.v - b.v) + abs(a.r - b.r) AS distance, b.kind FROM s AS a JOIN s AS b ON a.user_id <> b.user_id),
+n AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY distance, other) AS rank FROM d) WHERE rank <= 5),
+w AS (SELECT *, CASE WHEN min(distance) OVER (PARTITION BY user_id) = 0 THEN CASE WHEN distance = 0 THEN 1.0 ELSE 0.0 END ELSE 1.0 / distance END AS raw FROM n),
+p AS (SELECT user_id, kind, sum(raw) / sum(sum(raw)) OVER (PARTITION BY user_id) AS probability FROM w GROUP BY 1, 2)
+SELECT user_id, kind, round(probability, 6) AS probability FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY round(probability, 9) DESC, kind) AS k FROM p) WHERE k = 1"""

@@ -107,7 +107,7 @@ def series_forecast_step(spark, d):
 @query()
 def series_stationary(spark, d):
     df = _events(spark, d).withColumn("kind", F.when(F.col("user_id") % 3 == 0, "a").otherwise("b"))
-    return series.stationary(df, ["user_id"], ["value"], "kind", df, 5)
+    return rounded(series.stationary(df, ["user_id"], ["value"], "kind", df, 5))
 
 
 # --- the store
