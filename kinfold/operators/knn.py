@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass, field, replace
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -334,9 +335,18 @@ def _tables(df: DataFrame, metric: Metric) -> tuple:
     return tuple(out)
 
 
-def knn_dependent(queries: DataFrame, cases: DataFrame, metric: Metric, k: int, dependent: list[str], *, id_column: str = "id", **options) -> DataFrame:
-    """Neighbours that agree in the dependent features; queries without any such case get their neighbours among all."""
-    strict = knn(queries, cases, metric, k, id_column=id_column, agree=dependent, **options)
+def knn_dependent(queries: DataFrame, cases: DataFrame, metric: Metric, k: int, dependent: list[str], *, id_column: str = "id", null_is_dependent: bool = True, **options) -> DataFrame:
+    """Neighbours that agree in the dependent features; queries without any such case get their neighbours among all. A null agrees with nulls, or
+    with `null_is_dependent=False` sets no condition."""
+    if null_is_dependent:
+        strict = knn(queries, cases, metric, k, id_column=id_column, agree=dependent, **options)
+    else:
+        strict = None
+        for pattern in range(2 ** len(dependent)):  # a few features
+            known = [c for i, c in enumerate(dependent) if not pattern >> i & 1]
+            held = reduce(lambda a, b: a & b, (F.col(c).isNotNull() if c in known else F.col(c).isNull() for c in dependent))
+            one = knn(queries.where(held), cases, metric, k, id_column=id_column, agree=known, **options)
+            strict = one if strict is None else strict.unionByName(one)
     lone = queries.join(strict.select(F.col("query_id").alias(id_column)).distinct(), id_column, "left_anti")
     return strict.unionByName(knn(lone, cases, metric, k, id_column=id_column, **options))
 

@@ -258,6 +258,10 @@ def infer(
     if strings:
         row = df.agg(*(F.struct(*_string_tests(F.col(c))).alias(f"t{i}") for i, c in enumerate(strings))).first()
         tests = {c: row[f"t{i}"] for i, c in enumerate(strings)}
+    samples = {}
+    if include_sample:  # a value drawn by its hash
+        row = df.agg(*(F.min_by(F.col(c).cast("string"), F.when(F.col(c).isNotNull(), F.xxhash64(F.lit("sample"), F.col(c).cast("string")))).alias(f"s{i}") for i, c in enumerate(simple))).first()
+        samples = {c: row[f"s{i}"] for i, c in enumerate(simple)}
     places = {r.feature: r.decimal_places for r in decimal_places(df, floats).collect()} if floats else {}
     ordinal_values, formats, dependent = ordinal_values or {}, formats or {}, dependent or {}
     ranks = {}
@@ -334,10 +338,18 @@ def infer(
             bits = {T.ByteType: 8, T.ShortType: 16, T.IntegerType: 32, T.LongType: 64}[type(kind)]
             a.min, a.max = -(2 ** (bits - 1)), 2 ** (bits - 1) - 1
             a.type = preset or "continuous"
+        elif number is None and not s.n and isinstance(kind, (T.FloatType, T.DoubleType)) and a.type == "continuous":
+            most = 3.4028234663852886e38 if isinstance(kind, T.FloatType) else 1.7976931348623157e308
+            a.min, a.max = -most, most
         if include_sample and s.n:
-            a.sample = s.min
+            a.sample = samples.get(c)
         out[c] = a
-    dates = [c for c, a in out.items() if a.data_type == "formatted_date_time" and a.observed_min is not None]
+    written_dates = {c: a.format for c, a in out.items() if c in strings and a.data_type == "formatted_date_time" and a.format and stats[c].n}
+    for c, (low, high, lo, hi) in written_bounds(df, written_dates).items():
+        a = out[c]
+        a.observed_min, a.observed_max = low, high
+        a.min, a.max = (low, high) if c in tight_bounds else (lo, hi)
+    dates = [c for c, a in out.items() if a.data_type == "formatted_date_time" and a.observed_min is not None and c not in written_dates]
     for c, (lo, hi) in epoch_bounds(df, [c for c in dates if c not in tight_bounds]).items():
         out[c].min, out[c].max = lo, hi
     for c in set(dates) & set(tight_bounds):
@@ -358,6 +370,19 @@ def epoch_bounds(df: DataFrame, columns: list[str]) -> dict[str, tuple[str, str]
     return {c: (row[c].lo, row[c].hi) for c in columns}
 
 
+def written_bounds(df: DataFrame, formats: dict[str, str]) -> dict[str, tuple[str, str, str, str]]:
+    """Of string columns that hold times in a pattern: least, largest and loose bounds, in the same pattern (offsets are written in the session's zone)."""
+    if not formats:
+        return {}
+    parts = []
+    for c, pattern in formats.items():
+        t = F.coalesce(F.try_to_timestamp(F.trim(F.col(c)), F.lit(pattern)), F.trim(F.col(c)).try_cast("timestamp"))
+        lo, hi = loose_bounds_columns(F.min(F.unix_micros(t) / 1e6), F.max(F.unix_micros(t) / 1e6))
+        parts.append(F.array(*(F.date_format(x, pattern) for x in (F.min(t), F.max(t), F.timestamp_seconds(lo), F.timestamp_seconds(hi)))).alias(c))
+    row = df.agg(*parts).first()
+    return {c: tuple(row[c]) for c in formats}
+
+
 def infer_tables(tables: dict[str, DataFrame], **options) -> dict[str, dict[str, Attributes]]:
     return {name: infer(df, **options.get(name, {})) for name, df in tables.items()}
 

@@ -99,6 +99,12 @@ def react(
     return out
 
 
+def react_to_cases(cases: DataFrame, keys: DataFrame, metric: Metric, actions: dict[str, str], k: int = 10, *, on: list[str], preserve: list[str] = (), id_column: str = "id", **options) -> DataFrame:
+    """`react` to stored cases, chosen by `keys` (the columns `on`, as session and number), each from all others. `preserve`: actions whose stored value is
+    kept."""
+    return react(cases.join(keys.select(*on).distinct(), on, "left_semi"), cases, metric, actions, k, preserve=preserve, id_column=id_column, **options)
+
+
 def goal_seek(near: DataFrame, goal: str, aim: str | float, n: int, action: str) -> DataFrame:
     """Continuous prediction from the n neighbours that come closest to the goal ("min", "max" or a value), in place of the n nearest."""
     g = F.col(goal).cast("double")

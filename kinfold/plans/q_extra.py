@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions import formats
 from ..operators import analyze, conviction, influence, profile, react, series, stats, synth
-from ..operators.knn import Feature, Metric, distance_matrix, knn, knn_approximate, metric_of
+from ..operators.knn import Feature, Metric, distance_matrix, knn, knn_approximate, knn_dependent, metric_of
 from ..sources import readers
 from ..sources.store import CaseStore, distribute
 from .q_react import ALL, CONTEXTS, DISTANCE, ID, NEAR, PROBS, near, part, rounded, split, sql_near
@@ -141,9 +141,42 @@ def store_feature_removed(spark, d):
     return rounded(store.get().drop("_session", "_idx"))
 
 
+@query("SELECT p_partkey, row_number() OVER (ORDER BY p_partkey % 2, p_partkey) - 1 AS _idx FROM part")
+def store_moved_cases(spark, d):
+    """Cases that move to a store with a session of the same name are numbered on there."""
+    one, two, df = CaseStore(spark, _place(spark, "store")), CaseStore(spark, _place(spark, "store")), part(spark, d).withColumn("odd", F.col(ID) % 2)
+    one.train(df.where("odd = 0"), "all", order=[ID])
+    two.train(df.where("odd = 1"), "all", order=[ID])
+    two.move(one, {"odd": [1, 1]})
+    return one.get([ID]).select(ID, "_idx")
+
+
 # --- details of predictions
 
 
+@query(NEAR + ", y AS (SELECT query_id, sum(weight * p_retailprice) AS p FROM i GROUP BY 1) SELECT query_id, round(p, 6) AS p_retailprice, q.p_brand FROM y JOIN q ON q.p_partkey = query_id")
+def reactions_to_cases(spark, d):
+    q, c = split(spark, d)
+    got = react.react_to_cases(c, q.select(ID), metric_of(c, CONTEXTS), {"p_retailprice": "continuous", "p_brand": "nominal"}, 10, on=[ID], preserve=["p_brand"], id_column=ID)
+    return rounded(got.select("query_id", "p_retailprice", "p_brand"))
+
+
+HALF = "(SELECT p_partkey, p_size, p_type, p_retailprice, CASE WHEN p_partkey % 4 = 0 THEN NULL ELSE p_brand END AS p_brand FROM part)"
+
+
+@query(sql_near(on="(q.p_brand IS NULL OR q.p_brand = c.p_brand) AND q.p_partkey <> c.p_partkey", k=5, part=HALF) + "SELECT query_id, case_id, round(distance, 6) AS distance, rank FROM n")
+def knn_dependent_nulls(spark, d):
+    df = part(spark, d).withColumn("p_brand", F.when(F.col(ID) % 4 != 0, F.col("p_brand")))
+    return rounded(knn_dependent(df.where(f"{ID} % 50 = 0"), df, metric_of(df, CONTEXTS), 5, ["p_brand"], id_column=ID, null_is_dependent=False).select("query_id", "case_id", "distance", "rank"))
+
+
+@query("SELECT 'written' AS feature, strftime(min(ts), '%Y-%m-%dT%H:%M:%S') AS low, strftime(max(ts), '%Y-%m-%dT%H:%M:%S') AS high FROM events")
+def written_time_bounds(spark, d):
+    got = profile.infer(_t(spark, d, "events").select(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("written")))
+    return spark.createDataFrame([(n, a.observed_min, a.observed_max) for n, a in got.items()], "feature string, low string, high string")
+
+
+
 @query(NEAR + "SELECT query_id, case_id, rank FROM n WHERE rank <= 3")
 def most_similar_cases(spark, d):
     return rounded(react.most_similar(near(spark, d), 3).select("query_id", "case_id", "rank"))

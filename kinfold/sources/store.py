@@ -196,7 +196,7 @@ class CaseStore:
         cases = self.cases()
         moved = cases.join(gone, KEY, "left_semi")
         n = moved.count()
-        target._append("cases", moved)
+        target._append("cases", target._fitted(moved))
         self._replace("cases", cases.join(gone, KEY, "left_anti"))
         return n
 
@@ -253,11 +253,17 @@ class CaseStore:
         return other
 
     def combine(self, *others: CaseStore) -> None:
-        """Take in the cases of other stores; they keep their sessions, columns that one lacks are null."""
-        df = self.cases()
+        """Take in the cases of other stores; they keep their sessions, columns that one lacks are null. In a session that is here already they are numbered on."""
         for other in others:
-            df = df.unionByName(other.cases(), allowMissingColumns=True)
-        self._replace("cases", df)
+            self._replace("cases", self.cases().unionByName(self._fitted(other.cases()), allowMissingColumns=True))
+
+    def _fitted(self, df: DataFrame) -> DataFrame:
+        """Cases of another store with numbers that go on after those of the same session here, so that session and number stay an identity."""
+        here = self._read("cases")
+        if here is None:
+            return df
+        after = here.groupBy("_session").agg((F.max("_idx") + 1).alias("__after"))  # a row per session
+        return df.join(after, "_session", "left").withColumn("_idx", F.col("_idx") + F.coalesce("__after", F.lit(0))).drop("__after").select(*df.columns)
 
     def set_profile(self, profile: dict) -> None:
         rows = [(n, json.dumps(a.as_dict(), default=str)) for n, a in profile.items()]

@@ -607,3 +607,22 @@ def test_approximate_neighbours_in_crowds(spark):
     exact = stats.leave_one_out(df, metric_of(df, ["x"]), "y", "continuous", 5).agg(F.avg(F.abs(F.col("actual") - F.col("predicted")))).first()[0]
     near = stats.leave_one_out(df, metric_of(df, ["x"]), "y", "continuous", 5, approximate={"width": 30.0}).agg(F.avg(F.abs(F.col("actual") - F.col("predicted")))).first()[0]
     assert near == pytest.approx(exact, rel=0.1)
+
+
+def test_cases_keep_an_identity_when_stores_meet(spark, tmp_path):
+    a, b = CaseStore(spark, str(tmp_path / "a")), CaseStore(spark, str(tmp_path / "b"))
+    for store, base in ((a, 0), (b, 10)):
+        store.train(spark.createDataFrame([(base + i,) for i in range(4)], "x int"))
+    a.combine(b)
+    assert a.cases().select("_session", "_idx").distinct().count() == 8
+    assert b.move(a, {"x": [10, 11]}) == 2 and a.cases().select("_session", "_idx").distinct().count() == 10 and b.count() == 2
+
+
+def test_written_times_samples_and_empty_floats(spark):
+    df = spark.createDataFrame([("2024-01-02 03:04", 1.5, None), (None, None, None), ("2024-01-05 03:04", 2.5, None)], "t string, x double, e double")
+    got = profile.infer(df, include_sample=True)
+    assert (got["t"].format, got["t"].observed_min, got["t"].observed_max) == ("yyyy-MM-dd HH:mm", "2024-01-02 03:04", "2024-01-05 03:04")
+    assert got["t"].min < got["t"].observed_min and got["t"].max > got["t"].observed_max
+    assert got["t"].sample in ("2024-01-02 03:04", "2024-01-05 03:04") and float(got["x"].sample) in (1.5, 2.5)
+    assert got["e"].max > 1e308 and got["e"].min < -1e308
+    assert profile.infer(df, tight_bounds=["t"])["t"].max == "2024-01-05 03:04"
