@@ -189,7 +189,8 @@ def _dense(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(whole, doc, at): every 50-byte string of the runs, itself; of equal ones of a batch only those of the least document and those after it."""
+    """(whole, doc, at, sure): every 50-byte string of the runs, itself. `sure`: a smaller document of the batch has it as well, so it is a repeat whatever
+    the other batches hold; it then gets a key of its own, by which it is dealt evenly."""
     for batch in batches:
         whole, docs, ats, least = [], [], [], {}
         for doc, first, content in zip(*(batch.column(k).to_pylist() for k in ("doc", "first", "content")), strict=True):
@@ -199,11 +200,9 @@ def _strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 whole.append(string)
                 docs.append(doc)
                 ats.append((first + i) << COUNT_BITS | 1)
-        # what a smaller document of the batch has as well is a repeat whatever the other batches hold
         sure = [least[w] < d for w, d in zip(whole, docs, strict=True)]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([None if x else w for w, x in zip(whole, sure, strict=True)], pa.binary()), pa.array(docs, pa.int64()), pa.array(ats, pa.int64()), pa.array(sure, pa.bool_())], names=["whole", "doc", "at", "sure"]
-        )
+        keys = [d.to_bytes(8, "big", signed=True) + a.to_bytes(8, "big") if x else w for w, d, a, x in zip(whole, docs, ats, sure, strict=True)]
+        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(docs, pa.int64()), pa.array(ats, pa.int64()), pa.array(sure, pa.bool_())], names=["whole", "doc", "at", "sure"])
 
 
 def _cut(data: np.ndarray, first: np.ndarray, count: np.ndarray) -> tuple[bytes, np.ndarray]:
@@ -269,10 +268,9 @@ def with_repeats(docs: DataFrame) -> DataFrame:
     cold = unsure.join(hot, "rank", "left_anti") if some else unsure
     dense = contents(cold).repartition("rank").sortWithinPartitions("rank", "doc").mapInArrow(_dense, "doc bigint, at bigint")
     if some:
-        strings = stash(contents(unsure.join(hot, "rank", "left_semi")).mapInArrow(_strings, "whole binary, doc bigint, at bigint, sure boolean"), "repeats-strings")
-        least = strings.where("NOT sure").groupBy("whole").agg(F.min("doc").alias("least"))  # combined before the shuffle
-        more = strings.where("NOT sure").join(least, "whole").where("doc > least")
-        dense = dense.union(strings.where("sure").select("doc", "at")).union(more.select("doc", "at"))
+        strings = contents(unsure.join(hot, "rank", "left_semi")).mapInArrow(_strings, "whole binary, doc bigint, at bigint, sure boolean")
+        strings = strings.withColumn("least", F.min("doc").over(W.partitionBy("whole")))  # a string comes once a batch at most, but for one document's own
+        dense = dense.union(strings.where("sure OR doc > least").select("doc", "at"))
     # texts without an id take no part; with the same filter both joins read one exchange of the texts
     repeats = judged.where("gone").select("doc", "at").union(dense)
     nameless = docs.where("doc_id IS NULL").withColumn("__runs", F.lit(None).cast("array<struct<at:bigint>>"))
