@@ -26,6 +26,8 @@ BROADCAST_QUERIES = 50_000
 BROADCAST_CELLS, JSON_CELLS = 2_000_000, 64
 #: Cases of a block in the blocked plan.
 CASE_BLOCK = 200_000
+#: Pairs that a task compares, and the cases up to which they are dealt out for that: a larger table has many partitions of its own and is read in place.
+TASK_PAIRS, DEALT_CASES = 20_000_000, 5_000_000
 #: Distances that a task holds at once.
 TILE = 4_000_000
 _NULL = -(1 << 63)
@@ -260,8 +262,8 @@ def knn(
     must differ from the query (leave-series-out); `agree`: columns in which it must agree (null agrees with null); `not_later`: a time column in which the case
     must not be later. Filter `cases` first for other constraints, so that they reach the scan.
 
-    Queries up to `broadcast_queries` rows (counted) of `BROADCAST_CELLS` numbers are broadcast and cases are read once, in place. More queries are dealt into
-    blocks, each of which meets each block of cases in a task of its own.
+    Queries up to `broadcast_queries` rows (counted) of `BROADCAST_CELLS` numbers are broadcast and cases are read once, in place; few cases, which may lie
+    in one partition, are dealt to as many tasks as their pairs are worth. More queries are dealt into blocks, each of which meets each block of cases in a task of its own.
     """
     if k < 1:
         raise ValueError("k must be at least 1")
@@ -296,6 +298,9 @@ def knn(
                     if len(df):
                         yield from compare(shared.value, df)
 
+        if n * DEALT_CASES > TASK_PAIRS and n > 1 and (rows := cases.count()) <= DEALT_CASES:
+            tasks = min(n * rows // TASK_PAIRS, 4 * queries.sparkSession.sparkContext.defaultParallelism)
+            c = c.repartition(tasks, id_column) if tasks > 1 else c
         found = c.mapInPandas(near, schema)
     else:
         case_blocks, query_blocks = max(1, -(-cases.count() // CASE_BLOCK)), -(-n // broadcast_queries)

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window as W
 
-from ..plans.storage import written
 
 # Limits of what a profile accepts, and patterns of formatted values.
 LAST_DATE = "2262-04-11"
@@ -244,16 +243,15 @@ def infer(
     series = df.select(*series_ids).distinct().count() if series_ids else None
 
     stats = {r.feature: r for r in basics(df, list(kinds)).collect()}
-    counts = written(value_counts(df, simple), "value-counts")
-    distinct = {r.feature: r for r in distinct_counts(counts).collect()}
-    top: dict[str, list] = {}
-    # of the modes only those that equal an observed bound matter: two a feature at most
-    ends = {c: [float(s.min), float(s.max)] for c, s in stats.items() if s.n and isinstance(kinds[c], T.NumericType)}
-    at_end = F.lit(False)
-    for c, values in ends.items():
-        at_end = at_end | ((F.col("feature") == c) & F.col("value").try_cast("double").isin(values))
-    for r in modes(counts).where(at_end).collect() if ends else ():
-        top.setdefault(r.feature, []).append((r.value, r.n))
+    # of the modes only those that equal an observed bound matter, so no value counts are kept
+    ends = {c: (float(s.min), float(s.max)) for c, s in stats.items() if s.n and c in simple and isinstance(kinds[c], T.NumericType)}
+    bound = [F.element_at(F.create_map(*(F.lit(x) for c, v in ends.items() for x in (c, v[i]))), F.col("feature")) if ends else F.lit(None).cast("double") for i in (0, 1)]
+    number_of = F.col("value").try_cast("double")
+    at_bound = [F.max(F.when(number_of == x, F.col("n"))) for x in bound]
+    top_n = F.max(F.when(F.col("value").isNotNull(), F.col("n")))
+    counted = value_counts(df, simple).groupBy("feature").agg(F.count("value").alias("n_distinct"), top_n.alias("top"), at_bound[0].alias("n_low"), at_bound[1].alias("n_high"))
+    distinct = {r.feature: r for r in counted.collect()}
+    top = {c: [(x, n) for x, n in zip(ends[c], (r.n_low, r.n_high), strict=True) if n == r.top and n > 1] for c, r in distinct.items() if c in ends and r.top}
     tests = {}
     if strings:
         row = df.agg(*(F.struct(*_string_tests(F.col(c))).alias(f"t{i}") for i, c in enumerate(strings))).first()
