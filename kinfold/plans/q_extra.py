@@ -84,7 +84,7 @@ def ordinal_observed(spark, d):
     return spark.createDataFrame([(n, a.observed_min, a.observed_max) for n, a in got.items()], "feature string, low string, high string")
 
 
-@query("SELECT * FROM (VALUES ('hm', 'formatted_time', 'HH:mm', 86400.0), ('hms', 'formatted_time', 'HH:mm:ss', 86400.0), ('day', 'formatted_date_time', 'yyyy-MM-dd', NULL), ('iso', 'formatted_date_time', 'yyyy-MM-dd''T''HH:mm:ss', NULL), ('zone', 'formatted_date_time', 'yyyy-MM-dd HH:mm:ssXXX', NULL), ('part', 'formatted_date_time', 'yyyy-MM-dd''T''HH:mm:ss.SSS', NULL)) AS t(feature, data_type, format, cycle_length) WHERE (SELECT count(*) FROM events) > 0")
+@query("SELECT * FROM (VALUES ('hm', 'formatted_time', 'HH:mm', CAST(86400 AS DOUBLE)), ('hms', 'formatted_time', 'HH:mm:ss', CAST(86400 AS DOUBLE)), ('day', 'formatted_date_time', 'yyyy-MM-dd', NULL), ('iso', 'formatted_date_time', 'yyyy-MM-dd''T''HH:mm:ss', NULL), ('zone', 'formatted_date_time', 'yyyy-MM-dd HH:mm:ssXXX', NULL), ('part', 'formatted_date_time', 'yyyy-MM-dd''T''HH:mm:ss.SSS', NULL)) AS t(feature, data_type, format, cycle_length) WHERE (SELECT count(*) FROM events) > 0")
 def time_formats(spark, d):
     patterns = {"hm": "HH:mm", "hms": "HH:mm:ss", "day": "yyyy-MM-dd", "iso": "yyyy-MM-dd'T'HH:mm:ss", "zone": "yyyy-MM-dd HH:mm:ssXXX", "part": "yyyy-MM-dd'T'HH:mm:ss.SSS"}
     got = profile.infer(_t(spark, d, "events").select(*(F.date_format("ts", p).alias(n) for n, p in patterns.items())))
@@ -227,10 +227,10 @@ def _errors_over(samples: int, seed: int) -> str:
     return " UNION ALL ".join(parts)
 
 
-@query(f"SELECT query_id, round(avg(e), 6) AS error FROM ({_errors_over(4, 3)}) GROUP BY 1")
+@query(f"SELECT query_id, round(avg(e), 8) AS error FROM ({_errors_over(4, 3)}) GROUP BY 1")
 def robust_errors(spark, d):
     df = part(spark, d)
-    return rounded(influence.robust_errors(df, df, metric_of(df, list(NAMES)), "p_retailprice", "continuous", 10, samples=4, seed=3, id_column=ID))
+    return rounded(influence.robust_errors(df, df, metric_of(df, list(NAMES)), "p_retailprice", "continuous", 10, samples=4, seed=3, id_column=ID), 8)
 
 
 @query(f"SELECT 'p_retailprice' AS feature, round(avg(e), 6) AS residual FROM (SELECT query_id, avg(e) AS e FROM ({_errors_over(4, 3)}) GROUP BY 1)")
@@ -364,7 +364,7 @@ def group_convictions(spark, d):
 # --- distances
 
 
-@query(sql_near("2.0 * abs(q.p_size - c.p_size) + abs(length(q.p_brand) - length(c.p_brand)) * 0.0 + abs((2 * q.p_size + length(q.p_brand)) - (2 * c.p_size + length(c.p_brand))) - 2.0 * abs(q.p_size - c.p_size)", k=5) + "SELECT query_id, case_id, round(distance, 6) AS distance, rank FROM n")
+@query(sql_near("CAST(abs((2 * q.p_size + length(q.p_brand)) - (2 * c.p_size + length(c.p_brand))) AS DOUBLE)", k=5) + "SELECT query_id, case_id, round(distance, 6) AS distance, rank FROM n")
 def knn_expression(spark, d):
     q, c = split(spark, d)
     m = Metric((Feature("code", "expression", expression="2 * p_size + length(p_brand)"),))

@@ -93,12 +93,12 @@ def relevant_quantiles(spark, d):
     return rounded(got.select("query_id", F.col("values")[0].alias("low"), F.col("values")[1].alias("middle"), F.col("values")[2].alias("high")))
 
 
-@query(CONTRIBUTION + ", v AS (SELECT p_brand AS value, abs(x - z) AS pc, x - z AS di, abs(p_retailprice - z) - abs(p_retailprice - x) AS ac FROM u JOIN part ON p_partkey = query_id WHERE feature = 'p_type') SELECT value, count(*) AS n, round(avg(pc), 4) AS prediction_contribution, round(avg(di), 4) AS directional, round(avg(ac), 4) AS accuracy_contribution FROM v GROUP BY 1 HAVING count(*) >= 5")
+@query(CONTRIBUTION + ", v AS (SELECT p_brand AS value, abs(x - z) AS pc, x - z AS di, abs(p_retailprice - z) - abs(p_retailprice - x) AS ac FROM u JOIN part ON p_partkey = query_id WHERE feature = 'p_type') SELECT value, count(*) AS n, round(avg(pc), 7) AS prediction_contribution, round(avg(di), 7) + 0.0 AS directional, round(avg(ac), 7) + 0.0 AS accuracy_contribution FROM v GROUP BY 1 HAVING count(*) >= 5")
 def contributions_by_value(spark, d):
     q = part(spark, d)
     per = influence.contributions(q, q, metric_of(q, CONTEXTS), "p_retailprice", 10, id_column=ID)
     by_type = influence.value_contributions(per.where("feature = 'p_type'").withColumn("feature", F.lit("p_brand")), q, "p_brand", "nominal", least=5, id_column=ID)
-    return rounded(by_type, 4)
+    return rounded(by_type, 7)
 
 
 @query(sql_near("abs(q.p_retailprice - c.p_retailprice)", queries="true", cases="true", part=NULLS) + ", p AS (SELECT query_id, coalesce(sum(weight) FILTER (p_size IS NULL), 0.0) > 0.5 AS gone FROM i GROUP BY 1) SELECT count(*) AS n, round(avg(CASE WHEN (p_size IS NULL) = gone THEN 1.0 ELSE 0.0 END), 6) AS missing_value_accuracy FROM p JOIN q ON p_partkey = query_id")

@@ -91,16 +91,16 @@ u AS (SELECT query_id, 'p_size' AS feature, a.p AS x, s.p AS z FROM a JOIN s USI
 """
 
 
-@query(CONTRIBUTION + "SELECT query_id, feature, round(abs(x - z), 4) AS prediction_contribution, round(x - z, 4) AS directional, round(abs(p_retailprice - z) - abs(p_retailprice - x), 4) AS accuracy_contribution FROM u JOIN part ON p_partkey = query_id")
+@query(CONTRIBUTION + "SELECT query_id, feature, round(abs(x - z), 7) AS prediction_contribution, round(x - z, 7) + 0.0 AS directional, round(abs(p_retailprice - z) - abs(p_retailprice - x), 7) + 0.0 AS accuracy_contribution FROM u JOIN part ON p_partkey = query_id")
 def contributions_full(spark, d):
     df = part(spark, d)
-    return rounded(influence.contributions(df, df, metric_of(df, CONTEXTS), "p_retailprice", 10, id_column=ID), 4)
+    return rounded(influence.contributions(df, df, metric_of(df, CONTEXTS), "p_retailprice", 10, id_column=ID), 7)
 
 
-@query(CONTRIBUTION + "SELECT feature, round(avg(abs(x - z)), 4) AS prediction_contribution, round(avg(x - z), 4) AS directional, round(avg(abs(p_retailprice - z) - abs(p_retailprice - x)), 4) AS accuracy_contribution FROM u JOIN part ON p_partkey = query_id GROUP BY feature")
+@query(CONTRIBUTION + "SELECT feature, round(avg(abs(x - z)), 7) AS prediction_contribution, round(avg(x - z), 7) + 0.0 AS directional, round(avg(abs(p_retailprice - z) - abs(p_retailprice - x)), 7) + 0.0 AS accuracy_contribution FROM u JOIN part ON p_partkey = query_id GROUP BY feature")
 def contributions_mean(spark, d):
     df = part(spark, d)
-    return rounded(influence.mean_contributions(influence.contributions(df, df, metric_of(df, CONTEXTS), "p_retailprice", 10, id_column=ID)), 4)
+    return rounded(influence.mean_contributions(influence.contributions(df, df, metric_of(df, CONTEXTS), "p_retailprice", 10, id_column=ID)), 7)
 
 
 @query()
