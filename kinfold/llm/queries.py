@@ -3,8 +3,10 @@
 from . import (
     chat_format,
     decontamination,
+    exact_dedup,
     html_extraction,
     language_id,
+    merkle_manifest,
     mixing,
     quality_lm,
     quality_rules,
@@ -24,6 +26,8 @@ QUERIES = {
     "op8_html_extraction": html_extraction.query,
     "op9_token_counts": token_counts.query,
     "op10_quality_rules": quality_rules.query,
+    "op12_exact_dedup": exact_dedup.query,
+    "op13_merkle_manifest": merkle_manifest.query,
 }
 
-SQL = {"op3_decontamination": decontamination.SQL, "op6_mixing": mixing.SQL}
+SQL = {"op3_decontamination": decontamination.SQL, "op6_mixing": mixing.SQL, "op12_exact_dedup": exact_dedup.SQL, "op13_merkle_manifest": merkle_manifest.SQL}

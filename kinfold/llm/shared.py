@@ -23,11 +23,11 @@ def shared_dir(spark: SparkSession) -> str:
     return spark.conf.get("spark.checkpoint.dir", None) or _own_dir().name
 
 
-def stash(df: DataFrame, label: str) -> DataFrame:
+def stash(df: DataFrame, label: str, codec: str | None = None) -> DataFrame:
     """Write `df` once as Parquet in the shared folder and read it back: the lineage ends there, no step behind
     it runs twice, and a lost executor costs nothing that is already written. The folder's owner clears it, as lazy results still read it."""
     path = f"{shared_dir(df.sparkSession).rstrip('/')}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
