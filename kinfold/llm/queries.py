@@ -8,6 +8,7 @@ from . import (
     language_id,
     merkle_manifest,
     mixing,
+    periodic_runs,
     quality_lm,
     quality_rules,
     simhash,
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_html_extraction": html_extraction.query,
     "op9_token_counts": token_counts.query,
     "op10_quality_rules": quality_rules.query,
+    "op11_periodic_runs": periodic_runs.query,
     "op12_exact_dedup": exact_dedup.query,
     "op13_merkle_manifest": merkle_manifest.query,
 }
