@@ -9,9 +9,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
+from ..plans.storage import written
 from .knn import Metric
 from .react import case_accuracy_contributions, case_contributions, class_probabilities, neighbours, predict_continuous
-from .stats import leave_one_out
+from .stats import predicted
 
 
 def errors(df: DataFrame, kind: str) -> DataFrame:
@@ -20,11 +21,32 @@ def errors(df: DataFrame, kind: str) -> DataFrame:
     return df.select("query_id", e.alias("error"))
 
 
-def residuals(cases: DataFrame, metric: Metric, kinds: dict[str, str], k: int = 10, **options) -> DataFrame:
-    """(feature, residual, null_residual): mean leave-one-out error of each feature from all others, and the error of its null-ness."""
+def masked_neighbours(queries: DataFrame, cases: DataFrame, metric: Metric, masks: list[tuple[str, ...]], k: int, *, carry: list[str], id_column: str = "id", **options) -> DataFrame:
+    """Neighbours by each of several lists of features; query_id is a struct (id, mask). One search, however many masks; the approximate join searches once a mask."""
+    if options.get("approximate") is None:
+        return neighbours(queries, cases, metric, k, carry=carry, id_column=id_column, masks=[list(m) for m in masks], **options)
     out = []
-    for f, kind in kinds.items():
-        got = leave_one_out(cases, metric, f, kind, k, **options)
+    for i, mask in enumerate(masks):
+        near = neighbours(queries, cases, metric.without(*(n for n in metric.names() if n not in mask)), k, carry=carry, id_column=id_column, **options)
+        out.append(near.withColumn("query_id", F.struct(F.col("query_id").alias("id"), F.lit(i).alias("mask"))))
+    return reduce(lambda a, b: a.union(b), out)
+
+
+def _asked(queries: DataFrame, action: str, masks: int, id_column: str) -> DataFrame:
+    """(query_id (id, mask), actual): a row for every query and mask."""
+    mask = F.explode(F.array(*map(F.lit, range(masks)))).alias("mask")
+    return queries.select(F.col(id_column).alias("id"), F.col(action).alias("actual"), mask).select(F.struct("id", "mask").alias("query_id"), "actual")
+
+
+def residuals(cases: DataFrame, metric: Metric, kinds: dict[str, str], k: int = 10, *, id_column: str = "id", queries: DataFrame | None = None, **options) -> DataFrame:
+    """(feature, residual, null_residual): mean leave-one-out error of each feature from all others, and the error of its null-ness. All features come from one search."""
+    asked = cases if queries is None else queries
+    masks = [tuple(n for n in metric.names() if n != f) for f in kinds]
+    near = written(masked_neighbours(asked, cases, metric, masks, k, carry=list(kinds), id_column=id_column, **options), "residuals")
+    out = []
+    for i, (f, kind) in enumerate(kinds.items()):
+        own = near.where(F.col("query_id.mask") == i).withColumn("query_id", F.col("query_id.id"))
+        got = predicted(own, asked.select(F.col(id_column).alias("query_id"), F.col(f).alias("actual")), f, kind)
         missing = F.avg((F.col("actual").isNull() != F.col("predicted").isNull()).cast("double"))
         e = F.abs(F.col("actual").cast("double") - F.col("predicted")) if kind == "continuous" else F.when(F.col("actual").isNotNull(), 1 - F.col("p_true"))
         out.append(got.agg(F.lit(f).alias("feature"), F.avg(e).alias("residual"), missing.alias("null_residual")).select("feature", "residual", "null_residual"))
@@ -65,13 +87,12 @@ def _predict(queries, cases, metric, action, k, id_column, options, name):
 
 def robust_errors(queries: DataFrame, cases: DataFrame, metric: Metric, action: str, kind: str, k: int = 10, *, samples: int = 10, seed: int = 0, id_column: str = "id", **options) -> DataFrame:
     """(query_id, error): mean error of an action over `samples` random subsets of the contexts, the same subsets for a seed."""
-    names = [n for n in metric.names() if n != action]
-    drawn, out = subsets(names, samples, seed), []
-    for rest in sorted(set(drawn)):
-        own = metric.without(*(n for n in metric.names() if n not in rest))
-        got = leave_one_out(cases, own, action, kind, k, id_column=id_column, queries=queries, **options)
-        out.append(errors(got, kind).withColumn("times", F.lit(drawn.count(rest))))
-    df = reduce(lambda a, b: a.union(b), out)
+    drawn = subsets([n for n in metric.names() if n != action], samples, seed)
+    masks = sorted(set(drawn))
+    near = masked_neighbours(queries, cases, metric, masks, k, carry=[action], id_column=id_column, **options)
+    got = errors(predicted(near, _asked(queries, action, len(masks), id_column), action, kind), kind)
+    times = F.element_at(F.array(*(F.lit(drawn.count(m)) for m in masks)), F.col("query_id.mask") + 1)
+    df = got.select(F.col("query_id.id").alias("query_id"), "error", times.alias("times"))
     return df.groupBy("query_id").agg(F.try_divide(F.sum(F.col("error") * F.col("times")), F.sum(F.when(F.col("error").isNotNull(), F.col("times")))).alias("error"))
 
 
@@ -84,14 +105,13 @@ def robust_residuals(cases: DataFrame, metric: Metric, kinds: dict[str, str], k:
 def robust_case_contributions(queries: DataFrame, cases: DataFrame, metric: Metric, action: str, k: int = 10, *, samples: int = 10, seed: int = 0, id_column: str = "id", **options) -> DataFrame:
     """(query_id, case_id, contribution, directional, accuracy_contribution, n): means of a case's contributions over the random subsets of contexts in which
     it is a neighbour, `n` of them."""
-    names = [n for n in metric.names() if n != action]
-    actual = queries.select(F.col(id_column).alias("query_id"), F.col(action).cast("double").alias("actual"))
-    drawn, out = subsets(names, samples, seed), []
-    for rest in sorted(set(drawn)):
-        near = neighbours(queries, cases, metric.without(*(n for n in metric.names() if n not in rest)), k, carry=[action], id_column=id_column, **options)
-        one = case_contributions(near, action).join(case_accuracy_contributions(near, action, actual), ["query_id", "case_id"])
-        out.append(one.withColumn("times", F.lit(drawn.count(rest))))
-    df = reduce(lambda a, b: a.union(b), out)
+    drawn = subsets([n for n in metric.names() if n != action], samples, seed)
+    masks = sorted(set(drawn))
+    near = written(masked_neighbours(queries, cases, metric, masks, k, carry=[action], id_column=id_column, **options), "robust")
+    actual = _asked(queries, action, len(masks), id_column).withColumn("actual", F.col("actual").cast("double"))
+    one = case_contributions(near, action).join(case_accuracy_contributions(near, action, actual), ["query_id", "case_id"])
+    times = F.element_at(F.array(*(F.lit(drawn.count(m)) for m in masks)), F.col("query_id.mask") + 1)
+    df = one.withColumn("times", times).withColumn("query_id", F.col("query_id.id"))
     mean = lambda c: F.try_divide(F.sum(F.col(c) * F.col("times")), F.sum(F.when(F.col(c).isNotNull(), F.col("times")))).alias(c)
     return df.groupBy("query_id", "case_id").agg(mean("contribution"), mean("directional"), mean("accuracy_contribution"), F.sum("times").alias("n"))
 
@@ -126,19 +146,20 @@ def contributions(queries: DataFrame, cases: DataFrame, metric: Metric, action:
     """
     names = [n for n in metric.names() if n != action]
     metric = metric.without(action)
-    actual = queries.select(F.col(id_column).alias("query_id"), F.col(action).cast("double").alias("actual"))
-    out = []
+    actual = queries.select(F.col(id_column).alias("id"), F.col(action).cast("double").alias("actual"))
+    plan = []  # (feature, its contexts with it, without it, how often they are drawn)
     for f in names:
         rests = subsets([n for n in names if n != f], robust, seed) if robust else [tuple(n for n in names if n != f)]
-        for rest in sorted(set(rests)):
-            times = rests.count(rest)
-            with_f = metric.without(*(n for n in names if n != f and n not in rest))
-            a = _predict(queries, cases, with_f, action, k, id_column, options, "with_f")
-            b = _predict(queries, cases, with_f.without(f), action, k, id_column, options, "without_f")
-            d = actual.join(a, "query_id").join(b, "query_id").withColumn("change", F.col("with_f") - F.col("without_f"))
-            gain = F.abs(F.col("actual") - F.col("without_f")) - F.abs(F.col("actual") - F.col("with_f"))
-            out.append(d.select("query_id", F.lit(f).alias("feature"), "change", gain.alias("gain"), F.lit(times).alias("times")))
-    df = reduce(lambda a, b: a.union(b), out)
+        plan += [(f, tuple(n for n in names if n == f or n in rest), tuple(n for n in names if n in rest), rests.count(rest)) for rest in sorted(set(rests))]
+    masks = sorted({m for _, a, b, _ in plan for m in (a, b)})
+    near = masked_neighbours(queries, cases, metric, masks, k, carry=[action], id_column=id_column, **options)
+    got = written(predict_continuous(near, action, name="p").select("query_id.id", "query_id.mask", "p"), "contributions")
+    rows = [(f, masks.index(a), masks.index(b), times) for f, a, b, times in plan]
+    plans = F.broadcast(queries.sparkSession.createDataFrame(rows, "feature string, mask int, without int, times int"))  # a few rows a feature
+    d = got.join(plans, "mask").select("id", "feature", "times", F.col("p").alias("with_f"), F.col("without").alias("mask"))
+    d = d.join(got.withColumnRenamed("p", "without_f"), ["id", "mask"]).join(actual, "id")
+    gain = F.abs(F.col("actual") - F.col("without_f")) - F.abs(F.col("actual") - F.col("with_f"))
+    df = d.select(F.col("id").alias("query_id"), "feature", "times", (F.col("with_f") - F.col("without_f")).alias("change"), gain.alias("gain"))
     t = F.sum("times")
     return df.groupBy("query_id", "feature").agg(
         (F.sum(F.abs("change") * F.col("times")) / t).alias("prediction_contribution"), (F.sum(F.col("change") * F.col("times")) / t).alias("directional"), (F.sum(F.col("gain") * F.col("times")) / t).alias("accuracy_contribution")

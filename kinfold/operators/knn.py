@@ -7,7 +7,7 @@ window merges the partial lists. No plan holds all pairs.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field, replace
 from functools import reduce
 
@@ -179,9 +179,8 @@ class _Rules:
     tables: tuple = field(default=())  # per nominal: (hashes, matrix) or None
 
 
-def distances(q: _Block, c: _Block, metric: Metric, rules: _Rules = _Rules()) -> np.ndarray:
-    """Matrix of distances (queries x cases)."""
-    total = np.zeros((len(q.ids), len(c.ids)))
+def _differences(q: _Block, c: _Block, metric: Metric, rules: _Rules) -> Iterator[np.ndarray]:
+    """What each feature adds to the powers of the distances (queries x cases), in turn."""
     ix = iz = js = 0
     for f in metric.features:
         if f.structured:
@@ -209,17 +208,29 @@ def distances(q: _Block, c: _Block, metric: Metric, rules: _Rules = _Rules()) ->
                 d = np.where(na & nb, 0.0, np.where(na | nb, f.spread, d))
             if f.deviation != 1.0:
                 d = d / f.deviation
-        total += f.weight * (d if metric.p == 1 else d**metric.p)
+        yield f.weight * (d if metric.p == 1 else d**metric.p)
+
+
+def _distances(parts: Iterable[np.ndarray], metric: Metric, shape: tuple[int, int]) -> np.ndarray:
+    total = np.zeros(shape)
+    for d in parts:
+        total += d
     return total if metric.p == 1 else total ** (1 / metric.p)
 
 
-def _best(q: _Block, c: _Block, metric: Metric, rules: _Rules, k: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(query row, case row, distance) of the k nearest, ties by case id; tile by tile of queries."""
-    step = max(1, TILE // max(1, len(c.ids)))
+def distances(q: _Block, c: _Block, metric: Metric, rules: _Rules = _Rules()) -> np.ndarray:
+    """Matrix of distances (queries x cases)."""
+    return _distances(_differences(q, c, metric, rules), metric, (len(q.ids), len(c.ids)))
+
+
+def _best(q: _Block, c: _Block, metric: Metric, rules: _Rules, k: int, masks: list[list[bool]] | None = None) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """(mask, query row, case row, distance) of the k nearest, ties by case id; tile by tile of queries. With `masks` once for each of them: the
+    differences of a tile are computed once, and each mask adds up its features."""
+    step = max(1, TILE // max(1, len(c.ids) * (1 if masks is None else len(metric.features))))
     for lo in range(0, len(q.ids), step):
         part = _Block(*(getattr(q, n)[lo : lo + step] for n in ("ids", "x", "z", "s", "same", "time")))
-        d = distances(part, c, metric, rules)
-        out = np.zeros(d.shape, bool)
+        shape = (len(part.ids), len(c.ids))
+        out = np.zeros(shape, bool)
         if not rules.self_too:
             out |= part.ids[:, None] == c.ids[None, :]
         for i in range(rules.differ):
@@ -228,18 +239,29 @@ def _best(q: _Block, c: _Block, metric: Metric, rules: _Rules, k: int) -> Iterat
             out |= part.same[:, i][:, None] != c.same[:, i][None, :]
         if rules.not_later:
             out |= c.time[None, :] > part.time[:, None]
-        d[out] = np.inf
-        n = min(k, d.shape[1])
-        edge = np.partition(d, n - 1, axis=1)[:, n - 1]
-        rows, cols = np.nonzero((d <= edge[:, None]) & np.isfinite(d))
-        dist = d[rows, cols]
-        order = np.lexsort((c.ids[cols], dist, rows))
-        rows, cols, dist = rows[order], cols[order], dist[order]
-        first = np.concatenate(([True], rows[1:] != rows[:-1]))[: len(rows)]
-        start = np.flatnonzero(first)
-        place = np.arange(len(rows)) - np.repeat(start, np.diff(np.append(start, len(rows))))
-        ok = place < k
-        yield rows[ok] + lo, cols[ok], dist[ok]
+        parts = None if masks is None else list(_differences(part, c, metric, rules))
+        for mask, own in enumerate(masks or [None]):
+            d = distances(part, c, metric, rules) if own is None else _distances((x for x, held in zip(parts, own, strict=True) if held), metric, shape)
+            d[out] = np.inf
+            n = min(k, d.shape[1])
+            edge = np.partition(d, n - 1, axis=1)[:, n - 1]
+            rows, cols = np.nonzero((d <= edge[:, None]) & np.isfinite(d))
+            dist = d[rows, cols]
+            order = np.lexsort((c.ids[cols], dist, rows))
+            rows, cols, dist = rows[order], cols[order], dist[order]
+            first = np.concatenate(([True], rows[1:] != rows[:-1]))[: len(rows)]
+            start = np.flatnonzero(first)
+            place = np.arange(len(rows)) - np.repeat(start, np.diff(np.append(start, len(rows))))
+            ok = place < k
+            yield mask, rows[ok] + lo, cols[ok], dist[ok]
+
+
+def _prepared(df: DataFrame, metric: Metric, more: list[str], *, id_column: str, differ: list[str] = (), agree: list[str] = (), not_later: str | None = None) -> DataFrame:
+    """The columns of a `_Block`, and `more`."""
+    x, z = _arrays(df, metric)
+    same = [F.xxhash64(F.coalesce(F.col(c).cast("string"), F.lit("\0"))) for c in [*differ, *agree]]
+    time = numeric(not_later, dict(df.dtypes)[not_later]) if not_later else F.lit(0.0)
+    return df.select(id_column, x.alias("__x"), z.alias("__z"), _parts(metric).alias("__s"), (F.array(*same) if same else F.array().cast("array<bigint>")).alias("__same"), time.cast("double").alias("__time"), *more)
 
 
 def knn(
@@ -255,38 +277,50 @@ def knn(
     not_later: str | None = None,
     self_too: bool = False,
     broadcast_queries: int = BROADCAST_QUERIES,
+    masks: list[list[str]] | None = None,
+    pruned: bool | None = None,
 ) -> DataFrame:
     """(query_id, case_id, distance, rank, carried columns of the case): the k nearest cases of each query.
 
+    `masks`: lists of features of the metric, to search by each of them in one pass over the pairs; query_id is then a struct (id, mask), mask being the place in
+    the list. `pruned`: search cells around pivots in place of all pairs (`operators.pruned`), with the same rows; by default where the queries are too
+    many to be broadcast and the metric obeys the triangle inequality.
+
     Order and ties: distance, then case id. A case with the query's id is left out unless `self_too`. `differ`: columns in which a case
     must differ from the query (leave-series-out); `agree`: columns in which it must agree (null agrees with null); `not_later`: a time column in which the case
     must not be later. Filter `cases` first for other constraints, so that they reach the scan.
 
     Queries up to `broadcast_queries` rows (counted) of `BROADCAST_CELLS` numbers are broadcast and cases are read once, in place; few cases, which may lie
-    in one partition, are dealt to as many tasks as their pairs are worth. More queries are dealt into blocks, each of which meets each block of cases in a task of its own.
+    in one partition, are dealt to as many tasks as their pairs are worth. More queries that are not pruned are dealt into blocks, each of which meets each block of
+    cases in a task of its own.
     """
     if k < 1:
         raise ValueError("k must be at least 1")
-
-    def prepared(df: DataFrame, more: list[str]) -> DataFrame:
-        x, z = _arrays(df, metric)
-        same = [F.xxhash64(F.coalesce(F.col(c).cast("string"), F.lit("\0"))) for c in [*differ, *agree]]
-        time = numeric(not_later, dict(df.dtypes)[not_later]) if not_later else F.lit(0.0)
-        return df.select(id_column, x.alias("__x"), z.alias("__z"), _parts(metric).alias("__s"), (F.array(*same) if same else F.array().cast("array<bigint>")).alias("__same"), time.cast("double").alias("__time"), *more)
+    if masks is not None and (pruned or not masks):
+        raise ValueError("masks are searched over all pairs, and there must be one")
 
     carry = [c for c in carry if c != id_column]
-    q, c = prepared(queries, []), prepared(cases, carry)
+    options = {"id_column": id_column, "differ": differ, "agree": agree, "not_later": not_later}
+    q, c = _prepared(queries, metric, [], **options), _prepared(cases, metric, carry, **options)
     rules = _Rules(len(differ), len(agree), not_later is not None, self_too, _tables(queries, metric))
     kind = {f.name: f.dataType.simpleString() for f in cases.schema}
     extra = "".join(f", `{n}` {kind[n]}" for n in carry)
-    schema = f"query_id {queries.schema[id_column].dataType.simpleString()}, case_id {kind[id_column]}, distance double{extra}"
+    schema = f"query_id {queries.schema[id_column].dataType.simpleString()}, mask int, case_id {kind[id_column]}, distance double{extra}"
+    chosen = None if masks is None else [[f.name in m for f in metric.features] for m in masks]
 
-    def compare(query: _Block, df: pd.DataFrame) -> Iterator[pd.DataFrame]:
-        block = _Block.of(df, id_column)
-        for rows, cols, dist in _best(query, block, metric, rules, k):
-            yield pd.DataFrame({"query_id": query.ids[rows], "case_id": block.ids[cols], "distance": dist} | {n: df[n].to_numpy()[cols] for n in carry})
+    def compare(query: _Block, df: pd.DataFrame, case_id: str = id_column) -> Iterator[pd.DataFrame]:
+        block = _Block.of(df, case_id)
+        for mask, rows, cols, dist in _best(query, block, metric, rules, k, chosen):
+            yield pd.DataFrame({"query_id": query.ids[rows], "mask": mask, "case_id": block.ids[cols], "distance": dist} | {n: df[n].to_numpy()[cols] for n in carry})
 
     n = queries.count()
+    if masks is None and (pruned or pruned is None and n > broadcast_queries):
+        from .pruned import prunable, search
+
+        if prunable(cases, metric, queries):
+            return search(queries, cases, metric, k, carry=carry, self_too=self_too, **options).near
+        if pruned:
+            raise ValueError("this metric does not obey the triangle inequality")
     width = sum(JSON_CELLS if f.structured else 1 for f in metric.features) + len(differ) + len(agree)
     broadcast_queries = min(broadcast_queries, max(1, BROADCAST_CELLS // max(1, width)))
     if n <= broadcast_queries:
@@ -299,20 +333,23 @@ def knn(
                         yield from compare(shared.value, df)
 
         if n * DEALT_CASES > TASK_PAIRS and n > 1 and (rows := cases.count()) <= DEALT_CASES:
-            tasks = min(n * rows // TASK_PAIRS, 4 * queries.sparkSession.sparkContext.defaultParallelism)
+            tasks = min(n * rows * len(masks or [0]) // TASK_PAIRS, 4 * queries.sparkSession.sparkContext.defaultParallelism)
             c = c.repartition(tasks, id_column) if tasks > 1 else c
         found = c.mapInPandas(near, schema)
     else:
         case_blocks, query_blocks = max(1, -(-cases.count() // CASE_BLOCK)), -(-n // broadcast_queries)
-        own = F.pmod(F.xxhash64(id_column), F.lit(case_blocks))
+        c = c.withColumnRenamed(id_column, "__id")  # where both sides are one table, Spark drops a column that they share if a result is not used
+        own = F.pmod(F.xxhash64("__id"), F.lit(case_blocks))
         c = c.withColumn("__c", own).withColumn("__q", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))))
         q = q.withColumn("__q", F.pmod(F.xxhash64(id_column), F.lit(query_blocks)).cast("int")).withColumn("__c", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(case_blocks - 1).cast("long"))))
 
         def meet(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-            parts = list(compare(_Block.of(left, id_column), right)) if len(left) and len(right) else []
-            return pd.concat(parts) if parts else pd.DataFrame({x: [] for x in ["query_id", "case_id", "distance", *carry]})
+            parts = list(compare(_Block.of(left, id_column), right, "__id")) if len(left) and len(right) else []
+            return pd.concat(parts) if parts else pd.DataFrame({x: [] for x in ["query_id", "mask", "case_id", "distance", *carry]})
 
         found = q.groupBy("__q", "__c").cogroup(c.groupBy("__q", "__c")).applyInPandas(meet, schema)
+    if masks is not None:
+        found = found.withColumn("query_id", F.struct(F.col("query_id").alias("id"), "mask"))
     rank = F.row_number().over(W.partitionBy("query_id").orderBy("distance", "case_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "case_id", "distance", "rank", *carry)
 

@@ -95,12 +95,12 @@ def progress(df: DataFrame, ids: list[str], time: str) -> DataFrame:
 
 
 def training_rows(df: DataFrame, ids: list[str], time: str, targets: dict[str, str], lags: int, key: str) -> DataFrame:
-    """(id, ids, time, lagged contexts, the values at the row): what a forecast learns from. Rows without all lags are left out."""
+    """(id, ids, time, lagged contexts, the values at the row): what a forecast learns from. Rows without all lags of all targets are left out."""
     own = W.partitionBy(*ids).orderBy(time, key)
     step = (F.col("__t") - F.lag("__t").over(own)).alias("__step")
     df = df.withColumn("__t", seconds(df, time))
     past = [F.lag(c, i).over(own).alias(f"{c}_lag_{i}") for c in targets for i in range(1, lags + 1)]
-    return df.select(F.col(key).alias("id"), *ids, "__t", *targets, step, *past).where(F.col(f"{next(iter(targets))}_lag_{lags}").isNotNull())
+    return df.select(F.col(key).alias("id"), *ids, "__t", *targets, step, *past).dropna(subset=[f"{c}_lag_{i}" for c in targets for i in range(1, lags + 1)] or None)
 
 
 def forecast(
@@ -130,6 +130,9 @@ def forecast(
     holds. `stop_maps`: by target, "min", "max" and "values" at or beyond which a series ends. `limits`: (ids, max_length and final_time, either can be
     missing): the most steps of a series, and the seconds since the epoch at or after which it ends. `conditioned`: (ids, step, columns) whose values are used in
     place of predictions. `seed`: one neighbour is drawn by influence instead of the mean. Every step is written out.
+
+    A series without an admissible neighbour (a short one that is followed by itself, or one older than all others with `universal`) ends there: its row has null
+    values, or those that `conditioned` gives, at the time last known.
     """
     learned = written(training_rows(history, ids, time, targets, lags, key), "series")
     last = history.withColumn("__t", seconds(history, time))
@@ -144,10 +147,11 @@ def forecast(
             near = followed(near, ids)
         if seed is not None:
             near = drawn(near, seed + step)
-        new = state
+        near = written(near, "series")
+        new = state.join(near.select(F.col("query_id").alias("id"), F.lit(True).alias("__found")).distinct(), "id", "left")
         for c, kind in [*targets.items(), ("__step", "continuous")]:
             got = predict_continuous(near, c) if kind == "continuous" else predict_nominal(near, c).drop("probability")
-            new = new.join(got.withColumnRenamed("query_id", "id"), "id")
+            new = new.join(got.withColumnRenamed("query_id", "id"), "id", "left")
         new = new.withColumn("__t", F.col("__t") + F.greatest("__step", F.lit(0.0)))
         if conditioned is not None:
             given = conditioned.where(F.col("step") == step).drop("step")
@@ -155,7 +159,8 @@ def forecast(
             new = new.join(given.select(*ids, *(F.col(c).alias(f"__given_{c}") for c in over)), ids, "left")
             for c in over:
                 new = new.withColumn(c, F.coalesce(f"__given_{c}", c)).drop(f"__given_{c}")
-        ends = F.coalesce(compile_condition(stop), F.lit(False)) if stop else F.lit(False)
+        ends = F.col("__found").isNull()
+        ends = ends | F.coalesce(compile_condition(stop), F.lit(False)) if stop else ends
         for c, rule in (stop_maps or {}).items():
             parts = [F.col(c) <= F.lit(rule["min"])] if rule.get("min") is not None else []
             parts += [F.col(c) >= F.lit(rule["max"])] if rule.get("max") is not None else []

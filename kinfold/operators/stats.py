@@ -17,7 +17,11 @@ def leave_one_out(cases: DataFrame, metric: Metric, action: str, kind: str, k: i
     """(id, actual, predicted, p_true for nominals) of every case predicted from the others; `queries`: a sample of the cases."""
     asked = cases if queries is None else queries
     near = neighbours(asked, cases, metric.without(action), k, carry=[action], id_column=id_column, **options)
-    actual = asked.select(F.col(id_column).alias("query_id"), F.col(action).alias("actual"))
+    return predicted(near, asked.select(F.col(id_column).alias("query_id"), F.col(action).alias("actual")), action, kind)
+
+
+def predicted(near: DataFrame, actual: DataFrame, action: str, kind: str) -> DataFrame:
+    """(query_id, actual, predicted, p_true for nominals) of `actual` (query_id, actual) by the neighbours."""
     if kind == "continuous":
         return actual.join(predict_continuous(near, action, name="predicted"), "query_id", "left")
     probs = class_probabilities(near, action)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..operators import react as r
 from ..operators.condition import compile_condition
 from ..operators.knn import Feature, Metric, dynamic_k, knn, knn_dependent, metric_of, pairwise
+from ..operators.pruned import search
 from ..operators.stats import leave_one_out
 
 ID = "p_partkey"
@@ -94,7 +95,27 @@ def knn_self_join(spark, d):
 @query(sql_near(queries="true", cases="true", k=3) + LIST)
 def knn_self_join_blocked(spark, d):
     df = part(spark, d)
-    return listed(knn(df, df, metric_of(df, CONTEXTS), 3, id_column=ID, broadcast_queries=500))
+    return listed(knn(df, df, metric_of(df, CONTEXTS), 3, id_column=ID, broadcast_queries=500, pruned=False))
+
+
+@query(ALL + LIST)
+def knn_pruned(spark, d):
+    df = part(spark, d)
+    return listed(knn(df, df, metric_of(df, CONTEXTS), 10, id_column=ID, pruned=True))
+
+
+@query(sql_near(DISTANCE + " + abs(q.p_retailprice - c.p_retailprice)", k=5, queries="true", cases="p_retailprice > 1000", on="q.p_partkey <> c.p_partkey AND q.p_brand <> c.p_brand") + LIST)
+def knn_pruned_other_brands(spark, d):
+    df = part(spark, d)
+    return listed(knn(df, df.where("p_retailprice > 1000"), metric_of(df, [*CONTEXTS, "p_retailprice"]), 5, id_column=ID, differ=["p_brand"], pruned=True))
+
+
+@query()
+def knn_pruned_work(spark, d):
+    """Pairs of rows that the pruned search compares, in cells and with pivots, beside all pairs."""
+    df = part(spark, d)
+    work = search(df, df, metric_of(df, [*CONTEXTS, "p_retailprice"]), 10, id_column=ID).work
+    return work.withColumn("share", F.round(F.col("compared") / F.col("all_pairs"), 6))
 
 
 @query(sql_near(cases="p_retailprice BETWEEN 950 AND 1100 AND p_brand IN ('Brand#11', 'Brand#12', 'Brand#13', 'Brand#1', 'Brand#2')") + LIST)

@@ -96,6 +96,41 @@ w AS (SELECT *, CASE WHEN min(distance) OVER (PARTITION BY user_id) = 0 THEN CAS
 SELECT user_id, round(sum(raw * value) / sum(raw), 6) AS value FROM w GROUP BY user_id"""
 
 
+def _steps(behind: int, steps: int, on: str = "true", ends: str = "false") -> str:
+    """SQL of forecasts by two lags from all rows but the last `behind` of each user; `on`: which rows (c) a series (s) may follow, `ends`: after which row it ends."""
+    sql = f"""WITH h AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS k FROM events) WHERE k > {behind}),
+l AS (SELECT event_id, user_id, value, lag(value) OVER w AS v1, lag(value, 2) OVER w AS v2 FROM h WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+c AS (SELECT * FROM l WHERE v1 IS NOT NULL AND v2 IS NOT NULL), r AS (SELECT max(v2) - min(v2) AS spread FROM c),
+s1 AS (SELECT user_id, max(value) FILTER (r = 1) AS v1, max(value) FILTER (r = 2) AS v2 FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS r FROM h) WHERE r <= 2 GROUP BY 1)"""
+    for i in range(1, steps + 1):
+        sql += f""",
+d{i} AS (SELECT s.user_id, c.event_id, abs(s.v1 - c.v1) + coalesce(abs(s.v2 - c.v2), r.spread) AS distance, c.value FROM s{i} AS s JOIN c ON {on} CROSS JOIN r),
+n{i} AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY distance, event_id) AS rank FROM d{i}) WHERE rank <= 10),
+w{i} AS (SELECT *, CASE WHEN min(distance) OVER (PARTITION BY user_id) = 0 THEN CASE WHEN distance = 0 THEN 1.0 ELSE 0.0 END ELSE 1.0 / distance END AS raw FROM n{i}),
+p{i} AS (SELECT s.user_id, s.v1, sum(raw * value) / sum(raw) AS value FROM s{i} AS s LEFT JOIN w{i} AS w ON w.user_id = s.user_id GROUP BY s.user_id, s.v1),
+o{i} AS (SELECT user_id, {i} AS step, value, {i} = {steps} OR value IS NULL OR coalesce({ends}, false) AS series_end, v1 FROM p{i}),
+s{i + 1} AS (SELECT user_id, value AS v1, v1 AS v2 FROM o{i} WHERE NOT series_end)"""
+    return sql + " " + " UNION ALL ".join(f"SELECT user_id, step, round(value, 6) AS value, series_end FROM o{i}" for i in range(1, steps + 1))
+
+
+def _continued(spark, d, behind: int, steps: int, **options):
+    history, _ = series.holdout(_events(spark, d), ["user_id"], "ts", behind, "event_id")
+    learned = series.training_rows(history, ["user_id"], "ts", {"value": "continuous"}, 2, "event_id")
+    got = series.forecast(history, ["user_id"], "ts", {"value": "continuous"}, metric_of(learned, ["value_lag_1", "value_lag_2"]), steps, key="event_id", lags=2, k=10, **options)
+    return rounded(got.select("user_id", "step", "value", "series_end"))
+
+
+@query(_steps(60, 1, "c.user_id = s.user_id"))
+def series_tracking_fixed(spark, d):
+    """Each user followed by rows of its own, from histories without their last 60 rows: users with one or two rows left end without a value."""
+    return _continued(spark, d, 60, 1, tracking="fixed")
+
+
+@query(_steps(2, 2, ends="value >= 60 OR value <= 30"))
+def series_stop_maps(spark, d):
+    return _continued(spark, d, 2, 2, stop_maps={"value": {"min": 30.0, "max": 60.0}})
+
+
 @query(FORECAST)
 def series_forecast_step(spark, d):
     history, _ = series.holdout(_events(spark, d), ["user_id"], "ts", 2, "event_id")
