@@ -1,6 +1,8 @@
 """An editable store of cases: Parquet tables of cases, sessions, series and parameters under one folder.
 
-Edits write a new version of the table and then name it, so a reader sees one version and a failed edit leaves none behind.
+A table is a list of layers: rows that were trained, patches (whole rows of edited cases) and keys of cases that were taken out. An edit
+writes one layer in proportion to what it changes and then the version that names all layers, so a reader sees one version and a failed edit leaves none behind. Readers
+merge the layers; `compact` makes one of them, by itself once there are `most_layers`. Versions have running numbers; `clear` deletes layers of old ones.
 Every case has `_session` and `_idx`, its place in the order of training; the pair is its identity.
 """
 
@@ -9,6 +11,7 @@ from __future__ import annotations
 import json
 import time
 import uuid
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +24,13 @@ from ..operators.validate import check
 from ..plans.storage import written
 
 KEY = ["_session", "_idx"]
+_VERSION = "number bigint, at double, layers array<struct<kind: string, folder: string>>, next bigint"
+
+
+class Version(NamedTuple):
+    number: int
+    layers: list[tuple[str, str]]  # (rows, patch or gone; folder)
+    next: int | None  # number of the next case, where known
 
 
 def identified(df: DataFrame) -> DataFrame:
@@ -45,35 +55,76 @@ def running_index(df: DataFrame, start: int, order: list[Column] | None = None)
 class CaseStore:
     """Cases under `path`, a folder that all executors reach."""
 
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path.rstrip("/")
+    def __init__(self, spark: SparkSession, path: str, most_layers: int = 200):
+        self.spark, self.path, self.most_layers = spark, path.rstrip("/"), most_layers
 
-    # --- tables
+    # --- tables: layers of Parquet folders; a version names its layers
 
-    def _current(self, table: str) -> str | None:
+    def _current(self, table: str) -> Version | None:
         try:
-            rows = self.spark.read.schema("version string, at double").json(f"{self.path}/{table}/versions").orderBy(F.desc("at")).limit(1).collect()
+            rows = self.spark.read.schema(_VERSION).json(f"{self.path}/{table}/versions").orderBy(F.desc("number"), F.desc("at")).limit(1).collect()
         except Exception as e:
             if "PATH_NOT_FOUND" in str(e):
                 return None
             raise
-        return f"{self.path}/{table}/{rows[0].version}" if rows else None
+        return Version(rows[0].number, [tuple(x) for x in rows[0].layers], rows[0].next) if rows else None
+
+    def _commit(self, table: str, df: DataFrame, kind: str, replace: bool = False, next: int | None = None) -> str:
+        """Write `df` as the next layer and then name the version that has it; returns the layer's folder."""
+        old = self._current(table)
+        number, folder = (old.number if old else 0) + 1, uuid.uuid4().hex
+        df.withColumn("_layer", F.lit(number).cast("bigint")).write.parquet(f"{self.path}/{table}/{folder}")
+        layers = [*([] if replace or not old else old.layers), (kind, folder)]
+        next = old.next if next is None and old and not replace else next
+        self.spark.createDataFrame([(number, time.time(), layers, next)], _VERSION).coalesce(1).write.mode("append").json(f"{self.path}/{table}/versions")
+        if len(layers) > self.most_layers:
+            self.compact(table)
+        return f"{self.path}/{table}/{folder}"
 
     def _replace(self, table: str, df: DataFrame) -> None:
-        version = uuid.uuid4().hex
-        df.write.parquet(f"{self.path}/{table}/{version}")
-        self.spark.createDataFrame([(version, time.time())], "version string, at double").coalesce(1).write.mode("append").json(f"{self.path}/{table}/versions")
+        self._commit(table, df, "rows", replace=True)
 
-    def _read(self, table: str) -> DataFrame | None:
-        at = self._current(table)
-        return self.spark.read.option("mergeSchema", True).parquet(at) if at else None
+    def _append(self, table: str, df: DataFrame, next: int | None = None) -> str:
+        return self._commit(table, df, "rows", next=next)
 
-    def _append(self, table: str, df: DataFrame) -> None:
-        at = self._current(table)
-        if at:
-            df.write.mode("append").parquet(at)
-        else:
-            self._replace(table, df)
+    def _read(self, table: str) -> DataFrame | None:
+        """Rows and patches of all layers, without those that a later patch replaces or a later layer takes out."""
+        now = self._current(table)
+        if now is None:
+            return None
+        at = {kind: [f"{self.path}/{table}/{folder}" for k, folder in now.layers if k == kind] for kind in ("rows", "patch", "gone")}
+        df = self.spark.read.option("mergeSchema", True).parquet(*at["rows"], *at["patch"])
+        if at["patch"] or at["gone"]:
+            changed = self.spark.read.parquet(*at["patch"], *at["gone"]).select(*(F.col(c).alias("__" + c) for c in KEY), F.col("_layer").alias("__layer"))
+            changed = changed.groupBy(*("__" + c for c in KEY)).agg(F.max("__layer").alias("__layer"))
+            same = [F.col(c) == F.col("__" + c) for c in KEY]
+            df = df.join(changed, [*same, F.col("__layer") > F.col("_layer")], "left_anti")
+        return df.drop("_layer")
+
+    def _patch(self, rows: DataFrame) -> int:
+        """New values of some cases, whole rows; returns their number."""
+        return self.spark.read.parquet(self._commit("cases", rows, "patch")).count()
+
+    def _take_out(self, keys: DataFrame) -> int:
+        return self.spark.read.parquet(self._commit("cases", keys.select(*KEY).distinct(), "gone")).count()
+
+    def compact(self, table: str = "cases") -> None:
+        """One layer in place of many, with the same rows."""
+        now = self._current(table)
+        if now and len(now.layers) > 1:
+            self._commit(table, self._read(table), "rows", replace=True, next=now.next)
+
+    def clear(self, table: str = "cases") -> int:
+        """Delete the layers that the current version does not name; returns their number. Not while others read or write older versions."""
+        now = self._current(table)
+        held = {folder for _, folder in now.layers} if now else set()
+        jvm = self.spark._jvm
+        root = jvm.org.apache.hadoop.fs.Path(f"{self.path}/{table}")
+        fs = root.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        old = [s.getPath() for s in fs.listStatus(root) if s.isDirectory() and s.getPath().getName() not in held | {"versions"}]
+        for path in old:
+            fs.delete(path, True)
+        return len(old)
 
     def cases(self) -> DataFrame:
         df = self._read("cases")
@@ -97,7 +148,11 @@ class CaseStore:
         self._replace("sessions", df.withColumn("metadata", F.when(F.col("session") == session, F.lit(json.dumps(metadata))).otherwise(F.col("metadata"))))
 
     def delete_session(self, session: str) -> None:
-        self._replace("cases", self.cases().where(F.col("_session") != session))
+        self._take_out(self.cases().where(F.col("_session") == session))
+
+    def has_session(self, session: str) -> bool:
+        df = self._read("cases")
+        return df is not None and not df.where(F.col("_session") == session).isEmpty()
 
     def sessions(self) -> DataFrame:
         return self.cases().groupBy("_session").agg(F.count("*").alias("n"), F.min("_idx").alias("first"), F.max("_idx").alias("last"))
@@ -121,12 +176,16 @@ class CaseStore:
             df = staged.join(df.drop(*(c for c in df.columns if c in staged.columns)), F.lit(True)) if df.limit(2).count() == 1 else running_index(staged, 0).join(running_index(df, 0), "_idx").drop("_idx")
         for name, expression in derived:
             df = df.withColumn(name, F.expr(expression))
-        old = self._read("cases")
-        last = None if old is None else old.agg(F.max("_idx")).first()[0]
-        start = 0 if last is None else last + 1
-        new = running_index(df, start, [F.col(c) for c in order]).withColumn("_session", F.lit(session))
-        self._append("cases", new)
-        return self.count() - (0 if old is None else old.count())
+        now = self._current("cases")
+        if now is None or now.next is None:
+            last = None if now is None else self.cases().agg(F.max("_idx")).first()[0]
+            start = 0 if last is None else last + 1
+        else:
+            start = now.next
+        new = written(running_index(df, start, [F.col(c) for c in order]).withColumn("_session", F.lit(session)), "store-new")
+        n = new.count()
+        self._append("cases", new, next=start + n)
+        return n
 
     def train_weights(self, df: DataFrame, features: list[str], k: int = 10, weight: str = "_case_weight") -> None:
         """Absorb new cases: each gives its weight to its neighbours by their influence; no case is added."""
@@ -181,35 +240,27 @@ class CaseStore:
 
     def remove(self, condition: dict | None = None, *, indices=None, session=None, limit=None, precision="exact", distribute_features: list[str] | None = None, k: int = 10) -> int:
         """Remove cases and return their number; with `distribute_features` their weight goes to their neighbours that stay."""
-        gone = self._chosen(condition, indices, session, limit, precision)
         cases = self.cases()
-        rest = cases.join(gone, KEY, "left_anti")
-        if distribute_features:
-            a, b = identified(rest), identified(cases.join(gone, KEY, "left_semi"))
-            rest = distribute(a, b, metric_of(cases, distribute_features), k, "_case_weight").drop("id")
-        before = cases.count()
-        self._replace("cases", rest)
-        return before - self.count()
+        gone = written(cases.join(self._chosen(condition, indices, session, limit, precision), KEY, "left_semi"), "store-gone")
+        if not distribute_features:
+            return self._take_out(gone)
+        rest = distribute(identified(cases.join(gone.select(*KEY), KEY, "left_anti")), identified(gone), metric_of(cases, distribute_features), k, "_case_weight")
+        self._replace("cases", rest.drop("id"))
+        return gone.count()
 
     def move(self, target: CaseStore, condition: dict | None = None, **which) -> int:
         gone = self._chosen(condition, which.get("indices"), which.get("session"), which.get("limit"), which.get("precision", "exact"))
-        cases = self.cases()
-        moved = cases.join(gone, KEY, "left_semi")
-        n = moved.count()
-        target._append("cases", target._fitted(moved))
-        self._replace("cases", cases.join(gone, KEY, "left_anti"))
-        return n
+        moved = written(self.cases().join(gone, KEY, "left_semi"), "store-moved")
+        target._take_in(moved)
+        return self._take_out(moved)
 
     def edit(self, values: dict, condition: dict | None = None, **which) -> int:
         """Set features where the condition holds; returns the number of cases."""
         cases = self.cases()
-        chosen = self._chosen(condition, which.get("indices"), which.get("session"), which.get("limit"), which.get("precision", "exact")).withColumn("__hit", F.lit(True))
-        df = cases.join(chosen, KEY, "left")
+        chosen = self._chosen(condition, which.get("indices"), which.get("session"), which.get("limit"), which.get("precision", "exact"))
         kinds = dict(cases.dtypes)
-        new = df.select(*(F.when(F.col("__hit"), F.lit(values[c]).cast(kinds[c])).otherwise(F.col(c)).alias(c) if c in values else F.col(c) for c in cases.columns))
-        n = df.where("__hit").count()
-        self._replace("cases", new)
-        return n
+        hit = cases.join(chosen, KEY, "left_semi")
+        return self._patch(hit.select(*(F.lit(values[c]).cast(kinds[c]).alias(c) if c in values else F.col(c) for c in cases.columns)))
 
     def add_feature(self, name: str, value=None, *, values: DataFrame | None = None, condition: dict | None = None, overwrite: bool = False) -> None:
         """A feature with one value, or with `values` (_session, _idx, value), where the condition holds; null elsewhere."""
@@ -218,14 +269,20 @@ class CaseStore:
             raise ValueError(f"{name} exists")
         if values is not None:
             df = cases.drop(name).join(values.select(*KEY, F.col("value").alias(name)), KEY, "left")
-        else:
-            old = F.col(name) if name in cases.columns else F.lit(None)
-            df = cases.withColumn(name, F.when(compile_condition(condition), F.lit(value)).otherwise(old))
+        elif condition is None:
+            df = cases.withColumn(name, F.lit(value))
+        else:  # the others read it as null, or keep what they have
+            hit = cases.where(compile_condition(condition))
+            self._patch(hit.withColumn(name, F.lit(value).cast(dict(cases.dtypes)[name]) if name in cases.columns else F.lit(value)))
+            return
         self._replace("cases", df)
 
     def remove_feature(self, name: str, condition: dict | None = None) -> None:
         cases = self.cases()
-        self._replace("cases", cases.drop(name) if condition is None else cases.withColumn(name, F.when(~F.coalesce(compile_condition(condition), F.lit(False)), F.col(name))))
+        if condition is None:
+            self._replace("cases", cases.drop(name))
+        else:
+            self._patch(cases.where(compile_condition(condition)).withColumn(name, F.lit(None).cast(dict(cases.dtypes)[name])))
 
     def evaluate(self, expressions: dict[str, str], aggregate: dict[str, str] | None = None) -> DataFrame:
         """SQL expressions per case, and SQL aggregates over their results."""
@@ -255,7 +312,14 @@ class CaseStore:
     def combine(self, *others: CaseStore) -> None:
         """Take in the cases of other stores; they keep their sessions, columns that one lacks are null. In a session that is here already they are numbered on."""
         for other in others:
-            self._replace("cases", self.cases().unionByName(self._fitted(other.cases()), allowMissingColumns=True))
+            self._take_in(other.cases())
+
+    def _take_in(self, df: DataFrame) -> None:
+        """Append cases of another store."""
+        new = written(self._fitted(df), "store-taken")
+        now, most = self._current("cases"), new.agg(F.max("_idx")).first()[0]
+        if most is not None:
+            self._append("cases", new, next=max(most + 1, now.next) if now and now.next is not None else None if now else most + 1)
 
     def _fitted(self, df: DataFrame) -> DataFrame:
         """Cases of another store with numbers that go on after those of the same session here, so that session and number stay an identity."""

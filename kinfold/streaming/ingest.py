@@ -25,7 +25,7 @@ def train(stream: DataFrame, store: CaseStore, checkpoint: str, *, status: str |
 
     def batch(df: DataFrame, number: int) -> None:
         session = f"batch-{number}"
-        if store.count():
+        if store.has_session(session):
             store.delete_session(session)
         n = store.train(df, session)
         total = store.count()
