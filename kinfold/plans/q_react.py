@@ -104,10 +104,10 @@ def knn_pruned(spark, d):
     return listed(knn(df, df, metric_of(df, CONTEXTS), 10, id_column=ID, pruned=True))
 
 
-@query(sql_near(DISTANCE + " + abs(q.p_retailprice - c.p_retailprice)", k=5, queries="true", cases="p_retailprice > 1000", on="q.p_partkey <> c.p_partkey AND q.p_brand <> c.p_brand") + LIST)
+@query(sql_near(DISTANCE + " + abs(q.p_retailprice - c.p_retailprice)", k=5, queries="true", cases="p_size > 10", on="q.p_partkey <> c.p_partkey AND q.p_brand <> c.p_brand") + LIST)
 def knn_pruned_other_brands(spark, d):
     df = part(spark, d)
-    return listed(knn(df, df.where("p_retailprice > 1000"), metric_of(df, [*CONTEXTS, "p_retailprice"]), 5, id_column=ID, differ=["p_brand"], pruned=True))
+    return listed(knn(df, df.where("p_size > 10"), metric_of(df, [*CONTEXTS, "p_retailprice"]), 5, id_column=ID, differ=["p_brand"], pruned=True))
 
 
 @query()

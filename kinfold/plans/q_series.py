@@ -160,6 +160,26 @@ def store_edits(spark, d):
     return rounded(store.get([ID, "p_brand", "p_size", "p_retailprice", "mark"]).drop("_session", "_idx"))
 
 
+@query("SELECT p_partkey, CASE WHEN p_size BETWEEN 20 AND 30 THEN CAST(7 AS BIGINT) WHEN p_size > 45 THEN CAST(9 AS BIGINT) ELSE CAST(p_size AS BIGINT) END AS p_size, CASE WHEN p_size BETWEEN 20 AND 30 THEN NULL ELSE round(p_retailprice, 6) END AS p_retailprice, CASE WHEN p_size < 5 THEN CAST(1.5 AS DOUBLE) END AS mark, CASE WHEN p_partkey % 2 = 1 AND p_size NOT IN (33, 34) THEN 'again' ELSE 'first' END AS session FROM part WHERE p_size NOT IN (33, 34) OR p_partkey % 2 = 1 AND p_size = 34")
+def store_layers(spark, d):
+    """Rows, patches and keys taken out in turn: edits of edited cases, cases taken out and moved back, a session trained anew after it was deleted."""
+    store, other = (CaseStore(spark, _place(spark, "store")) for _ in range(2))
+    df = part(spark, d).select(ID, "p_size", "p_retailprice")
+    store.train(df.where(f"{ID} % 2 = 0"), "first")
+    store.train(df.where(f"{ID} % 2 = 1"), "again")
+    store.delete_session("again")
+    store.train(df.where(f"{ID} % 2 = 1 AND p_size <> 34"), "again")
+    store.remove({"p_size": [33, 34]})
+    store.train(df.where(f"{ID} % 2 = 1 AND p_size = 34"), "first")
+    store.edit({"p_size": 48}, {"p_size": [46, None]})
+    store.move(other, {"p_size": [20, 30]})
+    store.edit({"p_size": 9}, {"p_size": [48, 48]})
+    store.add_feature("mark", 1.5, condition={"p_size": [None, 4]})
+    other.edit({"p_size": 7, "p_retailprice": None}, {"p_size": [20, 30]})
+    store.combine(other)
+    return rounded(store.cases().select(ID, "p_size", "p_retailprice", "mark", F.col("_session").alias("session")))
+
+
 @query("SELECT 'even' AS _session, count(*) FILTER (p_partkey % 2 = 0) AS n, CAST(0 AS BIGINT) AS first, count(*) FILTER (p_partkey % 2 = 0) - 1 AS last FROM part UNION ALL SELECT 'odd', count(*) FILTER (p_partkey % 2 = 1), count(*) FILTER (p_partkey % 2 = 0), count(*) - 1 FROM part")
 def store_sessions(spark, d):
     store = CaseStore(spark, _place(spark, "store"))
@@ -208,6 +228,29 @@ def stream_training(spark, d):
     return store.cases().agg(F.count("*").alias("n"), F.countDistinct("event_id").alias("k"))
 
 
+_GAP, _LATE = 12 * 3600, 3600
+
+
+@query(f"""WITH o AS (SELECT *, epoch_us(ts) - epoch_us(lag(ts) OVER w) AS behind FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+g AS (SELECT *, sum(CASE WHEN behind <= {_GAP * 1_000_000} THEN 0 ELSE 1 END) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS s FROM o),
+x AS (SELECT user_id, s, epoch_us(min(ts)) AS series_start, count(*) AS n, round(sum(value), 6) AS total, epoch_us(max(ts)) AS last FROM g GROUP BY 1, 2)
+SELECT user_id, series_start, n, total, n - 1 AS last_place FROM (SELECT *, max(s) OVER (PARTITION BY user_id) AS newest FROM x)
+WHERE s < newest OR last + {_GAP * 1_000_000} < (SELECT epoch_us(max(ts)) - {_LATE * 1_000_000} FROM events)""")
+def stream_series_training(spark, d):
+    """Events arrive in six files of some days each; after the third the stream is stopped and goes on from its checkpoint. A user's series ends with half a day of silence."""
+    df, path, log, staged = _events(spark, d), _place(spark, "stream-files"), _place(spark, "stream-log"), _place(spark, "stream-staged")
+    store = CaseStore(spark, _place(spark, "store"))
+    lo, hi = df.agg(F.min("ts"), F.max("ts")).first()
+    part = F.least(F.floor((F.unix_micros(F.col("ts").cast("timestamp")) - F.unix_micros(F.lit(lo).cast("timestamp"))) * 6 / F.lit((hi - lo).total_seconds() * 1e6)), F.lit(5))
+    for half in (range(3), range(3, 6)):
+        for i in half:
+            df.where(part == i).coalesce(1).write.mode("append").parquet(path)
+        stream = ingest.read_files(spark, path, df.schema)
+        ingest.train_series(stream, store, "user_id", "ts", log, staged, gap=_GAP, late=_LATE).awaitTermination()
+    got = store.cases().groupBy("user_id", "series_start").agg(F.count("*").alias("n"), F.round(F.sum("value"), 6).alias("total"), F.max("series_place").alias("last_place"))
+    return got.select("user_id", "series_start", "n", "total", "last_place")
+
+
 @query(sql_near() + ", y AS (SELECT query_id, sum(weight * p_retailprice) AS v FROM i GROUP BY 1) SELECT query_id AS p_partkey, round(v, 6) AS predicted FROM y")
 def stream_scoring(spark, d):
     q, c = split(spark, d)

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..operators.analyze import AutoAnalyze
 from ..operators.knn import Metric
@@ -46,6 +49,87 @@ def append_series(stream: DataFrame, path: str, key: str, checkpoint: str, once:
     return (writer.trigger(availableNow=True) if once else writer).start()
 
 
+_STATE = "n bigint, started bigint, last bigint"
+
+
+def follow_series(stream: DataFrame, key: str, time: str, gap: float, late: float, ends: str | None = None) -> DataFrame:
+    """Rows of `stream` with `started` (microseconds: with the key the identity of a series), `position` in it and `complete`; and a row with `complete`, the
+    number of rows in `position` and no values for each series that has come to its end.
+
+    A series of a key ends with `gap` seconds of event time without a row, or with a row for which `ends`, an SQL condition, holds; the next row starts another.
+    The gap is seen by the next row of the key, or else by a timer once the watermark, `late` seconds behind the newest row, has passed it. The state of
+    an open series is three numbers; rows go through. Rows without a key or time are left out, rows later than the watermark too.
+    """
+    names = stream.columns
+    micros = F.unix_micros(F.col(time).cast("timestamp"))
+    df = stream.where(F.col(key).isNotNull() & F.col(time).isNotNull())
+    df = df.withColumn("__t", F.col(time).cast("timestamp")).withColumn("__us", micros).withColumn("__end", F.coalesce(F.expr(ends), F.lit(False)) if ends else F.lit(False))
+    df = df.withWatermark("__t", f"{int(late * 1000)} milliseconds")
+    gap_us = int(gap * 1_000_000)
+
+    def step(own: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        def marker(started: int, n: int) -> pd.DataFrame:
+            return pd.DataFrame({c: [own[0] if c == key else None] for c in names} | {"started": [started], "position": [n], "complete": [True]})
+
+        if state.hasTimedOut:
+            n, started, _ = state.get
+            state.remove()
+            yield marker(started, n)
+            return
+        n, started, last = state.get if state.exists else (0, None, None)
+        rows = pd.concat(list(batches), ignore_index=True).sort_values("__us", kind="stable", ignore_index=True)
+        begun, places, out = [], [], []
+        for us, end in zip(rows["__us"].tolist(), rows["__end"].tolist(), strict=True):
+            if n and us - last > gap_us:
+                out.append(marker(started, n))
+                n = 0
+            if not n:
+                started, last = us, us
+            begun.append(started)
+            places.append(n)
+            n, last = n + 1, max(last, us)
+            if end:
+                out.append(marker(started, n))
+                n = 0
+        if n:
+            state.update((n, started, last))
+            state.setTimeoutTimestamp(max((last + gap_us) // 1000 + 1, state.getCurrentWatermarkMs() + 1))
+        elif state.exists:
+            state.remove()
+        yield rows[names].assign(started=begun, position=places, complete=False)
+        yield from out
+
+    schema = T.StructType([T.StructField(f.name, f.dataType) for f in stream.schema]).add("started", "long").add("position", "long").add("complete", "boolean")
+    return df.groupBy(key).applyInPandasWithState(step, schema, _STATE, "append", GroupStateTimeout.EventTimeTimeout)
+
+
+def train_series(stream: DataFrame, store: CaseStore, key: str, time: str, checkpoint: str, staged: str, *, gap: float, late: float, ends: str | None = None, once: bool = True) -> StreamingQuery:
+    """Train every series once, when it is complete (see `follow_series`); its rows carry `series_start` and `series_place`.
+
+    Rows wait in the folder `staged`, a folder per micro-batch, so a series of any length needs no memory. A batch that is tried again overwrites its folder and replaces its
+    session, so a restart from the checkpoint neither loses nor repeats a series.
+    """
+
+    def batch(df: DataFrame, number: int) -> None:
+        spark = df.sparkSession
+        df.write.mode("overwrite").parquet(f"{staged}/part={number}")
+        mine = spark.read.schema(df.schema).parquet(f"{staged}/part={number}")
+        done = mine.where("complete").select(F.col(key).alias("__key"), F.col("started").alias("__started"))
+        since = done.agg(F.min("__started")).first()[0]
+        if since is None:
+            return
+        rows = spark.read.schema(df.schema).option("basePath", staged).parquet(f"{staged}/part=*").where(~F.col("complete") & (F.col("started") >= F.lit(since)))
+        rows = rows.join(done, (F.col(key) == F.col("__key")) & (F.col("started") == F.col("__started"))).drop("__key", "__started", "complete", "part")
+        session = f"series-{number}"
+        if store.has_session(session):
+            store.delete_session(session)
+        store.train(rows.withColumnsRenamed({"started": "series_start", "position": "series_place"}), session, order=[key, "series_start", "series_place"])
+
+    got = follow_series(stream, key, time, gap, late, ends)
+    writer = got.writeStream.outputMode("append").foreachBatch(batch).option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if once else writer).start()
+
+
 def score(stream: DataFrame, cases: DataFrame, metric: Metric, action: str, kind: str, sink: Callable[[DataFrame, int], None], checkpoint: str, *, k: int = 10, id_column: str = "id", once: bool = True) -> StreamingQuery:
     """Predictions of arriving rows from static cases, handed to `sink` per micro-batch."""
 
