@@ -28,6 +28,8 @@ BLOCK = 1024
 #: Bytes of distinct blocks, and blocks in all, of a batch; the document that passes either is the batch's last.
 BATCH_BYTES = 16 << 20
 BATCH_BLOCKS = 100_000
+#: Bytes of a block in the sample that cuts the ranges.
+PREFIX = 16
 #: What is deleted before texts are compared.
 SPACE = b"\x20\x09\x0a\x0b\x0c\x0d"
 
@@ -86,7 +88,8 @@ def _cut(docs: DataFrame) -> DataFrame:
 def _names(entries: DataFrame, keys: list[str]) -> DataFrame:
     """(batch, local, name) of `entries` (batch, local, keys): the keys in order, equal ones with one name.
 
-    A name is the number of the range (high bits) and the rank in it, so names keep the order of the keys over all ranges.
+    Blocks are ordered by their first bytes, then a fingerprint, then all bytes: equal ones still lie together, names are given by all bytes, and the sample that
+    Spark draws on the driver to cut the ranges holds `PREFIX` bytes a block in place of the whole. A name is the number of the range (high bits) and the rank in it, so names keep the order of the keys over all ranges.
     """
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -104,7 +107,9 @@ def _names(entries: DataFrame, keys: list[str]) -> DataFrame:
             name, last = int(own[-1]), tuple(c[-1].as_py() for c in columns)
             yield pa.RecordBatch.from_arrays([batch.column("batch"), batch.column("local"), pa.array(own)], names=["batch", "local", "name"])
 
-    ranged = entries.select("batch", "local", *keys).repartitionByRange(*keys).sortWithinPartitions(*keys)
+    first = [F.substring("block", 1, PREFIX).alias("first"), F.xxhash64("block").alias("mark")] if keys == ["block"] else []
+    cuts = ["first", "mark"] if first else keys
+    ranged = entries.select("batch", "local", *keys, *first).repartitionByRange(*cuts).sortWithinPartitions(*dict.fromkeys([*cuts, *keys])).select("batch", "local", *keys)
     return ranged.mapInArrow(number, "batch bigint, local int, name bigint")
 
 
