@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from ..functions import formats
-from ..operators import analyze, conviction, influence, profile, react, series, stats, synth
+from ..operators import analyze, conviction, influence, private, profile, react, series, stats, synth
 from ..operators.knn import Feature, Metric, distance_matrix, knn, knn_approximate, knn_dependent, metric_of
 from ..sources import readers
 from ..sources.store import CaseStore, distribute
@@ -227,6 +227,22 @@ def _errors_over(samples: int, seed: int) -> str:
     return " UNION ALL ".join(parts)
 
 
+_USERS = private.Bounds("user_id", groups=2, rows=3, clip={"value": (10.0, 60.0)})
+
+
+@query("""WITH r AS (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id) AS k FROM events),
+g AS (SELECT user_id, event_type, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS g FROM r WHERE k = 1)
+SELECT event_type, count(*) AS n, round(coalesce(sum(greatest(least(value, 60.0), 10.0)), 0.0), 6) AS sum_value, count(DISTINCT user_id) AS units FROM r JOIN g USING (user_id, event_type) WHERE k <= 3 AND g <= 2 GROUP BY 1""")
+def clipped_totals(spark, d):
+    return rounded(private.clipped_totals(spark.read.parquet(f"{d}/events.parquet"), ["event_type"], _USERS, order=["event_id"]))
+
+
+@query()
+def private_aggregates(spark, d):
+    df = spark.read.parquet(f"{d}/events.parquet")
+    return private.private_aggregates(df, ["event_type"], _USERS, 1.0, groups=df.select("event_type"), order=["event_id"])
+
+
 @query(f"SELECT query_id, round(avg(e), 8) AS error FROM ({_errors_over(4, 3)}) GROUP BY 1")
 def robust_errors(spark, d):
     df = part(spark, d)

@@ -129,6 +129,18 @@ def parameter_grid(spark, d):
     return rounded(grid(df, metric_of(df, CONTEXTS), "p_retailprice", "continuous", k_values=[3, 10], p_values=[1.0, 2.0], folds=1, id_column=ID))
 
 
+_CELLS = sql_near(k=10, queries="true", cases="true", on="q.p_partkey % 6 <> c.p_partkey % 6") + """, z AS (SELECT *, min(distance) OVER (PARTITION BY query_id) = 0 AS zero FROM n),
+g AS (SELECT z.*, g.k, CAST(g.dt AS DOUBLE) AS dt, CASE WHEN zero THEN CASE WHEN distance = 0 THEN 1.0 ELSE 0.0 END ELSE pow(distance, CAST(g.dt AS DOUBLE)) END AS raw FROM z JOIN (VALUES (3, -1), (3, 0), (10, -1), (10, 0)) AS g(k, dt) ON z.rank <= g.k),
+v AS (SELECT query_id, k, dt, sum(raw * p_retailprice) / sum(raw) AS v FROM g GROUP BY 1, 2, 3)
+SELECT CAST(1 AS DOUBLE) AS p, CAST(k AS BIGINT) AS k, dt, count(*) AS n, round(avg(abs(p_retailprice - v)), 6) AS error FROM v JOIN part ON p_partkey = query_id GROUP BY k, dt"""
+
+
+@query(_CELLS)
+def parameter_grid_folds(spark, d):
+    df = part(spark, d)
+    return rounded(grid(df, metric_of(df, CONTEXTS), "p_retailprice", "continuous", k_values=[3, 10], dt_values=[-1.0, 0.0], folds=6, fold_by="p_partkey % 6", id_column=ID))
+
+
 # --- convictions
 
 CONTRIB = ALL + ", dc AS (SELECT query_id, CASE WHEN min(distance) = 0 THEN 0.0 ELSE count(*) / sum(1.0 / greatest(distance, 1e-300)) END AS d FROM n GROUP BY 1)"
