@@ -206,6 +206,14 @@ def functional_dependencies(spark, d):
     return spark.createDataFrame(fanout.dependencies(_wide(spark, d)), "determinant string, dependent string")
 
 
+@query(f"WITH t AS (SELECT * FROM {WIDE}) " + " UNION ALL ".join(f"SELECT '{a}' AS determinant, '{b}' AS dependent WHERE (SELECT count(*) FROM (SELECT DISTINCT {a}, {b} FROM t)) = (SELECT count(DISTINCT {a}) FROM t)" for a in KEYS for b in KEYS if a != b))
+def dependencies_of_parts(spark, d):
+    """Sketches of three parts of the table, merged, say which pairs are compared over the whole."""
+    df = _wide(spark, d)
+    state = fanout.merged([fanout.sketches(df.where(f"o_orderkey % 3 = {i}")) for i in range(3)])
+    return spark.createDataFrame(fanout.dependencies(df, state=state), "determinant string, dependent string")
+
+
 @query("SELECT 'n_nationkey' AS key, 'r_regionkey' AS owned UNION ALL SELECT 'c_custkey', 'c_mktsegment' UNION ALL SELECT 'o_orderkey', ''")
 def fanout_chain(spark, d):
     got = fanout.discover(_wide(spark, d), ["o_orderkey", "c_custkey", "n_nationkey"])
