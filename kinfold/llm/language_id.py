@@ -14,6 +14,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from .shared import stash, table
 
@@ -155,8 +156,8 @@ def predict(docs: DataFrame, langs: list[str], matrix: np.ndarray) -> DataFrame:
             post = 1 / np.exp(total - total.max(axis=1, keepdims=True)).sum(axis=1)
             yield out.assign(lang_pred=names[np.where(known, best, len(langs))], score=np.where(known, post, 0.0))
 
-    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in docs.schema if f.name != "text")
-    return docs.mapInPandas(score, f"{kinds}, lang_pred string, score double")
+    schema = StructType([f for f in docs.schema if f.name != "text"]).add("lang_pred", "string").add("score", "double")
+    return docs.mapInPandas(score, schema)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -234,9 +234,10 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rule = stash(rules(got), "mixing-rules").select(F.col("pattern").alias("__p"), F.col("cut").alias("__cut"), F.col("turned").alias("__turned"))
     df = docs.join(F.broadcast(rule), pattern_of(docs["source"]).eqNullSafe(rule["__p"]))
     h = seeded(docs["doc_id"])
-    within = [F.coalesce(h <= F.col("__cut")[i], F.lit(False)) != F.array_contains(F.col("__turned")[i], h) for i in range(MAX_COPIES)]
-    df = df.withColumn("__copies", sum((x.cast("int") for x in within), F.lit(0))).where((F.col("__copies") > 0) & docs["text"].rlike(r"[^\x20\x09-\x0D]"))
-    return df.select(*(docs[c] for c in docs.columns if c.lower() != "copies"), F.col("__copies").alias("copies"))
+    within = [F.coalesce(h <= rule["__cut"][i], F.lit(False)) != F.array_contains(rule["__turned"][i], h) for i in range(MAX_COPIES)]
+    copies = sum((x.cast("int") for x in within), F.lit(0))
+    df = df.where((copies > 0) & docs["text"].rlike(r"[^\x20\x09-\x0D]"))
+    return df.select(*(docs[c] for c in docs.columns if c.lower() != "copies"), copies.alias("copies"))
 
 
 _BASE = r"""

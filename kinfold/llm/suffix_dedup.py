@@ -16,6 +16,7 @@ fingerprint agree, which is not verified; strings are compared by their bytes.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -293,7 +294,8 @@ def dedup(docs: DataFrame) -> DataFrame:
 def cleaned(docs: DataFrame) -> DataFrame:
     """`docs` with their repeated passages cut out of `text`; a character that a span cuts in two goes with it. A null text stays null."""
     kind = docs.schema["doc_id"].dataType
-    docs = _long_ids(docs)
+    clash = {c: f"__kept_{i}_{uuid.uuid4().hex}" for i, c in enumerate(docs.columns) if c.lower() in ("__runs", "__doc")}
+    docs = _long_ids(docs.withColumnsRenamed(clash))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -302,7 +304,7 @@ def cleaned(docs: DataFrame) -> DataFrame:
             own = batch.drop_columns(["__runs"])
             yield own.set_column(own.schema.get_field_index("text"), "text", pa.array(new, text.type))
 
-    return with_repeats(docs).mapInArrow(cut, docs.schema).withColumn("doc_id", F.col("doc_id").cast(kind))
+    return with_repeats(docs).mapInArrow(cut, docs.schema).withColumn("doc_id", F.col("doc_id").cast(kind)).withColumnsRenamed({v: k for k, v in clash.items()})
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
