@@ -262,6 +262,64 @@ def local_stats(near: DataFrame, loo: DataFrame) -> DataFrame:
     return near.join(loo, "case_id").groupBy("query_id").agg(F.avg(F.abs(e)).alias("mae"), F.sqrt(F.avg(e * e)).alias("rmse"), F.avg(e).alias("bias"))
 
 
+def local_prediction_stats(near: DataFrame, loo: DataFrame, kind: str, selected: list[str] | None = None) -> DataFrame:
+    """(query_id, statistics) of the neighbours' own leave-one-out predictions; `loo`: (case_id, actual, predicted); `selected`: names of statistics.
+
+    Continuous: mae, rmse, r2, smape, adjusted_smape, spearman_coeff over the neighbours with both values; a statistic that constant values leave open is null. Nominal:
+    accuracy, macro precision and recall, mcc, confusion_matrix (cells as structs, sorted). Both: missing_value_accuracy, the share of neighbours whose
+    null-ness is predicted right. Every group is one query's neighbours, k rows at most.
+    """
+    df = near.select("query_id", "case_id").join(loo.select("case_id", "actual", "predicted"), "case_id")
+    own = W.partitionBy("query_id")
+    nulls = df.groupBy("query_id").agg(F.avg((F.col("actual").isNull() == F.col("predicted").isNull()).cast("double")).alias("missing_value_accuracy"))
+    if kind == "continuous":
+        a, p = F.col("a"), F.col("p")
+        df = df.select("query_id", F.col("actual").cast("double").alias("a"), F.col("predicted").cast("double").alias("p")).dropna(subset=["a", "p"])
+        df = df.withColumn("q", F.round("p", DIGITS))  # ties of ranks do not hang on the last digits of a sum
+        rank = lambda c: F.rank().over(own.orderBy(c)) + (F.count("*").over(W.partitionBy("query_id", c)) - 1) / 2
+        df = df.withColumn("mean", F.avg("a").over(own)).withColumn("ra", rank("a")).withColumn("rp", rank("q"))
+        values = F.array_sort(F.collect_set("a"))  # k values at most
+        gap = F.coalesce(F.array_min(F.zip_with(F.slice(values, 2, 1_000_000), values, lambda x, y: x - y)), F.lit(0.0))
+        size = F.abs(a) + F.abs(p)
+        df = df.join(df.groupBy("query_id").agg(gap.alias("gap")), "query_id")
+        share = lambda whole: F.avg(F.when(whole == 0, F.lit(0.0)).otherwise(F.abs(a - p) / whole))
+        flat = (F.min("a") == F.max("a")) | (F.min("q") == F.max("q"))
+        out = df.groupBy("query_id").agg(
+            F.avg(F.abs(a - p)).alias("mae"),
+            F.sqrt(F.avg((a - p) * (a - p))).alias("rmse"),
+            (1 - F.try_divide(F.sum((a - p) * (a - p)), F.sum((a - F.col("mean")) * (a - F.col("mean"))))).alias("r2"),
+            share(size).alias("smape"),
+            share(size + F.col("gap") / 2).alias("adjusted_smape"),
+            F.when(~flat, F.corr("ra", "rp")).alias("spearman_coeff"),
+        )
+    else:
+        cells = df.groupBy("query_id", "actual", "predicted").agg(F.count("*").alias("n"))
+        hit = F.when(F.col("actual").eqNullSafe(F.col("predicted")), F.col("n")).otherwise(0)
+        rows = cells.groupBy("query_id", F.col("actual").alias("class")).agg(F.sum("n").alias("t"), F.sum(hit).alias("hit"))
+        columns = cells.groupBy(F.col("query_id").alias("__q"), F.col("predicted").alias("__c")).agg(F.sum("n").alias("p"))
+        per = rows.join(columns, (F.col("query_id") == F.col("__q")) & F.col("class").eqNullSafe(F.col("__c")), "full").withColumn("query_id", F.coalesce("query_id", "__q"))
+        t, p, right = (F.coalesce(F.col(c), F.lit(0)).cast("double") for c in ("t", "p", "hit"))
+        sums = per.groupBy("query_id").agg(
+            F.sum(t).alias("s"), F.sum(right).alias("c"), F.sum(t * p).alias("tp"), F.sum(t * t).alias("tt"), F.sum(p * p).alias("pp"),
+            F.avg(F.when(p > 0, right / p)).alias("precision"), F.avg(F.when(t > 0, right / t)).alias("recall"),
+        )
+        s, c = F.col("s"), F.col("c")
+        bottom = F.sqrt((s * s - F.col("pp")) * (s * s - F.col("tt")))
+        table = cells.groupBy("query_id").agg(F.array_sort(F.collect_list(F.struct("actual", "predicted", "n"))).alias("confusion_matrix"))
+        mcc = F.when(bottom == 0, F.lit(0.0)).otherwise((c * s - F.col("tp")) / bottom).alias("mcc")
+        out = sums.select("query_id", (c / s).alias("accuracy"), "precision", "recall", mcc).join(table, "query_id")
+    out = nulls.join(out, "query_id", "left")
+    return out.select("query_id", *(selected or [c for c in out.columns if c != "query_id"]))
+
+
+def local_means(near: DataFrame, per_case: DataFrame, columns: list[str] | None = None, by: str = "feature") -> DataFrame:
+    """(query_id, by, means): details of the cases, averaged over the neighbours of each query. With contributions of all cases and neighbours by contexts
+    and the given action these are the contributions ex post, with neighbours by contexts alone the local ones."""
+    names = columns or [c for c in per_case.columns if c not in ("query_id", by)]
+    df = near.select("query_id", "case_id").join(per_case.withColumnRenamed("query_id", "case_id"), "case_id")
+    return df.groupBy("query_id", by).agg(*(F.avg(c).alias(c) for c in names))
+
+
 def observational_errors(spark, profile: dict, features: list[str] | None = None) -> DataFrame:
     """(feature, observational_error) as the profile declares them (extra["observational_error"]); null where it does not."""
     rows = [(n, a.extra.get("observational_error")) for n, a in profile.items() if features is None or n in features]

@@ -9,7 +9,7 @@ from ..operators import reduce as fewer
 from ..operators.knn import knn, metric_of
 from ..operators.profile import Attributes
 from ..sources.store import CaseStore
-from .q_react import CONTEXTS, ID, NEAR, NULLS, part, rounded, split, sql_near
+from .q_react import ALL, CONTEXTS, ID, NEAR, NULLS, PROBS, part, rounded, split, sql_near
 from .q_stats import CONTRIBUTION, FULL, LOO
 from .storage import folder
 
@@ -60,6 +60,47 @@ def local_prediction_stats(spark, d):
     return rounded(react.local_stats(near, loo))
 
 
+_RANK = "rank() OVER (PARTITION BY query_id ORDER BY {0}) + (count(*) OVER (PARTITION BY query_id, {0}) - 1) / 2.0"
+
+
+@query(E + f""", j AS (SELECT n.query_id, er.a, er.p, round(er.p, 9) AS r FROM n JOIN er ON er.query_id = n.case_id),
+gap AS (SELECT query_id, min(g) AS g FROM (SELECT query_id, a - lag(a) OVER (PARTITION BY query_id ORDER BY a) AS g FROM (SELECT DISTINCT query_id, a FROM j)) GROUP BY 1),
+m AS (SELECT j.*, coalesce(gap.g, 0) AS g, avg(a) OVER (PARTITION BY query_id) AS mean, {_RANK.format("a")} AS ra, {_RANK.format("r")} AS rp FROM j JOIN gap USING (query_id))
+SELECT query_id, CAST(1 AS DOUBLE) AS missing_value_accuracy, round(avg(abs(a - p)), 6) AS mae, round(sqrt(avg((a - p) * (a - p))), 6) AS rmse,
+CASE WHEN sum((a - mean) * (a - mean)) > 0 THEN round(1 - sum((a - p) * (a - p)) / sum((a - mean) * (a - mean)), 5) END AS r2, round(avg(abs(a - p) / (abs(a) + abs(p))), 7) AS smape,
+round(avg(abs(a - p) / (abs(a) + abs(p) + g / 2)), 7) AS adjusted_smape, CASE WHEN min(a) < max(a) AND min(r) < max(r) THEN round(corr(ra, rp), 6) END AS spearman_coeff FROM m GROUP BY 1""")
+def local_regression_stats(spark, d):
+    df, _, near = _both(spark, d)
+    loo = df.select(F.col(ID).alias("case_id"), F.col("p_retailprice").alias("actual")).join(react.predict_continuous(near, "p_retailprice", name="predicted").withColumnRenamed("query_id", "case_id"), "case_id")
+    got = react.local_prediction_stats(near, loo, "continuous")
+    return got.select("query_id", "missing_value_accuracy", *(F.round(c, n).alias(c) for c, n in (("mae", 6), ("rmse", 6), ("r2", 5), ("smape", 7), ("adjusted_smape", 7), ("spearman_coeff", 6))))
+
+
+@query(ALL + PROBS + """, j AS (SELECT n.query_id, part.p_brand AS a, best.class AS p FROM n JOIN best ON best.query_id = n.case_id JOIN part ON p_partkey = n.case_id),
+t AS (SELECT query_id, a AS class, CAST(count(*) AS DOUBLE) AS t, CAST(count(*) FILTER (a = p) AS DOUBLE) AS hit FROM j GROUP BY 1, 2), u AS (SELECT query_id, p AS class, CAST(count(*) AS DOUBLE) AS p FROM j GROUP BY 1, 2),
+v AS (SELECT query_id, class, coalesce(t, 0) AS t, coalesce(p, 0) AS p, coalesce(hit, 0) AS hit FROM t FULL JOIN u USING (query_id, class)),
+w2 AS (SELECT query_id, sum(t) AS s, sum(hit) AS c, sum(t * p) AS tp, sum(t * t) AS tt, sum(p * p) AS pp, avg(CASE WHEN p > 0 THEN hit / p END) AS pr, avg(CASE WHEN t > 0 THEN hit / t END) AS re FROM v GROUP BY 1)
+SELECT query_id, round(c / s, 6) AS accuracy, round(pr, 6) AS precision, round(re, 6) AS recall, CASE WHEN (s * s - pp) * (s * s - tt) = 0 THEN 0.0::DOUBLE ELSE round((c * s - tp) / sqrt((s * s - pp) * (s * s - tt)), 6) + 0.0 END AS mcc FROM w2""")
+def local_class_stats(spark, d):
+    df, m, _ = _both(spark, d)
+    near = react.neighbours(df, df, m, 10, carry=["p_brand"], id_column=ID)
+    loo = df.select(F.col(ID).alias("case_id"), F.col("p_brand").alias("actual")).join(react.predict_nominal(near, "p_brand", name="predicted").select(F.col("query_id").alias("case_id"), "predicted"), "case_id")
+    return rounded(react.local_prediction_stats(near, loo, "nominal", ["accuracy", "precision", "recall", "mcc"]))
+
+
+_ONE_LESS = {f: sql_near("CAST(abs(q.p_size - c.p_size) AS DOUBLE)" if f == "p_type" else "CASE WHEN q.p_type = c.p_type THEN 0.0 ELSE 1.0 END", queries="true", cases="true") for f in CONTEXTS}
+_PRED = "SELECT query_id, sum(weight * p_retailprice) AS p FROM i GROUP BY 1"
+
+
+@query(f"WITH f AS ({ALL + _PRED}), " + ", ".join(f"{f} AS ({_ONE_LESS[f] + _PRED})" for f in CONTEXTS) + ", pc AS (" + " UNION ALL ".join(f"SELECT f.query_id, '{c}' AS feature, abs(p_retailprice - {c}.p) - abs(p_retailprice - f.p) AS gain FROM f JOIN {c} USING (query_id) JOIN part ON p_partkey = f.query_id" for c in CONTEXTS) + f"), nn AS ({FULL.replace('q AS (SELECT * FROM part WHERE true)', 'q AS (SELECT * FROM part WHERE p_partkey % 50 = 0)')} SELECT query_id, case_id FROM n) SELECT nn.query_id, feature, round(avg(gain), 6) + 0.0 AS accuracy_contribution FROM nn JOIN pc ON pc.query_id = nn.case_id GROUP BY 1, 2")
+def contributions_ex_post(spark, d):
+    """Accuracy contributions around a row whose action is given: neighbours by contexts and action, means over their own contributions."""
+    q, df = split(spark, d)
+    near = knn(q, df, metric_of(df, [*CONTEXTS, "p_retailprice"]), 10, id_column=ID)
+    per_case = influence.contributions(df, df, metric_of(df, CONTEXTS), "p_retailprice", 10, id_column=ID)
+    return rounded(react.local_means(near, per_case, ["accuracy_contribution"]))
+
+
 DC = FULL + ", dc AS (SELECT query_id, CASE WHEN min(distance) = 0 THEN 0.0 ELSE count(*) / sum(1.0 / greatest(distance, 1e-300)) END AS d FROM n GROUP BY 1)"
 
 

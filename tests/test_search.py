@@ -81,3 +81,27 @@ def test_contributions_take_one_search(spark, cases, monkeypatch):
     known = cases.where("a IS NOT NULL")
     assert influence.contributions(known, known, m, "a", 5, robust=6, seed=2).count() == 2 * known.count() and len(calls) == 1
     assert influence.residuals(cases, m, {"a": "continuous", "b": "continuous", "c": "nominal"}, 5).count() == 3 and len(calls) == 2
+
+
+def test_local_statistics_of_nulls_and_classes(spark):
+    from kinfold.operators import react
+
+    near = spark.createDataFrame([(1, c) for c in range(6)] + [(2, 0), (3, 5)], "query_id bigint, case_id bigint")
+    loo = spark.createDataFrame([(0, 1.0, 2.0), (1, 2.0, 2.0), (2, 4.0, 3.0), (3, None, 1.0), (4, 2.0, None), (5, None, None)], "case_id bigint, actual double, predicted double")
+    got = {r.query_id: r for r in react.local_prediction_stats(near, loo, "continuous").collect()}
+    one = got[1]
+    assert abs(one.mae - 2 / 3) < 1e-12 and abs(one.r2 - (1 - 2 / (14 / 3))) < 1e-12
+    assert abs(one.missing_value_accuracy - 4 / 6) < 1e-12 and abs(one.spearman_coeff - 0.8660254037844387) < 1e-9
+    assert got[2].mae == 1.0 and got[2].r2 is None and got[2].spearman_coeff is None and got[3].mae is None and got[3].missing_value_accuracy == 1.0
+    classes = spark.createDataFrame([(0, "a", "a"), (1, "a", "b"), (2, "b", "b"), (3, "b", "b"), (4, None, "a"), (5, "c", "c")], "case_id bigint, actual string, predicted string")
+    one = react.local_prediction_stats(near, classes, "nominal").where("query_id = 1").first()
+    assert abs(one.accuracy - 4 / 6) < 1e-12 and abs(one.precision - (1 / 2 + 2 / 3 + 1) / 3) < 1e-12 and abs(one.recall - (1 / 2 + 1 + 0 + 1) / 4) < 1e-12
+    assert [tuple(x) for x in one.confusion_matrix] == [(None, "a", 1), ("a", "a", 1), ("a", "b", 1), ("b", "b", 2), ("c", "c", 1)]
+
+
+def test_means_over_the_neighbours(spark):
+    from kinfold.operators import react
+
+    near = spark.createDataFrame([(9, 1), (9, 2), (8, 2)], "query_id bigint, case_id bigint")
+    own = spark.createDataFrame([(1, "f", 2.0), (2, "f", None), (2, "g", 5.0)], "query_id bigint, feature string, gain double")
+    assert sorted(map(tuple, react.local_means(near, own).collect()), key=str) == [(8, "f", None), (8, "g", 5.0), (9, "f", 2.0), (9, "g", 5.0)]
