@@ -1,8 +1,8 @@
 """Quality rules with adaptive thresholds (operator 10, DataFrame functions only).
 
-Every document gets a few counts. Quantile sketches of the derived rates, one per language and source, are merged by
+Every document gets a few counts. Quantile sketches of the derived rates and of the sizes of documents, one per language and source, are merged by
 Spark's partial aggregation; a document fails if a rate lies beyond its group's upper fence, or if it breaks one of
-the two base rules. Quantiles of small groups are shrunk towards the middle ones of their language, and their spread further towards that of all.
+the two base rules. Figures of small groups are shrunk towards the middle ones of their language, and their spread further towards that of all.
 """
 
 from __future__ import annotations
@@ -14,9 +14,12 @@ from .shared import SPACES, stash, table, words
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
-#: Rates that get an adaptive upper fence, and what is added to each fence, as most rates are 0 for most documents.
-RATES = {"symbol_rate": 0.02, "dup_line_rate": 0.05, "repeat_rate": 0.1, "mean_word_chars": 0.5}
-#: The fence is median + SPREAD * (third quartile - median) + that tolerance, but no larger than the bound, so that a dirty group does not
+#: Rates that get an adaptive upper fence, each with what a document of the group's usual size may always have: so many of the rate's units
+#: in a document with the group's median of that size. Three stray symbols, a line and a half said again, one sentence of fifteen words said twice.
+RATES = {"symbol_rate": (3.0, "n_words"), "dup_line_rate": (1.5, "n_lines"), "repeat_rate": (30.0, "n_words"), "mean_word_chars": (0.5, None)}
+#: Most documents have none of what the first three rates count. So quartiles are those of the documents that have some, and count by the square of
+#: these documents' share: once as they are rare, once as the few that have any are often the dirty ones. The fence is
+#: median + SPREAD * (third quartile - median) and that allowance, but no larger than the bound, so that a dirty group does not
 #: lift its own: a fixed share, or for word lengths, which depend on the script, this multiple of the first quartile.
 SPREAD = 8.0
 BOUNDS = {"symbol_rate": 0.1, "dup_line_rate": 0.3, "repeat_rate": 0.3}
@@ -63,23 +66,33 @@ def counts(docs: DataFrame, text: str = "text") -> DataFrame:
 
 def _fences(base: DataFrame) -> DataFrame:
     """(__lang, __source, __max_<rate>): the upper fences of every group with documents that pass the base rules."""
-    sketches = [F.percentile_approx(r, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), SKETCH_ACCURACY).alias(f"g_{r}") for r in RATES]
-    groups = base.where(~F.col("base_failed")).groupBy("lang", "source").agg(F.count("*").alias("g_n"), *sketches)
-    groups = stash(groups.withColumnsRenamed({"lang": "__lang", "source": "__source"}), "quality-groups")
+    sizes = sorted({size for _, size in RATES.values() if size})
+    quartiles = F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))
+    found = [F.percentile_approx(F.when(F.col(r) > 0, F.col(r)), quartiles, SKETCH_ACCURACY).alias(f"q_{r}") for r in RATES]
+    found += [F.avg((F.col(r) > 0).cast("double")).alias(f"s_{r}") for r in RATES]
+    found += [F.percentile_approx(F.col(s).cast("double"), 0.5, SKETCH_ACCURACY).alias(f"g_size_{s}") for s in sizes]
+    groups = base.where(~F.col("base_failed")).groupBy("lang", "source").agg(F.count("*").alias("g_n"), *found)
+    quartile = lambda r, i: F.coalesce(F.col(f"q_{r}")[i], F.lit(0.0))
+    trust = lambda r: F.col(f"s_{r}") * F.col(f"s_{r}")
+    parts = [x for r in RATES for x in (
+        quartile(r, 0).alias(f"g_low_{r}"), (trust(r) * quartile(r, 1)).alias(f"g_mid_{r}"), (trust(r) * (quartile(r, 2) - quartile(r, 1))).alias(f"g_wide_{r}"),
+    )]
+    groups = stash(groups.select(F.col("lang").alias("__lang"), F.col("source").alias("__source"), "g_n", *parts, *(f"g_size_{s}" for s in sizes)), "quality-groups")
+    figures = [f"{part}_{r}" for part in ("low", "mid", "wide") for r in RATES] + [f"size_{s}" for s in sizes]
 
     def middle_of(p: str, *keys) -> DataFrame:
-        """The middle quantiles of the groups, one group counting as much as another: a large dirty one moves no other."""
-        return groups.groupBy(*keys).agg(F.sum("g_n").alias(f"{p}_n"), *(F.array(*(F.percentile_approx(F.col(f"g_{r}")[i], 0.5, SKETCH_ACCURACY) for i in range(3))).alias(f"{p}_{r}") for r in RATES))
+        """The middle figures of the groups, one group counting as much as another: a large dirty one moves no other."""
+        return groups.groupBy(*keys).agg(F.sum("g_n").alias(f"{p}_n"), *(F.percentile_approx(f"g_{x}", 0.5, SKETCH_ACCURACY).alias(f"{p}_{x}") for x in figures))
 
     df = groups.join(middle_of("l", F.col("__lang").alias("__l_lang")), F.col("__lang").eqNullSafe(F.col("__l_lang"))).crossJoin(F.broadcast(middle_of("a")))
     own = lambda p: F.col(f"{p}_n") / (F.col(f"{p}_n") + SHRINK)
     mixed = lambda p, a, b: own(p) * a + (1 - own(p)) * b
+    near = lambda x: mixed("g", F.col(f"g_{x}"), F.col(f"l_{x}"))
     out = []
-    for r, tolerance in RATES.items():
-        low, middle = (mixed("g", F.col(f"g_{r}")[i], F.col(f"l_{r}")[i]) for i in (0, 1))
-        g, lang, every = (F.col(f"{p}_{r}")[2] - F.col(f"{p}_{r}")[1] for p in "gla")
-        fence = middle + SPREAD * mixed("g", g, mixed("l", lang, every)) + tolerance
-        out.append(F.least(fence, F.lit(BOUNDS[r]) if r in BOUNDS else WORD_BOUND * low).alias(f"__max_{r}"))
+    for r, (units, size) in RATES.items():
+        wide = mixed("g", F.col(f"g_wide_{r}"), mixed("l", F.col(f"l_wide_{r}"), F.col(f"a_wide_{r}")))
+        fence = near(f"mid_{r}") + SPREAD * wide + (units / near(f"size_{size}") if size else units)
+        out.append(F.least(fence, F.lit(BOUNDS[r]) if r in BOUNDS else WORD_BOUND * near(f"low_{r}")).alias(f"__max_{r}"))
     return df.select("__lang", "__source", *out)
 
 

@@ -79,43 +79,62 @@ def test_quality_fences_follow_the_groups(spark):
 
 
 def brute_verdicts(rows):
-    """Whether each of (lang, source, base_failed, rates by name, repeated lines) is kept, with exact quantiles, from the definition."""
-    quantile = lambda values, q: sorted(values)[max(0, math.ceil(q * len(values)) - 1)]
+    """The fences by (lang, source, rate), and whether each of (lang, source, base_failed, rates by name, repeated lines, sizes by name) is kept: exact quantiles, from the definition."""
+    quantile = lambda values, q: sorted(values)[max(0, math.ceil(q * len(values)) - 1)] if values else 0.0
     own, by = quality_rules, {}
-    for lang, source, failed, rates, _ in rows:
-        if not failed:
-            by.setdefault((lang, source), []).append(rates)
-    quarter = {g: {r: [quantile([x[r] for x in members], q) for q in (0.25, 0.5, 0.75)] for r in own.RATES} for g, members in by.items()}
-
-    def middle(groups, r, i):
-        return quantile([quarter[g][r][i] for g in groups], 0.5)
-
+    for r in rows:
+        if not r[2]:
+            by.setdefault(r[:2], []).append(r)
+    figures = {}
+    for g, members in by.items():
+        for rate in own.RATES:
+            some = [m[3][rate] for m in members if m[3][rate] > 0]
+            low, mid, high = (quantile(some, q) for q in (0.25, 0.5, 0.75))
+            trust = (len(some) / len(members)) ** 2
+            figures[g, rate] = {"low": low, "mid": trust * mid, "wide": trust * (high - mid)}
+        figures[g, None] = {size: quantile([m[5][size] for m in members], 0.5) for size in ("n_words", "n_lines")}
+    middle = lambda groups, rate, x: quantile([figures[g, rate][x] for g in groups], 0.5)
+    blend = lambda k, a, b: k / (k + own.SHRINK) * a + (1 - k / (k + own.SHRINK)) * b
     fence = {}
     for g, members in by.items():
         alike = [x for x in by if x[0] == g[0]]
         n, n_lang = len(members), sum(len(by[x]) for x in alike)
-        for r, tolerance in own.RATES.items():
-            blend = lambda k, a, b: k / (k + own.SHRINK) * a + (1 - k / (k + own.SHRINK)) * b
-            low, mid = (blend(n, quarter[g][r][i], middle(alike, r, i)) for i in (0, 1))
-            spread = lambda take: take(2) - take(1)
-            every = spread(lambda i, r=r: middle(list(by), r, i))
-            lang = spread(lambda i, r=r: middle(alike, r, i))
-            wide = blend(n, spread(lambda i, r=r: quarter[g][r][i]), blend(n_lang, lang, every))
-            fence[g, r] = min(mid + own.SPREAD * wide + tolerance, own.BOUNDS[r] if r in own.BOUNDS else own.WORD_BOUND * low)
-    out = []
-    for lang, source, failed, rates, repeated in rows:
-        beyond = any(rates[r] > fence[(lang, source), r] and (r != "dup_line_rate" or repeated > 1) for r in own.RATES) if not failed else True
-        out.append(not failed and not beyond)
-    return out
+        near = lambda rate, x, g=g, n=n, alike=alike: blend(n, figures[g, rate][x], middle(alike, rate, x))
+        for rate, (units, size) in own.RATES.items():
+            wide = blend(n, figures[g, rate]["wide"], blend(n_lang, middle(alike, rate, "wide"), middle(list(by), rate, "wide")))
+            top = near(rate, "mid") + own.SPREAD * wide + (units / near(None, size) if size else units)
+            fence[*g, rate] = min(top, own.BOUNDS[rate] if rate in own.BOUNDS else own.WORD_BOUND * near(rate, "low"))
+    kept = []
+    for lang, source, failed, rates, repeated, _ in rows:
+        kept.append(not failed and not any(rates[r] > fence[lang, source, r] and (r != "dup_line_rate" or repeated > 1) for r in own.RATES))
+    return fence, kept
+
+
+def _judged(got):
+    return [(r.lang, r.source, r.base_failed, {x: r[x] for x in quality_rules.RATES}, r.n_dup_lines, {"n_words": r.n_words, "n_lines": r.n_lines}) for r in got]
 
 
 def test_quality_verdicts_by_definition(spark, docs):
     df = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang", "source").unionByName(docs.select("doc_id", "text", "lang", "source"))
     got = quality_rules.verdicts(df).collect()
-    want = brute_verdicts([(r.lang, r.source, r.base_failed, {x: r[x] for x in quality_rules.RATES}, r.n_dup_lines) for r in got])
+    fence, want = brute_verdicts(_judged(got))
     assert [r.kept for r in got] == want
-    fixed = [not r.base_failed and r.symbol_rate <= 0.1 and r.dup_line_rate <= 0.3 and r.repeat_rate <= 0.3 and r.mean_word_chars <= 12 for r in got]
-    assert fixed != want and sum(want) > 0.6 * len(want)  # the groups set the fences, and most documents stay
+    assert sum(want) > 0.6 * len(want)  # most documents stay
+    for rate in quality_rules.RATES:  # the groups set the fences, not the constants
+        tops = [round(v, 9) for (*_, r), v in fence.items() if r == rate]
+        assert max(tops.count(x) for x in tops) <= 0.5 * len(tops), rate
+
+
+def test_quality_fences_are_no_fixed_cutoffs(spark):
+    """Two sources with unlike habits: no one cutoff has the verdicts of both."""
+    own = lambda i, n: [" ".join(f"{c}{i:04}x{j:02}" for c in "abcd") for j in range(n)]
+    lines = lambda i, n, again: "\n".join(own(i, n) + own(i, again))
+    short = [(i, lines(i, 13, 0), "en", "short", 1) for i in range(100)] + [(900, lines(900, 20, 2), "en", "short", 1)]  # 2 of 22 lines
+    long = [(1000 + i, lines(i, 60, 0), "fr", "long", 1) for i in range(100)] + [(1900, lines(1900, 60, 5), "fr", "long", 1)]  # 5 of 65 lines, the lower rate
+    got = {r.doc_id: r for r in quality_rules.verdicts(spark.createDataFrame(short + long, DOCS)).collect()}
+    assert got[900].dup_line_rate > got[1900].dup_line_rate and got[900].repeat_rate > got[1900].repeat_rate
+    assert got[900].kept and not got[1900].kept
+    assert all(r.kept for i, r in got.items() if i not in (900, 1900))
 
 
 # --- 2
