@@ -10,7 +10,7 @@ from pyspark.sql.window import Window as W
 
 from ..plans.storage import written
 from .condition import compile_condition
-from .graph import components
+from .graph import condensed
 from .knn import Metric, knn
 from .react import distance_contribution, influence, neighbours
 
@@ -185,14 +185,19 @@ def group_predictions(members: DataFrame, cases: DataFrame, metric: Metric, grou
 
 
 def clusters(cases: DataFrame, metric: Metric, k: int = 10, least_mass: float = 5, *, id_column: str = "id", weight: str | None = None) -> DataFrame:
-    """`cases` with _cluster_id: components over mutual neighbours no farther apart than the larger of their distance
-    contributions; components under `least_mass` get -1, the others the least case id in them."""
+    """`cases` with _cluster_id: the least case id in the cluster, -1 for cases in none.
+
+    Two cases are linked if each is among the `k` nearest of the other; their reachability is the largest of their distance and their distance
+    contributions, to nine decimals. The clusters are the leaves of the minimum spanning forest of the links, condensed by
+    `least_mass` (`graph.condensed`): dense places of that mass that grow until they meet each other. Cases that join after
+    that, and groups of linked cases without the mass, are in none. Mass is the number of cases, or the sum of `weight`.
+    """
     near = influence(knn(cases, cases, metric, k, id_column=id_column))
-    dc = distance_contribution(near)
+    dc = written(distance_contribution(near), "contributions")
     a = near.select(F.col("query_id").alias("a"), F.col("case_id").alias("b"), "distance")
     mutual = a.join(a.select(F.col("b").alias("a"), F.col("a").alias("b")), ["a", "b"]).where("a < b")
-    reach = mutual.join(dc.select(F.col("query_id").alias("a"), F.col("distance_contribution").alias("__x")), "a").join(dc.select(F.col("query_id").alias("b"), F.col("distance_contribution").alias("__y")), "b")
-    found = components(reach.where("distance <= greatest(__x, __y)").select("a", "b"))
-    df = cases.join(found.withColumnRenamed("node", id_column), id_column, "left").withColumn("__c", F.coalesce("component", F.col(id_column))).drop("component")
-    mass = df.groupBy("__c").agg(F.sum(F.col(weight) if weight else F.lit(1)).alias("__mass"))
-    return df.join(mass, "__c").withColumn("_cluster_id", F.when(F.col("__mass") >= least_mass, F.col("__c")).otherwise(F.lit(-1))).drop("__c", "__mass")
+    links = mutual.join(dc.select(F.col("query_id").alias("a"), F.col("distance_contribution").alias("__x")), "a").join(dc.select(F.col("query_id").alias("b"), F.col("distance_contribution").alias("__y")), "b")
+    links = links.select("a", "b", F.round(F.greatest("distance", "__x", "__y"), 9).alias("w"))
+    masses = cases.select(F.col(id_column).alias("node"), (F.col(weight) if weight else F.lit(1)).alias("mass"))
+    found = condensed(links, masses, least_mass).select(F.col("node").alias("__node"), "cluster")
+    return cases.join(found, cases[id_column] == found["__node"], "left").withColumn("_cluster_id", F.coalesce("cluster", F.lit(-1))).drop("__node", "cluster")

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from kinfold.functions import flat, formats
-from kinfold.operators import analyze, conviction, fanout, influence, knn, profile, rare, react, reduce, series, stats, synth, validate
+from kinfold.operators import analyze, conviction, fanout, graph, influence, knn, profile, rare, react, reduce, series, stats, synth, validate
 from kinfold.operators.condition import compile_condition, select_exact
 from kinfold.operators.knn import Feature, Metric, metric_of
 from kinfold.sources import readers
@@ -235,6 +235,81 @@ def test_clusters(spark):
     assert {got[i] for i in range(20)} == {0} and {got[100 + i] for i in range(20)} == {100} and got[999] == -1
 
 
+def brute_condensed(edges, mass, least):
+    """Edge by edge: the clusters of `graph.condensed` as sets of nodes."""
+    tree, members = {n: n for n in mass}, {n: {n} for n in mass}
+    cluster = {n: {n} if mass[n] >= least else None for n in mass}  # of a tree: its open cluster, None if light, "closed" after two met
+    done = []
+    for _, a, b in sorted((w, min(a, b), max(a, b)) for a, b, w in edges):
+        x, y = tree[a], tree[b]
+        if x == y:
+            continue
+        one, two = cluster.pop(x), cluster.pop(y)
+        if one is not None and two is not None:
+            done += [c for c in (one, two) if c != "closed"]
+            new = "closed"
+        elif one is None and two is None:
+            both = members[x] | members[y]
+            new = both if sum(mass[n] for n in both) >= least else None
+        else:
+            heavy, light = (one, members[y]) if two is None else (two, members[x])
+            new = heavy if heavy == "closed" else heavy | light
+        members[x] |= members.pop(y)
+        for n in members[x]:
+            tree[n] = x
+        cluster[x] = new
+    return {frozenset(c) for c in [*done, *(c for c in cluster.values() if c and c != "closed")]}
+
+
+def _forest(seed):
+    import random
+
+    rng = random.Random(seed)
+    if seed == 0:  # gaps that grow: every node picks the one before
+        return [(i, i + 1, float(i)) for i in range(60)], {i: 1.0 for i in range(61)}, 5
+    n = 120
+    edges = {tuple(sorted(rng.sample(range(n), 2))): rng.choice([rng.random(), round(rng.random(), 1)]) for _ in range(90 * seed)}
+    return [(a, b, w) for (a, b), w in edges.items()], {i: rng.choice([0.0, 0.5, 1.0, 1.0, 4.0]) for i in range(n)}, 4
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_condensed_forest_against_kruskal(spark, seed):
+    edges, mass, least = _forest(seed)
+    odd = [(3, 3, 0.0), (None, 1, 0.0), (1, 2, None), (5, 777, 0.0), *((b, a, w + 1) for a, b, w in edges[:20])]  # ignored, or heavier parallels
+    links = spark.createDataFrame([*edges, *odd], "a bigint, b bigint, w double")
+    got = {}
+    rows = graph.condensed(links, spark.createDataFrame(list(mass.items()), "node bigint, mass double"), least).collect()
+    for r in rows:
+        got.setdefault(r.cluster, set()).add(r.node)
+    assert sorted(r.node for r in rows) == sorted(mass)
+    assert {frozenset(v) for c, v in got.items() if c is not None} == brute_condensed(edges, mass, least)
+    assert all(c is None or c == min(v) for c, v in got.items())
+
+
+def test_case_clusters_by_definition(spark):
+    from kinfold.operators.react import neighbours
+    from kinfold.plans import registry
+
+    df = spark.read.parquet(f"{SF}/part.parquet")
+    rows = neighbours(df, df, metric_of(df, ["p_size", "p_retailprice"]), 5, id_column="p_partkey").collect()
+    near = {}
+    for r in rows:
+        near.setdefault(r.query_id, {})[r.case_id] = r.distance
+    mean = {a: 0.0 if min(x.values()) == 0 else len(x) / sum(1 / d for d in x.values()) for a, x in near.items()}
+    links = [(a, b, round(max(d, mean[a], mean[b]), 9)) for a, x in near.items() for b, d in x.items() if a < b and a in near[b]]
+    want = brute_condensed(links, dict.fromkeys(near, 1), 5)
+    sizes = {min(c): len(c) for c in want} | {-1: df.count() - sum(map(len, want))}
+    assert len(want) > 5
+    assert {r["_cluster_id"]: r.n for r in registry.queries()["case_clusters"](spark, SF).collect()} == sizes
+
+
+def test_condensed_forest_of_nothing(spark):
+    none = spark.createDataFrame([], "a bigint, b bigint, w double")
+    assert graph.condensed(none, spark.createDataFrame([], "node bigint, mass double"), 2).count() == 0
+    got = graph.condensed(none, spark.createDataFrame([(1, 3.0), (2, None)], "node bigint, mass double"), 2).collect()
+    assert {r.node: r.cluster for r in got} == {1: 1, 2: None}
+
+
 # --- profiles, validation, formats
 
 
