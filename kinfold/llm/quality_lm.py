@@ -160,18 +160,6 @@ def probabilities(codes: DataFrame, model: dict) -> DataFrame:
     return below
 
 
-def _log2_table(model: dict, contexts: int = 4) -> np.ndarray:
-    """log2 probability of each of the ALPHABET characters after some contexts of the highest order, one after the other: those of
-    `letters` in order, then all others."""
-    base = model["base"]
-    some = model["orders"][-1][1].orderBy(F.xxhash64("context")).limit(contexts).select("context")
-    codes = some.select(F.explode(F.transform(F.sequence(F.lit(1), F.lit(base - 1)), lambda x: F.col("context") * base + x)).alias("code"))
-    got = np.array([r.q for r in probabilities(codes, model).orderBy("code").collect()]).reshape(-1, base - 1)
-    out = np.repeat(got[:, :1], ALPHABET, axis=1)
-    out[:, : base - 2] = got[:, 1:]
-    return np.log2(out).reshape(-1)
-
-
 def perplexities(docs: DataFrame, letters: list[int], model: dict) -> DataFrame:
     """(doc_id, lang, perplexity) of every row of `docs`; null for a null or empty text.
 

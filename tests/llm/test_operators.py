@@ -249,9 +249,21 @@ def test_decontamination_sql_finds_short_items(spark, tmp_path):
 # --- 4
 
 
+def log2_table(model, contexts=4):
+    """log2 probability of each of the ALPHABET characters after some contexts of the highest order, one after the other: those of
+    `letters` in order, then all others."""
+    base = model["base"]
+    some = model["orders"][-1][1].orderBy(F.xxhash64("context")).limit(contexts).select("context")
+    codes = some.select(F.explode(F.transform(F.sequence(F.lit(1), F.lit(base - 1)), lambda x: F.col("context") * base + x)).alias("code"))
+    got = np.array([r.q for r in quality_lm.probabilities(codes, model).orderBy("code").collect()]).reshape(-1, base - 1)
+    out = np.repeat(got[:, :1], quality_lm.ALPHABET, axis=1)
+    out[:, : base - 2] = got[:, 1:]
+    return np.log2(out).reshape(-1)
+
+
 def test_kneser_ney_sums_to_one(spark, docs):
     letters = quality_lm.alphabet(docs)
-    logs = quality_lm._log2_table(quality_lm.train(docs, letters)).reshape(-1, quality_lm.ALPHABET).astype(float)
+    logs = log2_table(quality_lm.train(docs, letters)).reshape(-1, quality_lm.ALPHABET).astype(float)
     assert np.allclose((2.0**logs).sum(axis=1), 1, atol=1e-4)
 
 
