@@ -17,12 +17,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
+from ..functions import trees
 from ..functions.flat import jaccard, paths
 from ..plans.storage import written
 
 #: Queries that are broadcast as one block; more are dealt into blocks that meet every block of cases.
 BROADCAST_QUERIES = 50_000
-#: Numbers that the broadcast queries have together at most (16 MB), so a wide metric lowers their count; a json feature counts as so many.
+#: Numbers that the broadcast queries have together at most (16 MB), so a wide metric lowers their count; a json feature counts as so many, the text of a tree as one a character.
 BROADCAST_CELLS, JSON_CELLS = 2_000_000, 64
 #: Cases of a block in the blocked plan.
 CASE_BLOCK = 200_000
@@ -38,7 +39,8 @@ class Feature:
     """One feature of a metric.
 
     kind: continuous, nominal, ordinal (`allowed` lists the values in order), cyclic (`cycle` is the length), json (a JSON text, or any text taken
-    as its words: 1 - shared parts / all parts) or expression (`expression`, SQL over the case's columns, whose double is compared).
+    as its words: 1 - shared parts / all parts), tree (the same texts by the edit cost of ordered trees, see `functions.trees`; `scale`, `nominal_numbers` and
+    `nominal_strings` tell how values under one key are compared) or expression (`expression`, SQL over the case's columns, whose double is compared).
     `spread` is the difference to a null (1 for nominals and json). `table`: differences of nominal values by (value, value).
     """
 
@@ -51,10 +53,17 @@ class Feature:
     allowed: tuple = ()
     table: tuple = ()  # ((a, b, difference), ...), both ways
     expression: str | None = None
+    scale: float = 1.0
+    nominal_numbers: bool = False
+    nominal_strings: bool = True
 
     @property
     def structured(self) -> bool:
-        return self.kind == "json"
+        return self.kind in ("json", "tree")
+
+    @property
+    def tree(self) -> trees.How | None:
+        return trees.How(self.scale, self.nominal_numbers, self.nominal_strings) if self.kind == "tree" else None
 
     @property
     def nominal(self) -> bool:
@@ -129,7 +138,7 @@ def _arrays(df: DataFrame, metric: Metric) -> tuple[Column, Column]:
 
 def _parts(metric: Metric) -> Column:
     """For every json feature the sorted hashes of its parts; null for a null."""
-    own = [F.when(F.col(f.name).isNotNull(), F.sort_array(F.transform(paths(F.col(f.name)), lambda v: F.xxhash64(v)))) for f in metric.features if f.structured]
+    own = [F.when(F.col(f.name).isNotNull(), F.sort_array(F.transform(paths(F.col(f.name)), lambda v: F.xxhash64(v)))) for f in metric.features if f.kind == "json"]
     return F.array(*own) if own else F.array().cast("array<array<bigint>>")
 
 
@@ -137,14 +146,7 @@ def _shared(a: list, b: list) -> np.ndarray:
     """1 - shared / all parts of two lists of sets of hashes (queries x cases); two empty ones are equal, nulls differ from all but nulls."""
     sets = [[np.asarray(x if x is not None else [], np.int64) for x in side] for side in (a, b)]
     sizes = [np.array([len(x) for x in side]) for side in sets]
-    rows = [np.repeat(np.arange(len(side)), n) for side, n in zip(sets, sizes, strict=True)]
-    flat = [np.concatenate([np.zeros(0, np.int64), *side]) for side in sets]
-    both = np.zeros((len(a), len(b)))
-    order = [np.argsort(x, kind="stable") for x in flat]
-    common = np.intersect1d(*flat)
-    lo, hi = ([np.searchsorted(x[o], common, side) for x, o in zip(flat, order, strict=True)] for side in ("left", "right"))
-    for i in range(len(common)):  # once a part that both sides have
-        both[np.ix_(*(r[o[x[i] : y[i]]] for r, o, x, y in zip(rows, order, lo, hi, strict=True)))] += 1
+    both = trees.common(*sets)
     union = sizes[0][:, None] + sizes[1][None, :] - both
     d = np.where(union > 0, 1 - both / np.maximum(union, 1), 0.0)
     na, nb = (np.array([x is None for x in side], bool) for side in (a, b))
@@ -159,12 +161,23 @@ class _Block:
     s: np.ndarray  # lists of part hashes
     same: np.ndarray  # values that must differ or agree
     time: np.ndarray
+    t: np.ndarray | None = None  # lists of trees, if the metric has any
 
     @classmethod
     def of(cls, df: pd.DataFrame, id_column: str) -> _Block:
         stack = lambda c, kind: np.array(df[c].tolist(), dtype=kind).reshape(len(df), -1)
         ids = df[id_column].to_numpy()
-        return cls(ids.astype(str) if ids.dtype == object else ids, stack("__x", np.float64), stack("__z", np.int64), df["__s"].to_numpy(), stack("__same", np.int64), df["__time"].to_numpy(np.float64))
+        return cls(ids.astype(str) if ids.dtype == object else ids, stack("__x", np.float64), stack("__z", np.int64), df["__s"].to_numpy(), stack("__same", np.int64), df["__time"].to_numpy(np.float64), _trees(df["__t"]) if "__t" in df else None)
+
+    def at(self, rows: slice | np.ndarray) -> _Block:
+        return _Block(*(None if x is None else x[rows] for x in (self.ids, self.x, self.z, self.s, self.same, self.time, self.t)))
+
+
+def _trees(texts: pd.Series) -> np.ndarray:
+    out = np.empty(len(texts), object)
+    for i, row in enumerate(texts):
+        out[i] = [trees.tree_of(text) for text in row]
+    return out
 
 
 @dataclass(frozen=True)
@@ -179,11 +192,22 @@ class _Rules:
     tables: tuple = field(default=())  # per nominal: (hashes, matrix) or None
 
 
-def _differences(q: _Block, c: _Block, metric: Metric, rules: _Rules) -> Iterator[np.ndarray]:
-    """What each feature adds to the powers of the distances (queries x cases), in turn."""
-    ix = iz = js = 0
+def _differences(q: _Block, c: _Block, metric: Metric, rules: _Rules, exact: list | None = None, memo: dict | None = None) -> Iterator[np.ndarray]:
+    """What each feature adds to the powers of the distances (queries x cases), in turn. With a list `exact`, trees tell a bound from below and put there
+    for which pairs it is the difference itself. `memo`: see `trees.costs`."""
+    ix = iz = js = jt = 0
     for f in metric.features:
-        if f.structured:
+        if f.tree:
+            sides = [x[jt] for x in q.t], [x[jt] for x in c.t]
+            if exact is None or f.weight < 0:
+                own = None if memo is None else memo.setdefault(f, {})
+                d = trees.costs(*sides, f.tree, f.spread, own) / f.deviation
+            else:
+                d, sure = trees.bounds(*sides, f.tree, f.spread)
+                d = d / f.deviation
+                exact.append(sure)
+            jt += 1
+        elif f.structured:
             d = _shared([x[js] for x in q.s], [x[js] for x in c.s])
             js += 1
         elif f.nominal:
@@ -218,9 +242,32 @@ def _distances(parts: Iterable[np.ndarray], metric: Metric, shape: tuple[int, in
     return total if metric.p == 1 else total ** (1 / metric.p)
 
 
-def distances(q: _Block, c: _Block, metric: Metric, rules: _Rules = _Rules()) -> np.ndarray:
+def distances(q: _Block, c: _Block, metric: Metric, rules: _Rules = _Rules(), memo: dict | None = None) -> np.ndarray:
     """Matrix of distances (queries x cases)."""
-    return _distances(_differences(q, c, metric, rules), metric, (len(q.ids), len(c.ids)))
+    return _distances(_differences(q, c, metric, rules, memo=memo), metric, (len(q.ids), len(c.ids)))
+
+
+def _bounded(q: _Block, c: _Block, metric: Metric, rules: _Rules, k: int, out: np.ndarray) -> np.ndarray:
+    """Distances (infinite where `out`) of which the k least of each query, ties included, are exact and the others may be bounds from below: trees are only
+    compared in full while their bound is not above the k-th distance known."""
+    exact: list[np.ndarray] = []
+    d = _distances(_differences(q, c, metric, rules, exact), metric, out.shape)
+    d[out] = np.inf
+    known = np.logical_and.reduce(exact) | out if exact else np.ones(out.shape, bool)
+    for i in np.flatnonzero(~known.all(axis=1)):
+        memo: dict = {}
+        some = max(k, 8)
+        while True:
+            sure = d[i][known[i]]
+            edge = np.partition(sure, k - 1)[k - 1] if len(sure) >= k else np.inf
+            near = np.flatnonzero(~known[i] & (d[i] <= edge + 1e-9 * (1 + abs(edge)) if np.isfinite(edge) else ~known[i]))
+            if not len(near):
+                break
+            near = near[np.argsort(d[i, near], kind="stable")[:some]]
+            d[i, near] = distances(q.at(np.array([i])), c.at(near), metric, rules, memo)[0]
+            known[i, near] = True
+            some *= 2
+    return d
 
 
 def _best(q: _Block, c: _Block, metric: Metric, rules: _Rules, k: int, masks: list[list[bool]] | None = None) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
@@ -228,7 +275,7 @@ def _best(q: _Block, c: _Block, metric: Metric, rules: _Rules, k: int, masks: li
     differences of a tile are computed once, and each mask adds up its features."""
     step = max(1, TILE // max(1, len(c.ids) * (1 if masks is None else len(metric.features))))
     for lo in range(0, len(q.ids), step):
-        part = _Block(*(getattr(q, n)[lo : lo + step] for n in ("ids", "x", "z", "s", "same", "time")))
+        part = q.at(slice(lo, lo + step))
         shape = (len(part.ids), len(c.ids))
         out = np.zeros(shape, bool)
         if not rules.self_too:
@@ -241,8 +288,11 @@ def _best(q: _Block, c: _Block, metric: Metric, rules: _Rules, k: int, masks: li
             out |= c.time[None, :] > part.time[:, None]
         parts = None if masks is None else list(_differences(part, c, metric, rules))
         for mask, own in enumerate(masks or [None]):
-            d = distances(part, c, metric, rules) if own is None else _distances((x for x, held in zip(parts, own, strict=True) if held), metric, shape)
-            d[out] = np.inf
+            if own is None:
+                d = _bounded(part, c, metric, rules, k, out)
+            else:
+                d = _distances((x for x, held in zip(parts, own, strict=True) if held), metric, shape)
+                d[out] = np.inf
             n = min(k, d.shape[1])
             edge = np.partition(d, n - 1, axis=1)[:, n - 1]
             rows, cols = np.nonzero((d <= edge[:, None]) & np.isfinite(d))
@@ -261,7 +311,8 @@ def _prepared(df: DataFrame, metric: Metric, more: list[str], *, id_column: str,
     x, z = _arrays(df, metric)
     same = [F.xxhash64(F.coalesce(F.col(c).cast("string"), F.lit("\0"))) for c in [*differ, *agree]]
     time = numeric(not_later, dict(df.dtypes)[not_later]) if not_later else F.lit(0.0)
-    return df.select(id_column, x.alias("__x"), z.alias("__z"), _parts(metric).alias("__s"), (F.array(*same) if same else F.array().cast("array<bigint>")).alias("__same"), time.cast("double").alias("__time"), *more)
+    texts = [F.col(f.name).cast("string") for f in metric.features if f.tree]
+    return df.select(id_column, x.alias("__x"), z.alias("__z"), _parts(metric).alias("__s"), (F.array(*same) if same else F.array().cast("array<bigint>")).alias("__same"), time.cast("double").alias("__time"), *([F.array(*texts).alias("__t")] if texts else []), *more)
 
 
 def knn(
@@ -313,7 +364,8 @@ def knn(
         for mask, rows, cols, dist in _best(query, block, metric, rules, k, chosen):
             yield pd.DataFrame({"query_id": query.ids[rows], "mask": mask, "case_id": block.ids[cols], "distance": dist} | {n: df[n].to_numpy()[cols] for n in carry})
 
-    n = queries.count()
+    texts = [F.coalesce(F.length(F.col(f.name).cast("string")), F.lit(0)) for f in metric.features if f.tree]
+    n, letters = queries.agg(F.count("*"), F.coalesce(F.sum(reduce(Column.__add__, texts)), F.lit(0)) if texts else F.lit(0)).first()
     if masks is None and (pruned or pruned is None and n > broadcast_queries):
         from .pruned import prunable, search
 
@@ -321,7 +373,7 @@ def knn(
             return search(queries, cases, metric, k, carry=carry, self_too=self_too, **options).near
         if pruned:
             raise ValueError("this metric does not obey the triangle inequality")
-    width = sum(JSON_CELLS if f.structured else 1 for f in metric.features) + len(differ) + len(agree)
+    width = sum(JSON_CELLS if f.structured else 1 for f in metric.features) + len(differ) + len(agree) + letters // max(1, n)
     broadcast_queries = min(broadcast_queries, max(1, BROADCAST_CELLS // max(1, width)))
     if n <= broadcast_queries:
         shared = queries.sparkSession.sparkContext.broadcast(_Block.of(q.toPandas(), id_column) if n else None)
@@ -409,6 +461,8 @@ def knn_sql(queries: DataFrame, cases: DataFrame, metric: Metric, k: int, id_col
 
 def difference(f: Feature, a: Column, b: Column, data_type: str) -> Column:
     """Difference of two values of a feature, over its deviation."""
+    if f.tree:
+        return trees.tree_distance(a, b, f.tree, f.spread) / F.lit(f.deviation)
     if f.structured:
         d = F.when(a.isNull() & b.isNull(), F.lit(0.0)).when(a.isNull() | b.isNull(), F.lit(1.0)).otherwise(jaccard(paths(a), paths(b)))
         return d / F.lit(f.deviation)

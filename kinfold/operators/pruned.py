@@ -36,9 +36,9 @@ class Found(NamedTuple):
 
 
 def prunable(cases: DataFrame, metric: Metric, queries: DataFrame | None = None) -> bool:
-    """Whether the distances obey the triangle inequality: no learned differences between nominal values, weights not negative, and a null not nearer to the ends of
+    """Whether the distances obey the triangle inequality and are of a kind that cells hold: no trees, no learned differences between nominal values, weights not negative, and a null not nearer to the ends of
     a feature's range than half of it. Below 1, p stands for the sum of powers, which obeys it as well."""
-    if any(f.table or f.weight < 0 or f.deviation <= 0 for f in metric.features):
+    if any(f.table or f.tree or f.weight < 0 or f.deviation <= 0 for f in metric.features):
         return False
     plain = [f for f in metric.features if not f.nominal and not f.structured]
     if not plain:

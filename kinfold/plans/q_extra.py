@@ -396,6 +396,21 @@ def knn_semi_structured(spark, d):
     return rounded(knn(df.where(f"{ID} % 50 = 0"), df, Metric((Feature("doc", "json"),)), 5, id_column=ID))
 
 
+TREE_COST = "levenshtein(q.p_name, c.p_name) + CASE WHEN q.p_brand = c.p_brand THEN 0.0 ELSE 1.0 END + least(1.0, abs(q.p_size - c.p_size) / 10.0)"
+
+
+def _tree_docs(spark, d):
+    """Parts as objects of a string, a number and the list of the letters of the name."""
+    return part(spark, d).select(ID, F.to_json(F.struct("p_size", "p_brand", F.filter(F.split("p_name", ""), lambda x: x != "").alias("p_name"))).alias("doc"))
+
+
+@query(sql_near(f"CAST({TREE_COST} AS DOUBLE)", k=5) + "SELECT query_id, case_id, round(distance, 6) AS distance, rank FROM n")
+def knn_tree_edit(spark, d):
+    """Edit cost of ordered trees: letters put in, taken out or exchanged, another brand, and sizes on a scale of ten."""
+    df = _tree_docs(spark, d)
+    return rounded(knn(df.where(f"{ID} % 50 = 0"), df, Metric((Feature("doc", "tree", scale=10.0),)), 5, id_column=ID))
+
+
 @query("SELECT a.s_suppkey AS from_id, b.s_suppkey AS to_id, round(abs(a.s_acctbal - b.s_acctbal), 4) AS distance FROM supplier AS a, supplier AS b")
 def supplier_distances(spark, d):
     df = _t(spark, d, "supplier")
