@@ -105,3 +105,42 @@ def test_means_over_the_neighbours(spark):
     near = spark.createDataFrame([(9, 1), (9, 2), (8, 2)], "query_id bigint, case_id bigint")
     own = spark.createDataFrame([(1, "f", 2.0), (2, "f", None), (2, "g", 5.0)], "query_id bigint, feature string, gain double")
     assert sorted(map(tuple, react.local_means(near, own).collect()), key=str) == [(8, "f", None), (8, "g", 5.0), (9, "f", 2.0), (9, "g", 5.0)]
+
+
+@pytest.mark.parametrize("p,options", [(1.0, {"carry": ["extra"]}), (2.0, {"differ": ["t"]}), (1.0, {"agree": ["c"], "self_too": True}), (1.0, {"not_later": "t"}), (1.0, {"differ": ["id"], "agree": ["t"]})])
+def test_folded_rows_are_those_of_the_plain_search(cases, p, options):
+    m = metric_of(cases, ["a", "b", "c"], p)
+    assert told(knn(cases, cases, m, 7, folded=True, **options)) == told(knn(cases, cases, m, 7, folded=False, pruned=False, **options))
+
+
+def test_folded_kinds_of_features(cases):
+    some = cases.withColumn("doc", F.concat("c", F.lit(" "), F.col("t").cast("string"))).where("id % 3 = 0")
+    m = Metric((Feature("a", "expression", expression="a + t"), Feature("doc", "json"), Feature("id"), Feature("c", "tree")))
+    for own in (m, m.without("id"), Metric(())):
+        assert told(knn(some, cases.withColumn("doc", F.lit("x 3")), own, 4, folded=True)) == told(knn(some, cases.withColumn("doc", F.lit("x 3")), own, 4, folded=False))
+
+
+def test_large_searches_compare_distinct_rows_only(cases, monkeypatch):
+    from kinfold.operators import knn as module
+
+    copies = cases.where("a IS NOT NULL").crossJoin(cases.sparkSession.range(20).withColumnRenamed("id", "copy")).withColumn("id", F.col("id") * 20 + F.col("copy"))
+    m = metric_of(copies, ["b", "c"])
+    expected = told(knn(copies, copies, m, 3, folded=False, pruned=False)), told(knn(copies, copies, m, 3, masks=[["b"], ["c"], []]))
+    monkeypatch.setattr(module, "FOLDED_PAIRS", 1_000_000)
+    sizes = []
+    monkeypatch.setattr(module, "_prepared", lambda df, *a, _f=module._prepared, **o: sizes.append(df.count()) or _f(df, *a, **o))
+    assert told(knn(copies, copies, m, 3)) == expected[0] and max(sizes) <= 302
+    assert told(knn(copies, copies, m, 3, masks=[["b"], ["c"], []])) == expected[1] and max(sizes) <= 302
+
+
+def test_rows_that_agree_meet_by_key(cases, monkeypatch):
+    from kinfold.operators import knn as module
+
+    m = metric_of(cases, ["a", "b"])
+    plain = {name: told(knn(cases, cases, m, 4, agree=[name], folded=False, pruned=False)) for name in ("t", "extra")}
+    for name, value in (("FOLDED_PAIRS", 1_000), ("AGREE_ROWS", 50), ("CASE_BLOCK", 60)):
+        monkeypatch.setattr(module, name, value)
+    monkeypatch.setattr(pruned, "search", None)
+    for name, expected in plain.items():
+        assert told(knn(cases, cases, m, 4, agree=[name], folded=False, broadcast_queries=40)) == expected
+        assert told(knn(cases, cases, m, 4, agree=[name], broadcast_queries=40)) == expected
