@@ -42,7 +42,7 @@ def residuals(cases: DataFrame, metric: Metric, kinds: dict[str, str], k: int =
     """(feature, residual, null_residual): mean leave-one-out error of each feature from all others, and the error of its null-ness. All features come from one search."""
     asked = cases if queries is None else queries
     masks = [tuple(n for n in metric.names() if n != f) for f in kinds]
-    near = written(masked_neighbours(asked, cases, metric, masks, k, carry=list(kinds), id_column=id_column, **options), "residuals")
+    near = written(masked_neighbours(asked, cases, metric, masks, k, carry=list(kinds), id_column=id_column, **options), "residuals").hint("merge")
     out = []
     for i, (f, kind) in enumerate(kinds.items()):
         own = near.where(F.col("query_id.mask") == i).withColumn("query_id", F.col("query_id.id"))
@@ -157,7 +157,7 @@ def contributions(queries: DataFrame, cases: DataFrame, metric: Metric, action:
     rows = [(f, masks.index(a), masks.index(b), times) for f, a, b, times in plan]
     plans = F.broadcast(queries.sparkSession.createDataFrame(rows, "feature string, mask int, without int, times int"))  # a few rows a feature
     d = got.join(plans, "mask").select("id", "feature", "times", F.col("p").alias("with_f"), F.col("without").alias("mask"))
-    d = d.join(got.withColumnRenamed("p", "without_f"), ["id", "mask"]).join(actual, "id")
+    d = d.hint("merge").join(got.withColumnRenamed("p", "without_f"), ["id", "mask"]).hint("merge").join(actual, "id")
     gain = F.abs(F.col("actual") - F.col("without_f")) - F.abs(F.col("actual") - F.col("with_f"))
     df = d.select(F.col("id").alias("query_id"), "feature", "times", (F.col("with_f") - F.col("without_f")).alias("change"), gain.alias("gain"))
     t = F.sum("times")
