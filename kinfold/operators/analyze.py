@@ -39,15 +39,16 @@ def grid(
     query's neighbours do not depend on k but for their sum, so every k and dt is one more pair of sums up to a rank in a single aggregate.
     """
     metric = metric.without(action)
-    own = F.expr(fold_by) if fold_by else fold(id_column, folds, seed) if folds > 1 else F.col(id_column)
-    df = cases.withColumn("__fold", own)
-    asked = df if queries is None else queries.withColumn("__fold", own)
+    own = F.expr(fold_by) if fold_by else fold(id_column, folds, seed)
+    alone = not fold_by and folds <= 1  # a case is never its own neighbour, so no fold has to differ
+    df = cases if alone else cases.withColumn("__fold", own)
+    asked = df if queries is None else queries if alone else queries.withColumn("__fold", own)
     actual = asked.select(F.col(id_column).alias("query_id"), F.col(action).alias("__actual"))
     cells = [(k, float(dt)) for k in k_values for dt in dt_values]
     whole = W.partitionBy("query_id")
     out = None
     for p in p_values:
-        near = knn(asked, df, replace(metric, p=p), max(k_values), id_column=id_column, carry=[action], differ=["__fold"])
+        near = knn(asked, df, replace(metric, p=p), max(k_values), id_column=id_column, carry=[action], differ=[] if alone else ["__fold"])
         near = near.join(actual, "query_id").withColumn("__zero", F.min("distance").over(whole) == 0)
         known = F.col(action).isNotNull()
         hit = F.col(action).cast("double") if kind == "continuous" else (F.col(action) == F.col("__actual")).cast("double")
