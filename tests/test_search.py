@@ -144,3 +144,32 @@ def test_rows_that_agree_meet_by_key(cases, monkeypatch):
     for name, expected in plain.items():
         assert told(knn(cases, cases, m, 4, agree=[name], folded=False, broadcast_queries=40)) == expected
         assert told(knn(cases, cases, m, 4, agree=[name], broadcast_queries=40)) == expected
+
+
+def test_distance_matrix_shuffles_no_pairs(cases):
+    from kinfold.operators.knn import distance_matrix
+
+    m = Metric((Feature("a", spread=3.0), Feature("b", "expression", expression="b + t"), Feature("c", "nominal"), Feature("t", "cyclic", cycle=7.0, weight=0.5)), p=2.0)
+    some = cases.where("id % 7 = 0 OR id >= 500")
+    got = distance_matrix(some, m)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" in plan and "Window" not in plan
+    plain = knn(some, some, m, some.count(), self_too=True, pruned=False)
+    told = lambda df, *c: sorted((r[0], r[1], round(r[2], 9)) for r in df.select(*c).collect())
+    assert told(got, "from_id", "to_id", "distance") == told(plain, "query_id", "case_id", "distance")
+
+
+def test_folded_approximate_search(cases):
+    from kinfold.operators.knn import knn_approximate
+
+    m, known = metric_of(cases, ["a", "b"]), cases.where("a IS NOT NULL")
+    exact = {(r.query_id, r.case_id) for r in knn(known, known, m, 5).collect()}
+    got = {(r.query_id, r.case_id) for r in knn_approximate(known, known, m, 5, width=5.0, folded=True).collect()}
+    plain = {(r.query_id, r.case_id) for r in knn_approximate(known, known, m, 5, width=5.0, folded=False).collect()}
+    assert len(got & exact) >= len(plain & exact) > 0.9 * len(exact)
+
+
+def test_work_of_distinct_rows(cases):
+    m = metric_of(cases, ["b", "c"])
+    own = pruned.work_of_distinct(cases, cases, m, 5).first()
+    assert own.all_pairs == cases.count() ** 2 and own.compared <= 303**2
