@@ -173,3 +173,13 @@ def test_work_of_distinct_rows(cases):
     m = metric_of(cases, ["b", "c"])
     own = pruned.work_of_distinct(cases, cases, m, 5).first()
     assert own.all_pairs == cases.count() ** 2 and own.compared <= 303**2
+
+
+def test_approximate_search_hands_on_k_a_cell(cases, monkeypatch):
+    from kinfold.operators import knn as module
+
+    told_of = []
+    monkeypatch.setattr(module, "_dealt_by_agreement", lambda *a, _f=module._dealt_by_agreement: told_of.append(a[2]) or _f(*a))
+    known = cases.where("a IS NOT NULL")
+    got = module.knn_approximate(known, known, metric_of(cases, ["a", "b"]), 5, width=1e9, carry=["t"])
+    assert told_of == ["id"] and told(got) == told(knn(known, known, metric_of(cases, ["a", "b"]), 5, carry=["t"]))
