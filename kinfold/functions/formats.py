@@ -77,6 +77,13 @@ def infinity(c: Column) -> Column:
     return F.when(c >= DOUBLE_MAX, F.lit(float("inf"))).when(c <= -DOUBLE_MAX, F.lit(float("-inf"))).otherwise(c)
 
 
+def round_scaled(c: Column, digits: int) -> Column:
+    """A double rounded as its product with a power of ten, halves away from zero, as DuckDB does it; Spark's own rounding takes the shortest decimal form, which can lie
+    on the other side of a half."""
+    scaled = c * F.lit(10.0**digits)
+    return F.when(F.abs(scaled) == F.lit(float("inf")), c).otherwise(F.round(scaled, 0) / F.lit(10.0**digits))
+
+
 def nan_to_null(c: Column) -> Column:
     return F.when(~F.isnan(c), c)
 

@@ -44,3 +44,13 @@ def test_entry(spark):
 def test_series_stationary_asks_every_user(spark):
     users = spark.read.parquet(f"{SF}/events.parquet").select("user_id").distinct().count()
     assert entry.queries()["series_stationary"](spark, SF).count() == users
+
+
+def test_infinite_sentinels_round_as_their_sql(spark, tmp_path, con):
+    """Prices of many decimals, some nearly halfway: Spark's round took the other side of 131501.5492735."""
+    values = [(1, 131501.5492735), (2, 250000.5), (3, None), (4, 0.1234565), (5, -1.2345675), (6, 199999.99999949999)]
+    df = spark.createDataFrame(values, "o_orderkey bigint, o_totalprice double")
+    df.write.parquet(str(tmp_path / "orders.parquet"))
+    got = sorted(map(tuple, entry.queries()["infinite_sentinels"](spark, str(tmp_path)).collect()))
+    sql = entry.oracle_sql()["infinite_sentinels"].replace("FROM orders", f"FROM '{tmp_path}/orders.parquet/*.parquet'")
+    assert got == sorted(con.execute(sql).fetchall())
