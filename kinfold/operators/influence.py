@@ -54,10 +54,10 @@ def residuals(cases: DataFrame, metric: Metric, kinds: dict[str, str], k: int =
 
 
 def deviations(cases: DataFrame, metric: Metric, kinds: dict[str, str], k: int = 10, *, id_column: str = "id", **options) -> DataFrame:
-    """(feature, deviation): as residuals, but the feature itself is a context too."""
+    """(feature, deviation): as residuals, but the feature itself is a context too. All features come from one search."""
+    near = written(neighbours(cases, cases, metric, k, carry=list(kinds), id_column=id_column, **options), "deviations").hint("merge")
     out = []
     for f, kind in kinds.items():
-        near = neighbours(cases, cases, metric, k, carry=[f], id_column=id_column, **options)
         actual = cases.select(F.col(id_column).alias("query_id"), F.col(f).alias("actual"))
         if kind == "continuous":
             df = actual.join(predict_continuous(near, f, name="predicted"), "query_id")
