@@ -244,7 +244,7 @@ def stream_series_training(spark, d):
     part = F.least(F.floor((F.unix_micros(F.col("ts").cast("timestamp")) - F.unix_micros(F.lit(lo).cast("timestamp"))) * 6 / F.lit((hi - lo).total_seconds() * 1e6)), F.lit(5))
     for half in (range(3), range(3, 6)):
         for i in half:
-            df.where(part == i).coalesce(1).write.mode("append").parquet(path)
+            df.where(part == i).repartition(1).write.mode("append").parquet(path)
         stream = ingest.read_files(spark, path, df.schema)
         ingest.train_series(stream, store, "user_id", "ts", log, staged, gap=_GAP, late=_LATE).awaitTermination()
     got = store.cases().groupBy("user_id", "series_start").agg(F.count("*").alias("n"), F.round(F.sum("value"), 6).alias("total"), F.max("series_place").alias("last_place"))

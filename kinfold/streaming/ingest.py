@@ -49,58 +49,63 @@ def append_series(stream: DataFrame, path: str, key: str, checkpoint: str, once:
     return (writer.trigger(availableNow=True) if once else writer).start()
 
 
-_STATE = "n bigint, started bigint, last bigint"
+#: Groups of keys whose open series share one state.
+STATE_BUCKETS = 256
 
 
-def follow_series(stream: DataFrame, key: str, time: str, gap: float, late: float, ends: str | None = None) -> DataFrame:
+def follow_series(stream: DataFrame, key: str, time: str, gap: float, late: float, ends: str | None = None, buckets: int = STATE_BUCKETS) -> DataFrame:
     """Rows of `stream` with `started` (microseconds: with the key the identity of a series), `position` in it and `complete`; and a row with `complete`, the
     number of rows in `position` and no values for each series that has come to its end.
 
     A series of a key ends with `gap` seconds of event time without a row, or with a row for which `ends`, an SQL condition, holds; the next row starts another.
     The gap is seen by the next row of the key, or else by a timer once the watermark, `late` seconds behind the newest row, has passed it. The state of
-    an open series is three numbers; rows go through. Rows without a key or time are left out, rows later than the watermark too.
+    an open series is its key and four numbers; rows go through. Rows without a key or time are left out, rows later than the watermark too. Keys are dealt to
+    `buckets`, each of which is called once a batch for all its keys; a checkpoint belongs to one number of them.
     """
     names = stream.columns
     micros = F.unix_micros(F.col(time).cast("timestamp"))
     df = stream.where(F.col(key).isNotNull() & F.col(time).isNotNull())
     df = df.withColumn("__t", F.col(time).cast("timestamp")).withColumn("__us", micros).withColumn("__end", F.coalesce(F.expr(ends), F.lit(False)) if ends else F.lit(False))
-    df = df.withWatermark("__t", f"{int(late * 1000)} milliseconds")
+    df = df.withColumn("__bucket", F.pmod(F.xxhash64(key), F.lit(buckets))).withWatermark("__t", f"{int(late * 1000)} milliseconds")
     gap_us = int(gap * 1_000_000)
 
     def step(own: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        def marker(started: int, n: int) -> pd.DataFrame:
-            return pd.DataFrame({c: [own[0] if c == key else None] for c in names} | {"started": [started], "position": [n], "complete": [True]})
-
-        if state.hasTimedOut:
-            n, started, _ = state.get
-            state.remove()
-            yield marker(started, n)
-            return
-        n, started, last = state.get if state.exists else (0, None, None)
-        rows = pd.concat(list(batches), ignore_index=True).sort_values("__us", kind="stable", ignore_index=True)
-        begun, places, out = [], [], []
-        for us, end in zip(rows["__us"].tolist(), rows["__end"].tolist(), strict=True):
-            if n and us - last > gap_us:
-                out.append(marker(started, n))
-                n = 0
-            if not n:
-                started, last = us, us
-            begun.append(started)
-            places.append(n)
-            n, last = n + 1, max(last, us)
-            if end:
-                out.append(marker(started, n))
-                n = 0
-        if n:
-            state.update((n, started, last))
-            state.setTimeoutTimestamp(max((last + gap_us) // 1000 + 1, state.getCurrentWatermarkMs() + 1))
+        open_series = {who: tuple(numbers) for who, *numbers in zip(*state.get, strict=True)} if state.exists else {}
+        now, done, seen = state.getCurrentWatermarkMs(), [], set()
+        if not state.hasTimedOut:
+            rows = pd.concat(list(batches), ignore_index=True).sort_values("__us", kind="stable", ignore_index=True)
+            begun, places = [], []
+            for who, us, end in zip(rows[key].tolist(), rows["__us"].tolist(), rows["__end"].tolist(), strict=True):
+                n, started, last, _ = open_series.pop(who, (0, None, None, None))
+                if n and us - last > gap_us:
+                    done.append((who, started, n))
+                    n = 0
+                if not n:
+                    started, last = us, us
+                begun.append(started)
+                places.append(n)
+                n, last = n + 1, max(last, us)
+                if end:
+                    done.append((who, started, n))
+                else:
+                    open_series[who] = n, started, last, max((last + gap_us) // 1000 + 1, now + 1)
+                seen.add(who)
+            yield rows[names].assign(started=begun, position=places, complete=False)
+        for who in [who for who, (*_, due) in open_series.items() if due < now and who not in seen]:
+            n, started, *_ = open_series.pop(who)
+            done.append((who, started, n))
+        if open_series:
+            state.update(([*open_series], *map(list, zip(*open_series.values(), strict=True))))
+            state.setTimeoutTimestamp(min(due for *_, due in open_series.values()))
         elif state.exists:
             state.remove()
-        yield rows[names].assign(started=begun, position=places, complete=False)
-        yield from out
+        if done:
+            whose, started, position = zip(*done, strict=True)
+            yield pd.DataFrame({c: list(whose) if c == key else [None] * len(done) for c in names} | {"started": started, "position": position, "complete": True})
 
     schema = T.StructType([T.StructField(f.name, f.dataType) for f in stream.schema]).add("started", "long").add("position", "long").add("complete", "boolean")
-    return df.groupBy(key).applyInPandasWithState(step, schema, _STATE, "append", GroupStateTimeout.EventTimeTimeout)
+    held = T.StructType([T.StructField("key", T.ArrayType(stream.schema[key].dataType)), *(T.StructField(c, T.ArrayType(T.LongType())) for c in ("n", "started", "last", "due"))])
+    return df.groupBy("__bucket").applyInPandasWithState(step, schema, held, "append", GroupStateTimeout.EventTimeTimeout)
 
 
 def train_series(stream: DataFrame, store: CaseStore, key: str, time: str, checkpoint: str, staged: str, *, gap: float, late: float, ends: str | None = None, once: bool = True) -> StreamingQuery:

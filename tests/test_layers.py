@@ -96,3 +96,19 @@ def test_series_are_trained_once_when_complete(spark, tmp_path):
     assert store.count() == 8
     order = store.cases().where("k = 'a'").orderBy("series_place").collect()
     assert [(r.series_place, r.v) for r in order] == [(0, 1.0), (1, 2.0), (2, 4.0)]
+
+
+def test_keys_that_share_a_state_end_each_by_itself(spark, tmp_path):
+    path, log, out = (str(tmp_path / x) for x in ("in", "log", "out"))
+
+    def run():
+        got = ingest.follow_series(ingest.read_files(spark, path, EVENTS), "k", "at", 100, 10, "stop", buckets=1)
+        got.writeStream.format("parquet").option("checkpointLocation", log).trigger(availableNow=True).start(out).awaitTermination()
+        return sorted((r.k, r.position) for r in spark.read.parquet(out).where("complete").collect())
+
+    arrive(spark, path, [("a", 0, 1, False), ("b", 20, 2, True), ("b", 30, 3, False), ("c", 25, 4, False)])
+    assert run() == [("b", 1)]
+    arrive(spark, path, [("a", 90, 5, False), ("d", 175, 6, False)])
+    assert run() == [("b", 1), ("b", 1), ("c", 1)]  # two silent keys are due, a and d are open
+    rows = spark.read.parquet(out).where("NOT complete")
+    assert sorted((r.k, r.position, r.v) for r in rows.collect()) == [("a", 0, 1.0), ("a", 1, 5.0), ("b", 0, 2.0), ("b", 0, 3.0), ("c", 0, 4.0), ("d", 0, 6.0)]
