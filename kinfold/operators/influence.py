@@ -5,14 +5,14 @@ from __future__ import annotations
 import random
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from ..plans.storage import written
-from .knn import Metric
-from .react import case_accuracy_contributions, case_contributions, class_probabilities, neighbours, predict_continuous
-from .stats import predicted
+from .knn import FOLDED_PAIRS, Alike, Metric, each_alone
+from .react import case_accuracy_contributions, case_contributions, class_probabilities, neighbours, neighbours_alike, predict_continuous
+from .stats import leave_one_out, predicted, with_prediction
 
 
 def errors(df: DataFrame, kind: str) -> DataFrame:
@@ -32,6 +32,15 @@ def masked_neighbours(queries: DataFrame, cases: DataFrame, metric: Metric, mask
     return reduce(lambda a, b: a.union(b), out)
 
 
+def masked_alike(queries: DataFrame, cases: DataFrame, metric: Metric, masks: list[tuple[str, ...]], k: int, *, carry: list[str], id_column: str = "id", folded: bool | None = None, **options) -> list[Alike]:
+    """`neighbours_alike` by each of several lists of features. One search of all pairs of rows, or where these are many one of distinct rows a mask."""
+    if options.get("approximate") is None and (folded or folded is None and queries.count() * cases.count() * len(masks) > FOLDED_PAIRS):
+        each = (metric.without(*(n for n in metric.names() if n not in mask)) for mask in masks)
+        return [neighbours_alike(queries, cases, own, k, carry=carry, id_column=id_column, folded=True, **options) for own in each]
+    near = written(masked_neighbours(queries, cases, metric, masks, k, carry=carry, id_column=id_column, **options, **({} if folded is None else {"folded": folded})), "masked").hint("merge")
+    return [each_alone(near.where(F.col("query_id.mask") == i).withColumn("query_id", F.col("query_id.id")), id_column) for i in range(len(masks))]
+
+
 def _asked(queries: DataFrame, action: str, masks: int, id_column: str) -> DataFrame:
     """(query_id (id, mask), actual): a row for every query and mask."""
     mask = F.explode(F.array(*map(F.lit, range(masks)))).alias("mask")
@@ -42,11 +51,10 @@ def residuals(cases: DataFrame, metric: Metric, kinds: dict[str, str], k: int =
     """(feature, residual, null_residual): mean leave-one-out error of each feature from all others, and the error of its null-ness. All features come from one search."""
     asked = cases if queries is None else queries
     masks = [tuple(n for n in metric.names() if n != f) for f in kinds]
-    near = written(masked_neighbours(asked, cases, metric, masks, k, carry=list(kinds), id_column=id_column, **options), "residuals").hint("merge")
+    found = masked_alike(asked, cases, metric, masks, k, carry=list(kinds), id_column=id_column, **options)
     out = []
-    for i, (f, kind) in enumerate(kinds.items()):
-        own = near.where(F.col("query_id.mask") == i).withColumn("query_id", F.col("query_id.id"))
-        got = predicted(own, asked.select(F.col(id_column).alias("query_id"), F.col(f).alias("actual")), f, kind)
+    for (f, kind), own in zip(kinds.items(), found, strict=True):
+        got = predicted(asked, own, f, kind, id_column)
         missing = F.avg((F.col("actual").isNull() != F.col("predicted").isNull()).cast("double"))
         e = F.abs(F.col("actual").cast("double") - F.col("predicted")) if kind == "continuous" else F.when(F.col("actual").isNotNull(), 1 - F.col("p_true"))
         out.append(got.agg(F.lit(f).alias("feature"), F.avg(e).alias("residual"), missing.alias("null_residual")).select("feature", "residual", "null_residual"))
@@ -81,19 +89,18 @@ def subsets(features: list[str], n: int, seed: int = 0) -> list[tuple[str, ...]]
     return out
 
 
-def _predict(queries, cases, metric, action, k, id_column, options, name):
-    return predict_continuous(neighbours(queries, cases, metric, k, carry=[action], id_column=id_column, **options), action, name=name)
-
-
 def robust_errors(queries: DataFrame, cases: DataFrame, metric: Metric, action: str, kind: str, k: int = 10, *, samples: int = 10, seed: int = 0, id_column: str = "id", **options) -> DataFrame:
     """(query_id, error): mean error of an action over `samples` random subsets of the contexts, the same subsets for a seed."""
     drawn = subsets([n for n in metric.names() if n != action], samples, seed)
     masks = sorted(set(drawn))
-    near = masked_neighbours(queries, cases, metric, masks, k, carry=[action], id_column=id_column, **options)
-    got = errors(predicted(near, _asked(queries, action, len(masks), id_column), action, kind), kind)
-    times = F.element_at(F.array(*(F.lit(drawn.count(m)) for m in masks)), F.col("query_id.mask") + 1)
-    df = got.select(F.col("query_id.id").alias("query_id"), "error", times.alias("times"))
-    return df.groupBy("query_id").agg(F.try_divide(F.sum(F.col("error") * F.col("times")), F.sum(F.when(F.col("error").isNotNull(), F.col("times")))).alias("error"))
+    df = queries
+    for i, own in enumerate(masked_alike(queries, cases, metric, masks, k, carry=[action], id_column=id_column, **options)):
+        df = with_prediction(df, own, action, kind, f"__p{i}")
+    one = lambda i: F.abs(F.col(action).cast("double") - F.col(f"__p{i}.predicted")) if kind == "continuous" else 1 - F.col(f"__p{i}.p_true")
+    known = [(one(i), drawn.count(m)) for i, m in enumerate(masks)]
+    total = reduce(Column.__add__, (F.coalesce(e * n, F.lit(0.0)) for e, n in known))
+    times = reduce(Column.__add__, (F.when(e.isNotNull(), n).otherwise(0) for e, n in known))
+    return df.select(F.col(id_column).alias("query_id"), F.try_divide(total, times).alias("error"))
 
 
 def robust_residuals(cases: DataFrame, metric: Metric, kinds: dict[str, str], k: int = 10, **options) -> DataFrame:
@@ -146,24 +153,28 @@ def contributions(queries: DataFrame, cases: DataFrame, metric: Metric, action:
     """
     names = [n for n in metric.names() if n != action]
     metric = metric.without(action)
-    actual = queries.select(F.col(id_column).alias("id"), F.col(action).cast("double").alias("actual"))
     plan = []  # (feature, its contexts with it, without it, how often they are drawn)
     for f in names:
         rests = subsets([n for n in names if n != f], robust, seed) if robust else [tuple(n for n in names if n != f)]
         plan += [(f, tuple(n for n in names if n == f or n in rest), tuple(n for n in names if n in rest), rests.count(rest)) for rest in sorted(set(rests))]
     masks = sorted({m for _, a, b, _ in plan for m in (a, b)})
-    near = masked_neighbours(queries, cases, metric, masks, k, carry=[action], id_column=id_column, **options)
-    got = written(predict_continuous(near, action, name="p").select("query_id.id", "query_id.mask", "p"), "contributions")
-    rows = [(f, masks.index(a), masks.index(b), times) for f, a, b, times in plan]
-    plans = F.broadcast(queries.sparkSession.createDataFrame(rows, "feature string, mask int, without int, times int"))  # a few rows a feature
-    d = got.join(plans, "mask").select("id", "feature", "times", F.col("p").alias("with_f"), F.col("without").alias("mask"))
-    d = d.hint("merge").join(got.withColumnRenamed("p", "without_f"), ["id", "mask"]).hint("merge").join(actual, "id")
-    gain = F.abs(F.col("actual") - F.col("without_f")) - F.abs(F.col("actual") - F.col("with_f"))
-    df = d.select(F.col("id").alias("query_id"), "feature", "times", (F.col("with_f") - F.col("without_f")).alias("change"), gain.alias("gain"))
-    t = F.sum("times")
-    return df.groupBy("query_id", "feature").agg(
-        (F.sum(F.abs("change") * F.col("times")) / t).alias("prediction_contribution"), (F.sum(F.col("change") * F.col("times")) / t).alias("directional"), (F.sum(F.col("gain") * F.col("times")) / t).alias("accuracy_contribution")
-    )
+    df = queries
+    for i, own in enumerate(masked_alike(queries, cases, metric, masks, k, carry=[action], id_column=id_column, **options)):
+        df = own.spread(df, predict_continuous(own.near, action, name="p").select("query_id", F.struct("p").alias(f"__p{i}")))
+    actual, told = F.col(action).cast("double"), []
+    for f in names:
+        parts = [(F.col(f"__p{masks.index(a)}"), F.col(f"__p{masks.index(b)}"), times) for g, a, b, times in plan if g == f]
+        drawn = reduce(Column.__add__, (F.when(x.isNotNull() & z.isNotNull(), n).otherwise(0) for x, z, n in parts))  # without any neighbour nothing is told
+
+        def mean(value, parts=parts, drawn=drawn):
+            each = [value(x["p"], z["p"]) * n for x, z, n in parts]
+            known = reduce(Column.__or__, (e.isNotNull() for e in each))
+            return F.when(known, F.try_divide(reduce(Column.__add__, (F.coalesce(e, F.lit(0.0)) for e in each)), drawn))
+
+        gain = lambda x, z: F.abs(actual - z) - F.abs(actual - x)
+        told.append(F.struct(F.lit(f).alias("feature"), drawn.alias("n"), mean(lambda x, z: F.abs(x - z)).alias("prediction_contribution"), mean(lambda x, z: x - z).alias("directional"), mean(gain).alias("accuracy_contribution")))
+    df = df.select(F.col(id_column).alias("query_id"), F.explode(F.array(*told)).alias("x"))
+    return df.where("x.n > 0").select("query_id", "x.feature", "x.prediction_contribution", "x.directional", "x.accuracy_contribution")
 
 
 def mean_contributions(per_case: DataFrame) -> DataFrame:
@@ -207,12 +218,11 @@ def permutation_accuracy(cases: DataFrame, metric: Metric, action: str, k: int =
         return df.groupBy("feature").agg((F.sum(F.col("accuracy_contribution") * F.col("times")) / F.sum("times")).alias("accuracy_contribution"))
 
     def error(queries):
-        got = _predict(queries, cases, metric, action, k, id_column, options, "predicted")
-        actual = queries.select(F.col(id_column).alias("query_id"), F.col(action).cast("double").alias("actual"))
-        return actual.join(got, "query_id").agg(F.avg(F.abs(F.col("actual") - F.col("predicted"))).alias("e"))
+        got = leave_one_out(cases, metric, action, "continuous", k, id_column=id_column, queries=queries, **options)
+        return got.agg(F.avg(F.abs(F.col("actual").cast("double") - F.col("predicted"))).alias("e"))
 
     base = error(cases)
-    out = [error(permuted(cases, f, seed, id_column, blocks)).crossJoin(base.withColumnRenamed("e", "e0")).select(F.lit(f).alias("feature"), (F.col("e") - F.col("e0")).alias("accuracy_contribution")) for f in metric.names()]
+    out = [error(written(permuted(cases, f, seed, id_column, blocks), "permuted")).crossJoin(base.withColumnRenamed("e", "e0")).select(F.lit(f).alias("feature"), (F.col("e") - F.col("e0")).alias("accuracy_contribution")) for f in metric.names()]
     return reduce(lambda a, b: a.union(b), out)
 
 

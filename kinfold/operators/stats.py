@@ -9,25 +9,30 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from .condition import compile_condition
-from .knn import Metric, knn
-from .react import class_probabilities, neighbours, predict_continuous, predict_nominal
+from .knn import Alike, Metric, knn
+from .react import class_probabilities, neighbours_alike, predict_continuous, predict_nominal
 
 
 def leave_one_out(cases: DataFrame, metric: Metric, action: str, kind: str, k: int = 10, *, id_column: str = "id", queries: DataFrame | None = None, **options) -> DataFrame:
     """(id, actual, predicted, p_true for nominals) of every case predicted from the others; `queries`: a sample of the cases."""
     asked = cases if queries is None else queries
-    near = neighbours(asked, cases, metric.without(action), k, carry=[action], id_column=id_column, **options)
-    return predicted(near, asked.select(F.col(id_column).alias("query_id"), F.col(action).alias("actual")), action, kind)
+    return predicted(asked, neighbours_alike(asked, cases, metric.without(action), k, carry=[action], id_column=id_column, **options), action, kind, id_column)
 
 
-def predicted(near: DataFrame, actual: DataFrame, action: str, kind: str) -> DataFrame:
-    """(query_id, actual, predicted, p_true for nominals) of `actual` (query_id, actual) by the neighbours."""
+def predicted(queries: DataFrame, found: Alike, action: str, kind: str, id_column: str = "id") -> DataFrame:
+    """(query_id, actual, predicted, p_true for nominals) of the queries by their neighbours."""
+    df = with_prediction(queries, found, action, kind, "__got")
+    return df.select(F.col(id_column).alias("query_id"), F.col(action).alias("actual"), "__got.*")
+
+
+def with_prediction(queries: DataFrame, found: Alike, action: str, kind: str, name: str) -> DataFrame:
+    """The queries with a struct `name` of what their neighbours predict: predicted, and for nominals p_true, the probability of the query's own class."""
     if kind == "continuous":
-        return actual.join(predict_continuous(near, action, name="predicted"), "query_id", "left")
-    probs = class_probabilities(near, action)
-    true = actual.join(probs, "query_id").where(F.col("class") == F.col("actual")).select("query_id", F.col("probability").alias("p_true"))
-    got = predict_nominal(near, action, name="predicted").select("query_id", "predicted")
-    return actual.join(got, "query_id", "left").join(true, "query_id", "left").withColumn("p_true", F.coalesce("p_true", F.lit(0.0)))
+        return found.spread(queries, predict_continuous(found.near, action, name="__p")).withColumn(name, F.struct(F.col("__p").alias("predicted"))).drop("__p")
+    probs = class_probabilities(found.near, action).groupBy("query_id").agg(F.map_from_entries(F.collect_list(F.struct("class", "probability"))).alias("__probs"))  # at most k classes a query
+    df = found.spread(queries, predict_nominal(found.near, action, name="__p").select("query_id", "__p").join(probs, "query_id"))
+    true = F.coalesce(F.try_element_at("__probs", F.col(action)), F.lit(0.0))
+    return df.withColumn(name, F.struct(F.col("__p").alias("predicted"), true.alias("p_true"))).drop("__p", "__probs")
 
 
 def continuous_stats(df: DataFrame, actual: str = "actual", predicted: str = "predicted") -> DataFrame:

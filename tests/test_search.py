@@ -5,8 +5,9 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from kinfold.operators import influence, pruned
-from kinfold.operators.knn import Feature, Metric, knn, metric_of
+from kinfold.operators import conviction, influence, pruned, stats
+from kinfold.operators import knn as knn_module
+from kinfold.operators.knn import Feature, Metric, knn, knn_alike, metric_of
 
 SCHEMA = "id bigint, a double, b double, c string, t bigint, extra string"
 
@@ -183,3 +184,46 @@ def test_approximate_search_hands_on_k_a_cell(cases, monkeypatch):
     known = cases.where("a IS NOT NULL")
     got = module.knn_approximate(known, known, metric_of(cases, ["a", "b"]), 5, width=1e9, carry=["t"])
     assert told_of == ["id"] and told(got) == told(knn(known, known, metric_of(cases, ["a", "b"]), 5, carry=["t"]))
+
+
+FEW = {"self": {}, "other": {"carry": ["extra"]}, "differ": {"differ": ["t"]}, "later": {"not_later": "t"}, "too": {"self_too": True}}
+
+
+@pytest.mark.parametrize("name", FEW)
+def test_queries_that_stand_for_others_have_their_rows(cases, name):
+    """150 rows are equal: at most k of them, and one more, are searched for, and every row still gets what its own neighbours tell."""
+    m = metric_of(cases, ["a", "b", "c"])
+    queries = cases.where("id % 2 = 0 OR id = 301") if name == "other" else cases
+    plain = knn(queries, cases, m, 7, folded=False, **FEW[name]).cache()
+    found = knn_alike(queries, cases, m, 7, folded=True, **FEW[name])
+    near = found.near.cache()
+    who = near.select("query_id").distinct()
+    assert who.count() <= 303 + 7 * 8  # the distinct rows, and 7 own ones for each of at most 7 values of t
+    assert told(near) == told(plain.join(who, "query_id").select(near.columns))
+    sums = lambda near: near.groupBy("query_id").agg(F.array_sort(F.collect_set("case_id")).alias("s"))
+    assert told(found.spread(queries, sums(near)).where("s IS NOT NULL").select("id", "s")) == told(sums(plain))
+
+
+def _rounded(df):
+    return sorted(repr([round(x, 8) if isinstance(x, float) else x for x in row]) for row in df.collect())
+
+
+MADE = {
+    "loo": lambda c, m: stats.leave_one_out(c, m, "b", "continuous", 5),
+    "loo_nominal": lambda c, m: stats.leave_one_out(c, m, "c", "nominal", 5),
+    "residuals": lambda c, m: influence.residuals(c, m, {"b": "continuous", "c": "nominal"}, 5),
+    "robust": lambda c, m: influence.robust_errors(c, c, m, "b", "continuous", 5, samples=2),
+    "contributions": lambda c, m: influence.contributions(c, c, m, "b", 5),
+    "permuted": lambda c, m: influence.permutation_accuracy(c, m, "b", 5),
+    "features": lambda c, m: conviction.feature_conviction(c, m, 5),
+    "groups": lambda c, m: conviction.groups(c, c, m, "c", 5),
+}
+
+
+@pytest.mark.parametrize("name", MADE)
+def test_statistics_of_equal_rows_are_those_of_all_pairs(cases, name, monkeypatch):
+    m = metric_of(cases, ["a", "b", "c"])
+    plain = _rounded(MADE[name](cases, m))
+    for module in (knn_module, influence):
+        monkeypatch.setattr(module, "FOLDED_PAIRS", 0)
+    assert _rounded(MADE[name](cases, m)) == plain
