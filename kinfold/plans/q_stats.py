@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import conviction, influence, stats
 from ..operators.analyze import grid
 from ..operators.knn import metric_of
-from ..operators.react import distance_contribution, neighbours, predict_continuous
+from ..operators.react import neighbours, predict_continuous
 from .q_react import ALL, CONTEXTS, ID, PROBS, part, rounded, sql_near
 
 QUERIES: dict = {}
@@ -152,7 +152,7 @@ CONV = "round(least(CASE WHEN round(kl, 12) <= 0 THEN 1e4 ELSE (SELECT avg(kl) F
 
 def _dc(spark, d):
     df = part(spark, d)
-    return distance_contribution(neighbours(df, df, metric_of(df, CONTEXTS), 10, id_column=ID))
+    return conviction.contributions(df, df, metric_of(df, CONTEXTS), 10, id_column=ID)
 
 
 @query(CONTRIB + KL + f"SELECT query_id, {CONV} AS familiarity_conviction FROM kl")
