@@ -154,3 +154,37 @@ def test_paired_distances(spark, cases):
 def test_empty_tables(spark, cases):
     m = Metric((Feature("doc", "tree"),))
     assert knn(cases.limit(0), cases, m, 3).count() == 0 and knn(cases, cases.limit(0), m, 3).count() == 0
+
+
+def test_one_frame_needs_no_dynamic_programme():
+    """A list that both trees have stands for its own labels, which stand more than once; before, only trees without such labels were told exactly."""
+    texts = [json.dumps({"n": i, "b": b, "l": letters}) for i in (1, 4) for b in ("x", "y") for letters in (["a", "b"], ["b", "a"], ["a", "b", "c"])]
+    held = [tree_of(t) for t in texts]
+    how = How(10.0)
+    low, exact = bounds(held, held, how)
+    for i, a in enumerate(held):
+        for j, b in enumerate(held):
+            assert exact[i, j] == (i % 3 == j % 3)
+            assert low[i, j] <= edit_cost(a, b, how) + 1e-9
+            if exact[i, j]:
+                assert low[i, j] == edit_cost(a, b, how)
+
+
+def test_sides_are_taken_once_a_block(spark, monkeypatch):
+    """Not once a tile of queries, and blocks of trees are smaller than those of numbers."""
+    made = []
+    one = trees.sides
+    monkeypatch.setattr(trees, "sides", lambda a, b, how: made.append((len(a), len(b))) or one(a, b, how))
+    texts = np.empty(40, object)
+    texts[:] = [[tree_of(json.dumps({"n": i, "l": ["a"] * (i % 3)}))] for i in range(40)]
+    none = np.zeros((40, 0))
+    block = searching._Block(np.arange(40), none, none.astype(np.int64), texts, none.astype(np.int64), np.zeros(40), texts)
+    m = Metric((Feature("doc", "tree", scale=10.0),))
+    whole = [tuple(map(np.ndarray.tolist, found[1:])) for found in searching._best(block, block, m, searching._Rules(), 3)]
+    assert made[0] == (40, 40)
+    made.clear()
+    monkeypatch.setattr(searching, "TILE", 400)
+    tiles = [tuple(map(np.ndarray.tolist, found[1:])) for found in searching._best(block, block, m, searching._Rules(), 3)]
+    assert len(tiles) == 4 and [sum((t[i] for t in tiles), []) for i in range(3)] == list(map(list, whole[0]))
+    assert made.count((40, 40)) == 1
+    assert searching.STRUCTURED_BLOCK[0] * searching.STRUCTURED_BLOCK[1] <= 100_000_000
