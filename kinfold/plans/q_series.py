@@ -12,7 +12,7 @@ from ..operators.ml import CaseClassifier, CaseRegressor
 from ..sources.store import CaseStore
 from ..streaming import ingest
 from .q_react import ALL, CONTEXTS, ID, PROBS, near, part, rounded, split, sql_near
-from .storage import folder
+from .storage import folder, written
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -293,7 +293,7 @@ def generated_cases(spark, d):
     m = metric_of(df, [*CONTEXTS, "p_retailprice"])
     kinds = {"p_size": "continuous", "p_retailprice": "continuous", "p_type": "nominal"}
     res = {r.feature: r.residual for r in residuals(df, m, {"p_size": "continuous", "p_retailprice": "continuous"}, id_column=ID).collect()}
-    got = synth.generate(df, m, kinds, df.count(), residuals=res, id_column=ID, bounds={"p_size": (1, 50)}, decimals={"p_size": 0, "p_retailprice": 2})
+    got = written(synth.generate(df, m, kinds, df.count(), residuals=res, id_column=ID, bounds={"p_size": (1, 50)}, decimals={"p_size": 0, "p_retailprice": 2}), "generated")
     return got.join(synth.privacy(got, df, m, 0.5, id_column=ID).select("id", "private"), "id")
 
 

@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from kinfold.operators import conviction, influence, pruned, stats
+from kinfold.operators import conviction, influence, pruned, stats, synth
 from kinfold.operators import knn as knn_module
 from kinfold.operators.knn import Feature, Metric, knn, knn_alike, metric_of
 
@@ -227,3 +227,29 @@ def test_statistics_of_equal_rows_are_those_of_all_pairs(cases, name, monkeypatc
     for module in (knn_module, influence):
         monkeypatch.setattr(module, "FOLDED_PAIRS", 0)
     assert _rounded(MADE[name](cases, m)) == plain
+
+
+def test_generation_draws_from_distinct_rows(cases, monkeypatch):
+    """Neighbours are kept for the distinct rows drawn, not for every draw; draws and privacy are those of the search of all pairs."""
+    m = metric_of(cases, ["a", "b", "c"])
+    kinds = {"a": "continuous", "b": "continuous", "c": "nominal"}
+    kept = []
+
+    def written(df, label):
+        df = df.cache()
+        if label in ("synth", "privacy") and "query_id" in df.columns:
+            kept.append(df.select("query_id").distinct().count())
+        return df
+
+    monkeypatch.setattr(synth, "written", written)
+
+    def run():
+        kept.clear()
+        got = synth.generate(cases, m, kinds, 600, residuals={"a": 0.0, "b": 0.0}, decimals={"a": 0, "b": 0}, k=4)
+        return told(got), told(synth.privacy(got, cases, m, 0.5, k=4)), list(kept)
+
+    plain = run()
+    monkeypatch.setattr(knn_module, "FOLDED_PAIRS", 0)
+    folded = run()
+    assert folded[:2] == plain[:2] and len(plain[0]) == len(plain[1]) == 600
+    assert plain[2] == [600, 600] and all(n < 400 for n in folded[2])
