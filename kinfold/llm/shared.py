@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 #: ASCII white space, as a Java regular expression.
 SPACES = r"[\x20\x09-\x0D]+"
+#: Edges, counted, beside which the least neighbour of every node is broadcast (under 10 MB).
+BROADCAST_EDGES = 50_000
 
 
 @functools.cache
@@ -53,20 +55,22 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
     """(node, component) of an undirected graph given by `edges` (a, b) of comparable ids; component = least id.
 
     Alternating large-star and small-star rounds: every round is two shuffles on the edges, written to the shared
-    folder; the number of rounds grows with the logarithm of the longest chain. Returned is every node but those that stand for
-    themselves: nodes without an edge, and the least of each component.
+    folder; the number of rounds grows with the logarithm of the longest chain. Compressed files tell little of the size of
+    edges, so these are counted: the least neighbours are broadcast beside up to `BROADCAST_EDGES` of them, and beyond that both sides are
+    shuffled. Returned is every node but those that stand for themselves: nodes without an edge, and the least of each component.
     """
     current = stash(edges.where("a <> b").select(F.greatest("a", "b").alias("v"), F.least("a", "b").alias("u")).distinct(), label)
-    before = None
+    before, n = None, current.count()
     while True:
+        held = F.broadcast if n <= BROADCAST_EDGES else (lambda df: df.hint("merge"))
         both = current.select(F.col("v").alias("x"), F.col("u").alias("y")).union(current.select("u", "v"))
         least = both.groupBy("x").agg(F.min("y").alias("m")).select("x", F.least("x", "m").alias("m"))
-        large = both.join(least, "x").where("y > x").select(F.col("y").alias("v"), F.col("m").alias("u")).distinct()
+        large = both.join(held(least), "x").where("y > x").select(F.col("y").alias("v"), F.col("m").alias("u")).distinct()
         least = large.groupBy("v").agg(F.min("u").alias("m"))
-        small = large.join(least, "v")
+        small = large.join(held(least), "v")
         small = small.select("u", "m").union(least.select("v", "m")).where("u <> m").toDF("v", "u").distinct()
         current = stash(small, label)
         state = current.agg(F.count("*"), F.sum(F.xxhash64("v", "u").cast("decimal(38,0)"))).first()
         if state == before:
             return current.groupBy("v").agg(F.min("u").alias("component")).withColumnRenamed("v", "node")
-        before = state
+        before, n = state, state[0]

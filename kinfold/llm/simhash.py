@@ -87,18 +87,19 @@ def links(fps: DataFrame) -> DataFrame:
     """(a, b): edges whose components are those of all fingerprints that differ in four bits or fewer.
 
     `fps` has one row per distinct fingerprint (fp). Work is linear in the fingerprints but for comparisons in
-    postings of at most `SMALL`, or of `LARGE` between different components.
+    postings of at most `SMALL`, or of `LARGE` between different components. Spark sizes postings by the fingerprints they are
+    exploded from, or by their compressed files, so their joins are told to shuffle: else it broadcasts 70 rows a fingerprint.
     """
     chosen = F.posexplode(F.array(*map(F.lit, _MASKS))).alias("choice", "mask")
     posted = fps.select("fp", chosen).select("fp", "choice", F.col("fp").bitwiseAND(F.col("mask")).alias("bytes"))
     key = ["choice", "bytes"]
     lists = posted.groupBy(*key).agg(F.count("*").alias("n"), F.min("fp").alias("pivot")).where("n > 1")
-    posted = stash(posted.join(lists, key), "simhash-postings")  # only those that some other fingerprint shares
+    posted = stash(posted.hint("merge").join(lists, key), "simhash-postings")  # only those that some other fingerprint shares
 
     small = posted.where(F.col("n") <= SMALL)
     a, b = small.alias("a"), small.alias("b")
     once = F.col("a.choice") == _first_choice(_matches(F.col("a.fp"), F.col("b.fp")))
-    pairs = a.join(b, [F.col(f"a.{k}") == F.col(f"b.{k}") for k in key] + [F.col("a.fp") < F.col("b.fp"), once, _near(F.col("a.fp"), F.col("b.fp"))])
+    pairs = a.hint("merge").join(b, [F.col(f"a.{k}") == F.col(f"b.{k}") for k in key] + [F.col("a.fp") < F.col("b.fp"), once, _near(F.col("a.fp"), F.col("b.fp"))])
     edges = pairs.select(F.col("a.fp").alias("a"), F.col("b.fp").alias("b"))
     crowd = posted.where(F.col("n") > SMALL)
     edges = stash(edges.union(crowd.where("fp <> pivot").where(_near(F.col("fp"), F.col("pivot"))).select("fp", "pivot").distinct()), "simhash-edges")
@@ -113,7 +114,7 @@ def links(fps: DataFrame) -> DataFrame:
     some = named.where(F.col("n") <= LARGE)
     a, b = some.alias("a"), some.alias("b")
     once = F.col("a.choice") == _first_choice(_matches(F.col("a.fp"), F.col("b.fp")))
-    more = a.join(b, [F.col(f"a.{k}") == F.col(f"b.{k}") for k in key] + [F.col("a.component") < F.col("b.component"), _near(F.col("a.fp"), F.col("b.fp")), once])
+    more = a.hint("merge").join(b, [F.col(f"a.{k}") == F.col(f"b.{k}") for k in key] + [F.col("a.component") < F.col("b.component"), _near(F.col("a.fp"), F.col("b.fp")), once])
     more = more.groupBy("a.component", "b.component").agg(F.min("a.fp").alias("a"), F.max("b.component").alias("b")).select("a", "b")
     many = named.where(F.col("n") > LARGE)
     if not many.isEmpty():
@@ -128,7 +129,7 @@ def _half_way(fps: DataFrame) -> DataFrame:
     flips = [0, *one, *(x | y for x, y in combinations(one, 2))]
     near = fps.select("fp", F.explode(F.array(*(F.lit(_signed(x)) for x in flips))).alias("flip")).select("fp", F.col("fp").bitwiseXOR(F.col("flip")).alias("point"))
     least = near.groupBy("point").agg(F.min("fp").alias("least"), F.max("fp").alias("most")).where("least < most")
-    return near.join(least, "point").where("fp <> least").select("fp", "least").distinct()
+    return near.hint("merge").join(least, "point").where("fp <> least").select("fp", "least").distinct()
 
 
 def groups(docs: DataFrame) -> DataFrame:
@@ -144,7 +145,7 @@ def groups(docs: DataFrame) -> DataFrame:
     named = fps.join(found, fps["fp"] == found["node"], "left").select("fp", "least", F.coalesce("component", "fp").alias("component"))
     named = stash(named, "simhash-named")
     least = named.groupBy("component").agg(F.min("least").alias("component_id"))
-    by_fp = stash(named.join(least, "component").select("fp", "component_id"), "simhash-by-fp")
+    by_fp = stash(named.hint("merge").join(least, "component").select("fp", "component_id"), "simhash-by-fp")
     return own.join(by_fp, "fp").select("doc_id", "fp", "component_id")
 
 
