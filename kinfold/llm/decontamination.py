@@ -86,7 +86,7 @@ def contained(docs: DataFrame, items: DataFrame) -> DataFrame:
     all_of = stash(item_shingles(items.select("item_id", "text")), "benchmark-shingles")
     lengths = sorted(r.words for r in all_of.select("words").distinct().collect()) or [SHINGLE_WORDS]  # five at most
     small = all_of.count() <= MAX_BROADCAST_ROWS
-    hint = F.broadcast if small else (lambda df: df)
+    hint = F.broadcast if small else (lambda df: df.hint("merge"))
     sketch = all_of.where("in_sketch").select("h", "item_id", "at_least")
 
     ws = docs.select("doc_id", _words(F.col("text")).alias("ws"))

@@ -115,7 +115,8 @@ def select(sized: DataFrame, given: DataFrame, copies: int = MAX_COPIES, seed: s
     sums = df.groupBy("pattern", "__b").agg(F.sum("size").alias("__sum"))
     before = F.coalesce(F.sum("__sum").over(W.partitionBy("pattern").orderBy("__b").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
     sums = sums.select(F.col("pattern").alias("__p"), F.col("__b").alias("__c"), before.alias("__before"))
-    df = df.join(sums, df["pattern"].eqNullSafe(sums["__p"]) & (df["__b"] == sums["__c"]))
+    # the documents, in a file that holds each pattern once, are taken for smaller than the sums and would be broadcast
+    df = df.hint("merge").join(sums, df["pattern"].eqNullSafe(sums["__p"]) & (df["__b"] == sums["__c"]))
     inside = W.partitionBy("pattern", "__b").orderBy("__h", "doc_id", "size").rowsBetween(W.unboundedPreceding, 0)
     df = df.withColumn("__end", F.col("__before") + F.sum("size").over(inside))
     df = stash(df.select(*sized.columns, "__h", "__end"), "mixing-order")

@@ -146,7 +146,7 @@ def groups(docs: DataFrame) -> DataFrame:
     named = stash(named, "simhash-named")
     least = named.groupBy("component").agg(F.min("least").alias("component_id"))
     by_fp = stash(named.hint("merge").join(least, "component").select("fp", "component_id"), "simhash-by-fp")
-    return own.join(by_fp, "fp").select("doc_id", "fp", "component_id")
+    return own.hint("merge").join(by_fp, "fp").select("doc_id", "fp", "component_id")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

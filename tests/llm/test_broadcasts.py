@@ -5,7 +5,7 @@ import contextlib
 import numpy as np
 from pyspark.sql import functions as F
 
-from kinfold.llm import shared, simhash
+from kinfold.llm import decontamination, mixing, shared, simhash
 
 
 @contextlib.contextmanager
@@ -51,3 +51,28 @@ def test_edges_are_not_broadcast(spark):
         edges = spark.range(60_000).select(F.col("id").alias("a"), F.expr("id - id % 400").alias("b"))
         got = shared.components(edges, "test")
         assert got.count() == 60_000 - 150 and got.where("component <> node - node % 400").isEmpty()
+
+
+#: One page of memory, which any table with a key of several columns takes, and some more.
+PAGE = "40m"
+
+
+def test_documents_to_mix_are_not_broadcast(spark):
+    """Sums of 60 sources' buckets are larger than a file of documents, not than its rows."""
+    with at_most(spark, PAGE):
+        docs = spark.range(300_000).selectExpr("id AS doc_id", "1 + id % 7 AS size", "array(concat('s', id % 60)) AS sources")
+        got, sizes, targets = mixing.mix(spark, shared.stash(docs, "test"), lambda names: dict.fromkeys(names, 1))
+        rows, taken = got.selectExpr("count(*)", "sum(taken)").first()
+    assert rows == 300_000 and abs(taken - sum(targets.values())) < 60 and len(sizes) == 60
+
+
+def test_words_of_documents_are_not_broadcast(spark, monkeypatch):
+    """Items too many to be broadcast; a file that holds a text once is small, its words are not."""
+    monkeypatch.setattr(decontamination, "MAX_BROADCAST_ROWS", 10)
+    text = " ".join(f"w{i}" for i in range(400))
+    items = [(i, " ".join(f"v{i}x{j}" for j in range(60))) for i in range(400)] + [(-1, text)]
+    with at_most(spark, PAGE):
+        docs = shared.stash(spark.range(2500).selectExpr("id AS doc_id", f"'{text}' AS text"), "test")
+        items = shared.stash(spark.createDataFrame(items, "item_id bigint, text string"), "test")
+        got = {(r.doc_id, r.item_id, r.n_shared) for r in decontamination.contained(docs, items).collect()}
+    assert got == {(i, -1, 396) for i in range(2500)}
