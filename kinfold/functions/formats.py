@@ -79,9 +79,10 @@ def infinity(c: Column) -> Column:
 
 def round_scaled(c: Column, digits: int) -> Column:
     """A double rounded as its product with a power of ten, halves away from zero, as DuckDB does it; Spark's own rounding takes the shortest decimal form, which can lie
-    on the other side of a half."""
+    on the other side of a half, and loses the sign of a zero."""
     scaled = c * F.lit(10.0**digits)
-    return F.when(F.abs(scaled) == F.lit(float("inf")), c).otherwise(F.round(scaled, 0) / F.lit(10.0**digits))
+    whole = F.round(scaled, 0)
+    return F.when(F.abs(scaled) == F.lit(float("inf")), c).when(whole == 0, c * 0.0).otherwise(whole / F.lit(10.0**digits))
 
 
 def nan_to_null(c: Column) -> Column:

@@ -54,3 +54,13 @@ def test_infinite_sentinels_round_as_their_sql(spark, tmp_path, con):
     got = sorted(map(tuple, entry.queries()["infinite_sentinels"](spark, str(tmp_path)).collect()))
     sql = entry.oracle_sql()["infinite_sentinels"].replace("FROM orders", f"FROM '{tmp_path}/orders.parquet/*.parquet'")
     assert got == sorted(con.execute(sql).fetchall())
+
+
+def test_infinite_sentinels_of_odd_prices_equal_their_sql(spark, tmp_path, con):
+    """To the sign of a zero, and the least double is a price."""
+    inf, most = float("inf"), 1.7976931348623157e308
+    values = list(enumerate([None, float("nan"), inf, -inf, most, -most, 0.0, -0.0, -1e-7, -5e-7, 5e-7, 4.9999999e-7, -1e300, -1e303, 200000.0, 200000.00000000003, -5e-324, -4503599627.3704965]))
+    spark.createDataFrame(values, "o_orderkey bigint, o_totalprice double").write.parquet(str(tmp_path / "orders.parquet"))
+    got = sorted(map(repr, map(tuple, entry.queries()["infinite_sentinels"](spark, str(tmp_path)).collect())))
+    sql = entry.oracle_sql()["infinite_sentinels"].replace("FROM orders", f"FROM '{tmp_path}/orders.parquet/*.parquet'")
+    assert got == sorted(map(repr, con.execute(sql).fetchall()))
