@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 SPACES = r"[\x20\x09-\x0D]+"
 #: Edges, counted, beside which the least neighbour of every node is broadcast (under 10 MB).
 BROADCAST_EDGES = 50_000
+#: Rejected keys that are broadcast at most (about 120 bytes each).
+BROADCAST_KEYS = 1_000_000
 
 
 @functools.cache
@@ -45,10 +47,12 @@ def words(text: Column) -> Column:
 def keep_rows(docs: DataFrame, rejected: DataFrame, key: str = "doc_id") -> DataFrame:
     """Rows of `docs` whose key is not in `rejected` (its one column); a null key matches a null key.
 
-    Spark broadcasts the rejected keys if their measured size allows and shuffles both sides if not.
+    Up to `BROADCAST_KEYS` rejected rows, counted, are broadcast; beyond that both sides are shuffled. Spark by itself goes by the file of the
+    keys, which takes a fraction of their memory, and once a plan broadcasts, it does not turn back at the measured size.
     """
     gone = rejected.select(F.col(rejected.columns[0]).alias("__kinfold_key")).distinct()
-    return docs.join(gone, docs[key].eqNullSafe(gone["__kinfold_key"]), "left_anti")
+    held = F.broadcast(gone) if rejected.count() <= BROADCAST_KEYS else gone.hint("merge")
+    return docs.join(held, docs[key].eqNullSafe(gone["__kinfold_key"]), "left_anti")
 
 
 def components(edges: DataFrame, label: str = "components") -> DataFrame:

@@ -76,3 +76,13 @@ def test_words_of_documents_are_not_broadcast(spark, monkeypatch):
         items = shared.stash(spark.createDataFrame(items, "item_id bigint, text string"), "test")
         got = {(r.doc_id, r.item_id, r.n_shared) for r in decontamination.contained(docs, items).collect()}
     assert got == {(i, -1, 396) for i in range(2500)}
+
+
+def test_many_rejected_keys_are_not_broadcast(spark, monkeypatch):
+    """Keys in a row take little on disk; a null among them rejects the rows without a key."""
+    monkeypatch.setattr(shared, "BROADCAST_KEYS", 100_000, raising=False)
+    with at_most(spark, PAGE):
+        gone = shared.stash(spark.range(400_000).selectExpr("nullif(id, 0) AS doc_id"), "test")
+        docs = spark.range(399_990, 400_010).selectExpr("id AS doc_id").union(spark.sql("SELECT CAST(null AS BIGINT)"))
+        assert sorted(r.doc_id for r in shared.keep_rows(docs, gone).collect()) == list(range(400_000, 400_010))
+        assert sorted(r.doc_id for r in shared.keep_rows(docs, gone.where("doc_id <= 399995")).where("doc_id < 400000").collect()) == [399_996, 399_997, 399_998, 399_999]
